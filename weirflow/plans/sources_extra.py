@@ -1,0 +1,13 @@
+"""Query over the registered data source."""
+
+from __future__ import annotations
+
+from weirflow.plans.registry import query
+from weirflow.sources.datasource import TableSource
+
+
+@query("src_33_python_datasource", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 100000")
+def _(spark, sf):
+    spark.dataSource.register(TableSource)
+    got = spark.read.format("weirflow_table").option("path", f"{sf}/orders.parquet").load()
+    return got.filter("o_totalprice > 100000").select("o_orderkey", "o_custkey", "o_totalprice")
