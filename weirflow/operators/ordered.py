@@ -115,25 +115,26 @@ def with_fill(
 ) -> DataFrame:
     """Add each value as last seen non-null at or before the row (``ahead``: first at or after it)."""
     cuts = split_points(df, order[0]) if cuts is None else cuts
-    take = F.first if ahead else F.last
+    # Looking ahead is looking back over the reversed order: a frame that grows, not one that shrinks.
+    line = [F.col(c).desc() if ahead else F.col(c).asc() for c in order]
+
+    def last(value: Column | str, groups: Sequence[str]) -> Column:
+        return F.last(value, ignorenulls=True).over(
+            W.partitionBy(*groups).orderBy(*line).rowsBetween(W.unboundedPreceding, 0)
+        )
+
     if not cuts:
-        whole = W.partitionBy(*keys).orderBy(*order)
-        whole = whole.rowsBetween(0, W.unboundedFollowing) if ahead else whole.rowsBetween(W.unboundedPreceding, 0)
-        return df.select(*df.columns, *[take(v, ignorenulls=True).over(whole).alias(n) for n, v in values.items()])
+        return df.select(*df.columns, *[last(v, keys).alias(n) for n, v in values.items()])
     rows = with_chunk(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]), order[0], cuts)
     place = F.struct(*order)
     pick = F.min_by if ahead else F.max_by
     edges = rows.groupBy(*keys, CHUNK).agg(
         *[pick(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(f"_b_{n}") for n in values]
     )
-    side = W.partitionBy(*keys).orderBy(CHUNK)
-    inner = W.partitionBy(*keys, CHUNK).orderBy(*order)
-    if ahead:
-        side, inner = side.rowsBetween(1, W.unboundedFollowing), inner.rowsBetween(0, W.unboundedFollowing)
-    else:
-        side, inner = side.rowsBetween(W.unboundedPreceding, -1), inner.rowsBetween(W.unboundedPreceding, 0)
-    edges = edges.select(*keys, CHUNK, *[take(f"_b_{n}", ignorenulls=True).over(side).alias(f"_c_{n}") for n in values])
-    near = rows.select("*", *[take(f"_v_{n}", ignorenulls=True).over(inner).alias(f"_n_{n}") for n in values])
+    chunk = F.col(CHUNK).desc() if ahead else F.col(CHUNK).asc()
+    side = W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
+    edges = edges.select(*keys, CHUNK, *[F.last(f"_b_{n}", ignorenulls=True).over(side).alias(f"_c_{n}") for n in values])
+    near = rows.select("*", *[last(f"_v_{n}", [*keys, CHUNK]).alias(f"_n_{n}") for n in values])
     joined = _join_back(near, edges, keys)
     return joined.select(*df.columns, *[F.coalesce(f"_n_{n}", f"_c_{n}").alias(n) for n in values])
 

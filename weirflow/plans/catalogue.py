@@ -1,6 +1,6 @@
 """All registered queries; importing a module here registers what it holds."""
 
-from weirflow.plans import landing, reads, scalars, shapes, sources_extra  # noqa: F401
+from weirflow.plans import analytics, landing, reads, scalars, shapes, sources_extra  # noqa: F401
 from weirflow.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
