@@ -1,0 +1,60 @@
+"""The registry of tables as frames: metadata, namespaces, tables, objects."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from weirflow.contracts import SpecError, TableContract
+from weirflow.operators.explode import metadata_kv
+
+
+def table_metadata(spark: SparkSession, contracts: Sequence[TableContract], names: Sequence[str] | None = None) -> DataFrame:
+    """``(tableName, primary_keys, cursor_field, ingestion_type)`` in the order asked for."""
+    known = {c.name: c for c in contracts}
+    picked = list(known) if names is None else list(names)
+    missing = [n for n in picked if n not in known]
+    if missing:
+        raise SpecError(f"unknown tables {missing}")
+    rows = [(n, list(known[n].primary_keys), known[n].cursor_field, known[n].ingestion_type) for n in picked]
+    return spark.createDataFrame(rows, "tableName string, primary_keys array<string>, cursor_field string, ingestion_type string")
+
+
+def registry_frame(spark: SparkSession, contracts: Sequence[TableContract]) -> DataFrame:
+    return spark.createDataFrame([(list(c.namespace), c.name) for c in contracts], "namespace array<string>, name string")
+
+
+def namespaces(registry: DataFrame, prefix: Sequence[str] = ()) -> DataFrame:
+    """Direct children of a namespace path, sorted; tables without namespace give none."""
+    k = len(prefix)
+    inside = F.size("namespace") > k
+    if k:
+        inside = inside & (F.slice("namespace", 1, k) == F.array(*[F.lit(p) for p in prefix]))
+    return registry.filter(inside).select(F.slice("namespace", 1, k + 1).alias("namespace")).distinct().orderBy("namespace")
+
+
+def tables_in(registry: DataFrame, namespace: Sequence[str] | None = None) -> DataFrame:
+    """Tables directly below a namespace, sorted. A path is needed exactly where tables have namespaces."""
+    nested = registry.filter(F.size("namespace") > 0).limit(1).count() > 0  # the registry is a small config frame
+    if nested and namespace is None:
+        raise SpecError("a namespace is needed")
+    if not nested and namespace:
+        raise SpecError("tables have no namespaces here")
+    if namespace is not None:
+        path = F.array(*[F.lit(p) for p in namespace]).cast("array<string>")
+        registry = registry.filter(F.col("namespace") == path)
+    return registry.select("namespace", "name").orderBy("name")
+
+
+def list_objects(registry: DataFrame, pattern: str | None = None, path: str = "") -> DataFrame:
+    """``(name, type, full_path)`` at the root, names by a regular expression; any other path is empty."""
+    rows = registry.select("name", F.lit("table").alias("type"), F.array_join(F.concat("namespace", F.array("name")), ".").alias("full_path"))
+    if path:
+        return rows.limit(0)
+    return rows.filter(F.col("name").rlike(pattern)) if pattern else rows
+
+
+def object_metadata(spark: SparkSession, contracts: Sequence[TableContract], name: str, key: str | None = None) -> DataFrame:
+    """One table's contract as ``(key, value)`` rows."""
+    return metadata_kv(spark, [c for c in contracts if c.name == name], key).select("key", "value")
