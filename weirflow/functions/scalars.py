@@ -100,25 +100,23 @@ def epoch_ms_field(col: Column) -> Column:
     return F.concat(_seconds_text(col.try_cast("bigint")), F.lit("Z"))
 
 
-DTM = r"^(\d{4})(\d{2})?(\d{2})?(\d{2})?(\d{2})?(\d{2})?(?:\.\d+)?([+-]\d{4})?$"
+# Fixed value: shape of a message time, year first, two digits per further part.
+DTM = r"^(?!0000)\d{4}(?:\d{2}){0,5}(?:\.\d+)?(?:[+-](?:[01]\d|2[0-3])\d{2})?$"
 
 
 def parse_hl7_dtm(col: Column) -> Column:
-    """A message time of any precision as ISO text in UTC; null when it is none."""
-    text = F.regexp_replace(F.trim(col), r"^[()]+|[()]+$", "")
-
-    def part(i: int, default: int) -> Column:
-        got = F.regexp_extract(text, DTM, i)
-        return F.when(got == "", F.lit(default)).otherwise(got.try_cast("int"))
-
-    year, second = part(1, 0), part(6, 0)
-    zone = F.regexp_extract(text, DTM, 7)
-    hours, mins = F.substring(zone, 2, 2).try_cast("int"), F.substring(zone, 4, 2).try_cast("int")
-    away = hours * 60 + mins
-    ok = text.rlike(DTM) & (year >= 1) & (second < 60) & (F.coalesce(away, F.lit(0)) < 1440)
-    local = F.try_make_timestamp_ntz(year, part(2, 1), part(3, 1), part(4, 0), part(5, 0), second.cast("decimal(16,6)"))
-    shift = F.when(zone.startswith("+"), away).when(zone.startswith("-"), -away).otherwise(F.lit(0))
-    return F.when(ok, F.replace((local - F.make_dt_interval(mins=shift)).cast("string"), F.lit(" "), F.lit("T")))
+    """A message time of any precision as ISO text in UTC; null when it is none.
+
+    Missing parts are the first month, the first day and zero; fractions of a second are dropped.
+    """
+    text = F.btrim(col, F.lit(" ()"))
+    # The digits are laid over the defaults of a full time.
+    full = F.overlay(F.lit("00000101000000"), F.regexp_extract(text, r"^\d+", 0), F.lit(1))
+    local = F.regexp_replace(full, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6").try_cast("timestamp_ntz")
+    mins = F.substring(text, -4, 2).try_cast("int") * 60 + F.substring(text, -2, 2).try_cast("int")
+    signed = F.when(F.substring(text, -5, 1) == "+", mins).otherwise(-mins)
+    utc = F.when(text.rlike(r"[+-]\d{4}$"), local - F.make_dt_interval(mins=signed)).otherwise(local)
+    return F.when(text.rlike(DTM), F.replace(utc.cast("string"), F.lit(" "), F.lit("T")))
 
 
 def yyyymmdd_to_iso(col: Column) -> Column:

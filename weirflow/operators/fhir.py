@@ -7,6 +7,9 @@ parts of a path joined, unless ``>name`` says otherwise. ``*`` marks a list; an
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.functions.scalars import normalize_iso, snake_name
@@ -132,22 +135,34 @@ def _get(value: Column, path: str, kind: str) -> Column:
     return F.try_variant_get(value, f"$.{path}", kind)
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _value(value: Column, path: str, kind: str) -> Column:
     """One element of a variant as a named type."""
     many, name = kind.endswith("*"), kind.rstrip("*")
+    if many and name in PRIMITIVES:
+        return F.coalesce(_get(value, path, f"array<{PRIMITIVES[name]}>"), F.array().cast(f"array<{PRIMITIVES[name]}>"))
     if many:
-        items = _get(value, path, "array<variant>")
-        if name in PRIMITIVES:
-            return F.coalesce(_get(value, path, f"array<{PRIMITIVES[name]}>"), F.array().cast(f"array<{PRIMITIVES[name]}>"))
-        built = F.transform(F.filter(items, lambda x: ~F.is_variant_null(x)), lambda x: F.struct(*_elements(x, TYPES[name])))
-        return F.coalesce(built, F.slice(F.array(F.struct(*_elements(value, TYPES[name]))), 1, 0))
+        items = F.filter(_get(value, path, "array<variant>"), lambda x: ~F.is_variant_null(x))
+        none = F.slice(F.array(F.struct(*_elements(value, TYPES[name]))), 1, 0)
+        return F.coalesce(F.transform(items, lambda x: F.struct(*_elements(x, TYPES[name]))), none)
     if name == "time":
-        return normalize_iso(_get(value, path, "string"))
+        return _bind(_get(value, path, "string"), normalize_iso)
     if name in PRIMITIVES:
         return _get(value, path, PRIMITIVES[name])
-    inner = _get(value, path, "variant")
-    filled = F.schema_of_variant(inner).startswith("OBJECT<") & ~F.schema_of_variant(inner).startswith("OBJECT<>")
-    return F.when(filled, F.struct(*_elements(inner, TYPES[name])))
+    return _bind(_get(value, path, "variant"), lambda x: F.when(_filled(x, TYPES[name]), F.struct(*_elements(x, TYPES[name]))))
+
+
+def _filled(value: Column, spec: str) -> Column:
+    """An object with at least one of the listed elements."""
+    tops = dict.fromkeys(re.split(r"[.\[>:]", token)[0] for token in spec.split())
+    out = F.lit(False)
+    for name in tops:
+        out = out | _get(value, name, "variant").isNotNull()
+    return out
 
 
 def _elements(value: Column, spec: str) -> list[Column]:
@@ -204,8 +219,11 @@ def typed_columns(resource: str, profile: str, raw: Column) -> list[Column]:
 def extract_resources(df: DataFrame, resource: str, col: str = "raw_json", profile: str = "uk_core") -> DataFrame:
     """Rows of one resource type: id, type, last update, raw JSON, extensions and the typed columns."""
     rest = [c for c in df.columns if c != col]
-    rows = df.select(*rest, F.col(col).alias("raw_json"), F.try_parse_json(F.col(col)).alias("_v"))
-    rows = rows.filter(F.coalesce(_get(F.col("_v"), "resourceType", "string"), F.lit(resource)) == resource)
+    # The type is tested where the text is parsed: a filter above would make Catalyst parse it twice.
+    mine = F.filter(
+        F.array(F.try_parse_json(F.col(col))), lambda v: F.coalesce(_get(v, "resourceType", "string"), F.lit(resource)) == resource
+    )
+    rows = df.select(*rest, F.col(col).alias("raw_json"), F.explode(mine).alias("_v"))
     raw = F.col("_v")
     return rows.select(
         *rest, _get(raw, "id", "string").alias("id"), F.coalesce(_get(raw, "resourceType", "string"), F.lit(resource)).alias("resourceType"),

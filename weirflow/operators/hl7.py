@@ -267,9 +267,16 @@ def _some(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def _translate(text: Column, source: Column, target: Column) -> Column:
-    """``translate`` with characters taken from columns."""
-    return F.call_function("translate", text, source, target)
+def _sep(i: int) -> Column:
+    """A separator of the row's message: 1 field, 2 component, 3 repetition, 4 sub-component."""
+    return F.substring("_seps", i, 1)
+
+
+def _original(text: Column, marks: str = MARKS) -> Column:
+    """Marks back to the message's own characters."""
+    for mark in marks:
+        text = F.replace(text, F.lit(mark), _sep(MARKS.index(mark) + 1))
+    return text
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -285,56 +292,64 @@ def split_batch(df: DataFrame, col: str = "data") -> DataFrame:
     return df.select(*[c for c in df.columns if c != col], F.explode(messages).alias("message"))
 
 
-def _marked(line: Column, seps: Column) -> Column:
-    return _translate(line, seps, F.lit(MARKS))
+def _marked(line: Column) -> Column:
+    for i, mark in enumerate(MARKS, start=1):
+        line = F.replace(line, _sep(i), F.lit(mark))
+    return line
 
 
 def parse_messages(df: DataFrame, col: str = "message") -> DataFrame:
-    """Messages with their separators, lines and the columns every segment row gets; no MSH, no row."""
+    """Messages with their separators and the columns every segment row gets; no MSH, no row."""
     rest = [c for c in df.columns if c != col]
-    rows = df.withColumn("_lines", F.filter(F.split(F.col(col), "\r"), lambda x: F.trim(x) != ""))
-    rows = rows.withColumn("_msh", F.try_element_at(F.filter("_lines", lambda x: F.upper(x).startswith("MSH")), F.lit(1)))
-    rows = rows.filter(F.length("_msh") >= 4)
+    text = F.col(col)
+    rows = df.filter(text.rlike("(?i)(?:^|[\r\n])[ \t]*MSH."))
+    plain = F.when(F.contains(text, F.lit("\n")), F.regexp_replace(text, "[\r\n]+", "\r")).otherwise(text)
+    rows = rows.withColumn("message", plain)
+    rows = rows.withColumn("_msh", F.regexp_extract("message", "(?i)(?:^|\r)[ \t]*(MSH[^\r]*)", 1))
     coding = F.when(F.length("_msh") >= 8, F.substring("_msh", 5, 4)).otherwise(F.lit("^~\\&"))
     rows = rows.withColumn("_coding", coding)
     part = lambda i: F.substring("_coding", i, 1)
     rows = rows.withColumns({"_seps": F.concat(F.substring("_msh", 4, 1), part(1), part(2), part(4)), "_esc": part(3)})
-    rows = rows.withColumn("_head", F.split(_marked(F.col("_msh"), F.col("_seps")), FIELD))
-    head = lambda n: _some(_translate(F.try_element_at("_head", F.lit(n)), F.lit(MARKS), F.col("_seps")))
+    rows = rows.withColumn("_head", F.split(_marked(F.col("_msh")), FIELD))
+    head = lambda n: _some(_original(F.try_element_at("_head", F.lit(n))))
     blank = [c for c in ("source_file", "send_time", "create_time") if c not in df.columns]
     meta = {"message_id": head(10), "message_timestamp": head(7), "hl7_version": head(12)}
     rows = rows.withColumns(meta | {c: F.lit(None).cast("string") for c in blank})
     others = [c for c in rest if c not in META]
-    return rows.select(*others, *META, "_lines", "_seps", "_esc")
+    # One-element explode: later filters on these columns stay above it, or Catalyst would put the
+    # whole text work into the filter a second time.
+    facts = F.struct(*META, "message", "_seps", "_esc")
+    return rows.select(*others, F.explode(F.array(facts)).alias("_m")).select(*others, "_m.*")
 
 
 def segments(messages: DataFrame, kind: str) -> DataFrame:
     """The lines of one segment type: ordinal in the message, raw line, fields plain and decoded."""
     name = kind.upper()
-    mine = F.filter("_lines", lambda x: F.upper(F.trim(F.split_part(x, F.substring("_seps", 1, 1), F.lit(1)))) == name)
-    keep = [c for c in messages.columns if c != "_lines"]
-    rows = messages.select(*keep, F.posexplode(mine).alias("_no", "raw_segment"))
-    rows = rows.withColumn("_plain", _marked(F.col("raw_segment"), F.col("_seps")))
-    esc = F.col("_esc")
-    decoded = F.col("_plain")
-    sep = lambda i: F.substring("_seps", i, 1)
-    for letter, value in (("F", sep(1)), ("S", sep(2)), ("T", sep(4)), ("R", sep(3)), ("H", F.lit("")), ("N", F.lit("")), ("E", esc)):
-        decoded = F.replace(decoded, F.concat(esc, F.lit(letter), esc), value)
-    rows = rows.withColumn("_clear", F.when(F.contains("_plain", esc), decoded).otherwise(F.col("_plain")))
+    kind_of = lambda x: F.upper(F.trim(F.call_function("substring_index", x, _sep(1), F.lit(1))))
+    found = F.filter(F.split("message", "\r"), lambda x: kind_of(x) == name)
+    keep = [c for c in messages.columns if c != "message"]
+    rows = messages.select(*keep, F.posexplode(found).alias("_no", "raw_segment"))
+    rows = rows.withColumn("_line", _marked(F.col("raw_segment")))
+    esc, line = F.col("_esc"), F.col("_line")
     if name == "MSH":
-        # Field 1 of MSH is the separator itself.
-        fields = {n: F.concat(F.array(F.lit("MSH"), sep(1)), F.slice(F.split(n, FIELD), 2, 100)) for n in ("_plain", "_clear")}
-        # The escape character in MSH-2 is no escape sequence.
-        fields["_clear"] = fields["_plain"]
-    else:
-        fields = {n: F.split(n, FIELD) for n in ("_plain", "_clear")}
-    return rows.withColumns(fields)
+        # Field 1 of MSH is the separator itself, and the escape character in field 2 is none.
+        fields = F.concat(F.array(F.lit("MSH"), _sep(1)), F.slice(F.split(line, FIELD), 2, 100))
+        return rows.withColumns({"_plain": fields, "_clear": fields})
+    decoded = line
+    for letter, value in (("F", _sep(1)), ("S", _sep(2)), ("T", _sep(4)), ("R", _sep(3)), ("H", F.lit("")), ("N", F.lit("")), ("E", esc)):
+        decoded = F.replace(decoded, F.concat(esc, F.lit(letter), esc), value)
+    clear = F.when(F.contains(line, esc), decoded).otherwise(line)
+    return rows.withColumns({"_plain": F.split(line, FIELD), "_clear": F.split(clear, FIELD)})
 
 
 def _at(parts: Column, i: int) -> Column:
     return _some(F.try_element_at(parts, F.lit(i)))
 
 
+def _part(text: Column, mark: str, k: int) -> Column:
+    return _some(F.split_part(text, F.lit(mark), F.lit(k)))
+
+
 def _leaves(spec: str, comps: Column) -> list[Column]:
     out = []
     for i, token in enumerate(spec.split(), start=1):
@@ -345,26 +360,21 @@ def _leaves(spec: str, comps: Column) -> list[Column]:
             out.append(parse_hl7_dtm(whole).alias(token[:-1]))
         elif "=" in token:
             name, kind = token.split("=")
-            subs = F.split(whole, SUB)
-            out.append(F.when(whole.isNotNull(), F.struct(*[_at(subs, k).alias(n) for k, n in enumerate(COMPOSITES[kind].split(), 1)])).alias(name))
+            inner = [_part(whole, SUB, k).alias(n) for k, n in enumerate(COMPOSITES[kind].split(), 1)]
+            out.append(F.when(whole.isNotNull(), F.struct(*inner)).alias(name))
         elif "&" in token:
-            subs = F.split(whole, SUB)
             for k, name in enumerate(token.lstrip("+").split("&"), start=1):
                 if name:
-                    sub = _at(subs, k)
+                    sub = _part(whole, SUB, k)
                     out.append((F.coalesce(sub, whole) if k == 1 and token[0] == "+" else sub).alias(name))
         else:
             out.append(whole.alias(token))
     return out
 
 
-def composite(kind: str, text: Column, seps: Column) -> Column:
-    """One occurrence of a composite as a struct; null when it holds nothing but separators."""
-    # What no rule cuts goes back to the message's own characters.
-    cuts = "&=" if any(c in COMPOSITES[kind] for c in "&=") else ""
-    back = _translate(text, F.lit(REP if cuts else REP + SUB), F.substring(seps, 3, 1) if cuts else F.substring(seps, 3, 2))
-    filled = _translate(text, F.lit(COMP + REP + SUB), F.lit("")) != ""
-    return F.when(filled, _let(F.split(back, COMP), lambda c: F.struct(*_leaves(COMPOSITES[kind], c))))
+def _loose(kind: str) -> str:
+    """Marks no rule of the composite cuts."""
+    return REP if any(c in COMPOSITES[kind] for c in "&=") else REP + SUB
 
 
 def _repeated(text: Column, item: Callable[[Column], Column]) -> Column:
@@ -378,31 +388,41 @@ def _drop_nulls(items: Column) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
-def segment_columns(layout: str) -> list[Column]:
-    """Typed columns of a segment out of its layout."""
-    seps = F.col("_seps")
-    original = lambda x: _translate(x, F.lit(MARKS), seps)
+def _steps(layout: str) -> tuple[list[Column], list[Column], list[Column]]:
+    """Three projections of a segment: fields cut out, their components cut, typed columns.
+
+    Each is worked out once per row, and Catalyst leaves out what the caller does not select.
+    """
+    fields: list[Column] = []
+    comps: list[Column] = []
     out: list[Column] = []
     for n, token in enumerate(layout.split(), start=1):
         name, kind = token.split(":")
-        plain, clear = _at(F.col("_plain"), n + 1), _at(F.col("_clear"), n + 1)
-        first = _some(F.split_part(plain, F.lit(REP), F.lit(1)))
-        comp = lambda i: _at(F.split(clear, COMP), i)
+        fields.append(_at(F.col("_plain"), n + 1).alias(f"_p{n}"))
+        plain, parts = F.col(f"_p{n}"), F.col(f"_c{n}")
+        first = _part(plain, REP, 1)
+        if kind in ("HDF", "MSG", "DR") or not kind.endswith("*") and kind.rstrip("~") in COMPOSITES:
+            fields.append(_at(F.col("_clear"), n + 1).alias(f"_q{n}"))
+            text = F.col(f"_q{n}")
+            if kind.endswith("~"):
+                text = _part(text, REP, 1)
+            base = kind.rstrip("~")
+            comps.append(F.split(_original(text, _loose(base) if base in COMPOSITES else REP + SUB), COMP).alias(f"_c{n}"))
         if kind == "HDF":
             tail = ("", "_universal_id", "_universal_id_type")
-            out += [original(comp(i)).alias(name + t) for i, t in enumerate(tail, start=1)]
+            out += [_at(parts, i).alias(name + t) for i, t in enumerate(tail, start=1)]
         elif kind == "MSG":
-            out += [original(comp(i)).alias(t) for i, t in enumerate(("message_code", "trigger_event", "message_structure"), start=1)]
+            out += [_at(parts, i).alias(t) for i, t in enumerate(("message_code", "trigger_event", "message_structure"), start=1)]
         elif kind == "DR":
-            out += [parse_hl7_dtm(comp(i)).alias(f"{name}_{t}") for i, t in ((1, "start"), (2, "end"))]
+            out += [parse_hl7_dtm(_at(parts, i)).alias(f"{name}_{t}") for i, t in ((1, "start"), (2, "end"))]
         elif kind == "ST":
-            out.append(original(plain).alias(name))
+            out.append(_original(plain).alias(name))
         elif kind == "ST~":
-            out.append(original(first).alias(name))
+            out.append(_original(first).alias(name))
         elif kind == "ST*":
-            out.append(_repeated(plain, original).alias(name))
+            out.append(_repeated(plain, lambda x: _original(x)).alias(name))
         elif kind == "ID*":
-            out.append(_drop_nulls(_repeated(plain, lambda x: _some(original(F.split_part(x, F.lit(COMP), F.lit(1)))))).alias(name))
+            out.append(_drop_nulls(_repeated(plain, lambda x: _original(_part(x, COMP, 1)))).alias(name))
         elif kind == "SI":
             out.append(coerce_int(plain).alias(name))
         elif kind == "NO":
@@ -414,21 +434,20 @@ def segment_columns(layout: str) -> list[Column]:
         elif kind == "TS*":
             out.append(_drop_nulls(_repeated(plain, parse_hl7_dtm)).alias(name))
         elif kind.endswith("*"):
-            out.append(_repeated(plain, _struct_of(kind[:-1], seps)).alias(name))
-        elif kind.endswith("~"):
-            out.append(composite(kind[:-1], _some(F.split_part(clear, F.lit(REP), F.lit(1))), seps).alias(name))
+            out.append(_repeated(plain, _struct_of(kind[:-1])).alias(name))
         else:
-            out.append(composite(kind, clear, seps).alias(name))
-    return out
+            # A composite of nothing but separators is null.
+            filled = F.btrim(F.col(f"_q{n}"), F.lit(COMP + REP + SUB)) != ""
+            out.append(F.when(filled, F.struct(*_leaves(COMPOSITES[kind.rstrip("~")], parts))).alias(name))
+    return fields, comps, out
 
 
-def _struct_of(kind: str, seps: Column) -> Callable[[Column], Column]:
+def _struct_of(kind: str) -> Callable[[Column], Column]:
     """One repetition as a struct; a composite without sub-components keeps their separator as text."""
-    cuts = any(c in COMPOSITES[kind] for c in "&=")
+    spec, loose = COMPOSITES[kind], _loose(kind).replace(REP, "")
 
     def build(text: Column) -> Column:
-        back = text if cuts else _translate(text, F.lit(SUB), F.substring(seps, 4, 1))
-        return _let(F.split(back, COMP), lambda c: F.struct(*_leaves(COMPOSITES[kind], c)))
+        return _let(F.split(_original(text, loose), COMP), lambda c: F.struct(*_leaves(spec, c)))
 
     return build
 
@@ -437,12 +456,13 @@ def segment_table(messages: DataFrame, kind: str) -> DataFrame:
     """One typed row per segment of a kind; unknown kinds give ``field_1`` to ``field_25`` as text."""
     kind = kind.lower()
     rows = segments(messages, kind)
-    seps = F.col("_seps")
-    others = [c for c in messages.columns if not c.startswith("_")]
+    others = [c for c in messages.columns if not c.startswith("_") and c != "message"]
     if kind not in SEGMENTS:
-        plain = [_translate(_at(F.col("_plain"), i + 1), F.lit(MARKS), seps).alias(f"field_{i}") for i in range(1, 26)]
+        plain = [_original(_at(F.col("_plain"), i + 1)).alias(f"field_{i}") for i in range(1, 26)]
         return rows.select(*others, F.lit(kind.upper()).alias("segment_type"), *plain, "raw_segment")
-    cols = segment_columns(SEGMENTS[kind])
+    fields, comps, cols = _steps(SEGMENTS[kind])
+    rows = rows.select("*", *fields)
+    rows = rows.select("*", *comps) if comps else rows
     if kind not in SINGLE_SEGMENTS and "set_id:" not in SEGMENTS[kind]:
         cols.append((F.col("_no") + 1).cast("bigint").alias("set_id"))
     return rows.select(*others, *cols, "raw_segment")

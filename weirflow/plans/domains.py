@@ -50,7 +50,7 @@ def _(spark, sf):
         F.lit("|P|2.5\nBTS|2\r\nFTS|1\r\n"),
     )
     got = hl7.parse_messages(hl7.split_batch(table(spark, sf, "orders").select(key.alias("source_file"), data.alias("data"))))
-    return got.select("source_file", "message_id", F.size("_lines").alias("lines"))
+    return got.select("source_file", "message_id", F.size(F.split("message", "\r")).alias("lines"))
 
 
 @query("hl7_2_parse_segments", """
