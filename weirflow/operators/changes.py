@@ -166,7 +166,7 @@ def write_blobs(df: DataFrame, root: str, path_col: str, bin_col: str) -> DataFr
     renamed, so a repeated task leaves the same result.
     """
     rest = [c for c in df.columns if c != bin_col]
-    schema = df.select(*rest, F.lit("").alias("written_path")).schema
+    schema = df.select(*rest, F.lit(None).cast("string").alias("written_path")).schema
 
     def write(batches):
         import os

@@ -26,29 +26,31 @@ def tag_value(obj: Column, tag: str, path: str, kind: str) -> Column:
     return F.coalesce(*[F.try_variant_get(obj, f"$['{t}'].{path}", kind) for t in dict.fromkeys((tag.upper(), tag.lower()))])
 
 
-def _text(obj: Column, tag: str) -> Column:
+def _text(entry: Column) -> Column:
     """The first value; of a person name the first written form that is there."""
-    forms = [F.nullif(tag_value(obj, tag, f"Value[0].{f}", "string"), F.lit("")) for f in PERSON_FORMS]
-    is_name = tag_value(obj, tag, "vr", "string") == "PN"
-    first = tag_value(obj, tag, "Value[0]", "string")
-    plain = F.when(~F.coalesce(first.startswith("{"), F.lit(False)), first)
-    return F.when(is_name, F.coalesce(*forms, plain)).otherwise(first)
+    part = lambda path: F.try_variant_get(entry, f"$.{path}", "string")
+    forms = [F.nullif(part(f"Value[0].{f}"), F.lit("")) for f in PERSON_FORMS]
+    first = part("Value[0]")
+    plain = F.when(~first.startswith("{"), first)
+    return F.when(part("vr") == "PN", F.coalesce(*forms, plain)).otherwise(first)
 
 
-def tag_column(obj: Column, tag: str, name: str) -> Column:
+def _column(entry: Column, name: str) -> Column:
     if name.endswith("*"):
-        return tag_value(obj, tag, "Value", "array<string>").alias(name[:-1])
+        return F.try_variant_get(entry, "$.Value", "array<string>").alias(name[:-1])
     plain, _, kind = name.partition(":")
     if kind:
-        return F.floor(tag_value(obj, tag, "Value[0]", "string").try_cast("double")).try_cast(kind).alias(plain)
-    return _text(obj, tag).alias(plain)
+        return F.floor(F.try_variant_get(entry, "$.Value[0]", "string").try_cast("double")).try_cast(kind).alias(plain)
+    return _text(entry).alias(plain)
 
 
 def dicom_table(df: DataFrame, col: str, tags: dict[str, str]) -> DataFrame:
     """DICOM JSON text as one row of columns; a tag without value is null."""
     rest = [c for c in df.columns if c != col]
     rows = df.select(*rest, F.try_parse_json(F.col(col)).alias("_v"))
-    return rows.select(*rest, *[tag_column(F.col("_v"), t, n) for t, n in tags.items()])
+    cased = lambda t: [F.try_variant_get("_v", f"$['{x}']", "variant") for x in dict.fromkeys((t.upper(), t.lower()))]
+    rows = rows.select(*rest, *[F.coalesce(*cased(t)).alias(f"_{t}") for t in tags])
+    return rows.select(*rest, *[_column(F.col(f"_{t}"), n) for t, n in tags.items()])
 
 
 def where_tag(df: DataFrame, col: str, tag: str, value: str) -> DataFrame:

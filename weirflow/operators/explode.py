@@ -34,27 +34,23 @@ def pages_questions(df: DataFrame, survey: str = "id", pages: str = "pages") ->
     return one.select("survey_id", "page_id", F.col("q.id").alias("question_id"), *[F.col(f"q.{f}").alias(f) for f in fields])
 
 
-def series_rows(payload: Column) -> Column:
-    """``{series: [[n..]..], xValues: [..], seriesMeta: [..]}`` (variant) as an array of ``(date, count, segment)``.
+def series_rows(df: DataFrame, col: str) -> DataFrame:
+    """``{series: [[n..]..], xValues: [..], seriesMeta: [..]}`` JSON as rows ``(date, count, segment)``.
 
     A series is cut at the shorter of itself and the x values; a label that is no text is ``Totals``.
     """
-    kind = "array<array<variant>>"
-    series = F.try_variant_get(payload, "$.series", kind)
-    xs = F.try_variant_get(payload, "$.xValues", "array<string>")
-    meta = F.try_variant_get(payload, "$.seriesMeta", "array<variant>")
-
-    def one(values: Column, i: Column) -> Column:
-        label = F.try_element_at(meta, (i + 1).cast("int"))
-        text = F.when(F.schema_of_variant(label) == "STRING", F.try_variant_get(label, "$", "string"))
-        n = F.least(F.size(values), F.size(xs))
-        pairs = F.arrays_zip(F.slice(xs, 1, n).alias("x"), F.slice(values, 1, n).alias("y"))
-        return F.transform(pairs, lambda p: F.struct(
-            p["x"].alias("date"), F.try_variant_get(p["y"], "$", "bigint").alias("count"),
-            F.coalesce(text, F.lit("Totals")).alias("segment"),
-        ))
-
-    return F.flatten(F.transform(series, one))
+    rest = [c for c in df.columns if c != col]
+    rows = df.select(*rest, F.try_parse_json(F.col(col)).alias("_v")).select(
+        *rest, F.try_variant_get("_v", "$.series", "array<array<variant>>").alias("_series"),
+        F.try_variant_get("_v", "$.xValues", "array<string>").alias("_xs"),
+        F.try_variant_get("_v", "$.seriesMeta", "array<variant>").alias("_meta"),
+    )
+    rows = rows.select(*rest, "_xs", "_meta", F.posexplode("_series").alias("_i", "_ys"))
+    rows = rows.withColumn("_label", F.try_element_at("_meta", F.col("_i") + 1))
+    text = F.when(F.schema_of_variant("_label") == "STRING", F.try_variant_get("_label", "$", "string"))
+    rows = rows.withColumn("segment", F.coalesce(text, F.lit("Totals")))
+    rows = rows.select(*rest, "_xs", "segment", F.posexplode("_ys").alias("_j", "_y")).filter(F.col("_j") < F.size("_xs"))
+    return rows.select(*rest, F.element_at("_xs", F.col("_j") + 1).alias("date"), F.try_variant_get("_y", "$", "bigint").alias("count"), "segment")
 
 
 def map_rows(df: DataFrame, col: str, key: str = "name", value: str = "value", skip_null: bool = True) -> DataFrame:

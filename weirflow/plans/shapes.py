@@ -351,8 +351,7 @@ def _(spark, sf):
     head, tail = F.lit('{"series":[['), F.lit(']],"xValues":["2024-01-01","2024-01-02"],"seriesMeta":["')
     cust, key = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
     body = F.concat(head, F.concat_ws(",", cust, cust, cust), F.lit("],["), key, tail, F.col("o_orderstatus"), F.lit('",{"segmentIndex":1}]}'))
-    rows = table(spark, sf, "orders").select("o_orderkey", F.explode(ex.series_rows(F.try_parse_json(body))).alias("r"))
-    return rows.select("o_orderkey", "r.date", "r.count", "r.segment")
+    return ex.series_rows(table(spark, sf, "orders").select("o_orderkey", body.alias("body")), "body")
 
 
 @query("exp_5_map_to_rows", """

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.functions.scalars import report_header_name, safe_column_name_text
 
@@ -98,18 +98,14 @@ def unwrap_records(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
 
     Hint keys are tried in order; without a hit the field with the longest list of objects is taken.
     """
-    body = F.try_parse_json(F.col(col))
-    as_list = [F.try_variant_get(body, "$", "array<variant>")]
-    as_list += [F.try_variant_get(body, f"$.{k}", "array<variant>") for k in keys]
-    fields = F.map_entries(F.coalesce(F.try_variant_get(body, "$", "map<string,variant>"), F.expr("map()").cast("map<string,variant>")))
-    lists = F.transform(fields, lambda e: F.try_variant_get(e["value"], "$", "array<variant>"))
+    rest = [c for c in df.columns if c != col]
+    rows = df.select(*rest, F.try_parse_json(F.col(col)).alias("_b"))
+    listed = [F.try_variant_get("_b", "$", "array<variant>")]
+    listed += [F.try_variant_get("_b", f"$['{k}']", "array<variant>") for k in keys]
+    rows = rows.select(*rest, "_b", F.coalesce(*listed).alias("_list"))
+    fields = F.map_values(F.try_variant_get("_b", "$", "map<string,variant>"))
+    lists = F.transform(fields, lambda v: F.try_variant_get(v, "$", "array<variant>"))
     objects = F.filter(lists, lambda a: a.isNotNull() & (F.size(a) > 0) & F.schema_of_variant(a[0]).startswith("OBJECT"))
     longest = F.reduce(objects, F.lit(None).cast("array<variant>"),
                        lambda best, a: F.when(best.isNull() | (F.size(a) > F.size(best)), a).otherwise(best))
-    found = F.coalesce(*as_list, longest)
-    rest = [c for c in df.columns if c != col]
-    return df.select(*rest, F.explode(found).alias("record"))
-
-
-def is_blank(col: Column) -> Column:
-    return F.coalesce(F.trim(col), F.lit("")) == ""
+    return rows.select(*rest, F.explode(F.when(F.col("_list").isNotNull(), F.col("_list")).otherwise(longest)).alias("record"))
