@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from weirflow.operators.keys import join_on
 from weirflow.operators.ordered import split_points, with_neighbour
 
 START, END, DELETED, REPEAT = "__START_AT", "__END_AT", "_deleted", "_repeat"
@@ -99,10 +100,10 @@ def scd2_apply(
     """Merge changes, late ones too, into a kept history: only touched keys are built anew."""
     rows = _tagged_changes(changes, deletes)
     touched = rows.select(*keys).distinct()
-    old = state.join(touched, list(keys), "left_semi").drop(END, REPEAT).withColumnRenamed(START, seq)
+    old = join_on(state, touched, keys, "left_semi").drop(END, REPEAT).withColumnRenamed(START, seq)
     both = rows.unionByName(old, allowMissingColumns=True)
     rebuilt = _versions(both, keys, seq, split_points(both, seq))
-    return state.join(touched, list(keys), "left_anti").unionByName(rebuilt.select(*state.columns))
+    return join_on(state, touched, keys, "left_anti").unionByName(rebuilt.select(*state.columns))
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -144,7 +145,7 @@ def snapshot_scd2(history: DataFrame, snapshot: DataFrame, keys: Sequence[str],
     starts = live.select(*keys, START)
     diff = snapshot_diff(live.select(*keys, *body), snapshot.select(*keys, *body), keys)
     gone = F.col("_change").isin("update", "delete")
-    old = diff.filter(F.col("_change") != "insert").join(starts, list(keys)).select(
+    old = join_on(diff.filter(F.col("_change") != "insert"), starts, keys).select(
         *keys, "_old.*", F.col(START), F.when(gone, version.cast(kind)).alias(END)
     )
     new = diff.filter(F.col("_change").isin("insert", "update")).select(

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weirflow.operators.keys import join_on
 from weirflow.operators.ordered import with_fill
 from weirflow.sources.incremental import bound
 
@@ -106,12 +107,12 @@ def primary_or_referenced(frames: DataFrame, links: DataFrame, key: str, primary
 
 
 def tombstone_anti(rows: DataFrame, tombstones: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.join(tombstones.select(*keys), list(keys), "left_anti")
+    return join_on(rows, tombstones.select(*keys), keys, "left_anti")
 
 
 def ids_missing(written: DataFrame, read: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Written keys the read does not hold; no rows means all are present."""
-    return written.select(*keys).join(read.select(*keys), list(keys), "left_anti")
+    return join_on(written.select(*keys), read.select(*keys), keys, "left_anti")
 
 
 def fetch_by_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:

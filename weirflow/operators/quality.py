@@ -99,28 +99,28 @@ def _schema_paths(kind: T.DataType, prefix: str = "") -> tuple[set[str], set[str
     return paths, open_ends
 
 
-def _level(value: Column) -> Column:
-    """Entries of an object; of a list the entries of its objects."""
-    own = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+def _entries(value: Column) -> Column:
+    """Fields of an object; of a list the fields of its objects."""
+    fields = lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
     items = F.try_variant_get(value, "$", "array<variant>")
-    inner = F.flatten(F.transform(items, lambda x: F.coalesce(F.map_entries(F.try_variant_get(x, "$", "map<string,variant>")), F.slice(own, 1, 0))))
-    return F.coalesce(own, inner)
+    return F.coalesce(fields(value), F.flatten(F.array_compact(F.transform(items, fields))))
 
 
 def field_paths(df: DataFrame, col: str, depth: int = 8) -> DataFrame:
     """Distinct field paths of JSON records, lists counted as their elements, down to ``depth`` levels.
 
-    Paths are made distinct per level by a combining aggregation, so only path names are shuffled.
+    All levels come from one pass: a record is opened level by level inside its row, and only the
+    path names are made distinct, first on the map side.
     """
-    level = df.select(F.lit("").alias("path"), F.try_parse_json(F.col(col)).alias("v"))
-    out = None
-    for _ in range(depth):
-        level = level.select("path", F.explode(_level(F.col("v"))).alias("e")).select(
-            F.concat_ws(".", F.nullif("path", F.lit("")), F.col("e.key")).alias("path"), F.col("e.value").alias("v")
-        )
-        part = level.select("path").distinct()
-        out = part if out is None else out.unionByName(part)
-    return out.distinct()
+    below = lambda path, v: F.transform(_entries(v), lambda e: F.struct(
+        F.when(path == "", e["key"]).otherwise(F.concat_ws(".", path, e["key"])).alias("path"), e["value"].alias("v")
+    ))
+    rows = df.select(F.try_parse_json(F.col(col)).alias("_v")).select(below(F.lit(""), F.col("_v")).alias("_l1"))
+    for i in range(1, depth):
+        deeper = F.flatten(F.array_compact(F.transform(f"_l{i}", lambda e: below(e["path"], e["v"]))))
+        rows = rows.withColumn(f"_l{i + 1}", deeper)
+    paths = F.array_distinct(F.flatten(F.array_compact(F.array(*[F.transform(f"_l{i}", lambda e: e["path"]) for i in range(1, depth + 1)]))))
+    return rows.select(F.explode(paths).alias("path")).distinct()
 
 
 def uncovered_fields(df: DataFrame, col: str, schema: T.StructType, depth: int = 8) -> DataFrame:

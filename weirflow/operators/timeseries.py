@@ -55,9 +55,13 @@ def ts_interpolate(df: DataFrame, tag: str, ts: str, value: str, start: Any, end
     size = step_seconds * 1_000_000
     data = df.select(F.col(tag).alias("tag"), _micros(F.col(ts)).alias("t"), F.col(value).cast("double").alias("v"))
     data = data.filter(F.col("t").isNotNull() & F.col("v").isNotNull())
-    grid = df.select(F.col(tag).alias("tag")).distinct().select(
-        "tag", F.explode(F.sequence(F.lit(_moment(start)), F.lit(_moment(end)), F.lit(size))).alias("t")
-    )
+    # First the days, then the points of a day, so no row holds a long list.
+    low, high = _moment(start), _moment(end)
+    points = (high - low) // size + 1
+    per = max(1, 86_400_000_000 // size)
+    blocks = df.select(F.col(tag).alias("tag")).distinct().select("tag", F.explode(F.sequence(F.lit(0), F.lit((points - 1) // per))).alias("_b"))
+    grid = blocks.select("tag", F.explode(F.sequence(F.col("_b") * per, F.least((F.col("_b") + 1) * per, F.lit(points)) - 1)).alias("_n"))
+    grid = grid.select("tag", (F.col("_n").cast("bigint") * size + low).alias("t"))
     line = data.withColumn("_grid", F.lit(False)).unionByName(grid.withColumn("_grid", F.lit(True)), allowMissingColumns=True)
     cuts = split_points(line, "t")
     sample = F.when(~F.col("_grid"), F.struct("t", "v"))

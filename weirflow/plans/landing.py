@@ -184,7 +184,7 @@ def _(spark, sf):
 @query("snk_12_binary_files", "SELECT page_id, octet_length(encode(html)) AS size FROM pages")
 def _(spark, sf):
     pages = table(spark, sf, "pages")
-    root = fresh_path(spark, "blobs").removeprefix("file:")
+    root = "/" + fresh_path(spark, "blobs").removeprefix("file:").lstrip("/")
     rows = pages.select("page_id", F.concat_ws("/", F.lit("pages"), F.parse_url("url", F.lit("HOST")), F.concat("page_id", F.lit(".html"))).alias("path"), F.encode("html", "UTF-8").alias("body"))
     written = ch.write_blobs(rows, root, "path", "body").select("page_id", "written_path")
     paths = fresh_path(spark, "blob-paths")

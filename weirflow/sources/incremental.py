@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from weirflow.operators.keys import join_on
 from weirflow.operators.ordered import with_running
 
 Offset = dict[str, str]
@@ -269,7 +270,7 @@ def keyed_watermarks(
     """
     if marks is None:
         return df, df.groupBy(*keys).agg(F.max(cursor).alias("watermark"))
-    rows = df.join(marks.select(*keys, F.col("watermark").alias("_mark")), list(keys), "left")
+    rows = join_on(df, marks.select(*keys, F.col("watermark").alias("_mark")), keys, "left")
     rows = rows.filter(F.col("_mark").isNull() | (F.col(cursor) > F.col("_mark"))).drop("_mark").select(*df.columns)
     both = rows.select(*keys, F.col(cursor).alias("watermark")).unionByName(marks.select(*keys, "watermark"))
     return rows, both.groupBy(*keys).agg(F.max("watermark").alias("watermark"))
@@ -323,7 +324,7 @@ def full_list_refresh(df: DataFrame, target: DataFrame | None, keys: Sequence[st
     """Everything again, replacing rows of the target by key; the offset is a fixed marker."""
     if target is None:
         return df, {"done": "true"}
-    kept = target.join(df.select(*keys), list(keys), "left_anti")
+    kept = join_on(target, df.select(*keys), keys, "left_anti")
     return kept.unionByName(df), {"done": "true"}
 
 
