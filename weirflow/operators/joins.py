@@ -85,9 +85,11 @@ def overlap_pairs(
     size = bucket_seconds * 1_000_000
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     slot = lambda m: F.floor(m / F.lit(size))
-    edge = spans.agg(F.min(micros(span[0])).alias("_lo"), F.max(micros(span[1])).alias("_hi"))  # one row
-    left = frames.join(F.broadcast(edge)).withColumns({
-        "_fa": F.greatest(micros(frame[0]), "_lo"), "_fb": F.least(F.coalesce(micros(frame[1]), F.col("_hi")), "_hi"),
+    # The spans' outer bounds keep frames without end from being laid on buckets no span reaches.
+    edge = spans.agg(F.min(micros(span[0])).alias("lo"), F.max(micros(span[1])).alias("hi")).head()
+    low, high = F.lit(edge["lo"]).cast("bigint"), F.lit(edge["hi"]).cast("bigint")
+    left = frames.withColumns({
+        "_fa": F.greatest(micros(frame[0]), low), "_fb": F.least(F.coalesce(micros(frame[1]), high), high),
     }).filter(F.col("_fa") <= F.col("_fb"))
     left = left.withColumn("_f1", slot(F.col("_fa"))).withColumn("_slot", F.explode(F.sequence("_f1", slot(F.col("_fb")))))
     right = spans.withColumns({"_sa": micros(span[0]), "_sb": micros(span[1])}).withColumn("_s1", slot(F.col("_sa")))

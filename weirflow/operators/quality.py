@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.contracts import TableContract
 from weirflow.operators.filters import field_diff
+from weirflow.operators.keys import join_on
 from weirflow.sources.incremental import bound
 
 
@@ -144,9 +145,10 @@ def shape_drift(live: DataFrame, expected: DataFrame) -> DataFrame:
 
 def write_read_back(before: DataFrame, written: DataFrame, after: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
     """Faults of a write: keys that cannot be read back, and counts that did not grow as they should."""
-    lost = written.select(*keys).join(after.select(*keys), list(keys), "left_anti").agg(F.count(F.lit(1)).alias("n"))
-    old, new, put = (d.agg(F.count(F.lit(1)).alias(a)) for d, a in ((before, "old"), (after, "new"), (written, "put")))
-    counts = old.crossJoin(new).crossJoin(put)  # one row each
+    lost = join_on(written.select(*keys), after.select(*keys), keys, "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    sides = {"old": before, "new": after, "put": written}
+    each = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(a).alias("side"), "n") for a, d in sides.items()]
+    counts = each[0].unionByName(each[1]).unionByName(each[2]).agg(*[F.sum(F.when(F.col("side") == a, F.col("n"))).alias(a) for a in sides])
     wrong = F.col("new") != F.col("old") + F.col("put") if kind in ("snapshot", "append") else F.col("new") < 1
     return lost.filter("n > 0").select(F.lit("lost keys").alias("fault"), "n").unionByName(
         counts.filter(wrong).select(F.lit("row count").alias("fault"), F.col("new").alias("n"))

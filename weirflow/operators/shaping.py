@@ -184,9 +184,9 @@ def combine_singletons(parts: dict[str, DataFrame]) -> DataFrame:
     """Several one-row settings frames as one row of structs; a part without a row is null."""
     out = None
     for name, df in parts.items():
-        one = df.limit(1).agg(F.first(F.struct(*df.columns)).alias(name))  # always exactly one row
-        out = one if out is None else out.crossJoin(one)
-    return out
+        one = df.limit(1).select(F.struct(*df.columns).alias(name))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out.agg(*[F.first(name, ignorenulls=True).alias(name) for name in parts])
 
 
 def keyed_singleton(df: DataFrame, known: Sequence[str], key: str = "id", value: object = 1) -> DataFrame:

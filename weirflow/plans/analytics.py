@@ -230,11 +230,11 @@ def _(spark, sf):
 
 
 @query("win_2_sessions", f"""
-    {SESSIONS} SELECT user_id, CAST(session_no AS BIGINT) AS session_no, events, round((epoch_us(b) - epoch_us(a)) / 1000000.0, 3) AS seconds FROM s
+    {SESSIONS} SELECT user_id, CAST(session_no AS BIGINT) AS session_no, events, round((epoch_us(b) - epoch_us(a)) / 1000000.0, 6) AS seconds FROM s
 """)
 def _(spark, sf):
     got = se.sessions(table(spark, sf, "events"), gap_seconds=FIVE_HOURS)
-    return got.select("user_id", "session_no", "events", F.round("seconds", 3).alias("seconds"))
+    return got.select("user_id", "session_no", "events", F.round("seconds", 6).alias("seconds"))
 
 
 @query("agg_4_active_users", """

@@ -79,7 +79,7 @@ def csv_report(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
 
 def ndjson_scan(spark: SparkSession, path: str, schema: Any) -> tuple[DataFrame, DataFrame]:
     """JSON lines as typed rows, and the lines that are not JSON; blank lines are skipped."""
-    shape = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    shape = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
     lines = spark.read.text(path).filter(F.trim("value") != "")
     return parse_lines(lines, "value", shape)
 

@@ -314,10 +314,10 @@ def balance_bins(df: DataFrame, weight: str, order: str, n: int) -> DataFrame:
     """Add ``bin`` 0..n-1 by running weight (null or zero counts 1); bins that get nothing do not appear."""
     w = F.when(F.coalesce(F.col(weight), F.lit(0)) <= 0, F.lit(1)).otherwise(F.col(weight)).cast("double")
     run = with_running(df.withColumn("_w", w), [], [order], {"_run": F.col("_w")})
-    total = df.agg(F.sum(w).alias("_total"))
+    total = _head(df, F.sum(w).alias("t"))["t"] or 1.0
     before = F.col("_run") - F.col("_w")
-    number = F.least(F.floor(before * F.lit(n) / F.col("_total")), F.lit(n - 1)).cast("int")
-    return run.join(F.broadcast(total)).withColumn("bin", number).drop("_w", "_run", "_total")
+    number = F.least(F.floor(before * F.lit(n) / F.lit(total)), F.lit(n - 1)).cast("int")
+    return run.withColumn("bin", number).drop("_w", "_run")
 
 
 def full_list_refresh(df: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> tuple[DataFrame, Offset]:

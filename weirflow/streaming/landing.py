@@ -122,9 +122,9 @@ def watermark_stream(
 def round_trip(batch: DataFrame, streamed: DataFrame) -> DataFrame:
     """One row: how many rows only one side holds; both are 0 when the stream equals the batch read."""
     cols = batch.columns
-    lost = batch.select(*cols).exceptAll(streamed.select(*cols)).agg(F.count(F.lit(1)).alias("only_batch"))
-    extra = streamed.select(*cols).exceptAll(batch.select(*cols)).agg(F.count(F.lit(1)).alias("only_stream"))
-    return lost.crossJoin(extra)  # one row on either side
+    lost = batch.select(*cols).exceptAll(streamed.select(*cols)).select(F.lit(True).alias("lost"))
+    extra = streamed.select(*cols).exceptAll(batch.select(*cols)).select(F.lit(False).alias("lost"))
+    return lost.unionByName(extra).agg(F.count_if("lost").alias("only_batch"), F.count_if(~F.col("lost")).alias("only_stream"))
 
 
 Reader = Callable[[], "tuple[DataFrame, DataFrame | None]"]
