@@ -8,7 +8,7 @@ parts of a path joined, unless ``>name`` says otherwise. ``*`` marks a list; an
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -165,12 +165,14 @@ def _filled(value: Column, spec: str) -> Column:
     return out
 
 
-def _elements(value: Column, spec: str) -> list[Column]:
+def _elements(value: Column, spec: str, wanted: Sequence[str] | None = None) -> list[Column]:
     out = []
     for token in spec.split():
         head, kind = token.rsplit(":", 1)
         path, _, name = head.partition(">")
-        out.append(_value(value, path, kind).alias(name or "_".join(snake_name(p) for p in path.split("."))))
+        name = name or "_".join(snake_name(p) for p in path.split("."))
+        if wanted is None or name in wanted:
+            out.append(_value(value, path, kind).alias(name))
     return out
 
 
@@ -206,18 +208,23 @@ def profile_chain(profile: str) -> list[str]:
     return [profile, *PROFILE_CHAIN]
 
 
-def typed_columns(resource: str, profile: str, raw: Column) -> list[Column]:
+def typed_columns(resource: str, profile: str, raw: Column, wanted: Sequence[str] | None = None) -> list[Column]:
     """Columns of the first profile in the chain that knows the resource; none for an unknown one."""
     for name in profile_chain(profile):
         if name == "uk_core" and resource == "Patient":
-            return [*_elements(raw, RESOURCES[resource]), *_uk_patient(raw)]
+            return [*_elements(raw, RESOURCES[resource], wanted), *_uk_patient(raw)]
         if name == "base_r4" and resource in RESOURCES:
-            return _elements(raw, RESOURCES[resource])
+            return _elements(raw, RESOURCES[resource], wanted)
     return []
 
 
-def extract_resources(df: DataFrame, resource: str, col: str = "raw_json", profile: str = "uk_core") -> DataFrame:
-    """Rows of one resource type: id, type, last update, raw JSON, extensions and the typed columns."""
+def extract_resources(
+    df: DataFrame, resource: str, col: str = "raw_json", profile: str = "uk_core", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of one resource type: id, type, last update, raw JSON, extensions and the typed columns.
+
+    ``columns`` names the typed columns wanted, which keeps the plan of a wide resource small.
+    """
     rest = [c for c in df.columns if c != col]
     # The type is tested where the text is parsed: a filter above would make Catalyst parse it twice.
     mine = F.filter(
@@ -229,5 +236,5 @@ def extract_resources(df: DataFrame, resource: str, col: str = "raw_json", profi
         *rest, _get(raw, "id", "string").alias("id"), F.coalesce(_get(raw, "resourceType", "string"), F.lit(resource)).alias("resourceType"),
         normalize_iso(_get(raw, "meta.lastUpdated", "string")).alias("lastUpdated"), "raw_json",
         F.coalesce(F.to_json(_get(raw, "extension", "variant")), F.lit("null")).alias("extension"),
-        *typed_columns(resource, profile, raw),
+        *typed_columns(resource, profile, raw, columns),
     )

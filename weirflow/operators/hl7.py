@@ -7,7 +7,7 @@ Single fields are decoded; repeated fields and plain text keep their escape sequ
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -388,7 +388,21 @@ def _drop_nulls(items: Column) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
-def _steps(layout: str) -> tuple[list[Column], list[Column], list[Column]]:
+HDF_TAILS = ("", "_universal_id", "_universal_id_type")
+MESSAGE_PARTS = ("message_code", "trigger_event", "message_structure")
+
+
+def column_names(token: str) -> list[str]:
+    """The columns a layout entry gives."""
+    name, kind = token.split(":")
+    if kind == "HDF":
+        return [name + t for t in HDF_TAILS]
+    if kind == "MSG":
+        return list(MESSAGE_PARTS)
+    return [f"{name}_start", f"{name}_end"] if kind == "DR" else [name]
+
+
+def _steps(layout: str, wanted: Sequence[str] | None) -> tuple[list[Column], list[Column], list[Column]]:
     """Three projections of a segment: fields cut out, their components cut, typed columns.
 
     Each is worked out once per row, and Catalyst leaves out what the caller does not select.
@@ -397,6 +411,8 @@ def _steps(layout: str) -> tuple[list[Column], list[Column], list[Column]]:
     comps: list[Column] = []
     out: list[Column] = []
     for n, token in enumerate(layout.split(), start=1):
+        if wanted is not None and not set(wanted) & set(column_names(token)):
+            continue
         name, kind = token.split(":")
         fields.append(_at(F.col("_plain"), n + 1).alias(f"_p{n}"))
         plain, parts = F.col(f"_p{n}"), F.col(f"_c{n}")
@@ -409,10 +425,9 @@ def _steps(layout: str) -> tuple[list[Column], list[Column], list[Column]]:
             base = kind.rstrip("~")
             comps.append(F.split(_original(text, _loose(base) if base in COMPOSITES else REP + SUB), COMP).alias(f"_c{n}"))
         if kind == "HDF":
-            tail = ("", "_universal_id", "_universal_id_type")
-            out += [_at(parts, i).alias(name + t) for i, t in enumerate(tail, start=1)]
+            out += [_at(parts, i).alias(name + t) for i, t in enumerate(HDF_TAILS, start=1)]
         elif kind == "MSG":
-            out += [_at(parts, i).alias(t) for i, t in enumerate(("message_code", "trigger_event", "message_structure"), start=1)]
+            out += [_at(parts, i).alias(t) for i, t in enumerate(MESSAGE_PARTS, start=1)]
         elif kind == "DR":
             out += [parse_hl7_dtm(_at(parts, i)).alias(f"{name}_{t}") for i, t in ((1, "start"), (2, "end"))]
         elif kind == "ST":
@@ -452,15 +467,18 @@ def _struct_of(kind: str) -> Callable[[Column], Column]:
     return build
 
 
-def segment_table(messages: DataFrame, kind: str) -> DataFrame:
-    """One typed row per segment of a kind; unknown kinds give ``field_1`` to ``field_25`` as text."""
+def segment_table(messages: DataFrame, kind: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """One typed row per segment of a kind; unknown kinds give ``field_1`` to ``field_25`` as text.
+
+    ``columns`` names the typed columns wanted, which keeps the plan of a wide segment small.
+    """
     kind = kind.lower()
     rows = segments(messages, kind)
     others = [c for c in messages.columns if not c.startswith("_") and c != "message"]
     if kind not in SEGMENTS:
         plain = [_original(_at(F.col("_plain"), i + 1)).alias(f"field_{i}") for i in range(1, 26)]
         return rows.select(*others, F.lit(kind.upper()).alias("segment_type"), *plain, "raw_segment")
-    fields, comps, cols = _steps(SEGMENTS[kind])
+    fields, comps, cols = _steps(SEGMENTS[kind], columns)
     rows = rows.select("*", *fields)
     rows = rows.select("*", *comps) if comps else rows
     if kind not in SINGLE_SEGMENTS and "set_id:" not in SEGMENTS[kind]:

@@ -70,7 +70,7 @@ def _(spark, sf):
            CASE WHEN o_orderstatus = 'P' THEN 'a?F?b' ELSE 'a\\F\\b' END AS second_value FROM orders
 """.replace("\\\\", "\\"))
 def _(spark, sf):
-    got = hl7.segment_table(_parsed(spark, sf), "obx").filter("set_id = 1")
+    got = hl7.segment_table(_parsed(spark, sf), "obx", ["set_id", "observation_id", "observation_value"]).filter("set_id = 1")
     return got.select("message_id", F.col("observation_id.text").alias("text"), F.col("observation_value")[1].alias("second_value"))
 
 
@@ -79,7 +79,7 @@ def _(spark, sf):
     UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 0, 'ST', 'PRIO', o_orderpriority, NULL FROM orders
 """)
 def _(spark, sf):
-    got = hl7.segment_table(_parsed(spark, sf), "obx")
+    got = hl7.segment_table(_parsed(spark, sf), "obx", ["set_id", "value_type", "observation_id", "observation_value", "units"])
     return got.select("message_id", "set_id", "value_type", F.col("observation_id.code").alias("code"),
                       F.col("observation_value")[0].alias("value"), F.col("units.code").alias("unit"))
 
@@ -104,7 +104,7 @@ def _(spark, sf):
            CASE no WHEN 1 THEN 'F' || o_orderkey END AS filler FROM orders, (VALUES (1), (2)) t(no)
 """)
 def _(spark, sf):
-    got = hl7.segment_table(_parsed(spark, sf), "orc")
+    got = hl7.segment_table(_parsed(spark, sf), "orc", ["placer_order_number", "filler_order_number"])
     return got.select("message_id", "set_id", F.col("placer_order_number.entity_identifier").alias("entity"),
                       F.col("placer_order_number.namespace_id").alias("namespace"), F.col("filler_order_number.entity_identifier").alias("filler"))
 
@@ -124,7 +124,7 @@ def _(spark, sf):
 def _(spark, sf):
     parsed = _parsed(spark, sf)
     reactions = hl7.segment_table(parsed, "al1").select("message_id", F.explode("allergy_reaction").alias("r")).select("message_id", "r.code", "r.text")
-    people = hl7.segment_table(parsed, "pid").select(
+    people = hl7.segment_table(parsed, "pid", ["citizenship", "race"]).select(
         "message_id", F.size("citizenship").alias("citizenships"), F.exists("race", lambda r: r["code"] == "2028-9").alias("has_race")
     )
     return reactions.join(people, "message_id")
@@ -198,7 +198,7 @@ def _observations(spark, sf):
     SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderdate AS VARCHAR) AS at, 'Patient/' || o_custkey AS subject, o_totalprice AS value, 'USD' AS unit, o_totalprice AS low, 0 AS members FROM orders
 """)
 def _(spark, sf):
-    got = fhir.extract_resources(_observations(spark, sf), "Observation")
+    got = fhir.extract_resources(_observations(spark, sf), "Observation", columns=["effective_datetime", "subject", "value_quantity", "reference_range", "has_member"])
     return got.select("id", F.col("effective_datetime").cast("string").alias("at"), F.col("subject.reference").alias("subject"), F.col("value_quantity.value").alias("value"),
                       F.col("value_quantity.unit").alias("unit"), F.col("reference_range")[0]["low_value"].alias("low"), F.size("has_member").alias("members"))
 
@@ -217,7 +217,7 @@ def _(spark, sf):
     SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS code, o_totalprice AS value, o_orderpriority AS note FROM orders
 """)
 def _(spark, sf):
-    got = fhir.extract_resources(_observations(spark, sf), "Observation")
+    got = fhir.extract_resources(_observations(spark, sf), "Observation", columns=["component"])
     rows = got.select("id", F.explode("component").alias("c"), F.element_at("component", 2)["value_string"].alias("note"))
     rows = rows.filter(F.col("c.code.text") == "part")
     return rows.select("id", F.col("c.code.coding")[0]["code"].alias("code"), F.col("c.value_quantity.value").alias("value"), "note")
