@@ -350,12 +350,17 @@ def _part(text: Column, mark: str, k: int) -> Column:
     return _some(F.split_part(text, F.lit(mark), F.lit(k)))
 
 
+def _parts(text: Column) -> Column:
+    """Components of a field, empty ones as null."""
+    return F.transform(F.split(text, COMP), lambda c: F.when(c != "", c))
+
+
 def _leaves(spec: str, comps: Column) -> list[Column]:
     out = []
     for i, token in enumerate(spec.split(), start=1):
         if token == "-":
             continue
-        whole = _at(comps, i)
+        whole = F.try_element_at(comps, F.lit(i))
         if token.endswith("@"):
             out.append(parse_hl7_dtm(whole).alias(token[:-1]))
         elif "=" in token:
@@ -423,13 +428,13 @@ def _steps(layout: str, wanted: Sequence[str] | None) -> tuple[list[Column], lis
             if kind.endswith("~"):
                 text = _part(text, REP, 1)
             base = kind.rstrip("~")
-            comps.append(F.split(_original(text, _loose(base) if base in COMPOSITES else REP + SUB), COMP).alias(f"_c{n}"))
+            comps.append(_parts(_original(text, _loose(base) if base in COMPOSITES else REP + SUB)).alias(f"_c{n}"))
         if kind == "HDF":
-            out += [_at(parts, i).alias(name + t) for i, t in enumerate(HDF_TAILS, start=1)]
+            out += [F.try_element_at(parts, F.lit(i)).alias(name + t) for i, t in enumerate(HDF_TAILS, start=1)]
         elif kind == "MSG":
-            out += [_at(parts, i).alias(t) for i, t in enumerate(MESSAGE_PARTS, start=1)]
+            out += [F.try_element_at(parts, F.lit(i)).alias(t) for i, t in enumerate(MESSAGE_PARTS, start=1)]
         elif kind == "DR":
-            out += [parse_hl7_dtm(_at(parts, i)).alias(f"{name}_{t}") for i, t in ((1, "start"), (2, "end"))]
+            out += [parse_hl7_dtm(F.try_element_at(parts, F.lit(i))).alias(f"{name}_{t}") for i, t in ((1, "start"), (2, "end"))]
         elif kind == "ST":
             out.append(_original(plain).alias(name))
         elif kind == "ST~":
@@ -462,7 +467,7 @@ def _struct_of(kind: str) -> Callable[[Column], Column]:
     spec, loose = COMPOSITES[kind], _loose(kind).replace(REP, "")
 
     def build(text: Column) -> Column:
-        return _let(F.split(_original(text, loose), COMP), lambda c: F.struct(*_leaves(spec, c)))
+        return _let(_parts(_original(text, loose)), lambda c: F.struct(*_leaves(spec, c)))
 
     return build
 

@@ -60,7 +60,8 @@ def _(spark, sf):
            'A01' AS trigger_event, 'T' AS mode, CASE WHEN o_orderstatus = 'P' THEN '2.5.1%x' ELSE '2.5.1&x' END AS hl7_version, 12 AS sequence_number FROM orders
 """.replace("\\\\", "\\"))
 def _(spark, sf):
-    got = hl7.segment_table(_parsed(spark, sf), "msh")
+    wanted = ["message_datetime", "field_separator", "encoding_characters", "sending_application", "trigger_event", "processing_id", "sequence_number"]
+    got = hl7.segment_table(_parsed(spark, sf), "msh", [*wanted, "sending_application_universal_id"])
     return got.select("message_id", "message_timestamp", "message_datetime", "field_separator", "encoding_characters", "sending_application",
                       "sending_application_universal_id", "trigger_event", F.col("processing_id.mode").alias("mode"), "hl7_version", "sequence_number")
 
@@ -89,7 +90,8 @@ def _(spark, sf):
            2 AS ids, CAST(o_custkey AS VARCHAR) AS first_id, 'ISO' AS authority_type, CAST(o_orderkey AS VARCHAR) AS second_id, o_orderpriority AS given_name, 'Jr' AS suffix FROM orders
 """)
 def _(spark, sf):
-    got = hl7.segment_table(_parsed(spark, sf), "pid")
+    wanted = ["patient_id", "patient_names", "date_of_birth", "administrative_sex", "patient_alias", "address"]
+    got = hl7.segment_table(_parsed(spark, sf), "pid", wanted)
     ids, name, home = F.col("patient_id"), F.col("patient_names")[0], F.col("address")[0]
     return got.select(
         "message_id", "date_of_birth", F.col("administrative_sex.code").alias("sex"), "patient_alias", home["city"].alias("city"),
