@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: White space of the word definition: blank and code points 9 to 13.
@@ -35,3 +37,10 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]
+
+
+def strings(values: pa.Array) -> list[bytes]:
+    """The values of an Arrow string array without nulls as bytes, many times faster than one by one."""
+    ends = np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, values.offset * 4).tolist()
+    data = values.buffers()[2].to_pybytes() if ends[-1] else b""
+    return [data[a:b] for a, b in zip(ends, ends[1:])]

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirflow.llm import quality_rules
+import corpus_pipeline
+from weirflow.llm import chat, decontaminate, language, lm, packing, quality_rules, repair, secrets, simhash, warc
+from weirflow.llm.common import remainder
+from weirflow.session import cut_lineage, fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +30,107 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     own = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc.doc_id", *[F.col(f"m.{c}") for c in own], "base_failed", "kept", "posterior")
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "archives")
+    pages = _table(spark, sf_dir, "pages")
+    warc.write_archive(pages, path)
+    back = warc.read_pages(spark, path, payload=False)
+    kind = pages.schema["page_id"].dataType
+    return back.select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+ORACLES["op4_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     l AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS least FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN strlen(html) >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 100 AND page_id <> least THEN least END AS refers_to
+FROM l
+"""
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens")
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    told = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    of = lambda kind: F.filter("spans", lambda x: x["kind"] == kind)
+    base = F.filter("spans", lambda x: x["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+HARD_TURN = "\\### Assistant: </turn> ok"
+
+
+@query
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", HARD_TURN), (-7, 1, "assistant", HARD_TURN)], turns.schema)
+    written = cut_lineage(chat.format_conversations(turns.unionByName(extra)), "chat")
+    parsed = written.withColumn("turns", chat.parse_turns(F.col("formatted"))).select(
+        "conv_id", "formatted", "examples", F.size("turns").cast("long").alias("n_turns"), F.length("formatted").cast("long").alias("formatted_chars"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
+    )
+    replies = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("example", "reply"))), lambda e: e["reply"]), "")
+    told = chat.expand(parsed).select("conv_id", "n_turns", "turns_sha256", "formatted_chars", "example", chat.unescape(F.col("reply")).alias("reply"))
+    loss = told.groupBy("conv_id").agg(*[F.first(c).alias(c) for c in ("n_turns", "turns_sha256", "formatted_chars")], replies.alias("loss"))
+    return loss.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
+ORACLES["op6_chat"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, length(role) + length(regexp_replace(role, '[^<>\\]', '', 'g')) + length(text) + length(regexp_replace(text, '[^<>\\]', '', 'g')) + 16 AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "ids")
+    repair.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return repair.read(spark, path).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", remainder(F.col("doc_id"), 5) == 0)
+    model = language.fit(docs.filter("NOT held_out"))
+    found = docs.select("doc_id", "held_out", language.identify(docs, model, F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+@query
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(lm.split(_table(spark, sf_dir, "documents").select("doc_id", "text")))
