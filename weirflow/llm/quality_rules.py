@@ -20,6 +20,7 @@ from weirflow.llm.common import BLANKS, let, words
 from weirflow.session import cut_lineage
 
 SYMBOLS = "#*$%&|<>"
+LINE_ENDS = ".!?:;\"')"
 #: Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = (
     "the of and to in that is was it for with as on be at by this from or an are not but had his they you which have "
@@ -35,7 +36,7 @@ INSULTS = (
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_terms", "n_distinct_terms",
-    "n_function_words", "n_insults", "n_chars", "n_upper", "n_exclaims", "n_ended_lines",
+    "n_function_words", "n_insults", "n_upper", "n_exclaims", "n_ended_lines",
 )
 
 
@@ -59,22 +60,30 @@ def _covered(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(let(let(ordered, places), total))
 
 
+def _insults(terms: Column, insults: list[str]) -> Column:
+    """How many of the words are insults; most texts have none and are not read word by word."""
+    listed = F.array(*[F.lit(x) for x in insults])
+    return F.when(F.arrays_overlap(terms, listed), F.size(F.filter(terms, lambda x: x.isin(list(insults))))).otherwise(0)
+
+
 def measures(docs: DataFrame, text: str = "text", carry: list[str] | None = None, insults: list[str] = INSULTS) -> DataFrame:
     """``carry`` columns of ``docs`` (all by default) as struct ``doc``, and the counts the rules are made of (struct ``m``)."""
     t = F.coalesce(F.col("d")["t"], F.lit(""))
-    lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
+    lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     doc = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)])
+    # One pass over the signs of a text leaves only those that are counted.
+    signs = F.regexp_replace(t, rf"[^\p{{Lu}}!{SYMBOLS}]+", "")
     staged = docs.select(doc.alias("doc"), F.struct(F.col(f"`{text}`").alias("t")).alias("d")).select(
-        "doc", t.alias("t"), words(t).alias("w"), lines.alias("l"), F.array_remove(F.split(F.lower(t), r"[^\p{L}]+"), "").alias("terms"),
-    ).withColumn("windows", _windows(F.col("w")))
-    plain = lambda drop: F.length(F.translate("t", drop, ""))
+        "doc", words(t).alias("w"), lines.alias("l"), F.array_remove(F.split(F.lower(t), r"[^\p{L}]+"), "").alias("terms"), signs.alias("signs"),
+    ).withColumns({"windows": _windows(F.col("w")), "n_insults": _insults(F.col("terms"), insults)})
+    left = lambda unlike: F.length(F.regexp_replace("signs", unlike, ""))
     count = {
-        "n_words": F.size("w"), "word_chars": plain(BLANKS), "n_symbols": F.length("t") - plain(SYMBOLS),
+        "n_words": F.size("w"), "word_chars": F.length(F.array_join("w", "")), "n_symbols": left(rf"[^{SYMBOLS}]+"),
         "n_dup_lines": F.size("l") - F.size(F.array_distinct("l")), "n_repeat_words": _covered(F.col("windows")),
         "n_lines": F.size("l"), "n_terms": F.size("terms"), "n_distinct_terms": F.size(F.array_distinct("terms")),
-        "n_function_words": F.size(F.filter("terms", lambda x: x.isin(FUNCTION_WORDS))), "n_insults": F.size(F.filter("terms", lambda x: x.isin(list(insults)))),
-        "n_chars": F.length("t"), "n_upper": F.length(F.regexp_replace("t", r"[^\p{Lu}]+", "")), "n_exclaims": F.length("t") - plain("!"),
-        "n_ended_lines": F.size(F.filter("l", lambda x: F.rtrim(x).rlike(r"[.!?:;\"')]$"))),
+        "n_function_words": F.size(F.filter("terms", lambda x: x.isin(FUNCTION_WORDS))), "n_insults": F.col("n_insults"),
+        "n_upper": left(r"\P{Lu}+"), "n_exclaims": left("[^!]+"),
+        "n_ended_lines": F.size(F.filter("l", lambda x: F.substring(F.btrim(x, F.lit(BLANKS)), -1, 1).isin(*LINE_ENDS))),
     }
     return staged.select("doc", F.struct(*[count[k].cast("long").alias(k) for k in MEASURES]).alias("m"))
 
