@@ -9,7 +9,6 @@ from weirflow.contracts import SpecError, TableContract, as_name_list, decode_op
 from weirflow.functions import schemas as sm
 from weirflow.functions.scalars import clamp_decimal, metric_type_name, report_header_name, safe_column_name_text, snake_name
 from weirflow.operators import filters as fl, reports as rp
-from weirflow.sources import catalog as cat
 
 
 def spec(**table):
@@ -89,20 +88,3 @@ def test_refusals(spark):
     ):
         with pytest.raises(SpecError):
             call()
-
-
-def test_catalog(spark):
-    flat = [TableContract("b", ("k",), None, "snapshot"), TableContract("a", ("k",), None, "snapshot")]
-    reg = cat.registry_frame(spark, flat)
-    assert cat.namespaces(reg).count() == 0
-    assert [r["name"] for r in cat.tables_in(reg).collect()] == ["a", "b"]
-    with pytest.raises(SpecError):
-        cat.tables_in(reg, ["x"])
-    deep = cat.registry_frame(spark, [TableContract("t", ("k",), None, "snapshot", ("p", "q"))])
-    with pytest.raises(SpecError):
-        cat.tables_in(deep)
-    assert [r["namespace"] for r in cat.namespaces(deep, ["p"]).collect()] == [["p", "q"]]
-    assert cat.list_objects(deep, path="p").count() == 0
-    with pytest.raises(SpecError):
-        cat.table_metadata(spark, flat, ["zzz"])
-    assert [r["tableName"] for r in cat.table_metadata(spark, flat).collect()] == ["b", "a"]

@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 # Texts read as true and as false.
-TRUE_TEXTS = ("true", "t", "yes", "y", "1")
-FALSE_TEXTS = ("false", "f", "no", "n", "0")
+TRUE_TEXTS = ("true", "t", "1", "yes", "y")
+FALSE_TEXTS = ("false", "f", "0", "no", "n")
 # Shape of an e-mail address and its replacement.
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 EMAIL_REPLACEMENT = "redacted@example.com"
@@ -120,9 +120,9 @@ def parse_hl7_dtm(col: Column) -> Column:
 
 
 def yyyymmdd_to_iso(col: Column) -> Column:
-    """``20240131`` as ``2024-01-31``; text that is not eight digits first gives null."""
-    ok = F.substring(col, 1, 8).rlike(r"^\d{8}$")
-    return F.when(ok, F.concat_ws("-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2)))
+    """``20240131`` as ``2024-01-31``; text that is not a date of eight digits stays as it is."""
+    day = F.concat_ws("-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2))
+    return F.when(col.rlike(r"^\d{8}$") & day.try_cast("date").isNotNull(), day).otherwise(col)
 
 
 def normalize_iso(col: Column) -> Column:
@@ -177,8 +177,11 @@ def shift_minutes(col: Column, minutes: int) -> Column:
 
 
 def as_bool(col: Column, default: bool = False) -> Column:
-    text = F.lower(F.trim(col.cast("string")))
-    return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False).otherwise(F.lit(default))
+    """Flags as they are, numbers true unless zero (NaN is true), text by the words for either; else ``default``."""
+    kind, text = F.typeof(col), F.lower(F.trim(col.cast("string")))
+    number = kind.isin("tinyint", "smallint", "int", "bigint", "float", "double") | kind.startswith("decimal")
+    by_text = F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False).otherwise(F.lit(default))
+    return F.when(col.isNull(), F.lit(default)).when(number, text.try_cast("double") != 0).otherwise(by_text)
 
 
 def try_float(col: Column) -> Column:
@@ -248,8 +251,8 @@ def body_sha256(col: Column) -> Column:
 
 
 def valid_uid(col: Column) -> Column:
-    """Digits and dots, at most 64 long, no empty part."""
-    return F.coalesce(col.rlike(r"^[0-9.]{1,64}$") & ~F.contains(col, F.lit("..")), F.lit(False))
+    """Digits and dots of any length, no empty part."""
+    return F.coalesce(col.rlike(r"^[0-9.]+$") & ~F.contains(col, F.lit("..")), F.lit(False))
 
 
 def csv_to_list(col: Column) -> Column:
@@ -295,10 +298,3 @@ def shape_of(value: Column) -> Column:
         .when(kind.startswith("ARRAY"), F.lit("list")).when(kind.startswith("OBJECT"), F.lit("dict"))
         .otherwise(F.lit("float"))
     )
-
-
-def any_of(cols: Sequence[Column]) -> Column:
-    out = F.lit(False)
-    for c in cols:
-        out = out | c
-    return out

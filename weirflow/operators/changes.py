@@ -106,14 +106,15 @@ def scd2_apply(
     return join_on(state, touched, keys, "left_anti").unionByName(rebuilt.select(*state.columns))
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, that with the largest row hash."""
     body = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(F.max_by(F.struct(*body), F.xxhash64(*body)).alias("_b")).select(*keys, "_b.*")
 
 
 def snapshot_diff(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key ``_change`` (insert, update, delete, same) with both rows as ``_old`` and ``_new``."""
-    snap = _one_per_key(snapshot, keys)
+    snap = one_per_key(snapshot, keys)
     body = [c for c in snap.columns if c not in keys]
     left = target.select(*[F.col(k).alias(f"_l{i}") for i, k in enumerate(keys)], F.struct(*body).alias("_old"), F.lit(True).alias("_in_old"))
     right = snap.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], F.struct(*body).alias("_new"), F.lit(True).alias("_in_new"))

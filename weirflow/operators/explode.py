@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -60,7 +61,7 @@ def map_rows(df: DataFrame, col: str, key: str = "name", value: str = "value", s
     return rows.filter(F.col(value).isNotNull()) if skip_null else rows.withColumn(value, F.coalesce(value, F.lit("")))
 
 
-def tree_walk(df: DataFrame, key: str, parent: str, max_depth: int = 1000) -> DataFrame:
+def tree_walk(df: DataFrame, key: str, parent: str) -> DataFrame:
     """Rows of a parent-pointer tree with ``depth`` and ``path``, from the roots (no parent) down.
 
     A row without key is skipped and its subtree with it. One join per level; each level is written
@@ -71,7 +72,7 @@ def tree_walk(df: DataFrame, key: str, parent: str, max_depth: int = 1000) -> Da
     level = rows.filter(root).withColumn("depth", F.lit(0)).withColumn("path", F.col(key).cast("string"))
     rest = rows.filter(~root)
     out = None
-    for depth in range(max_depth + 1):
+    for depth in count():
         level = cut_lineage(level, "level")
         if level.limit(1).count() == 0:
             break
@@ -80,18 +81,16 @@ def tree_walk(df: DataFrame, key: str, parent: str, max_depth: int = 1000) -> Da
         level = rest.join(up, F.col(parent) == F.col("_up")).withColumn("depth", F.lit(depth + 1)).withColumn(
             "path", F.concat_ws("/", F.col("_path"), F.col(key).cast("string"))
         ).drop("_up", "_path")
-    else:
-        raise ValueError(f"the tree is deeper than {max_depth}")
     return level if out is None else out
 
 
-def nested_tree(spark, df: DataFrame, col: str, key: str = "id", children: str = "children", max_depth: int = 32) -> DataFrame:
+def nested_tree(spark, df: DataFrame, col: str, key: str = "id", children: str = "children") -> DataFrame:
     """A nested JSON element (variant) as rows ``(element, parent, depth)``; elements without key and their
     subtree are skipped."""
     outer = [c for c in df.columns if c != col]
     level = df.select(*outer, F.col(col).alias("_n"), F.lit("").alias("parent"))
     out = None
-    for depth in range(max_depth):
+    for depth in count():
         named = level.withColumn("element", F.try_variant_get("_n", f"$['{key}']", "string")).filter(F.col("element").isNotNull())
         part = named.select(*outer, "element", "parent", F.lit(depth).alias("depth"))
         out = part if out is None else out.unionByName(part)
@@ -101,7 +100,6 @@ def nested_tree(spark, df: DataFrame, col: str, key: str = "id", children: str =
         ), "nodes")
         if level.limit(1).count() == 0:
             return out
-    raise ValueError(f"elements are nested deeper than {max_depth}")
 
 
 def id_chunks(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -118,17 +116,5 @@ def repetitions(field: Column, part, sep: str = "~") -> Column:
     return F.when(F.size(kept) > 0, F.transform(kept, part))
 
 
-def metadata_kv(spark, contracts: Sequence, keys: str | None = None) -> DataFrame:
-    """Contracts as ``(table, key, value)`` rows, lists as JSON; ``keys`` filters names, any case."""
-    rows = []
-    for c in contracts:
-        rows.append((c.name, "primary_keys", list(c.primary_keys), None))
-        rows.append((c.name, "cursor_field", None, c.cursor_field))
-        rows.append((c.name, "ingestion_type", None, c.ingestion_type))
-    df = spark.createDataFrame(rows, "table string, key string, items array<string>, text string")
-    df = df.select("table", "key", F.coalesce(F.to_json("items"), F.col("text")).alias("value"))
-    return df.filter(F.lower("key") == keys.lower()) if keys else df
-
-
 def is_struct_array(kind: T.DataType) -> bool:
     return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)

@@ -137,7 +137,8 @@ def preview(df: DataFrame, limit: int, needed: dict[str, str] | None = None, giv
     return df.limit(limit)
 
 
-def top_latest(df: DataFrame, ts: str, n: int = 10, then: Sequence[str] = ()) -> DataFrame:
+def top_latest(df: DataFrame, ts: str, n: int = 10, then: Sequence[str | Column] = ()) -> DataFrame:
+    """The newest ``n`` rows; ``then`` decides among rows of one moment."""
     return df.orderBy(F.col(ts).desc(), *then).limit(n)
 
 
@@ -147,21 +148,3 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for df in frames[1:]:
         out = out.unionByName(df, allowMissingColumns=True)
     return out
-
-
-def field_rows(df: DataFrame) -> DataFrame:
-    """The top-level fields of a frame as ``(field, type)`` rows."""
-    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "field string, type string")
-
-
-def field_diff(live: DataFrame, expected: DataFrame) -> DataFrame:
-    """Per field ``missing``, ``extra``, ``changed`` or ``common``; both sides are ``(field, type)`` rows."""
-    a, b = live.alias("a"), expected.alias("b")
-    kind = (
-        F.when(F.col("a.field").isNull(), "missing").when(F.col("b.field").isNull(), "extra")
-        .when(F.col("a.type") == F.col("b.type"), "common").otherwise("changed")
-    )
-    both = a.join(b, F.col("a.field") == F.col("b.field"), "full_outer")
-    return both.select(F.coalesce("a.field", "b.field").alias("field"), kind.alias("status"),
-                       F.col("b.type").alias("expected_type"), F.col("a.type").alias("live_type"))

@@ -333,7 +333,7 @@ def segments(messages: DataFrame, kind: str) -> DataFrame:
     esc, line = F.col("_esc"), F.col("_line")
     if name == "MSH":
         # Field 1 of MSH is the separator itself, and the escape character in field 2 is none.
-        fields = F.concat(F.array(F.lit("MSH"), _sep(1)), F.slice(F.split(line, FIELD), 2, 100))
+        fields = F.concat(F.array(F.lit("MSH"), _sep(1)), F.slice(F.split(line, FIELD), F.lit(2), F.size(F.split(line, FIELD))))
         return rows.withColumns({"_plain": fields, "_clear": fields})
     decoded = line
     for letter, value in (("F", _sep(1)), ("S", _sep(2)), ("T", _sep(4)), ("R", _sep(3)), ("H", F.lit("")), ("N", F.lit("")), ("E", esc)):

@@ -1,4 +1,4 @@
-"""Data checks that give the violations as rows, and seeded sample rows."""
+"""Data checks that give the violations as rows."""
 
 from __future__ import annotations
 
@@ -6,29 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weirflow.contracts import TableContract
-from weirflow.operators.filters import field_diff
 from weirflow.operators.keys import join_on
+from weirflow.session import cut_lineage
 from weirflow.sources.incremental import bound
 
 
-def _has_path(schema: T.StructType, path: str) -> bool:
-    kind: T.DataType = schema
-    for part in path.split("."):
-        if not isinstance(kind, T.StructType) or part not in kind.fieldNames():
-            return False
-        kind = kind[part].dataType
-    return True
-
-
-def contract_check(df: DataFrame, contract: TableContract) -> DataFrame:
-    """What a contract lacks: a known type, keys, a cursor, and columns that exist."""
-    found = contract.problems()
-    named = [*contract.primary_keys, *([contract.cursor_field] if contract.cursor_field else [])]
-    found += [f"column {n} is not in the schema" for n in named if not _has_path(df.schema, n)]
-    return df.sparkSession.createDataFrame([(contract.name, p) for p in found], "table string, problem string")
-
-
 def _required(kind: T.StructType, prefix: str = "") -> list[tuple[str, Column]]:
     """Tests for a null where none may be, through structs; a null parent that may be null is no fault."""
     out = []
@@ -107,42 +89,45 @@ def _entries(value: Column) -> Column:
     return F.coalesce(fields(value), F.flatten(F.array_compact(F.transform(items, fields))))
 
 
-def field_paths(df: DataFrame, col: str, depth: int = 8) -> DataFrame:
-    """Distinct field paths of JSON records, lists counted as their elements, down to ``depth`` levels.
+#: Levels of a record that one pass opens; deeper ones are taken up by the next pass.
+LEVELS = 8
+
 
-    All levels come from one pass: a record is opened level by level inside its row, and only the
-    path names are made distinct, first on the map side.
+def field_paths(df: DataFrame, col: str) -> DataFrame:
+    """Distinct field paths of JSON records, lists counted as their elements, down to the last level there is.
+
+    A record is opened some levels at a time inside its row. What lies below them is written to the shared folder
+    and opened in turn until nothing is left; path names are made distinct on the map side first.
     """
     below = lambda path, v: F.transform(_entries(v), lambda e: F.struct(
         F.when(path == "", e["key"]).otherwise(F.concat_ws(".", path, e["key"])).alias("path"), e["value"].alias("v")
     ))
-    rows = df.select(F.try_parse_json(F.col(col)).alias("_v")).select(below(F.lit(""), F.col("_v")).alias("_l1"))
-    for i in range(1, depth):
-        deeper = F.flatten(F.array_compact(F.transform(f"_l{i}", lambda e: below(e["path"], e["v"]))))
-        rows = rows.withColumn(f"_l{i + 1}", deeper)
-    paths = F.array_distinct(F.flatten(F.array_compact(F.array(*[F.transform(f"_l{i}", lambda e: e["path"]) for i in range(1, depth + 1)]))))
-    return rows.select(F.explode(paths).alias("path")).distinct()
-
-
-def uncovered_fields(df: DataFrame, col: str, schema: T.StructType, depth: int = 8) -> DataFrame:
+    rows, out = df.select(F.lit("").alias("path"), F.try_parse_json(F.col(col)).alias("v")), None
+    while True:
+        rows = rows.select(below(F.col("path"), F.col("v")).alias("_l1"))
+        for i in range(1, LEVELS):
+            rows = rows.withColumn(f"_l{i + 1}", F.flatten(F.array_compact(F.transform(f"_l{i}", lambda e: below(e["path"], e["v"])))))
+        paths = F.array_distinct(F.flatten(F.array_compact(F.array(*[F.transform(f"_l{i}", lambda e: e["path"]) for i in range(1, LEVELS + 1)]))))
+        rest = F.filter(f"_l{LEVELS}", lambda e: F.size(_entries(e["v"])) > 0)
+        opened = cut_lineage(rows.select(paths.alias("paths"), rest.alias("rest")), "fields")
+        found = opened.select(F.explode("paths").alias("path")).distinct()
+        out = found if out is None else out.unionByName(found)
+        deep = opened.filter(F.size("rest") > 0)
+        if deep.isEmpty():
+            return out.distinct()
+        rows = deep.select(F.explode("rest").alias("e")).select("e.path", "e.v")
+
+
+def uncovered_fields(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
     """Record field paths the schema has no place for; below a map or variant everything has one."""
     paths, ends = _schema_paths(schema)
-    seen = field_paths(df, col, depth)
+    seen = field_paths(df, col)
     test = ~F.col("path").isin(*paths) if paths else F.lit(True)
     for end in ends:
         test = test & ~F.col("path").startswith(f"{end}.")
     return seen.filter(test)
 
 
-def shape_drift(live: DataFrame, expected: DataFrame) -> DataFrame:
-    """Missing fields and changed types of ``(field, type)`` rows; a null type says nothing."""
-    known = live.filter(F.coalesce("type", F.lit("null")) != "null")
-    diff = field_diff(known, expected.filter(F.coalesce("type", F.lit("null")) != "null"))
-    gone = live.select(F.col("field").alias("_f"))
-    diff = diff.join(gone, F.col("field") == F.col("_f"), "left")
-    return diff.filter((F.col("status") == "changed") | ((F.col("status") == "missing") & F.col("_f").isNull())).drop("_f")
-
-
 def write_read_back(before: DataFrame, written: DataFrame, after: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
     """Faults of a write: keys that cannot be read back, and counts that did not grow as they should."""
     lost = join_on(written.select(*keys), after.select(*keys), keys, "left_anti").agg(F.count(F.lit(1)).alias("n"))
@@ -170,111 +155,3 @@ def partitions_stable(first: DataFrame, second: DataFrame, whole: DataFrame, col
 def future_rows(df: DataFrame, cursor: str, cap) -> DataFrame:
     """Rows past the cap a run started with; a read that obeys the cap holds none of them."""
     return df.filter(F.col(cursor) > bound(df, cursor, cap))
-
-
-# --- sample rows ---------------------------------------------------------------------------
-
-# Words of made-up text.
-WORDS = (
-    "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa quebec romeo "
-    "sierra tango uniform victor whiskey xray yankee zulu"
-).split()
-
-
-def _pick(place: Column, path: str, seed: int, n: int) -> Column:
-    """A number 0..n-1 fixed by seed, column and row."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(path), place), F.lit(n))
-
-
-def _made(kind: T.DataType, place: Column, path: str, seed: int) -> Column:
-    if isinstance(kind, T.StructType):
-        return F.struct(*[_made(f.dataType, place, f"{path}.{f.name}", seed).alias(f.name) for f in kind.fields])
-    if isinstance(kind, T.ArrayType):
-        two = F.array(*[_made(kind.elementType, place, f"{path}[{i}]", seed) for i in range(2)])
-        return F.slice(two, F.lit(1), _pick(place, path, seed, 3).cast("int"))
-    if isinstance(kind, T.MapType):
-        return F.create_map(*[x for i in range(2) for x in (F.lit(f"key_{i}"), _made(kind.valueType, place, f"{path}.key_{i}", seed))])
-    if isinstance(kind, T.IntegralType):
-        return (_pick(place, path, seed, 100_000) + 1).cast(kind)
-    if isinstance(kind, (T.FractionalType, T.DecimalType)):
-        return (_pick(place, path, seed, 100_000) / 100).cast(kind)
-    if isinstance(kind, T.BooleanType):
-        return _pick(place, path, seed, 2) == 1
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        start = F.lit("2024-01-01 00:00:00").cast(kind)
-        return start + F.make_dt_interval(secs=_pick(place, path, seed, 31 * 86_400).cast("decimal(18,6)"))
-    if isinstance(kind, T.DateType):
-        return F.date_add(F.lit("2024-01-01").cast("date"), _pick(place, path, seed, 31).cast("int"))
-    if isinstance(kind, T.StringType):
-        word = F.element_at(F.array(*[F.lit(w) for w in WORDS]), (_pick(place, path, seed, len(WORDS)) + 1).cast("int"))
-        return F.concat_ws("-", word, (_pick(place, path + "#", seed, 900) + 100).cast("string"))
-    return F.lit(None).cast(kind)
-
-
-def synth_rows(places: DataFrame, place: str, schema: T.StructType, cursor: str | None = None, keys: Sequence[str] = (), seed: int = 0) -> DataFrame:
-    """A row per place number, the same on every run: the cursor grows by an hour, keys are unique."""
-    at = F.col(place)
-    cols = []
-    for f in schema.fields:
-        if f.name == cursor:
-            if isinstance(f.dataType, T.IntegralType):
-                value = (F.lit(1_704_067_200) + at * 3600).cast(f.dataType)
-            elif isinstance(f.dataType, T.StringType):
-                moment = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=at.cast("int"))
-                value = F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
-            else:
-                value = F.lit("2024-01-01 00:00:00").cast(f.dataType) + F.make_dt_interval(hours=at.cast("int"))
-        elif f.name in keys and isinstance(f.dataType, T.IntegralType):
-            value = (at + 1000).cast(f.dataType)
-        elif f.name in keys and isinstance(f.dataType, T.StringType):
-            value = F.concat(F.substring(_made(f.dataType, at, f.name, seed), 1, 8), F.lit("-pk"), at.cast("string"))
-        else:
-            value = _made(f.dataType, at, f.name, seed)
-        cols.append(value.alias(f.name))
-    return places.select(*cols)
-
-
-# Shapes of text that keep their form when varied.
-ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}"
-UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
-HEX_ID = r"^[0-9a-f]{16,}$"
-
-
-def _varied(col: Column, kind: T.DataType, copy: Column, place: Column, path: str, seed: int) -> Column:
-    spread = F.pmod(F.xxhash64(F.lit(seed), F.lit(path), place, copy), F.lit(10_000))
-    if isinstance(kind, T.IntegralType):
-        return (col + spread + 1 + copy).cast(kind)
-    if isinstance(kind, T.FractionalType):
-        return (col + spread / 10 + copy).cast(kind)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return col + F.make_dt_interval(secs=(spread % 3600 + 1 + copy * 60).cast("decimal(18,6)"))
-    if isinstance(kind, T.StringType):
-        digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(path), place.cast("string"), copy.cast("string")))
-        uuid = F.concat_ws("-", *[F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-        long_hex = F.substring(F.repeat(digest, 8), F.lit(1), F.length(col))
-        moved = F.substring(col, 1, 19).try_cast("timestamp_ntz") + F.make_dt_interval(secs=(spread % 3600 + 1 + copy * 60).cast("decimal(18,6)"))
-        shifted = F.concat(F.substring(moved.cast("string"), 1, 10), F.substring(col, 11, 1), F.substring(moved.cast("string"), 12, 8),
-                           F.when(F.lower(F.substring(col, -1, 1)) == "z", F.lit("Z")).otherwise(F.lit("")))
-        return (
-            F.when(col.rlike(ISO_TIME), F.coalesce(shifted, col)).when(col.rlike(UUID), uuid).when(col.rlike(HEX_ID), long_hex)
-            .otherwise(F.concat(col, F.lit("-syn"), copy.cast("string")))
-        )
-    return col
-
-
-def expand_sample(df: DataFrame, place: str, copies: int, seed: int = 0) -> DataFrame:
-    """The sample and ``copies`` varied copies of each row, numbered in ``copy`` (0 is the sample).
-
-    Only columns that vary in the sample are varied; flags and nulls stay, times, uuids and hex ids
-    keep their form.
-    """
-    names = [c for c in df.columns if c != place]
-    spans = df.agg(*[(F.min(c) != F.max(c)).alias(c) for c in names if isinstance(df.schema[c].dataType, T.AtomicType)]).head()
-    rows = df.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies))))
-    cols = []
-    for c in names:
-        kind = df.schema[c].dataType
-        varies = c in spans.asDict() and spans[c] and not isinstance(kind, T.BooleanType)
-        value = _varied(F.col(c), kind, F.col("copy"), F.col(place), c, seed) if varies else F.col(c)
-        cols.append(F.when(F.col("copy") == 0, F.col(c)).otherwise(value).alias(c))
-    return rows.select(place, "copy", *cols)

@@ -111,18 +111,32 @@ def serialize_complex(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
 
 
 def strip_meta(df: DataFrame, col: str) -> DataFrame:
-    """A JSON object as a map without ``__`` keys and without deferred links; one nested level is cleaned too."""
-    deferred = lambda v: F.try_variant_get(v, "$['__deferred']", "variant").isNotNull()
-
-    def level(v: Column) -> Column:
-        pairs = F.try_variant_get(v, "$", "map<string,variant>")
-        return F.map_filter(pairs, lambda k, x: ~k.startswith("__") & ~deferred(x))
-
-    def text(v: Column) -> Column:
-        inner = level(v)
-        return F.when(inner.isNotNull(), F.to_json(inner)).otherwise(F.try_variant_get(v, "$", "string"))
-
-    return df.withColumn(col, F.transform_values(level(F.try_parse_json(F.col(col))), lambda _, x: text(x)))
+    """A JSON object as a map without ``__`` keys and without deferred links.
+
+    Objects that carry ``__metadata`` themselves are cleaned alike, to any depth; other objects stay as they are.
+    Each round cleans the innermost ones left, and rounds go on until a record holds none.
+    """
+    has = lambda v, key: F.try_variant_get(v, f"$['{key}']", "variant").isNotNull()
+    fields = lambda v: F.try_variant_get(v, "$", "map<string,variant>")
+
+    def depth() -> int:
+        """How many levels of marked objects lie in each other: one small aggregate per level there is."""
+        level, found = F.array(F.try_parse_json(F.col(col))), 0
+        while True:
+            inner = F.transform(level, lambda v: F.filter(F.map_values(fields(v)), lambda x: has(x, "__metadata")))
+            level = F.flatten(F.array_compact(inner))
+            if not df.agg(F.bool_or(F.size(level) > 0).alias("any")).first()["any"]:
+                return found
+            found += 1
+
+    def cleaned(v: Column, levels: int) -> Column:
+        kept = F.map_filter(fields(v), lambda k, x: ~k.startswith("__") & ~has(x, "__deferred"))
+        if not levels:
+            return kept
+        return F.transform_values(kept, lambda _, x: F.when(has(x, "__metadata"), F.try_parse_json(F.to_json(cleaned(x, levels - 1)))).otherwise(x))
+
+    text = F.transform_values(cleaned(F.try_parse_json(F.col(col)), depth()), lambda _, x: F.try_variant_get(x, "$", "string"))
+    return df.withColumn(col, text)
 
 
 def inject_keys(df: DataFrame, **values) -> DataFrame:
@@ -148,11 +162,18 @@ def associations_to_ids(value: Column, kind: str) -> Column:
 
 
 def first_of_fallback(record: Column, field: str) -> Column:
-    """The top-level value, else its ``values`` entry: the text of an object, or the value itself."""
-    entry = f"$['values']['{field}']"
-    is_object = F.schema_of_variant(F.try_variant_get(record, entry, "variant")).startswith("OBJECT")
-    inner = F.when(is_object, F.try_variant_get(record, f"{entry}['textEntry']", "string")).otherwise(F.try_variant_get(record, entry, "string"))
-    return F.coalesce(F.try_variant_get(record, f"$['{field}']", "string"), inner)
+    """The top-level value, else its ``values`` entry: the text of an object, or the value itself.
+
+    A response without an id of its own takes the entry ``_recordId``.
+    """
+
+    def entry(name: str) -> Column:
+        path = f"$['values']['{name}']"
+        is_object = F.schema_of_variant(F.try_variant_get(record, path, "variant")).startswith("OBJECT")
+        return F.when(is_object, F.try_variant_get(record, f"{path}['textEntry']", "string")).otherwise(F.try_variant_get(record, path, "string"))
+
+    found = F.coalesce(F.try_variant_get(record, f"$['{field}']", "string"), entry(field))
+    return F.coalesce(F.nullif(found, F.lit("")), entry("_recordId"), found) if field == "responseId" else found
 
 
 # Response fields that are no question answers.
@@ -181,10 +202,13 @@ def first_where(items: Column, test) -> Column:
 
 
 def combine_singletons(parts: dict[str, DataFrame]) -> DataFrame:
-    """Several one-row settings frames as one row of structs; a part without a row is null."""
+    """Several one-row settings frames as one row of structs; a part without a row is null, one with more is an error."""
     out = None
     for name, df in parts.items():
-        one = df.limit(1).select(F.struct(*df.columns).alias(name))
+        one = df.select(F.struct(*df.columns).alias("_s")).agg(F.first("_s").alias("_s"), F.count(F.lit(1)).alias("_n"))
+        kind = one.schema["_s"].dataType
+        many = F.raise_error(F.concat(F.lit(f"{name} has more than one row: "), F.col("_n").cast("string"))).cast(kind)
+        one = one.select(F.when(F.col("_n") > 1, many).otherwise(F.col("_s")).alias(name))
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out.agg(*[F.first(name, ignorenulls=True).alias(name) for name in parts])
 

@@ -7,24 +7,8 @@ from pyspark.sql import functions as F, types as T
 from weirflow.contracts import TableContract, decode_option
 from weirflow.operators import quality as dq
 from weirflow.operators.aggregates import table_counts
-from weirflow.operators.filters import field_rows
 from weirflow.plans.registry import query, table
-from weirflow.sources import catalog as cat, incremental as inc
-
-
-@query("dq_1_contract_check", """
-    SELECT 'orders' AS "table", 'column o_missing is not in the schema' AS problem, count(*) AS rows FROM orders
-    UNION ALL SELECT 'customer', 'cursor_field is required for cdc', count(*) FROM customer
-""")
-def _(spark, sf):
-    wanted = [TableContract("orders", ("o_orderkey",), "o_missing", "cdc"), TableContract("customer", ("c_custkey",), None, "cdc"),
-              TableContract("part", ("p_partkey",), None, "snapshot")]
-    found = None
-    for c in wanted:
-        one = dq.contract_check(table(spark, sf, c.name), c)
-        found = one if found is None else found.unionByName(one)
-    counts = table_counts({c.name: table(spark, sf, c.name) for c in wanted})
-    return found.join(counts, F.col("table") == F.col("table_name")).select("table", "problem", F.col("row_count").alias("rows"))
+from weirflow.sources import incremental as inc
 
 
 @query("dq_2_non_nullable", """
@@ -61,25 +45,26 @@ def _(spark, sf):
     return dq.unpopulated_columns(rows, ["allowed"])
 
 
-@query("dq_6_uncovered_fields", "SELECT unnest(['deep.extra', 'list.z', 'top']) AS path FROM (SELECT count(*) AS n FROM orders) WHERE n > 0")
+@query("dq_6_uncovered_fields", """
+    SELECT DISTINCT unnest(CASE WHEN o_orderstatus = 'O' THEN ['deep.extra', 'top'] WHEN o_orderstatus = 'F' THEN ['deep.extra', 'list.z'] ELSE ['deep.extra'] END) AS path FROM orders
+    UNION ALL
+    SELECT array_to_string(list_transform(range(1, d + 1), lambda i: CASE WHEN i = 1 THEN 'chain' ELSE 'c' || i END), '.') FROM range(1, (SELECT CAST(max(o_orderkey % 7) AS INTEGER) FROM orders) + 13) t(d)
+""")
 def _(spark, sf):
     inner = F.struct(F.col("o_custkey").alias("known"), F.col("o_orderpriority").alias("extra"))
     items = F.array(F.struct(F.col("o_orderkey").alias("a")).alias("i"))
     late = F.array(F.struct(F.lit(None).cast("bigint").alias("a"), F.when(F.col("o_orderstatus") == "F", F.lit(1)).alias("z")))
     body = F.to_json(F.struct(F.col("o_orderkey").alias("id"), inner.alias("deep"), F.when(F.col("o_orderstatus") == "O", F.lit(1)).alias("top"),
                               F.create_map(F.lit("any"), F.col("o_custkey")).alias("free"), F.when(F.col("o_orderstatus") == "F", late).alias("list")))
+    # Chains of 12 to 18 objects in each other, by order.
+    levels = F.sequence(F.lit(2).cast("long"), F.col("o_orderkey") % 7 + 12)
+    chain = F.aggregate(F.reverse(levels), F.lit("1"), lambda acc, i: F.concat(F.lit('{"c'), i.cast("string"), F.lit('":'), acc, F.lit("}")))
+    body = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), F.lit(',"chain":'), chain, F.lit("}"))
     shape = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("deep", T.StructType([T.StructField("known", T.LongType())])),
         T.StructField("free", T.MapType(T.StringType(), T.LongType())), T.StructField("list", T.ArrayType(T.StructType([T.StructField("a", T.LongType())]))),
     ])
-    return dq.uncovered_fields(table(spark, sf, "orders").select(body.alias("b")), "b", shape, 4)
-
-
-@query("dq_7_shape_drift", "SELECT field, status FROM (VALUES ('value', 'changed'), ('session', 'missing')) t(field, status), (SELECT count(*) AS n FROM events) WHERE n > 0")
-def _(spark, sf):
-    live = table(spark, sf, "events")
-    expected = live.select("event_id", F.col("value").cast("string").alias("value"), F.lit("s").alias("session"))
-    return dq.shape_drift(field_rows(live), field_rows(expected)).select("field", "status")
+    return dq.uncovered_fields(table(spark, sf, "orders").select(body.alias("b")), "b", shape)
 
 
 @query("dq_8_write_read_back", """
@@ -110,93 +95,6 @@ def _(spark, sf):
     return dq.future_rows(ev, "ts", cap).select("event_id").unionByName(dq.future_rows(capped, "ts", cap).select("event_id"))
 
 
-@query("dq_11_synth_rows", """
-    SELECT count(*) AS rows, count(*) AS keys, strftime(TIMESTAMP '2024-01-01' + to_hours(CAST(max(o_orderkey) AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ') AS last, true AS in_range FROM orders
-""")
-def _(spark, sf):
-    shape = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("at", T.StringType()),
-                          T.StructField("s", T.StructType([T.StructField("n", T.IntegerType()), T.StructField("ok", T.BooleanType())])),
-                          T.StructField("tags", T.ArrayType(T.StringType())), T.StructField("score", T.DoubleType())])
-    got = dq.synth_rows(table(spark, sf, "orders"), "o_orderkey", shape, "at", ["id"], 7)
-    inside = (F.col("s.n").between(1, 100_000)) & (F.size("tags") <= 2) & F.col("score").between(0, 1000) & F.col("name").rlike("^[a-z]+-[0-9]{3}$")
-    return got.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("keys"), F.max("at").alias("last"), F.bool_and(inside).alias("in_range"))
-
-
-@query("dq_12_expand_sample", """
-    SELECT c, count(*) AS rows, count(DISTINCT c_custkey) AS places, c = 0 AS same, true AS fixed, CASE WHEN c = 0 THEN 0 ELSE count(*) END AS marked
-    FROM customer, (VALUES (0), (1), (2)) t(c) GROUP BY c
-""")
-def _(spark, sf):
-    cust = table(spark, sf, "customer").select("c_custkey", "c_name", F.lit("fixed").alias("constant"), "c_acctbal")
-    got = dq.expand_sample(cust, "c_custkey", 2, 5).join(cust.select("c_custkey", F.col("c_name").alias("n0"), F.col("c_acctbal").alias("b0")), "c_custkey")
-    return got.groupBy(F.col("copy").alias("c")).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("c_custkey").alias("places"), F.bool_and(F.col("c_acctbal") == F.col("b0")).alias("same"),
-        F.bool_and(F.col("constant") == "fixed").alias("fixed"), F.count_if(F.col("c_name") == F.concat("n0", F.lit("-syn"), F.col("copy").cast("string"))).alias("marked"),
-    )
-
-
-CONTRACTS = [
-    TableContract("orders", ("o_orderkey",), "o_orderdate", "cdc_with_deletes", ("sales", "open")),
-    TableContract("lineitem", ("l_orderkey", "l_linenumber"), None, "snapshot", ("sales", "open")),
-    TableContract("customer", ("c_custkey",), None, "snapshot", ("sales",)),
-    TableContract("events", (), "ts", "append", ("web",)),
-]
-
-
-def _counts(spark, sf):
-    return table_counts({c.name: table(spark, sf, c.name) for c in CONTRACTS})
-
-
-COUNTS = "(" + " UNION ALL ".join(f"SELECT '{c.name}' AS name, count(*) AS n FROM {c.name}" for c in CONTRACTS) + ")"
-
-
-@query("cat_1_table_metadata", f"""
-    SELECT t.name AS "tableName", pk AS primary_keys, cur AS cursor_field, kind AS ingestion_type, n FROM (VALUES ('events', '', 'ts', 'append'), ('orders', 'o_orderkey', 'o_orderdate', 'cdc_with_deletes'),
-        ('lineitem', 'l_orderkey,l_linenumber', NULL, 'snapshot')) t(name, pk, cur, kind) JOIN {COUNTS} c ON c.name = t.name
-""")
-def _(spark, sf):
-    got = cat.table_metadata(spark, CONTRACTS, decode_option('["events", "orders", "lineitem"]', list))
-    rows = got.join(_counts(spark, sf), F.col("tableName") == F.col("table_name"))
-    return rows.select("tableName", F.array_join("primary_keys", ",").alias("primary_keys"), "cursor_field", "ingestion_type", F.col("row_count").alias("n"))
-
-
-def _sized(spark, sf):
-    counts = _counts(spark, sf)
-    reg = cat.registry_frame(spark, CONTRACTS)
-    return reg.join(counts, F.col("name") == F.col("table_name")).drop("table_name")
-
-
-@query("cat_2_namespaces", f"""
-    SELECT ns AS namespace, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN name = 'events' THEN 'web' ELSE 'sales' END AS ns, n FROM {COUNTS}) GROUP BY ns
-""")
-def _(spark, sf):
-    reg = _sized(spark, sf)
-    top = cat.namespaces(reg)
-    rows = reg.join(top.withColumnRenamed("namespace", "top"), F.slice("namespace", 1, 1) == F.col("top"))
-    return rows.groupBy(F.array_join("top", ".").alias("namespace")).agg(F.sum("row_count").alias("n"))
-
-
-@query("cat_3_tables", f"SELECT name, n FROM {COUNTS} WHERE name IN ('orders', 'lineitem')")
-def _(spark, sf):
-    got = cat.tables_in(cat.registry_frame(spark, CONTRACTS), ["sales", "open"])
-    return got.join(_counts(spark, sf), F.col("name") == F.col("table_name")).select("name", F.col("row_count").alias("n"))
-
-
-@query("cat_4_list_objects", f"SELECT name, 'table' AS type, CASE name WHEN 'orders' THEN 'sales.open.orders' ELSE 'sales.customer' END AS full_path, n FROM {COUNTS} WHERE name IN ('orders', 'customer')")
-def _(spark, sf):
-    got = cat.list_objects(cat.registry_frame(spark, CONTRACTS), "^(ord|cust)")
-    return got.join(_counts(spark, sf), F.col("name") == F.col("table_name")).select("name", "type", "full_path", F.col("row_count").alias("n"))
-
-
-@query("cat_5_object_metadata", f"""
-    SELECT key, value, n FROM (VALUES ('primary_keys', '["o_orderkey"]'), ('cursor_field', 'o_orderdate'), ('ingestion_type', 'cdc_with_deletes')) t(key, value), {COUNTS} WHERE name = 'orders'
-""")
-def _(spark, sf):
-    counts = _counts(spark, sf).select(F.col("table_name").alias("of"), F.col("row_count").alias("n"))
-    rows = cat.object_metadata(spark, CONTRACTS, "orders").withColumn("of", F.lit("orders"))
-    return rows.join(counts, "of").drop("of")
-
-
 @query("cat_6_option_decode", "SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE')")
 def _(spark, sf):
     wanted = decode_option('["BUILDING", "FURNITURE"]', list, "segments")

@@ -54,6 +54,37 @@ def _(spark, sf):
     return rows.select("o_orderkey", "o_custkey")
 
 
+@query("src_3_admit_batch_without_cursors", """
+    WITH dated AS (SELECT * FROM events WHERE event_type <> 'error'),
+    one AS (SELECT max(ts) AS c FROM (SELECT ts FROM dated ORDER BY ts LIMIT 40)),
+    two AS (SELECT max(ts) AS c FROM (SELECT ts FROM dated, one WHERE ts > c ORDER BY ts LIMIT 40))
+    SELECT event_id, CASE WHEN ts <= one.c THEN 1 ELSE 2 END AS batch FROM dated, one, two WHERE ts <= two.c
+""")
+def _(spark, sf):
+    ev = table(spark, sf, "events").withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts")))
+    first, offset = inc.admit_batch(ev, "ts", 40)
+    second, _ = inc.admit_batch(ev, "ts", 40, offset["cursor"])
+    nothing, end = inc.admit_batch(ev.filter("ts IS NULL"), "ts", 40)
+    assert not end
+    parts = [d.select("event_id", F.lit(i).alias("batch")) for i, d in ((1, first), (2, second), (3, nothing))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("src_4_keyset_offset_text", """
+    SELECT o_orderkey, o_custkey FROM (
+        SELECT * FROM orders WHERE (o_orderdate > TIMESTAMP '1995-06-01' OR (o_orderdate = TIMESTAMP '1995-06-01' AND o_orderkey > 100)) AND o_orderdate <= TIMESTAMP '1998-01-01'
+        ORDER BY o_orderdate, o_orderkey LIMIT 700)
+""")
+def _(spark, sf):
+    # The same moments, written with three offsets.
+    hours = F.element_at(F.array(F.lit(0), F.lit(5), F.lit(-7)), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    zone = F.element_at(F.array(F.lit("Z"), F.lit("+05:00"), F.lit("-07:00")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    local = F.date_format(F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(hours=hours), "yyyy-MM-dd'T'HH:mm:ss")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.concat(local, zone).alias("at"))
+    start = {"cursor": "1995-06-01T03:00:00+03:00", "tiebreak": "100"}
+    return inc.keyset_scan(orders, "at", "o_orderkey", start, 700, "1997-12-31T16:00:00-08:00")[0].select("o_orderkey", "o_custkey")
+
+
 @query("src_5_window_scan", """
     SELECT event_id, user_id, event_type, value FROM events
     WHERE ts > TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-12 00:00:00'
@@ -162,10 +193,10 @@ def _(spark, sf):
 
 
 def _as_files(spark, sf, name):
-    """The documents written as text, a folder per language; each document keeps its own lines."""
+    """The documents written as text, a folder per language with a file per writing task; each document keeps its own lines."""
     path = fresh_path(spark, name)
     docs = table(spark, sf, "documents").select("lang", F.col("text").alias("value"))
-    docs.repartition("lang").write.partitionBy("lang").text(path)
+    docs.write.partitionBy("lang").text(path)
     return path
 
 
@@ -299,9 +330,9 @@ def _(spark, sf):
 def _(spark, sf):
     ev = table(spark, sf, "events")
     slices = inc.plan_time_partitions(spark, "2024-01-03 00:00:00", "2024-01-28 06:00:00", 3, 5)
-    joined = slices.join(ev, inc.in_slice("ts", F.col("lower"), F.col("upper")), "left")
-    per = joined.groupBy("lower", "upper").agg(F.count("event_id").alias("n"), F.round(F.sum("value"), 2).alias("total"))
-    return per.select(F.col("lower").cast("string").alias("lower"), F.col("upper").cast("string").alias("upper"), "n", "total")
+    per = inc.with_slice(ev, "ts", "2024-01-03 00:00:00", "2024-01-28 06:00:00", 3, 5).groupBy("lower").agg(F.count("event_id").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    every = slices.join(per, "lower", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return every.select(F.col("lower").cast("string").alias("lower"), F.col("upper").cast("string").alias("upper"), "n", "total")
 
 
 @query("src_23_balance_bins", """
@@ -330,6 +361,12 @@ def _(spark, sf):
     return inc.full_list_refresh(fresh, cust, ["c_custkey"])[0].select("c_custkey", "c_acctbal")
 
 
+@query("src_25_full_list_refresh_with_repeats", "SELECT c_custkey, c_acctbal FROM customer")
+def _(spark, sf):
+    cust = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    return inc.full_list_refresh(cust.unionByName(cust.filter("c_custkey % 3 = 0")), cust.filter("c_custkey % 2 = 0"), ["c_custkey"])[0]
+
+
 @query("src_26_peek_bounds", "SELECT CAST(min(ts) AS VARCHAR) AS oldest, CAST(max(ts) AS VARCHAR) AS newest FROM events")
 def _(spark, sf):
     got = inc.peek_bounds(table(spark, sf, "events"), "ts")
@@ -429,14 +466,14 @@ def _(spark, sf):
 
 
 @query("fn_19_valid_uid", r"""
-    SELECT vec_id, regexp_full_match(u, '[0-9.]{1,64}') AND NOT contains(u, '..') AS ok FROM (
-        SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN '1.2.' || vec_id WHEN 1 THEN '1..2' WHEN 2 THEN '../etc' ELSE CAST(label AS VARCHAR) END AS u FROM embeddings)
+    SELECT vec_id, regexp_full_match(u, '[0-9.]+') AND NOT contains(u, '..') AS ok FROM (
+        SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN '1.2.' || vec_id WHEN 1 THEN '1..2' WHEN 2 THEN '../etc' ELSE repeat('1234567.', CAST(vec_id % 8 * 3 AS INTEGER)) || label END AS u FROM embeddings)
 """)
 def _(spark, sf):
     kind = F.col("vec_id") % 4
     uid = (
         F.when(kind == 0, F.concat(F.lit("1.2."), F.col("vec_id").cast("string"))).when(kind == 1, F.lit("1..2"))
-        .when(kind == 2, F.lit("../etc")).otherwise(F.col("label").cast("string"))
+        .when(kind == 2, F.lit("../etc")).otherwise(F.concat(F.repeat(F.lit("1234567."), (F.col("vec_id") % 8 * 3).cast("int")), F.col("label").cast("string")))
     )
     return table(spark, sf, "embeddings").select("vec_id", valid_uid(uid).alias("ok"))
 

@@ -110,9 +110,14 @@ def _(spark, sf):
     return table(spark, sf, "events").select("event_id", sc.parse_hl7_dtm(raw).alias("at"))
 
 
-@query("fn_8_yyyymmdd_to_iso", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders")
+@query("fn_8_yyyymmdd_to_iso", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '(not set)' WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y%m%d') || '07'
+                            WHEN o_orderpriority = '5-LOW' THEN '20249931' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders
+""")
 def _(spark, sf):
-    raw = F.when(F.col("o_orderstatus") == "F", F.lit("(not set)")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    digits, urgency = F.date_format("o_orderdate", "yyyyMMdd"), F.col("o_orderpriority")
+    odd = F.when(F.col("o_orderstatus") == "F", F.lit("(not set)")).when(urgency == "1-URGENT", F.concat(digits, F.lit("07"))).when(urgency == "5-LOW", F.lit("20249931"))
+    raw = F.coalesce(odd, digits)
     return table(spark, sf, "orders").select("o_orderkey", sc.yyyymmdd_to_iso(raw).alias("day"))
 
 
@@ -171,6 +176,15 @@ def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", sc.as_bool(word).alias("flag"))
 
 
+@query("fn_13_as_bool_of_numbers", """
+    SELECT event_id, event_id % 4 <> 0 AS whole, coalesce(value <> 0, false) AS real, event_id % 4 IN (1, 3) AS text FROM events
+""")
+def _(spark, sf):
+    rest = F.col("event_id") % 4
+    text = F.element_at(F.array(*[F.lit(x) for x in ("2", "T", "0.0", "y")]), (rest + 1).cast("int"))
+    return table(spark, sf, "events").select("event_id", sc.as_bool(rest).alias("whole"), sc.as_bool(F.col("value")).alias("real"), sc.as_bool(text).alias("text"))
+
+
 @query("fn_14_try_numbers", """
     SELECT event_id, CASE WHEN event_type = 'view' THEN NULL ELSE value END AS as_float,
            CASE WHEN event_type IN ('view', 'click') THEN NULL WHEN event_type = 'error' THEN 1 ELSE event_id END AS as_int,

@@ -103,6 +103,18 @@ def _(spark, sf):
     return got.select("s_suppkey", F.col("r")["name"].alias("name"), F.col("r")["home"].alias("home"), F.size("r").alias("fields"))
 
 
+@query("prj_11_strip_odata_deep", """
+    SELECT s_suppkey, '{"a":{"b":{"n":' || s_nationkey || '}}}' AS marked, '{"__n":' || s_nationkey || ',"x":1}' AS unmarked FROM supplier
+""")
+def _(spark, sf):
+    mark = F.struct(F.lit("u").alias("uri")).alias("__metadata")
+    link = F.struct(F.struct(F.lit("l").alias("uri")).alias("__deferred")).alias("more")
+    inner = F.struct(mark, F.col("s_nationkey").alias("n"), link)
+    raw = F.to_json(F.struct(F.struct(mark, F.struct(mark, inner.alias("b")).alias("a")).alias("marked"), F.struct(F.col("s_nationkey").alias("__n"), F.lit(1).alias("x")).alias("unmarked")))
+    got = sh.strip_meta(table(spark, sf, "supplier").select("s_suppkey", raw.alias("r")), "r")
+    return got.select("s_suppkey", F.col("r")["marked"].alias("marked"), F.col("r")["unmarked"].alias("unmarked"))
+
+
 @query("prj_12_inject_keys", "SELECT r_regionkey, r_name, 'acme' AS organization, 'north' AS repository FROM region")
 def _(spark, sf):
     return sh.inject_keys(table(spark, sf, "region"), organization="acme", repository="north")
@@ -150,6 +162,18 @@ def _(spark, sf):
                                         sh.first_of_fallback(F.col("v"), "responseId").alias("response_id"))
 
 
+@query("prj_16_record_id", """
+    SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'own' WHEN turn % 3 = 1 THEN 'R' || conv_id ELSE 'r' || turn END AS response_id FROM conversations
+""")
+def _(spark, sf):
+    rest = F.col("turn") % 3
+    own = F.when(rest == 0, F.lit("own")).when(rest == 1, F.lit(""))
+    named, plain = F.struct(F.concat(F.lit("R"), F.col("conv_id")).alias("textEntry")), F.concat(F.lit("r"), F.col("turn"))
+    record = F.when(rest == 2, F.to_json(F.struct(F.struct(plain.alias("_recordId")).alias("values")))).otherwise(F.to_json(F.struct(own.alias("responseId"), F.struct(named.alias("_recordId")).alias("values"))))
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", F.try_parse_json(record).alias("v"))
+    return rows.select("conv_id", "turn", sh.first_of_fallback(F.col("v"), "responseId").alias("response_id"))
+
+
 @query("prj_17_answers_map", """
     SELECT conv_id, turn, 2 AS answers, md5(text) AS text_entry, 'c' || turn AS choice, CAST(turn AS VARCHAR) AS plain FROM conversations
 """)
@@ -269,9 +293,9 @@ def _(spark, sf):
     return with_position(ordered, [], ["at"], "place").select("event_id", "place")
 
 
-@query("lim_1_top_n_latest", "SELECT event_id, event_type FROM events ORDER BY ts DESC LIMIT 10")
+@query("lim_1_top_n_latest", "SELECT event_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 10")
 def _(spark, sf):
-    return fl.top_latest(table(spark, sf, "events"), "ts", 10).select("event_id", "event_type")
+    return fl.top_latest(table(spark, sf, "events"), "ts", 10, [F.col("event_id").desc()]).select("event_id", "event_type")
 
 
 @query("lim_3_slice_page", "SELECT o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 50 OFFSET 200")
@@ -299,15 +323,6 @@ def _(spark, sf):
     return table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("id")).distinct()
 
 
-@query("set_3_field_diff", """
-    SELECT * FROM (VALUES ('event_id', 'common'), ('user_id', 'common'), ('event_type', 'common'), ('value', 'changed'), ('props', 'extra'), ('ts', 'extra'), ('session', 'missing')) t(field, status)
-""")
-def _(spark, sf):
-    live = table(spark, sf, "events")
-    expected = live.select("event_id", "user_id", "event_type", F.col("value").cast("string").alias("value"), F.lit("s").alias("session"))
-    return fl.field_diff(fl.field_rows(live), fl.field_rows(expected)).select("field", "status")
-
-
 # --- generators ----------------------------------------------------------------------------
 
 
@@ -404,17 +419,6 @@ def _(spark, sf):
     return ex.nested_tree(spark, rows, "n")
 
 
-@query("exp_7_metadata_kv", """
-    SELECT t AS "table", k AS key, v AS value, n AS rows FROM (VALUES ('orders', 'primary_keys', '["o_orderkey"]'), ('orders', 'cursor_field', 'o_orderdate'), ('orders', 'ingestion_type', 'cdc'),
-        ('lineitem', 'primary_keys', '["l_orderkey","l_linenumber"]'), ('lineitem', 'cursor_field', NULL), ('lineitem', 'ingestion_type', 'snapshot')) m(t, k, v)
-    JOIN (SELECT 'orders' AS t2, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem) c ON t = t2
-""")
-def _(spark, sf):
-    contracts = [TableContract("orders", ("o_orderkey",), "o_orderdate", "cdc"), TableContract("lineitem", ("l_orderkey", "l_linenumber"), None, "snapshot")]
-    counts = fl.union_all([table(spark, sf, c.name).agg(F.lit(c.name).alias("table"), F.count(F.lit(1)).alias("rows")) for c in contracts])
-    return ex.metadata_kv(spark, contracts).join(counts, "table")
-
-
 @query("exp_8_id_chunks", "SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 50) AS BIGINT) AS chunk FROM orders")
 def _(spark, sf):
     return ex.id_chunks(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 50)

@@ -28,13 +28,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, local runs) is a temporary folder set.
+    Only a session on this machine alone (tests, local runs) that names none gets a temporary folder; on a cluster
+    executors would each write to their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="weirflow-"))
     return sc.getCheckpointDir().rstrip("/")
 

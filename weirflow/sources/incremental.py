@@ -12,8 +12,10 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from weirflow.functions.scalars import normalize_iso
+from weirflow.operators.changes import one_per_key
 from weirflow.operators.keys import join_on
 from weirflow.operators.ordered import with_running
 
@@ -34,6 +36,14 @@ def bound(df: DataFrame, name: str, value: Any) -> Column:
     return F.lit(text_of(value)).cast(df.schema[name].dataType)
 
 
+def cursor_key(df: DataFrame, name: str, col: Column) -> Column:
+    """What cursors are compared by: text that is a time by its moment, whatever its offset, other text before it as text."""
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return col
+    moment = normalize_iso(col)
+    return F.struct(moment.alias("moment"), F.when(moment.isNull(), col).alias("text"))
+
+
 def _moment(value: Any) -> datetime:
     if isinstance(value, datetime):
         return value
@@ -85,13 +95,16 @@ def cursor_scan(
 
 
 def admit_batch(df: DataFrame, cursor: str, max_records: int, since: Any = None) -> tuple[DataFrame, Offset]:
-    """About ``max_records`` rows, extended to the end of the last run of equal cursors."""
-    rows = cursor_scan(df, cursor, since)
+    """About ``max_records`` rows, extended to the end of the last run of equal cursors.
+
+    Rows without a cursor have no place in that order and are left out, so a run of them cannot hold up the rest.
+    """
     col = F.col(cursor)
-    cut = _head(rows.select(cursor).orderBy(col.asc_nulls_first()).limit(max_records), _largest(cursor).alias("c"))["c"]
+    rows = cursor_scan(df, cursor, since).filter(col.isNotNull())
+    cut = _head(rows.select(cursor).orderBy(col).limit(max_records), _largest(cursor).alias("c"))["c"]
     if cut is None:
-        return rows.filter(col.isNull()), {} if since is None else {"cursor": text_of(since)}
-    return rows.filter(col.isNull() | (col <= bound(df, cursor, cut))), {"cursor": cut}
+        return rows.limit(0), {} if since is None else {"cursor": text_of(since)}
+    return rows.filter(col <= bound(df, cursor, cut)), {"cursor": cut}
 
 
 def keyset_scan(
@@ -105,33 +118,34 @@ def keyset_scan(
     """Rows strictly after the ``(cursor, tiebreak)`` pair of the offset, in that order, up to ``cap``.
 
     Without a unique tie-break column rows sharing a cursor could be lost between batches, so its
-    absence, and a null in it, is an error.
+    absence, and a null in it, is an error. Text cursors that are times are compared as moments.
     """
     if not tiebreak:
         raise ValueError("keyset_scan needs a unique tie-break column; read the table as a snapshot instead")
     start = offset or {}
     c, t = F.col(cursor), F.col(tiebreak)
+    place, limit = cursor_key(df, cursor, c), lambda value: cursor_key(df, cursor, bound(df, cursor, value))
     rows = df.filter(c.isNotNull())
     if cap is not None:
-        rows = rows.filter(c <= bound(df, cursor, cap))
+        rows = rows.filter(place <= limit(cap))
     if start.get("cursor") is not None:
-        low = bound(df, cursor, start["cursor"])
+        low = limit(start["cursor"])
         if start.get("tiebreak") is not None:
-            rows = rows.filter((c > low) | ((c == low) & (t > bound(df, tiebreak, start["tiebreak"]))))
+            rows = rows.filter((place > low) | ((place == low) & (t > bound(df, tiebreak, start["tiebreak"]))))
         else:
-            rows = rows.filter(c > low)
+            rows = rows.filter(place > low)
     batch = rows.select(cursor, tiebreak)
     if max_records is not None:
-        batch = batch.orderBy(c, t).limit(max_records)
-    last = F.max_by(F.struct(c.cast("string").alias("c"), t.cast("string").alias("t")), F.struct(c, t)).alias("last")
+        batch = batch.orderBy(place, t).limit(max_records)
+    last = F.max_by(F.struct(c.cast("string").alias("c"), t.cast("string").alias("t")), F.struct(place.alias("c"), t)).alias("last")
     seen = _head(batch, last, F.count_if(t.isNull()).alias("bad"), F.count(F.lit(1)).alias("n"))
     if seen["bad"]:
         raise ValueError(f"tie-break column {tiebreak} holds nulls")
     if not seen["n"]:
         return rows.limit(0), dict(start)
     end_c, end_t = seen["last"]["c"], seen["last"]["t"]
-    top = bound(df, cursor, end_c)
-    inside = rows.filter((c < top) | ((c == top) & (t <= bound(df, tiebreak, end_t))))
+    top = limit(end_c)
+    inside = rows.filter((place < top) | ((place == top) & (t <= bound(df, tiebreak, end_t))))
     return inside, {"cursor": end_c, "tiebreak": end_t}
 
 
@@ -304,6 +318,15 @@ def plan_time_partitions(
     return starts.filter(F.col("lower") < last).select("lower", F.least(F.col("lower") + step, last).alias("upper"))
 
 
+def with_slice(df: DataFrame, cursor: str, start: Any, end: Any, days: int = 1, lookback_minutes: int = 0) -> DataFrame:
+    """Rows of ``(start, end]`` with the ``lower`` end of their slice of :func:`plan_time_partitions`, by arithmetic on the row."""
+    low = F.lit(text_of(_moment(start) - timedelta(minutes=lookback_minutes))).cast("timestamp_ntz")
+    at, width = F.unix_micros(F.col(cursor).cast("timestamp_ntz").cast("timestamp")), int(days) * 86_400_000_000
+    number = F.floor((at - F.unix_micros(low.cast("timestamp")) - 1) / width)
+    inside = df.filter((F.col(cursor) > low) & (F.col(cursor) <= F.lit(text_of(end)).cast("timestamp_ntz")))
+    return inside.withColumn("lower", low + F.make_dt_interval(days=(number * int(days)).cast("int")))
+
+
 def in_slice(cursor: str, lower: Any, upper: Any) -> Column:
     """``{lower TO upper]``: the lower end is outside, the upper end inside; a null end is open."""
     col = F.col(cursor)
@@ -321,11 +344,12 @@ def balance_bins(df: DataFrame, weight: str, order: str, n: int) -> DataFrame:
 
 
 def full_list_refresh(df: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> tuple[DataFrame, Offset]:
-    """Everything again, replacing rows of the target by key; the offset is a fixed marker."""
+    """Everything again, replacing rows of the target by key; of a key listed twice the larger row hash stays. The offset is a fixed marker."""
+    fresh = one_per_key(df, keys)
     if target is None:
-        return df, {"done": "true"}
-    kept = join_on(target, df.select(*keys), keys, "left_anti")
-    return kept.unionByName(df), {"done": "true"}
+        return fresh, {"done": "true"}
+    kept = join_on(target, fresh.select(*keys), keys, "left_anti")
+    return kept.unionByName(fresh), {"done": "true"}
 
 
 def assert_newer(df: DataFrame, cursor: str, since: Any) -> None:

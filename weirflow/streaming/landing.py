@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.contracts import SpecError, TableContract, TablePlan, resolve, validate_spec
 from weirflow.operators.changes import (
-    DELETED, VersionedTable, append, scd1, scd2_apply, scd2_state, snapshot_scd1, snapshot_scd2, visible,
+    DELETED, VersionedTable, one_per_key, scd1, scd2_apply, scd2_state, snapshot_scd1, snapshot_scd2, visible,
 )
 from weirflow.sources.incremental import keyed_watermarks
 
@@ -38,7 +38,7 @@ class UpsertTable:
     """Keyed state as a base plus one small frame per batch, merged when read.
 
     A batch writes only its own rows (one per key), not the whole target; every ``compact_every``
-    batches the base is written anew.
+    batches the base is written anew, and the frames it then holds are emptied.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str], compact_every: int = 20):
@@ -72,7 +72,10 @@ class UpsertTable:
         best = scd1(None, batch, self.keys, self.seq)
         best.write.mode("overwrite").parquet(f"{self.path}/delta/_batch={batch_id}")
         if (batch_id + 1) % self.compact_every == 0:
+            held = self.base.version()
             self.base.replace(self.state(), batch_id)
+            for done in range(0 if held is None else held + 1, batch_id + 1):
+                best.limit(0).write.mode("overwrite").parquet(f"{self.path}/delta/_batch={done}")
 
 
 def upsert_stream(stream: DataFrame, target: UpsertTable, checkpoint: str) -> None:
@@ -131,24 +134,32 @@ Reader = Callable[[], "tuple[DataFrame, DataFrame | None]"]
 
 
 def land_table(spark: SparkSession, plan: TablePlan, read: Reader, root: str, version: int) -> DataFrame:
-    """One table of a run: pick the way to land it by its ingestion and history type, and write it."""
-    store = VersionedTable(spark, f"{root}/{plan.destination}")
+    """One table of a run: pick the way to land it by its ingestion and history type, and write it.
+
+    An append adds a folder of new files, a keyed table one frame of its changes; neither rewrites what earlier
+    runs wrote, and a run that is repeated writes its own folder again. Snapshots and histories are written anew.
+    """
+    path = f"{root}/{plan.destination}"
     rows, deletes = read()
-    now = store.read()
     keys, seq, kind = list(plan.primary_keys), plan.sequence_by, plan.ingestion_type
     history = plan.scd_type == "SCD_TYPE_2"
     if kind == "append":
-        out = append(now, rows)
-    elif kind == "snapshot":
+        rows.write.mode("overwrite").parquet(f"{path}/rows/_run={version}")
+        return spark.read.option("mergeSchema", "true").option("basePath", f"{path}/rows").parquet(f"{path}/rows").drop("_run")
+    if kind != "snapshot" and not history:
+        target = UpsertTable(spark, path, keys, [seq])
+        target.apply(rows.withColumn(DELETED, F.lit(False)) if deletes is None else with_deletes(rows, deletes), version)
+        return target.read()
+    store = VersionedTable(spark, path)
+    now = store.read()
+    if kind == "snapshot":
         if history:
-            first = rows.select("*", F.lit(version).cast("bigint").alias("__START_AT"), F.lit(None).cast("bigint").alias("__END_AT"))
+            first = one_per_key(rows, keys).select("*", F.lit(version).cast("bigint").alias("__START_AT"), F.lit(None).cast("bigint").alias("__END_AT"))
             out = first if now is None else snapshot_scd2(now, rows, keys, F.lit(version))
         else:
-            out = rows if now is None else snapshot_scd1(now, rows, keys)[0]
-    elif history:
-        out = scd2_state(rows, keys, seq, deletes) if now is None else scd2_apply(now, rows, keys, seq, deletes)
+            out = one_per_key(rows, keys) if now is None else snapshot_scd1(now, rows, keys)[0]
     else:
-        out = scd1(now, rows, keys, [seq], deletes)
+        out = scd2_state(rows, keys, seq, deletes) if now is None else scd2_apply(now, rows, keys, seq, deletes)
     store.replace(out, version, plan.cluster_by)
     landed = store.read()
     return visible(landed) if DELETED in landed.columns else landed
