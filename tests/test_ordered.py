@@ -30,9 +30,9 @@ def df(spark):
 
 
 def test_chunks_bound_a_hot_key(df, small_chunks):
-    cuts = split_points(df, "t")
+    cuts = split_points(df, ["t", "i"])
     assert len(cuts) > 5
-    biggest = with_chunk(df, "t", cuts).groupBy("k", CHUNK).count().agg(F.max("count")).head()[0]
+    biggest = with_chunk(df, ["t", "i"], cuts).groupBy("k", CHUNK).count().agg(F.max("count")).head()[0]
     assert biggest < 100
 
 
@@ -70,6 +70,23 @@ def test_running_and_position(df, small_chunks):
     assert got == want
 
 
+def test_equal_heads_are_split(spark, small_chunks):
+    data = [("k", 7, f"the-same-long-prefix-{i:05d}") for i in range(400)]
+    df = spark.createDataFrame(data, "k string, t int, name string")
+    for order in (["name"], ["t", "name"]):
+        cuts = split_points(df, order)
+        assert len(cuts) > 5
+        assert with_chunk(df, order, cuts).groupBy(CHUNK).count().agg(F.max("count")).head()[0] < 120
+        assert [r["p"] for r in with_position(df, ["k"], order, "p").orderBy("name").collect()] == list(range(1, 401))
+
+
+def test_null_and_decimal_order(spark, small_chunks):
+    data = [(None if i % 50 == 0 else f"{i % 37}.{i % 10}", i) for i in range(300)]
+    df = spark.createDataFrame(data, "d string, i int").select(F.col("d").cast("decimal(10,2)"), "i")
+    placed = with_position(df, [], ["d", "i"], "p").orderBy("d", "i").collect()
+    assert [r["p"] for r in placed] == list(range(1, 301))
+
+
 def test_order_by_text_and_time(spark, small_chunks):
     data = [("k", f"{i % 97:03d}-{i:04d}") for i in range(300)]
     df = spark.createDataFrame(data, "k string, t string")

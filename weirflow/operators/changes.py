@@ -83,7 +83,7 @@ def _versions(changes: DataFrame, keys: Sequence[str], seq: str, cuts: list) ->
 def scd2_state(changes: DataFrame, keys: Sequence[str], seq: str, deletes: DataFrame | None = None) -> DataFrame:
     """History as kept on disk: versions, and marked deletes and repeats."""
     rows = _tagged_changes(changes, deletes)
-    return _versions(rows, keys, seq, split_points(rows, seq))
+    return _versions(rows, keys, seq, split_points(rows, [seq]))
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], seq: str, deletes: DataFrame | None = None) -> DataFrame:
@@ -102,7 +102,8 @@ def scd2_apply(
     touched = rows.select(*keys).distinct()
     old = join_on(state, touched, keys, "left_semi").drop(END, REPEAT).withColumnRenamed(START, seq)
     both = rows.unionByName(old, allowMissingColumns=True)
-    rebuilt = _versions(both, keys, seq, split_points(both, seq))
+    # The changes tell where the cuts lie; the join above is not run for them.
+    rebuilt = _versions(both, keys, seq, split_points(rows, [seq]))
     return join_on(state, touched, keys, "left_anti").unionByName(rebuilt.select(*state.columns))
 
 

@@ -1,11 +1,11 @@
 """Order-dependent steps that stay balanced when one key holds a large part of the rows.
 
-A window partitioned by key alone puts a hot key into one task. Here the rows of every key are
-cut along the order column into chunks; a first step works inside (key, chunk), a second one
-works on one summary row per (key, chunk) and carries values over the chunk borders. The cuts
-are global quantiles, so a (key, chunk) group holds at most about ``rows / chunks`` rows (plus
-rows equal in the order column), and a key has at most ``chunks`` summary rows. Callers that take
-several such steps over one order column look the cuts up once and pass them on.
+A window partitioned by key alone puts a hot key, or a table without key, into one task. Here the rows
+of every key are cut into chunks along the whole order tuple; a first step works inside (key, chunk), a
+second one works on one summary row per (key, chunk) and carries values over the chunk borders. The cuts
+are global quantiles, as many as the rows need, so a (key, chunk) group holds at most about ``rows /
+chunks`` rows and a key has at most one summary row per chunk. Only rows equal in every order column stay
+together. Callers that take several such steps over one order look the cuts up once and pass them on.
 """
 
 from __future__ import annotations
@@ -16,55 +16,46 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window as W
 
 CHUNK = "_chunk"
-MAX_CHUNKS = 1024
 ROWS_PER_CHUNK = 2_000_000
+SAMPLES_PER_CHUNK = 100
 
 
-def rank_proxy(df: DataFrame, name: str) -> Column:
-    """A number that never decreases as ``name`` grows; equal values give equal numbers."""
-    kind = df.schema[name].dataType
-    col = F.col(f"`{name}`")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("long")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("long")
-    if isinstance(kind, T.BooleanType):
-        return col.cast("int")
-    return col
+def split_points(df: DataFrame, order: Sequence[str]) -> list[tuple]:
+    """Ascending cuts, tuples of ``order``: one chunk for every ``spark.weirflow.rowsPerChunk`` rows (2 million unless
+    set), and two for every task slot at least.
 
+    A sample fixed by row hash is dealt over as many range partitions as there are to be chunks; their smallest
+    tuples are the cuts, so nothing but the cuts reaches the driver.
+    """
+    spark = df.sparkSession
+    limit = int(spark.conf.get("spark.weirflow.rowsPerChunk", str(ROWS_PER_CHUNK)))
+    n = df.count()
+    wanted = max(2 * spark.sparkContext.defaultParallelism, -(-n // limit))
+    rows = df.select(*order).filter(F.pmod(F.xxhash64(*order), F.lit(max(1, n // (wanted * SAMPLES_PER_CHUNK)))) == 0)
+    dealt = rows.repartitionByRange(wanted, *order).select(F.spark_partition_id().alias("p"), F.struct(*order).alias("t"))
+    least = dealt.groupBy("p").agg(F.min("t").alias("t")).select(*[_shown(f, F.col("t")[f.name]) for f in rows.schema.fields], "t").orderBy("t")
+    return [tuple(r)[:-1] for r in least.collect()][1:]
 
-def split_points(df: DataFrame, name: str) -> list:
-    """Ascending cut values from one partially aggregated pass over one column.
 
-    There are none for a frame of at most ``spark.weirflow.rowsPerChunk`` rows (2 million unless
-    set): one task can hold any of its keys, and a plain window is the better plan.
-    """
-    limit = int(df.sparkSession.conf.get("spark.weirflow.rowsPerChunk", str(ROWS_PER_CHUNK)))
-    steps = [i / MAX_CHUNKS for i in range(1, MAX_CHUNKS)]
-    found = df.select(rank_proxy(df, name).alias("p")).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("p", steps, 10 * MAX_CHUNKS).alias("q")
-    ).head()
-    wanted = min(MAX_CHUNKS, -(-found["n"] // limit))
-    if wanted <= 1 or not found["q"]:
-        return []
-    return sorted({found["q"][i * MAX_CHUNKS // wanted - 1] for i in range(1, wanted)})
+def _shown(field: T.StructField, col: Column) -> Column:
+    """Times and decimals travel as text, which keeps them exact whatever the time zone of the driver."""
+    plain = isinstance(field.dataType, (T.IntegralType, T.FloatType, T.DoubleType, T.StringType, T.BooleanType, T.BinaryType))
+    return (col if plain else col.cast("string")).alias(field.name)
 
 
-def with_chunk(df: DataFrame, name: str, cuts: list) -> DataFrame:
-    """Add ``_chunk``: the number of cut values at or below ``name`` (null sorts first)."""
-    proxy = F.col("_proxy")
+def with_chunk(df: DataFrame, order: Sequence[str], cuts: list[tuple]) -> DataFrame:
+    """Add ``_chunk``: the number of cuts at or below the row, found by bisection (null sorts first)."""
+    if not cuts:
+        return df.withColumn(CHUNK, F.lit(0))
+    kinds = [df.schema[c].dataType for c in order]
+    lists = [F.array(*[F.lit(v).cast(k) for v in column]) for column, k in zip(zip(*cuts), kinds)]
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
 
-    def pick(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(proxy < F.lit(cuts[mid]), pick(low, mid)).otherwise(pick(mid + 1, high))
+    def beyond(at: Column) -> Column:
+        return F.struct(*[F.get(x, at).alias(c) for x, c in zip(lists, order)]) <= F.col("_place")
 
-    chunk = F.when(proxy.isNull(), F.lit(-1)).otherwise(pick(0, len(cuts)))
-    return df.withColumn("_proxy", rank_proxy(df, name)).withColumn(CHUNK, chunk).drop("_proxy")
+    found = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when((at + step <= len(cuts)) & beyond(at + step - 1), at + step).otherwise(at))
+    return df.withColumn("_place", F.struct(*order)).withColumn(CHUNK, found).drop("_place")
 
 
 def _join_back(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,13 +80,10 @@ def with_neighbour(
     cuts: list | None = None,
 ) -> DataFrame:
     """Add each of ``values`` taken from the next (or previous) row of the same key."""
-    cuts = split_points(df, order[0]) if cuts is None else cuts
+    cuts = split_points(df, order) if cuts is None else cuts
     packed = df.withColumn("_pack", F.struct(*[v.alias(n) for n, v in values.items()]))
     pick, step = (F.min_by, F.lead) if ahead else (F.max_by, F.lag)
-    if not cuts:
-        near = packed.withColumn("_near", step("_pack").over(W.partitionBy(*keys).orderBy(*order)))
-        return near.select(*df.columns, *[F.col("_near")[n].alias(n) for n in values])
-    rows = with_chunk(packed, order[0], cuts)
+    rows = with_chunk(packed, order, cuts)
     place = F.struct(*order)
     edges = rows.groupBy(*keys, CHUNK).agg(pick("_pack", place).alias("_edge"))
     edges = edges.select(*keys, CHUNK, step("_edge").over(W.partitionBy(*keys).orderBy(CHUNK)).alias("_carry"))
@@ -114,7 +102,7 @@ def with_fill(
     cuts: list | None = None,
 ) -> DataFrame:
     """Add each value as last seen non-null at or before the row (``ahead``: first at or after it)."""
-    cuts = split_points(df, order[0]) if cuts is None else cuts
+    cuts = split_points(df, order) if cuts is None else cuts
     # Looking ahead is looking back over the reversed order: a frame that grows, not one that shrinks.
     line = [F.col(c).desc() if ahead else F.col(c).asc() for c in order]
 
@@ -123,9 +111,7 @@ def with_fill(
             W.partitionBy(*groups).orderBy(*line).rowsBetween(W.unboundedPreceding, 0)
         )
 
-    if not cuts:
-        return df.select(*df.columns, *[last(v, keys).alias(n) for n, v in values.items()])
-    rows = with_chunk(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]), order[0], cuts)
+    rows = with_chunk(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]), order, cuts)
     place = F.struct(*order)
     pick = F.min_by if ahead else F.max_by
     edges = rows.groupBy(*keys, CHUNK).agg(
@@ -147,12 +133,9 @@ def with_running(
     cuts: list | None = None,
 ) -> DataFrame:
     """Add running sums per key up to and including the row."""
-    cuts = split_points(df, order[0]) if cuts is None else cuts
+    cuts = split_points(df, order) if cuts is None else cuts
     zero = F.lit(0)
-    if not cuts:
-        whole = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.select(*df.columns, *[F.coalesce(F.sum(v).over(whole), zero).alias(n) for n, v in sums.items()])
-    rows = with_chunk(df.select("*", *[v.alias(f"_v_{n}") for n, v in sums.items()]), order[0], cuts)
+    rows = with_chunk(df.select("*", *[v.alias(f"_v_{n}") for n, v in sums.items()]), order, cuts)
     edges = rows.groupBy(*keys, CHUNK).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     side = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     edges = edges.select(*keys, CHUNK, *[F.sum(f"_t_{n}").over(side).alias(f"_c_{n}") for n in sums])

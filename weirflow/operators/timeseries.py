@@ -63,7 +63,7 @@ def ts_interpolate(df: DataFrame, tag: str, ts: str, value: str, start: Any, end
     grid = blocks.select("tag", F.explode(F.sequence(F.col("_b") * per, F.least((F.col("_b") + 1) * per, F.lit(points)) - 1)).alias("_n"))
     grid = grid.select("tag", (F.col("_n").cast("bigint") * size + low).alias("t"))
     line = data.withColumn("_grid", F.lit(False)).unionByName(grid.withColumn("_grid", F.lit(True)), allowMissingColumns=True)
-    cuts = split_points(line, "t")
+    cuts = split_points(line, ["t", "_grid"])
     sample = F.when(~F.col("_grid"), F.struct("t", "v"))
     line = with_fill(line, ["tag"], ["t", "_grid"], {"_before": sample}, cuts=cuts)
     # A sample on the grid point itself sorts before it going forward; going back it is the one before.
