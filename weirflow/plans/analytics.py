@@ -195,7 +195,58 @@ def _(spark, sf):
 """)
 def _(spark, sf):
     args = rp.preset("events_summary")
-    return _report(table(spark, sf, "events"), args["dims"], args["metrics"]).withColumn("date", F.col("date").cast("string"))
+    return _report(table(spark, sf, "events"), args["dimensions"], args["metrics"]).withColumn("date", F.col("date").cast("string"))
+
+
+def _preset(spark, sf, name, **options):
+    ev = rp.with_visits(table(spark, sf, "events"))
+    dims = _dims() | {"newVsReturning": F.when(F.col("visit.first"), "new").otherwise("returning"), "pagePath": F.concat(F.lit("/"), F.col("event_type")), "pageTitle": F.col("event_type")}
+    got = rp.run_preset(ev, name, dims, rp.event_metrics() | rp.visit_metrics(), "ts", "2024-01-28", **options)
+    return got.withColumn("date", F.col("date").cast("string"))
+
+
+VISITS = """
+    WITH e AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 1800000000 THEN 0 ELSE 1 END AS o FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    n AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM e),
+    f AS (SELECT user_id, no, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6 AS seconds, count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type IN ('purchase', 'signup')) AS keys FROM n GROUP BY ALL),
+    v AS (SELECT n.*, seconds, (seconds > 10 OR views > 1 OR keys > 0) AS engaged FROM n JOIN f USING (user_id, no) WHERE ts >= TIMESTAMP '{start}' AND ts < TIMESTAMP '2024-01-29')
+"""
+
+
+@query("agg_2_preset_user_retention", VISITS.format(start="2023-12-29") + """
+    SELECT 'default' AS property_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, CASE WHEN no = 1 THEN 'new' ELSE 'returning' END AS "newVsReturning", count(DISTINCT user_id) AS "activeUsers",
+           count(DISTINCT (user_id, no)) AS sessions, round(count(DISTINCT CASE WHEN engaged THEN (user_id, no) END) / count(DISTINCT (user_id, no)), 9) AS "engagementRate"
+    FROM v GROUP BY ALL
+""")
+def _(spark, sf):
+    return _preset(spark, sf, "user_retention").withColumn("engagementRate", F.round("engagementRate", 9))
+
+
+@query("agg_2_preset_page_performance", VISITS.format(start="2024-01-17") + """
+    , d AS (SELECT CAST(ts AS DATE) AS day, event_type, user_id, no, any_value(seconds) AS seconds, any_value(engaged) AS engaged, count(*) FILTER (event_type = 'view') AS views FROM v GROUP BY ALL)
+    SELECT 'default' AS property_id, CAST(day AS VARCHAR) AS date, '/' || event_type AS "pagePath", event_type AS "pageTitle", CAST(sum(views) AS BIGINT) AS "screenPageViews",
+           round(sum(seconds) / count(*), 5) AS "averageSessionDuration", round(1 - count(*) FILTER (engaged) / count(*), 9) AS "bounceRate"
+    FROM d GROUP BY ALL
+""")
+def _(spark, sf):
+    got = _preset(spark, sf, "page_performance", last_date="2024-01-20")
+    return got.withColumns({"averageSessionDuration": F.round("averageSessionDuration", 5), "bounceRate": F.round("bounceRate", 9)})
+
+
+@query("agg_2_preset_purchase_journey", """
+    SELECT 'default' AS property_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS "eventName", count(DISTINCT user_id) AS "activeUsers", count(*) AS "eventCount"
+    FROM events WHERE ts >= TIMESTAMP '2023-12-29' AND ts < TIMESTAMP '2024-01-29' GROUP BY ALL
+""")
+def _(spark, sf):
+    return _preset(spark, sf, "purchase_journey")
+
+
+@query("agg_2_preset_checkout_journey", """
+    SELECT 'default' AS property_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS "eventName", count(DISTINCT user_id) AS "activeUsers", count(*) AS "eventCount"
+    FROM events WHERE ts >= TIMESTAMP '2024-01-22' AND ts < TIMESTAMP '2024-01-29' GROUP BY ALL
+""")
+def _(spark, sf):
+    return _preset(spark, sf, "checkout_journey", start_date="6daysAgo")
 
 
 @query("agg_3_union_sources", """
