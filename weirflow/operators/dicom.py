@@ -26,29 +26,32 @@ def tag_value(obj: Column, tag: str, path: str, kind: str) -> Column:
     return F.coalesce(*[F.try_variant_get(obj, f"$['{t}'].{path}", kind) for t in dict.fromkeys((tag.upper(), tag.lower()))])
 
 
+#: One parse gives every tag its kind and values; numbers and objects come as their JSON text.
+ENTRIES = "map<string, struct<vr: string, Value: array<string>>>"
+
+
 def _text(entry: Column) -> Column:
     """The first value; of a person name the first written form that is there."""
-    part = lambda path: F.try_variant_get(entry, f"$.{path}", "string")
-    forms = [F.nullif(part(f"Value[0].{f}"), F.lit("")) for f in PERSON_FORMS]
-    first = part("Value[0]")
+    first = F.get(entry["Value"], F.lit(0))
+    forms = [F.nullif(F.get_json_object(first, f"$.{f}"), F.lit("")) for f in PERSON_FORMS]
     plain = F.when(~first.startswith("{"), first)
-    return F.when(part("vr") == "PN", F.coalesce(*forms, plain)).otherwise(first)
+    return F.when(entry["vr"] == "PN", F.coalesce(*forms, plain)).otherwise(first)
 
 
 def _column(entry: Column, name: str) -> Column:
     if name.endswith("*"):
-        return F.try_variant_get(entry, "$.Value", "array<string>").alias(name[:-1])
+        return entry["Value"].alias(name[:-1])
     plain, _, kind = name.partition(":")
     if kind:
-        return F.floor(F.try_variant_get(entry, "$.Value[0]", "string").try_cast("double")).try_cast(kind).alias(plain)
+        return F.floor(F.get(entry["Value"], F.lit(0)).try_cast("double")).try_cast(kind).alias(plain)
     return _text(entry).alias(plain)
 
 
 def dicom_table(df: DataFrame, col: str, tags: dict[str, str]) -> DataFrame:
     """DICOM JSON text as one row of columns; a tag without value is null."""
     rest = [c for c in df.columns if c != col]
-    rows = df.select(*rest, F.try_parse_json(F.col(col)).alias("_v"))
-    cased = lambda t: [F.try_variant_get("_v", f"$['{x}']", "variant") for x in dict.fromkeys((t.upper(), t.lower()))]
+    rows = df.select(*rest, F.from_json(F.col(col), ENTRIES).alias("_v"))
+    cased = lambda t: [F.try_element_at("_v", F.lit(x)) for x in dict.fromkeys((t.upper(), t.lower()))]
     rows = rows.select(*rest, *[F.coalesce(*cased(t)).alias(f"_{t}") for t in tags])
     return rows.select(*rest, *[_column(F.col(f"_{t}"), n) for t, n in tags.items()])
 

@@ -273,10 +273,11 @@ def _sep(i: int) -> Column:
 
 
 def _original(text: Column, marks: str = MARKS) -> Column:
-    """Marks back to the message's own characters."""
+    """Marks back to the message's own characters; a text without any is left alone."""
+    own = text
     for mark in marks:
-        text = F.replace(text, F.lit(mark), _sep(MARKS.index(mark) + 1))
-    return text
+        own = F.replace(own, F.lit(mark), _sep(MARKS.index(mark) + 1))
+    return F.when(text.rlike(f"[{marks}]"), own).otherwise(text)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -326,7 +327,8 @@ def segments(messages: DataFrame, kind: str) -> DataFrame:
     """The lines of one segment type: ordinal in the message, raw line, fields plain and decoded."""
     name = kind.upper()
     kind_of = lambda x: F.upper(F.trim(F.call_function("substring_index", x, _sep(1), F.lit(1))))
-    found = F.filter(F.split("message", "\r"), lambda x: kind_of(x) == name)
+    starts = lambda x: F.upper(F.substring(F.ltrim(x), 1, len(name))) == name
+    found = F.filter(F.split("message", "\r"), lambda x: starts(x) & (kind_of(x) == name))
     keep = [c for c in messages.columns if c != "message"]
     rows = messages.select(*keep, F.posexplode(found).alias("_no", "raw_segment"))
     rows = rows.withColumn("_line", _marked(F.col("raw_segment")))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weirflow.operators.keys import join_on
+from weirflow.operators.keys import each_between, join_on
 from weirflow.operators.ordered import with_fill
 from weirflow.sources.incremental import bound
 
@@ -80,7 +80,8 @@ def overlap_pairs(
     """Every frame with every span it overlaps; a frame without end is still going on.
 
     Both sides are laid on time buckets and joined by bucket. A pair that shares several buckets is
-    taken only in the first one they share, so nothing has to be made distinct.
+    taken only in the first one they share, so nothing has to be made distinct. The join has no order to keep, so
+    adaptive execution splits a bucket in which very many frames or spans lie.
     """
     size = bucket_seconds * 1_000_000
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
@@ -91,9 +92,9 @@ def overlap_pairs(
     left = frames.withColumns({
         "_fa": F.greatest(micros(frame[0]), low), "_fb": F.least(F.coalesce(micros(frame[1]), high), high),
     }).filter(F.col("_fa") <= F.col("_fb"))
-    left = left.withColumn("_f1", slot(F.col("_fa"))).withColumn("_slot", F.explode(F.sequence("_f1", slot(F.col("_fb")))))
+    left = each_between(left.withColumn("_f1", slot(F.col("_fa"))), F.col("_f1"), slot(F.col("_fb")), "_slot")
     right = spans.withColumns({"_sa": micros(span[0]), "_sb": micros(span[1])}).withColumn("_s1", slot(F.col("_sa")))
-    right = right.withColumn("_slot", F.explode(F.sequence("_s1", slot(F.col("_sb")))))
+    right = each_between(right, F.col("_s1"), slot(F.col("_sb")), "_slot")
     same = (F.col("_fa") <= F.col("_sb")) & (F.col("_fb") >= F.col("_sa")) & (F.col("_slot") == F.greatest("_f1", "_s1"))
     return left.join(right, "_slot").filter(same).select(*frames.columns, *spans.columns)
 

@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.functions.scalars import as_bool, try_float
+from weirflow.operators.keys import each_between
 from weirflow.operators.ordered import split_points, with_fill, with_neighbour
 from weirflow.sources.incremental import bound, text_of
 
@@ -107,7 +108,7 @@ def _weighted(df: DataFrame, tag: str, ts: str, value: str, low: int, high: int,
     if size is None:
         return held.select("tag", F.lit(low).alias("bucket"), "v", ((F.col("b") - F.col("a")) / 1_000_000).alias("w"))
     number = lambda c: F.floor((c - low) / F.lit(size))
-    parts = held.select("tag", "v", "a", "b", F.explode(F.sequence(number(F.col("a")), number(F.col("b") - 1))).alias("n"))
+    parts = each_between(held, number(F.col("a")), number(F.col("b") - 1), "n")
     left = F.col("n") * size + low
     inside = F.least(F.col("b"), left + size) - F.greatest(F.col("a"), left)
     return parts.select("tag", left.alias("bucket"), "v", (inside / 1_000_000).alias("w"))
