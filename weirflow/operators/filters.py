@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.contracts import SpecError
+from weirflow.functions.scalars import shape_of
 
 # The comparison names.
 OPERATORS = ("eq", "ne", "gt", "gte", "lt", "lte", "in")
@@ -46,7 +47,9 @@ def condition(schema: T.StructType, path: str, op: str, raw: str) -> Column:
         raise SpecError(f"unknown operator {op}")
     col, kind = F.col(path), _type_at(schema, path)
     if op == "in":
-        return F.coalesce(col.cast("string").isin([c.strip() for c in raw.split(",")]), F.lit(False))
+        # Typed values, so that the test reaches the scan; those that do not fit the column match nothing.
+        fit = [v for c in raw.split(",") if (v := _literal(c.strip(), kind)) is not None]
+        return F.coalesce(col.isin(*fit), F.lit(False)) if fit else F.lit(False)
     value = _literal(raw, kind)
     if value is None:
         return col.isNull() if op == "ne" else F.lit(False)
@@ -148,3 +151,20 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for df in frames[1:]:
         out = out.unionByName(df, allowMissingColumns=True)
     return out
+
+
+def record_fields(df: DataFrame, col: str) -> DataFrame:
+    """Top-level fields of JSON records as ``(field, type)``: the shapes a field has over all rows, nulls left out."""
+    entries = F.map_entries(F.try_variant_get(F.try_parse_json(F.col(col)), "$", "map<string,variant>"))
+    rows = df.select(F.explode(entries).alias("e")).select(F.col("e.key").alias("field"), shape_of(F.col("e.value")).alias("shape"))
+    known = F.array_sort(F.collect_set(F.when(F.col("shape") != "null", F.col("shape"))))
+    return rows.groupBy("field").agg(F.nullif(F.array_join(known, "|"), F.lit("")).alias("type"))
+
+
+def field_diff(live: DataFrame, expected: DataFrame) -> DataFrame:
+    """Per field ``missing``, ``extra``, ``changed`` or ``common``; both sides are ``(field, type)`` rows, a null type fits any."""
+    a, b = live.alias("a"), expected.alias("b")
+    same = F.coalesce(F.col("a.type") == F.col("b.type"), F.lit(True))
+    kind = F.when(F.col("a.field").isNull(), "missing").when(F.col("b.field").isNull(), "extra").when(same, "common").otherwise("changed")
+    both = a.join(b, F.col("a.field") == F.col("b.field"), "full_outer")
+    return both.select(F.coalesce("a.field", "b.field").alias("field"), kind.alias("status"), F.col("b.type").alias("expected_type"), F.col("a.type").alias("live_type"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from weirflow.operators.filters import field_diff
 from weirflow.operators.keys import join_on
 from weirflow.session import cut_lineage
 from weirflow.sources.incremental import bound
@@ -128,6 +129,11 @@ def uncovered_fields(df: DataFrame, col: str, schema: T.StructType) -> DataFrame
     return seen.filter(test)
 
 
+def shape_drift(live: DataFrame, expected: DataFrame) -> DataFrame:
+    """What a source lost or changed against the fields it had: missing fields and changed types."""
+    return field_diff(live, expected).filter(F.col("status").isin("missing", "changed"))
+
+
 def write_read_back(before: DataFrame, written: DataFrame, after: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
     """Faults of a write: keys that cannot be read back, and counts that did not grow as they should."""
     lost = join_on(written.select(*keys), after.select(*keys), keys, "left_anti").agg(F.count(F.lit(1)).alias("n"))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirflow.contracts import TableContract
 from weirflow.functions.scalars import parse_hl7_dtm
 from weirflow.operators import explode as ex, filters as fl, shaping as sh
+from weirflow.operators.quality import shape_drift
 from weirflow.plans.registry import query, table
 
 
@@ -323,6 +323,35 @@ def _(spark, sf):
     return table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("id")).distinct()
 
 
+def _drifted(spark, sf):
+    """Event records before and after a day on which ids became text, one kind went and new fields came."""
+    ev = table(spark, sf, "events")
+    kind, user = F.concat(F.lit("t_"), F.col("event_type")), F.concat(F.lit("u_"), F.col("user_id") % 5)
+    pair = lambda name, value: F.concat(F.lit('"'), name, F.lit('":'), value)
+    record = lambda *pairs: F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+    number = F.coalesce(F.col("value").cast("decimal(18,3)").cast("string"), F.lit("null"))
+    before = ev.filter("ts < timestamp_ntz'2024-01-15'").select(record(pair(F.lit("id"), F.col("event_id").cast("string")), pair(kind, number)).alias("r"))
+    after = ev.filter("ts >= timestamp_ntz'2024-01-15' AND event_type <> 'error'").select(record(pair(F.lit("id"), F.concat(F.lit('"e'), F.col("event_id"), F.lit('"'))), pair(kind, number), pair(user, F.lit("1"))).alias("r"))
+    return fl.record_fields(after, "r"), fl.record_fields(before, "r")
+
+
+@query("set_3_field_diff", """
+    SELECT DISTINCT 'id' AS field, 'changed' AS status FROM events
+    UNION ALL SELECT DISTINCT 't_' || event_type, CASE WHEN event_type = 'error' THEN 'missing' ELSE 'common' END FROM events
+    UNION ALL SELECT DISTINCT 'u_' || (user_id % 5), 'extra' FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND event_type <> 'error'
+""")
+def _(spark, sf):
+    return fl.field_diff(*_drifted(spark, sf)).select("field", "status")
+
+
+@query("dq_7_shape_drift", """
+    SELECT DISTINCT 'id' AS field, 'str' AS live_type, 'int' AS expected_type FROM events
+    UNION ALL SELECT DISTINCT 't_' || event_type, NULL, 'float' FROM events WHERE event_type = 'error'
+""")
+def _(spark, sf):
+    return shape_drift(*_drifted(spark, sf)).select("field", "live_type", "expected_type")
+
+
 # --- generators ----------------------------------------------------------------------------
 
 

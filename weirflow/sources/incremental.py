@@ -124,8 +124,11 @@ def keyset_scan(
         raise ValueError("keyset_scan needs a unique tie-break column; read the table as a snapshot instead")
     start = offset or {}
     c, t = F.col(cursor), F.col(tiebreak)
-    place, limit = cursor_key(df, cursor, c), lambda value: cursor_key(df, cursor, bound(df, cursor, value))
-    rows = df.filter(c.isNotNull())
+    limit = lambda value: cursor_key(df, cursor, bound(df, cursor, value))
+    rows, place = df.filter(c.isNotNull()), c
+    if isinstance(df.schema[cursor].dataType, T.StringType):
+        # One-element explode: the filters below use the key made here instead of making it each anew.
+        rows, place = rows.select("*", F.explode(F.array(cursor_key(df, cursor, c))).alias("_place")), F.col("_place")
     if cap is not None:
         rows = rows.filter(place <= limit(cap))
     if start.get("cursor") is not None:
@@ -134,19 +137,19 @@ def keyset_scan(
             rows = rows.filter((place > low) | ((place == low) & (t > bound(df, tiebreak, start["tiebreak"]))))
         else:
             rows = rows.filter(place > low)
-    batch = rows.select(cursor, tiebreak)
+    batch = rows.select(cursor, tiebreak, place.alias("_key"))
     if max_records is not None:
-        batch = batch.orderBy(place, t).limit(max_records)
-    last = F.max_by(F.struct(c.cast("string").alias("c"), t.cast("string").alias("t")), F.struct(place.alias("c"), t)).alias("last")
+        batch = batch.orderBy("_key", t).limit(max_records)
+    last = F.max_by(F.struct(c.cast("string").alias("c"), t.cast("string").alias("t")), F.struct(F.col("_key"), t)).alias("last")
     seen = _head(batch, last, F.count_if(t.isNull()).alias("bad"), F.count(F.lit(1)).alias("n"))
     if seen["bad"]:
         raise ValueError(f"tie-break column {tiebreak} holds nulls")
     if not seen["n"]:
-        return rows.limit(0), dict(start)
+        return rows.limit(0).select(*df.columns), dict(start)
     end_c, end_t = seen["last"]["c"], seen["last"]["t"]
     top = limit(end_c)
     inside = rows.filter((place < top) | ((place == top) & (t <= bound(df, tiebreak, end_t))))
-    return inside, {"cursor": end_c, "tiebreak": end_t}
+    return inside.select(*df.columns), {"cursor": end_c, "tiebreak": end_t}
 
 
 def peek_bounds(df: DataFrame, cursor: str) -> DataFrame:
