@@ -118,9 +118,8 @@ def _row(count: np.ndarray, lower: np.ndarray) -> np.ndarray:
 class Model:
     """Frozen code lengths: ``state`` of a context (three classes), ``cost[state, class, language]`` in nats."""
 
-    def __init__(self, found: list[tuple[str, int, int]]) -> None:
-        self.languages = sorted({r[0] for r in found})
-        code, n = np.array([r[1] for r in found], np.int64), np.array([r[2] for r in found], np.int64)
+    def __init__(self, lang: list[str], code: np.ndarray, n: np.ndarray) -> None:
+        self.languages = sorted(set(lang))
         digits = np.stack([code // KINDS**k % KINDS for k in range(ORDER + 1)], axis=1)
         used = np.unique(np.append(digits.ravel(), 0))
         #: Classes never seen share the last place.
@@ -128,7 +127,7 @@ class Model:
         self.place = np.full(256, len(used), np.uint8)
         self.place[used] = np.arange(len(used))
         digits = self.place[digits].astype(np.int64)
-        which = np.searchsorted(self.languages, [r[0] for r in found])
+        which = np.searchsorted(self.languages, lang)
         a = self.kinds
         short, full = digits[:, 1] + a * digits[:, 2], digits[:, 1] + a * digits[:, 2] + a * a * digits[:, 3]
         bytes_in = np.zeros((len(self.languages), a**3), np.int64)
@@ -167,8 +166,8 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model | None
     counts = cut_lineage(quadruples(docs, lang, text), "quadruples")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     kept = counts.join(totals, "lang").filter(F.col("n") >= F.col("total") * LEAST_SHARE).select("lang", "code", "n")
-    found = [tuple(r) for r in kept.collect()]
-    return Model(found) if found else None
+    found = kept.toArrow()
+    return Model(found.column("lang").to_pylist(), found.column("code").to_numpy(), found.column("n").to_numpy()) if found.num_rows else None
 
 
 def identify(docs: DataFrame, model: Model | None, text: Column) -> Column:

@@ -264,14 +264,14 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out:
     counts = cut_lineage(word_counts(cut, least(WORD_SHARE)), "counts")
     v = counts.filter("owner").count() + (n_docs > 0)
     # Bounded: at most 1 / WORD_SHARE words and 1 / PAIR_SHARE pairs.
-    frequent = [(bytes(r.word), r.c) for r in counts.filter("word IS NOT NULL").select("word", "c").collect()]
-    codes = {w: i for i, w in enumerate(sorted(w for w, c in frequent if c >= least(PAIR_WORD_SHARE)))}
-    pairs = np.array([tuple(r) for r in pair_counts(cut, codes, least(PAIR_SHARE)).collect()], np.int64).reshape(-1, 2)
-    coded = hashes(sorted(codes))
-    of = np.array([c for _, c in frequent], np.int64)
-    words = Filter(hashes([w for w, _ in frequent]), of, least(WORD_SHARE))
-    both = pair_hashes(coded[pairs[:, 0] // max(1, len(codes))], coded[pairs[:, 0] % max(1, len(codes))]) if len(pairs) else np.zeros(0, np.uint64)
-    model = Model(words, Filter(both, pairs[:, 1], least(PAIR_SHARE)), n, v, n_docs, least(PAIR_WORD_SHARE))
+    told = counts.filter("word IS NOT NULL").select("word", "c").toArrow()
+    frequent, of = told.column("word").to_pylist(), told.column("c").to_numpy()
+    codes = {w: i for i, w in enumerate(sorted(w for w, c in zip(frequent, of) if c >= least(PAIR_WORD_SHARE)))}
+    pairs = pair_counts(cut, codes, least(PAIR_SHARE)).toArrow()
+    pair, coded, many = pairs.column("pair").to_numpy(), hashes(sorted(codes)), max(1, len(codes))
+    words = Filter(hashes(frequent), of, least(WORD_SHARE))
+    both = pair_hashes(coded[pair // many], coded[pair % many]) if len(pair) else np.zeros(0, np.uint64)
+    model = Model(words, Filter(both, pairs.column("n").to_numpy(), least(PAIR_SHARE)), n, v, n_docs, least(PAIR_WORD_SHARE))
     model.rest = max(0.0, n - n_docs - float(of.sum())) / max(1, v + 1 - len(frequent))
     shared = spark.sparkContext.broadcast(model)
 

@@ -86,7 +86,8 @@ HARD_TURN = "\\### Assistant: </turn> ok"
 @query
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-7, 0, "user", HARD_TURN), (-7, 1, "assistant", HARD_TURN)], turns.schema)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, F.lit(HARD_TURN).alias("text"))
     written = cut_lineage(chat.format_conversations(turns.unionByName(extra)), "chat")
     parsed = written.withColumn("turns", chat.parse_turns(F.col("formatted"))).select(
         "conv_id", "formatted", "examples", F.size("turns").cast("long").alias("n_turns"), F.length("formatted").cast("long").alias("formatted_chars"),
