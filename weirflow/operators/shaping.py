@@ -230,47 +230,75 @@ def either_shape(record: Column, fields: Sequence[str]) -> list[Column]:
 
 # --- kind-dependent envelope ---------------------------------------------------------------
 
-# Columns of each kind of record. A plain name is text, ``#`` marks a number, ``{}``
-# JSON text; ``path>column`` renames.
+# Columns of each kind of record as (path, column, type).
 KIND_COLUMNS = {
     "master-data--Wellbore": (
-        "FacilityID FacilityName FacilityTypeID WellID KickOffWellboreID StatusSummary TargetFormation "
-        "FacilityNameAliases{} FacilityOperators{} VerticalMeasurements{} SpatialLocation{} GeoContexts{} "
-        "DrillingReasons{} InitialCompletion{} ExtensionProperties{}"
+        ("FacilityID", "FacilityID", "text"),
+        ("FacilityName", "FacilityName", "text"),
+        ("FacilityTypeID", "FacilityTypeID", "text"),
+        ("WellID", "WellID", "text"),
+        ("KickOffWellboreID", "KickOffWellboreID", "text"),
+        ("StatusSummary", "StatusSummary", "text"),
+        ("TargetFormation", "TargetFormation", "text"),
+        ("FacilityNameAliases", "FacilityNameAliases_json", "json"),
+        ("FacilityOperators", "FacilityOperators_json", "json"),
+        ("VerticalMeasurements", "VerticalMeasurements_json", "json"),
+        ("SpatialLocation", "SpatialLocation_json", "json"),
+        ("GeoContexts", "GeoContexts_json", "json"),
+        ("DrillingReasons", "DrillingReasons_json", "json"),
+        ("InitialCompletion", "InitialCompletion_json", "json"),
+        ("ExtensionProperties", "ExtensionProperties_json", "json"),
     ),
     "master-data--Reservoir": (
-        "ReservoirID ReservoirName ReservoirType ReservoirDescription FieldID BasinID FormationID FluidTypeID "
-        "DepthTopMD# DepthBaseMD# DepthTopTVD# DepthBaseTVD# GrossThickness# NetPayThickness# PorosityAverage# "
-        "WaterSaturationAverage# PermeabilityHorizontal# PermeabilityVertical# InitialReservoirPressure# "
-        "ReservoirTemperature# GeoContexts{} NameAliases{} ExtensionProperties{}"
+        ("ReservoirID", "ReservoirID", "text"),
+        ("ReservoirName", "ReservoirName", "text"),
+        ("ReservoirType", "ReservoirType", "text"),
+        ("ReservoirDescription", "ReservoirDescription", "text"),
+        ("FieldID", "FieldID", "text"),
+        ("BasinID", "BasinID", "text"),
+        ("FormationID", "FormationID", "text"),
+        ("FluidTypeID", "FluidTypeID", "text"),
+        ("DepthTopMD", "DepthTopMD", "number"),
+        ("DepthBaseMD", "DepthBaseMD", "number"),
+        ("DepthTopTVD", "DepthTopTVD", "number"),
+        ("DepthBaseTVD", "DepthBaseTVD", "number"),
+        ("GrossThickness", "GrossThickness", "number"),
+        ("NetPayThickness", "NetPayThickness", "number"),
+        ("PorosityAverage", "PorosityAverage", "number"),
+        ("WaterSaturationAverage", "WaterSaturationAverage", "number"),
+        ("PermeabilityHorizontal", "PermeabilityHorizontal", "number"),
+        ("PermeabilityVertical", "PermeabilityVertical", "number"),
+        ("InitialReservoirPressure", "InitialReservoirPressure", "number"),
+        ("ReservoirTemperature", "ReservoirTemperature", "number"),
+        ("GeoContexts", "GeoContexts_json", "json"),
+        ("NameAliases", "NameAliases_json", "json"),
+        ("ExtensionProperties", "ExtensionProperties_json", "json"),
     ),
     "master-data--Sample": (
-        "SampleAcquisition.SampleAcquisitionJobID SampleAcquisition.SampleAcquisitionTypeID "
-        "SampleAcquisition.SampleAcquisitionContainerID SampleAcquisition.AcquisitionStartDate "
-        "SampleAcquisition.AcquisitionEndDate SampleAcquisition.CollectionServiceCompanyID "
-        "SampleAcquisition.HandlingServiceCompanyID SampleAcquisition.SampleAcquisitionDetail.WellboreID "
-        "SampleAcquisition.SampleAcquisitionDetail.ToolKind SampleAcquisition.SampleAcquisitionDetail.RunNumber "
-        "SampleAcquisition.SampleAcquisitionDetail.TopDepth# SampleAcquisition.SampleAcquisitionDetail.BaseDepth# "
-        "SampleAcquisition.SampleAcquisitionDetail.FormationCondition.Pressure#>FormationPressure "
-        "SampleAcquisition.SampleAcquisitionDetail.FormationCondition.Temperature#>FormationTemperature "
-        "SampleAcquisition{} ExtensionProperties{}"
+        ("SampleAcquisition.SampleAcquisitionJobID", "SampleAcquisitionJobID", "text"),
+        ("SampleAcquisition.SampleAcquisitionTypeID", "SampleAcquisitionTypeID", "text"),
+        ("SampleAcquisition.SampleAcquisitionContainerID", "SampleAcquisitionContainerID", "text"),
+        ("SampleAcquisition.AcquisitionStartDate", "AcquisitionStartDate", "text"),
+        ("SampleAcquisition.AcquisitionEndDate", "AcquisitionEndDate", "text"),
+        ("SampleAcquisition.CollectionServiceCompanyID", "CollectionServiceCompanyID", "text"),
+        ("SampleAcquisition.HandlingServiceCompanyID", "HandlingServiceCompanyID", "text"),
+        ("SampleAcquisition.SampleAcquisitionDetail.WellboreID", "WellboreID", "text"),
+        ("SampleAcquisition.SampleAcquisitionDetail.ToolKind", "ToolKind", "text"),
+        ("SampleAcquisition.SampleAcquisitionDetail.RunNumber", "RunNumber", "text"),
+        ("SampleAcquisition.SampleAcquisitionDetail.TopDepth", "TopDepth", "number"),
+        ("SampleAcquisition.SampleAcquisitionDetail.BaseDepth", "BaseDepth", "number"),
+        ("SampleAcquisition.SampleAcquisitionDetail.FormationCondition.Pressure", "FormationPressure", "number"),
+        ("SampleAcquisition.SampleAcquisitionDetail.FormationCondition.Temperature", "FormationTemperature", "number"),
+        ("SampleAcquisition", "SampleAcquisition_json", "json"),
+        ("ExtensionProperties", "ExtensionProperties_json", "json"),
     ),
 }
 
 
-def _kind_columns(data: Column, spec: str) -> list[tuple[str, Column]]:
-    out = []
-    for item in spec.split():
-        path, _, name = item.partition(">")
-        plain = path.rstrip("#{}")
-        name = name or plain.split(".")[-1]
-        if path.endswith("{}"):
-            out.append((f"{name}_json", F.to_json(F.try_variant_get(data, variant_path(plain), "variant"))))
-        elif path.endswith("#"):
-            out.append((name, try_float(get_path(data, plain))))
-        else:
-            out.append((name, coerce_str(get_path(data, plain))))
-    return out
+def _kind_value(data: Column, path: str, kind: str) -> Column:
+    if kind == "json":
+        return F.to_json(F.try_variant_get(data, variant_path(path), "variant"))
+    return try_float(get_path(data, path)) if kind == "number" else coerce_str(get_path(data, path))
 
 
 def kind_projection(df: DataFrame, col: str, kinds: Sequence[str] | None = None) -> DataFrame:
@@ -292,8 +320,8 @@ def kind_projection(df: DataFrame, col: str, kinds: Sequence[str] | None = None)
     data = F.try_variant_get(raw, "$.data", "variant")
     for kind in kinds or KIND_COLUMNS:
         mine = F.contains(F.coalesce(text("kind"), F.lit("")), F.lit(kind))
-        for name, value in _kind_columns(data, KIND_COLUMNS[kind]):
-            only = F.when(mine, value)
+        for path, name, shape in KIND_COLUMNS[kind]:
+            only = F.when(mine, _kind_value(data, path, shape))
             cols[name] = F.coalesce(cols[name], only) if name in cols else only
     rest = [c for c in df.columns if c != col and c not in cols]
     return rows.select(*rest, *[v.alias(k) for k, v in cols.items()])
