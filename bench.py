@@ -21,7 +21,7 @@ HEADLINE = (
 )
 
 
-LONG_SECONDS = 8
+LONG_SECONDS = 5
 
 
 def main() -> None:
