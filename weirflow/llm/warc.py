@@ -5,9 +5,10 @@ cut: the first record carries segment number 1, each further one is a continuati
 origin id, and the last states the total length. Of pages with equal payloads of ``DEDUP_BYTES`` or more, that
 with the smallest id is a response and the others are revisit records that refer to it.
 
-Archives are plain text-file writes and reads of Spark. A file is read in splits of any size: records are found
-by their version line, which a body cannot hold, because the writer ends a chunk inside it. Content-Length,
-segment numbers, total length, chunk sizes and digest are all verified; ``intact`` tells whether they held.
+Archives are text-file writes and reads of Spark, compressed or not; a file that is not is read in splits of any
+size. Records are found by their version line, which a body cannot hold, because the writer ends a chunk inside it.
+Content-Length, segment numbers, total length, chunk sizes and digest are all verified; ``intact`` tells whether
+they held.
 
 Null html is an empty payload. A null id is written as no id and read back as null; it is never the one referred
 to unless all copies lack an id, which are then all responses. Rows that repeat the smallest id of a payload are
@@ -87,12 +88,14 @@ def records(name: str, page: str | None, url: str | None, payload: bytes, digest
         yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{name}/{i}>"), ("WARC-Segment-Origin-ID", f"<urn:page:{name}>"), ("WARC-Segment-Number", str(i)), *last], part)
 
 
-def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", segment_bytes: int = 32 << 10) -> None:
+def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", segment_bytes: int = 32 << 10, compression: str = "gzip") -> None:
     """Write the pages as archives below ``path``, one file or more per task."""
     rows = pages.select(
         F.col(f"`{page_id}`").alias("page"), F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
     copies = rows.filter(F.octet_length("payload") >= DEDUP_BYTES).groupBy("digest").agg(F.min("page").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "least")
+    # Written first, so that the join below knows its size and shuffles the pages only if copies are many.
+    copies = cut_lineage(copies, "copies")
     told = rows.join(copies, "digest", "left").select(
         F.monotonically_increasing_id().alias("row"), F.col("page").cast("string").alias("page"), "url", "payload", "digest",
         F.when(~F.col("page").eqNullSafe(F.col("least")), F.col("least").cast("string")).alias("refers"),
@@ -111,7 +114,7 @@ def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: st
                     out, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    told.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").text(path)
+    told.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").text(path, compression=compression)
 
 
 HEAD = re.compile(rb"([A-Za-z0-9-]+):[ \t]*(.*?)\r\n")
