@@ -308,6 +308,35 @@ def test_lm_base_scores_and_counts(documents, rows):
     assert all(-1e9 < r.score < 0 for r in got)
 
 
+def test_lm_tells_rare_words_and_pairs(spark, monkeypatch):
+    """A word seen twice and a pair seen once are scored as such, however many other tokens there are, and by any number of parts."""
+    fill = [(i, " ".join(f"f{j}" for j in range(i % 7, 997, 2)), False) for i in range(2200)]
+    rows = [*fill, (-1, "alpha beta", False), (-2, "alpha gamma", False), (-3, "alpha beta", True), (-4, "alpha delta", True), (-5, "delta alpha", True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3, "doc_id")
+    c, pairs = Counter(), Counter()
+    for _, t, _ in [r for r in rows if not r[2]]:
+        c.update(ws := t.split())
+        pairs.update(zip(ws, ws[1:]))
+    n, v, n_docs = sum(c.values()) + len(fill) + 2, len(c) + 1, len(fill) + 2
+    assert n > 1_000_000 and c["alpha"] == 2 and pairs["alpha", "beta"] == 1
+    about = lambda k: 2 ** ((math.floor(2 * math.log2(k)) + 0.5) / 2) if k else 0.0
+    alone = lambda k: (k + 0.1) / (n + 0.1 * (v + 1))
+
+    def want(ws):
+        p = [alone(about(c[w])) for w in ws]
+        for i in range(1, len(ws)):
+            if c[ws[i - 1]]:
+                p[i] = 0.5 * p[i] + 0.5 * min(about(pairs[ws[i - 1], ws[i]]) / about(c[ws[i - 1]]), 1)
+        return sum(map(math.log10, p)) + math.log10(alone(n_docs))
+
+    for least in (1, 256):
+        monkeypatch.setattr(lm, "LEAST_PARTS", least)
+        got = {r.doc_id: r.score for r in lm.score(docs).collect()}
+        few = [r for r in rows if r[0] < 0 or r[0] % 100 == 0]
+        assert all(abs(got[d] / want(t.split()) - 1) < 5e-3 for d, t, _ in few)  # now and then a step too high
+        assert abs(got[-3] - want(["alpha", "beta"])) < 1e-6 and got[-3] > got[-4] + 2
+
+
 def test_filter_gives_counts_back():
     rng = np.random.default_rng(4)
     grams, counts = rng.integers(0, 1 << 63, 20_000).astype(np.uint64), rng.zipf(1.4, 20_000).clip(1, 10**9) * 5

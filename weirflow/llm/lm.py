@@ -2,14 +2,15 @@
 
 Documents are first cut into chunks of some megabytes: distinct words once, and every document as places in that
 list. Words of all chunks are summed by a shuffle, which gives each chunk the exact corpus count of its words
-back. The filter holds words and word pairs: a count goes in as its logarithm, an n-gram being entered once for
-each step up to it, so that asking step by step until one is missing reads the count back, never too low and
-seldom too high. Workers get the filter by broadcast and ask it for every n-gram of a text.
+back. The filter holds every word and every pair of neighbouring words of the training rows, however rare: a count
+goes in as its logarithm, an n-gram being entered once for each step up to it, so that asking step by step until one
+is missing reads the count back, never too low and seldom too high.
 
-Its size is bounded: words from ``WORD_SHARE`` of all training tokens on and pairs of words from ``PAIR_WORD_SHARE``
-on that make up ``PAIR_SHARE`` themselves, so at most one over these shares of each, at any size of the corpus. A
-pair cannot be more frequent than its words, so no pair beyond the shares is missed. What the filter does not hold
-shares the probability that is left.
+The filter grows with the input, so it is split by hash range: every chunk sends its distinct n-grams, with how often
+it learns from each, to the part that owns their hash; a task sums them, builds that part with a fixed number of bits
+an entry, asks it, and sends one byte per n-gram back. There are as many parts as the measured tokens need for
+``PART_GRAMS`` n-grams each, so a part is bounded at any size of the corpus and nothing of them is broadcast or
+brought to the driver.
 
 A text's tokens are its words and one end. Null and empty texts have the end alone. A null id counts as the empty
 text in the choice of training rows, so such rows are held out. Repeated rows count each. An empty table gives an
@@ -18,6 +19,7 @@ empty result; other columns play no part.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +33,8 @@ from weirflow.llm.common import remainder, strings
 from weirflow.session import cut_lineage
 
 CHUNK_BYTES = 12 << 20
-WORD_SHARE = 1e-6
-PAIR_WORD_SHARE = 1e-4
-PAIR_SHARE = 2e-6
+#: N-grams that all chunks together send to one part of the filter, about; parts at least, so that tasks are even.
+PART_GRAMS, LEAST_PARTS = 2 << 20, 256
 #: Steps of the quantised logarithm per doubling.
 STEPS = 2
 BITS_PER_ENTRY, PROBES = 16, 3
@@ -125,9 +126,8 @@ class _Chunk:
         return out
 
 
-def word_counts(cut: DataFrame, least: int) -> DataFrame:
-    """(chunk, place, c, owner, word): the corpus count of every word of every chunk. One chunk that learns from a word
-    owns it, and names it if its count reaches ``least``."""
+def word_counts(cut: DataFrame) -> DataFrame:
+    """(chunk, place, c, owner): the corpus count of every word of every chunk. One chunk that learns from a word owns it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,37 +138,8 @@ def word_counts(cut: DataFrame, least: int) -> DataFrame:
 
     rows = cut.select("chunk", "held", "n_words", "words", "places").mapInArrow(run, "chunk long, place int, word binary, n long")
     by = Window.partitionBy("word")
-    summed = rows.select("chunk", "place", "word", F.sum("n").over(by).alias("c"), F.min(F.when(F.col("n") > 0, F.col("chunk"))).over(by).alias("first"))
-    owner = F.coalesce(F.col("first") == F.col("chunk"), F.lit(False))
-    return summed.select("chunk", "place", "c", owner.alias("owner"), F.when(owner & (F.col("c") >= least), F.col("word")).alias("word"))
-
-
-def pair_counts(cut: DataFrame, codes: dict[bytes, int], least: int) -> DataFrame:
-    """(pair, n) of neighbouring words that both have a code, in documents learned from, from ``least`` on."""
-    shared, many = cut.sparkSession.sparkContext.broadcast(codes), max(1, len(codes))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, codes = [], shared.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = _Chunk(row)
-                own = np.array([codes.get(w, -1) for w in c.words] or [-1], np.int64)[c.places]
-                both = (own[1:] >= 0) & (own[:-1] >= 0) & ~c.starts[1:] & c.learned[1:]
-                kinds, n = np.unique(own[:-1][both] * many + own[1:][both], return_counts=True)
-                held.append((kinds, n))
-                if len(held) > 8:
-                    held = [_merge(held)]
-        if held:
-            kinds, n = _merge(held)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n.astype(np.int64))], ["pair", "n"])
-
-    rows = cut.select("chunk", "held", "n_words", "words", "places").mapInArrow(run, "pair long, n long")
-    return rows.groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-
-
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    kinds, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return kinds, np.bincount(where, np.concatenate([p[1] for p in parts]), len(kinds)).astype(np.int64)
+    summed = rows.select("chunk", "place", F.sum("n").over(by).alias("c"), F.min(F.when(F.col("n") > 0, F.col("chunk"))).over(by).alias("first"))
+    return summed.select("chunk", "place", "c", F.coalesce(F.col("first") == F.col("chunk"), F.lit(False)).alias("owner"))
 
 
 # The filter
@@ -189,6 +160,11 @@ def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0x9E3779B97F4A7C15) + b + np.uint64(1))
 
 
+def told(steps: np.ndarray, least: int = 1) -> np.ndarray:
+    """The count in the middle of each step."""
+    return np.where(steps > 0, least * 2.0 ** ((steps - 0.5) / STEPS), 0.0)
+
+
 class Filter:
     """Log-frequency Bloom filter: n-grams by hash, each entered at every step up to the logarithm of its count."""
 
@@ -208,8 +184,8 @@ class Filter:
         for i in range(PROBES):
             yield (a + np.uint64(i) * b) & (self.size - np.uint64(1))
 
-    def ask(self, grams: np.ndarray) -> np.ndarray:
-        """The count each n-gram was entered with, to within a step; 0 for those not held."""
+    def steps(self, grams: np.ndarray) -> np.ndarray:
+        """The step up to which each n-gram was entered; 0 for those not held."""
         steps, left = np.zeros(len(grams), np.int64), np.arange(len(grams))
         for step in range(1, self.most + 1):
             there = np.ones(len(left), bool)
@@ -219,76 +195,157 @@ class Filter:
             if not len(left):
                 break
             steps[left] = step
-        return np.where(steps > 0, self.least * 2.0 ** ((steps - 0.5) / STEPS), 0.0)
+        return steps
+
+    def ask(self, grams: np.ndarray) -> np.ndarray:
+        """The count each n-gram was entered with, to within a step; 0 for those not held."""
+        return told(self.steps(grams), self.least)
+
+
+# Its parts
+
+#: Low bits of a hash that name an n-gram within a part, and the bytes they take; the bits above choose the part.
+NAME_BITS, NAME_BYTES = 40, 5
+
+
+#: Words that are looked at together where whole columns would take much memory.
+BLOCK = 1 << 17
+
+
+class _Grams:
+    """The distinct words and pairs of a chunk: hashes, times learned from, and their order by part of the filter."""
+
+    def __init__(self, c: _Chunk, parts: int) -> None:
+        word, self.many = hashes(c.words), max(1, len(c.words))
+        #: The words that have one before them.
+        self.after = (np.flatnonzero(~c.starts[1:]) + 1).astype(np.int32 if len(c.places) < 1 << 31 else np.int64) if len(c.places) else np.zeros(0, np.int32)
+        keys = self.keys(c, self.after)
+        keys <<= 1
+        keys += c.learned[self.after]
+        keys.sort()
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), (keys[1:] ^ keys[:-1]) > 1)))
+        self.kinds = keys[first] >> 1
+        keys &= 1
+        n = np.add.reduceat(keys, first) if len(first) else first
+        del keys, first
+        self.n = np.concatenate((np.bincount(c.places[c.learned], minlength=len(word)), n)).astype("<u4")
+        self.hash = np.concatenate((word, np.zeros(len(self.kinds), np.uint64)))
+        for at in range(0, len(self.kinds), BLOCK):
+            kinds = self.kinds[at : at + BLOCK]
+            self.hash[len(word) + at : len(word) + at + len(kinds)] = pair_hashes(word[kinds // self.many], word[kinds % self.many])
+        part = ((self.hash >> np.uint64(NAME_BITS)) * np.uint64(parts) >> np.uint64(64 - NAME_BITS)).astype(np.uint16 if parts <= 1 << 16 else np.int32)
+        # By part, then by count, so that counts are long runs when compressed; stable, so that every task finds the same order.
+        by = np.argsort(np.minimum(self.n, (1 << 16) - 1).astype(np.uint16), kind="stable").astype(np.int32)
+        self.order, sizes = by[np.argsort(part[by], kind="stable")], np.bincount(part)
+        self.parts = np.flatnonzero(sizes)
+        self.upto = [0, *np.cumsum(sizes[self.parts]).tolist()]
+
+    def keys(self, c: _Chunk, after: np.ndarray) -> np.ndarray:
+        out = c.places[after - 1].astype(np.int64)
+        out *= self.many
+        out += c.places[after]
+        return out
+
+
+def filter_steps(cut: DataFrame, parts: int) -> DataFrame:
+    """(chunk, part, steps): a byte for each n-gram of a chunk, as the part of the filter that owns it tells."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                g, chunk = _Grams(_Chunk(batch.slice(at, 1).to_pylist()[0]), parts), batch.column("chunk")[at].as_py()
+                names = g.hash[g.order].astype("<u8").view("u1").reshape(-1, 8)[:, :NAME_BYTES]
+                n, cuts, own = g.n[g.order], list(zip(g.upto, g.upto[1:])), g.parts.astype(np.int32)
+                del g
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(cuts), chunk, np.int64)), pa.array(own),
+                    pa.array([names[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([n[a:b].tobytes() for a, b in cuts], pa.binary()),
+                ], ["chunk", "part", "names", "n"])
+                del names, n
+                pa.default_memory_pool().release_unused()
+
+    def ask(rows: pa.Table) -> pa.Table:
+        sent = rows.column("names").to_pylist()
+        wide = np.zeros((sum(map(len, sent)) // NAME_BYTES, 8), "u1")
+        wide[:, :NAME_BYTES] = np.frombuffer(b"".join(sent), "u1").reshape(-1, NAME_BYTES)
+        grams, where = np.unique(wide.view("<u8").ravel(), return_inverse=True)
+        n = np.bincount(where, np.frombuffer(b"".join(rows.column("n").to_pylist()), "<u4"), len(grams)).astype(np.int64)
+        steps = Filter(grams[n > 0], n[n > 0], 1).steps(grams).astype("u1")[where].tobytes()
+        upto = np.concatenate(([0], np.cumsum([len(x) // NAME_BYTES for x in sent]))).tolist()
+        return pa.table({"chunk": rows.column("chunk"), "part": rows.column("part"), "steps": pa.array([steps[a:b] for a, b in zip(upto, upto[1:])], pa.binary())})
+
+    rows = cut.select("chunk", "held", "n_words", "words", "places").mapInArrow(send, "chunk long, part int, names binary, n binary")
+    return rows.groupBy("part").applyInArrow(ask, "chunk long, part int, steps binary")
 
 
 class Model:
-    """Smoothed probabilities out of the filters; what they do not hold shares the rest evenly."""
+    """Smoothed probabilities out of the counts that the filter tells."""
 
-    def __init__(self, words: Filter, pairs: Filter, n: int, v: int, n_docs: int, pair_least: float) -> None:
-        self.words, self.pairs, self.n, self.v, self.n_docs, self.pair_least = words, pairs, n, v, n_docs, pair_least
-        self.rest = 0.0
+    def __init__(self, n: int, v: int, n_docs: int, parts: int) -> None:
+        self.n, self.v, self.n_docs, self.parts = n, v, n_docs, parts
 
     def single(self, count: np.ndarray) -> np.ndarray:
-        return (np.where(count > 0, count, self.rest) + 0.1) / (self.n + 0.1 * (self.v + 1))
-
-    def score(self, c: _Chunk) -> np.ndarray:
-        """log10 probability of each document: every word after the one before it, and the end."""
-        gram = hashes(c.words)
-        count = self.words.ask(gram)
-        alone = self.single(count)[c.places] if len(c.words) else np.zeros(0)
-        p = alone.copy()
-        common = (count >= self.pair_least)[c.places] if len(c.words) else np.zeros(0, bool)
-        after = np.flatnonzero(common[:-1] & ~c.starts[1:]) + 1 if len(c.places) else np.zeros(0, np.int64)
-        both = after[common[after]]
-        a, b = c.places[both - 1], c.places[both]
-        kinds, where = np.unique(a.astype(np.int64) * max(1, len(c.words)) + b, return_inverse=True)
-        found = self.pairs.ask(pair_hashes(gram[kinds // max(1, len(c.words))], gram[kinds % max(1, len(c.words))])) if len(kinds) else np.zeros(0)
-        told = np.minimum(found[where] / np.maximum(count[a], 1), 1.0) if len(kinds) else np.zeros(0)
-        p[after] = (1 - PAIR_WEIGHT) * alone[after]
-        p[both] += PAIR_WEIGHT * told
+        return (count + 0.1) / (self.n + 0.1 * (self.v + 1))
+
+    def score(self, c: _Chunk, steps: bytes) -> np.ndarray:
+        """log10 probability of each document: every word after the one before it, and the end; ``steps`` are those of the chunk's n-grams by part."""
+        g = _Grams(c, self.parts)
+        count = np.zeros(len(g.hash))
+        count[g.order] = told(np.arange(256))[np.frombuffer(steps, "u1")]
+        word, pair = count[: len(c.words)], count[len(c.words) :]
+        p = self.single(word)[c.places]
+        for at in range(0, len(g.after), BLOCK):
+            after = g.after[at : at + BLOCK]
+            before = word[c.places[after - 1]]
+            follows = np.minimum(pair[np.searchsorted(g.kinds, g.keys(c, after))] / np.maximum(before, 1), 1.0)
+            p[after] = np.where(before > 0, (1 - PAIR_WEIGHT) * p[after] + PAIR_WEIGHT * follows, p[after])
         end = np.log10((self.n_docs + 0.1) / (self.n + 0.1 * (self.v + 1)))
-        return c.sums(np.log10(p)) + end
+        return c.sums(np.log10(p, out=p)) + end
 
 
 # Scores
 
 
+def _drop_shuffles(df: DataFrame) -> None:
+    """Let Spark remove the shuffle files of plans that are no longer in use, which it does once the driver collects them."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out") -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score per row of ``docs``; rows held out are not learned from."""
-    spark, kind = docs.sparkSession, docs.schema[doc_id].dataType.simpleString()
+    kind = docs.schema[doc_id].dataType.simpleString()
     cut = cut_lineage(chunks(docs, doc_id, text, held_out), "chunks")
-    sums = cut.agg(F.coalesce(F.sum("n_train"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_train_docs"), F.lit(0)).alias("d")).first()
+    sums = cut.agg(F.coalesce(F.sum("n_train"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_train_docs"), F.lit(0)).alias("d"), F.coalesce(F.sum(F.octet_length("places")), F.lit(0)).alias("b")).first()
     n, n_docs = sums["n"], sums["d"]
-    least = lambda share: max(2, int(np.ceil(share * n)))
-    counts = cut_lineage(word_counts(cut, least(WORD_SHARE)), "counts")
+    counts = cut_lineage(word_counts(cut), "counts")
+    _drop_shuffles(cut)
     v = counts.filter("owner").count() + (n_docs > 0)
-    # Bounded: at most 1 / WORD_SHARE words and 1 / PAIR_SHARE pairs.
-    told = counts.filter("word IS NOT NULL").select("word", "c").toArrow()
-    frequent, of = told.column("word").to_pylist(), told.column("c").to_numpy()
-    codes = {w: i for i, w in enumerate(sorted(w for w, c in zip(frequent, of) if c >= least(PAIR_WORD_SHARE)))}
-    pairs = pair_counts(cut, codes, least(PAIR_SHARE)).toArrow()
-    pair, coded, many = pairs.column("pair").to_numpy(), hashes(sorted(codes)), max(1, len(codes))
-    words = Filter(hashes(frequent), of, least(WORD_SHARE))
-    both = pair_hashes(coded[pair // many], coded[pair % many]) if len(pair) else np.zeros(0, np.uint64)
-    model = Model(words, Filter(both, pairs.column("n").to_numpy(), least(PAIR_SHARE)), n, v, n_docs, least(PAIR_WORD_SHARE))
-    model.rest = max(0.0, n - n_docs - float(of.sum())) / max(1, v + 1 - len(frequent))
-    shared = spark.sparkContext.broadcast(model)
+    # A token is four bytes of places, and one word and one pair at most.
+    model = Model(n, v, n_docs, max(LEAST_PARTS, sums["b"] // 4 * 2 // PART_GRAMS))
+    none = lambda kind: F.lit(None).cast(kind)
+    asked = cut_lineage(filter_steps(cut, model.parts), "steps")
+    _drop_shuffles(cut)
+    asked = asked.select("chunk", none("int").alias("place"), none("long").alias("c"), "part", "steps")
+    told_ = counts.select("chunk", "place", "c", none("int").alias("part"), none("binary").alias("steps")).unionByName(asked)
 
     def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        model, out = shared.value, []
+        out, of = [], known.filter(pc.is_valid(known.column("part"))).sort_by("part")
+        steps, known = b"".join(of.column("steps").to_pylist()), known.filter(pc.is_valid(known.column("place")))
         for row in chunk.to_pylist():
             c = _Chunk(row)
+            score = model.score(c, steps)
             corpus = np.zeros(len(c.words), np.int64)
             corpus[known.column("place").to_numpy()] = known.column("c").to_numpy()
             scale = model.n + 0.1 * (model.v + 1)
             base = c.sums(np.log10((corpus + 0.1) / scale)[c.places]) + np.log10((model.n_docs + 0.1) / scale)
             seen = c.sums((corpus > 0).astype(np.int64)[c.places]) + (model.n_docs > 0)
-            out.append(pa.table({"id": chunk.column("doc_ids").combine_chunks()[len(out)].values, "held_out": c.held, "n_tokens": c.n_words + 1, "n_known": seen.astype(np.int64), "base_score": base, "score": model.score(c)}))
+            out.append(pa.table({"id": chunk.column("doc_ids").combine_chunks()[len(out)].values, "held_out": c.held, "n_tokens": c.n_words + 1, "n_known": seen.astype(np.int64), "base_score": base, "score": score}))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
 
     shape = f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    found = cut.select("chunk", "doc_ids", "held", "n_words", "words", "places").groupBy("chunk").cogroup(counts.select("chunk", "place", "c").groupBy("chunk")).applyInArrow(run, shape)
+    found = cut.select("chunk", "doc_ids", "held", "n_words", "words", "places").groupBy("chunk").cogroup(told_.groupBy("chunk")).applyInArrow(run, shape)
     return found.select(F.col("id").alias(doc_id), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
