@@ -262,6 +262,30 @@ def test_structures_are_confirmed():
         assert not any(s[0] == "signed_token" for s in secrets.find(f"a {wrong} b"))
 
 
+def test_keys_are_found_whatever_stands_beside_them():
+    import base64
+    import json
+
+    def tlv(tag, body):
+        return bytes([tag]) + (bytes([len(body)]) if len(body) < 128 else b"\x82" + len(body).to_bytes(2, "big")) + body
+
+    rsa = tlv(0x30, b"".join(tlv(2, b"\x01" * n) for n in (1, 64, 3, 64, 32, 32, 32, 32, 32)))
+    curve = tlv(0x30, tlv(2, b"\x01") + tlv(4, b"\x07" * 32))
+    ssh = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + (1).to_bytes(4, "big") + b"".join(len(x).to_bytes(4, "big") + x for x in (b"p" * 51, b"\xffs" * 68))
+    for key in (rsa, curve, ssh):
+        for kind, body in (("base64_key", base64.b64encode(key).decode()), ("base64_key", base64.urlsafe_b64encode(key).decode().rstrip("=")), ("hex_key", key.hex()), ("hex_key", key.hex().upper())):
+            for before, after in (("PRIVATE_KEY=", "\n"), ('SSH_KEY="', '"'), ("key: '", "'"), ("k:", ","), ('{"k": "\\n', '\\n"}'), ("a\\r\\n", "\\r"), ("x == ", " =="), ("", "")):
+                text = before + body + after
+                assert (kind, len(before), len(before) + len(body)) in [s[:3] for s in secrets.find(text)], text
+                assert secrets.redact(text) == before + "[REDACTED]" + after
+            assert not any(s[0] == kind for s in secrets.find(f"KEY={body[: len(body) // 2]}"))
+        lines = [base64.b64encode(key).decode()[i : i + 64] for i in range(0, len(base64.b64encode(key)), 64)]
+        pem = "\n".join(["-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----", ""])
+        for text in (json.dumps({"private_key": pem}), json.dumps(json.dumps({"private_key": pem})), json.dumps({"private_key": pem}).replace("/", "\\/"), pem.replace("\n", "\\r\\n")):
+            assert any(s[0] == "pem_key" for s in secrets.find(text)), text
+            assert not any(line in secrets.redact(text) for line in lines)
+
+
 def test_language_counts_and_accuracy(spark, documents, rows):
     learned = documents.filter(remainder(F.col("doc_id"), 5) != 0)
     got = {(r.lang, r.code): r.n for r in language.quadruples(learned, "lang", "text").collect()}

@@ -3,7 +3,9 @@
 Three plain patterns give the base spans. Further candidates are reported only once their structure holds:
 base64 or hex that decodes to a private key in DER, whose nested lengths must fill each other exactly, PEM
 blocks around such a key or around length-prefixed OpenSSH fields, and signed tokens whose header decodes to
-JSON that names an algorithm with a signature as long as that algorithm makes it.
+JSON that names an algorithm with a signature as long as that algorithm makes it. What stands beside a key does not
+matter: it may begin anywhere in a run of base64 or hex digits, as after an equals sign, a quote or an escaped line
+break, and ends where its own lengths say. PEM bodies may have their line breaks and slashes escaped.
 
 Spans are half open and count code points. Null and empty texts have none. Spans of one kind never overlap;
 those of different kinds may. Repeated rows are scanned each, a null id stays null, an empty table gives an
@@ -16,6 +18,7 @@ import base64
 import binascii
 import json
 import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,10 +30,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-BASE64_KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])(?:M[A-Z]|b3BlbnNzaC1rZXktdjE)[A-Za-z0-9+/_-]{30,}={0,2}")
-HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{60,}(?![0-9A-Fa-f])")
+TOKEN = re.compile(r"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]++|\\++[nrt/])++)-----END \1-----")
+PEM_GAP = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")
+#: How a key in DER (a sequence with a definite length) or of OpenSSH begins, and the digits that may follow.
+BASE64_START, BASE64_RUN = re.compile(r"(?:M[A-I]|b3BlbnNzaC1rZXktdjE)[A-Za-z0-9+/_-]{30}"), re.compile(r"[A-Za-z0-9+/_-]*")
+HEX_START, HEX_RUN = re.compile(r"(?:30(?:8[1-4]|[0-7][0-9A-Fa-f])|6[Ff]70656[Ee]7373682[Dd]6[Bb]65792[Dd]763100)[0-9A-Fa-f]{50}"), re.compile(r"[0-9A-Fa-f]*")
 
 #: Bytes of a signature by algorithm; None where they depend on the key.
 SIGNATURES = {
@@ -92,10 +97,10 @@ def is_der_key(data: bytes) -> bool:
     return tags == [SEQUENCE, OCTETS] and named(parts[0])
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """Cipher, key derivation, its options, a count, and as many public keys before one private part, all by length."""
+def openssh_size(data: bytes) -> int | None:
+    """Bytes of an OpenSSH key at the start: cipher, key derivation, its options, a count, and as many public keys before one private part, all by length."""
     if not data.startswith(OPENSSH):
-        return False
+        return None
     at, fields, count = len(OPENSSH), 0, None
     while at + 4 <= len(data):
         size = int.from_bytes(data[at : at + 4], "big")
@@ -104,17 +109,57 @@ def is_openssh_key(data: bytes) -> bool:
             count = size
             continue
         if at + size > len(data):
-            return False
+            return None
         at, fields = at + size, fields + 1
         if count is not None and fields == 3 + count + 1:
-            return not any(data[at:])
-    return False
+            return at
+    return None
+
+
+def is_openssh_key(data: bytes) -> bool:
+    """An OpenSSH key and nothing but zeros behind it."""
+    size = openssh_size(data)
+    return size is not None and not any(data[size:])
+
+
+def der_size(head: bytes | None) -> int | None:
+    """Bytes of the sequence that begins so, by its length."""
+    if not head or len(head) < 2 or head[0] != SEQUENCE:
+        return None
+    n = head[1] & 0x7F
+    if not head[1] & 0x80:
+        return 2 + n
+    return 2 + n + int.from_bytes(head[2 : 2 + n], "big") if 1 <= n <= 4 and len(head) >= 2 + n else None
 
 
 def is_key(data: bytes | None) -> bool:
     return data is not None and (is_der_key(data) or is_openssh_key(data))
 
 
+def unhex(text: str) -> bytes:
+    return bytes.fromhex(text[: len(text) & ~1])
+
+
+def keys(text: str, start: re.Pattern, run: re.Pattern, bits: int, decode: Callable[[str], bytes | None]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the keys among digits of ``bits`` bits each; they do not overlap."""
+    at = end = 0
+    while m := start.search(text, at):
+        first, at = m.start(), m.start() + 1
+        if first >= end:
+            end = run.match(text, first).end()
+        digits = lambda size: -(-size * 8 // bits)
+        size = der_size(decode(text[first : first + digits(6)]))
+        if size is None:
+            data = decode(text[first:end]) or decode(text[first : end - 1])
+            size = len(data) if data and is_openssh_key(data) else openssh_size(data or b"")
+        if size is None or first + digits(size) > end:
+            continue
+        to = first + digits(size)
+        if is_key((decode(text[first:to]) or b"")[:size]):
+            yield first, to
+            at = to
+
+
 def is_signed_token(head: str, body: str, mark: str) -> bool:
     first, second, sign = decode64(head), decode64(body), decode64(mark)
     if first is None or second is None or sign is None:
@@ -139,9 +184,13 @@ def find(text: str) -> list[tuple[str, int, int, int]]:
     if "eyJ" in text:
         out += [("signed_token", *m.span(), m.start()) for m in TOKEN.finditer(text) if is_signed_token(*m.groups())]
     if "-----BEGIN" in text:
-        out += [("pem_key", *m.span(), m.start()) for m in PEM.finditer(text) if is_key(decode64("".join(m[2].split())))]
-    out += [("base64_key", *m.span(), m.start()) for m in BASE64_KEY.finditer(text) if is_key(decode64(m[0]))]
-    out += [("hex_key", *m.span(), m.start()) for m in HEX_KEY.finditer(text) if not len(m[0]) % 2 and is_key(bytes.fromhex(m[0]))]
+        out += [("pem_key", *m.span(), m.start()) for m in PEM.finditer(text) if is_key(decode64(PEM_GAP.sub("", m[2])))]
+    for first, end in keys(text, BASE64_START, BASE64_RUN, 6, decode64):
+        most = end + -(end - first) % 4
+        while end < most and text[end : end + 1] == "=":
+            end += 1
+        out.append(("base64_key", first, end, first))
+    out += [("hex_key", first, end, first) for first, end in keys(text, HEX_START, HEX_RUN, 4, unhex)]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
