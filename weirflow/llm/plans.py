@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from weirflow.llm import chat, decontaminate, language, lm, packing, quality_rules, repair, secrets, simhash, warc
+from weirflow.llm import chat, decontaminate, language, lm, merkle, packing, quality_rules, repair, secrets, simhash, warc
 from weirflow.llm.common import remainder
 from weirflow.session import cut_lineage, fresh_path
 
@@ -135,3 +135,50 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(lm.split(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = [F.translate("text", CAPITALS, SMALL) if f == "text" else F.col(f) for f in merkle.FIELDS]
+    found = F.when(remainder(F.col("doc_id"), 3) == 0, merkle.leaf(*tampered))
+    proofs = merkle.manifest(_table(spark, sf_dir, "documents"), carry={"found": found}).proofs()
+    folded = merkle.fold(F.coalesce("found", "digest"), F.col("path")).alias("folded_root")
+    out = proofs.select(F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "crown.subroot", "crown.root", merkle.proof(F.col("path")).alias("proof_sha256"), folded)
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql(deep: int = 8, high: int = 4) -> str:
+    """Trees of up to 8 ** deep leaves a language and 8 ** high languages, a level at a time."""
+    step = "list_reduce(list_prepend(xor(acc, b), range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)"
+    byte_list = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    crc = f"CASE WHEN doc_id IS NULL THEN 0 ELSE xor(list_reduce(list_prepend(4294967295, {byte_list}), lambda acc, b: {step}), 4294967295) END"
+    part = lambda v: f"coalesce(CAST(strlen(CAST({v} AS VARCHAR)) AS VARCHAR) || ':' || CAST({v} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(part(text if f == "text" else f) for f in merkle.FIELDS) + ")"
+    translated = f"translate(text, '{CAPITALS}', '{SMALL}')"
+    parts = [
+        f"d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(translated)} ELSE {leaf('text')} END AS found FROM documents)",
+        "a0 AS (SELECT g, leaf AS h, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n, doc_id, leaf, found FROM d)",
+    ]
+
+    def tree(t: str, levels: int) -> None:
+        for k in range(levels):
+            run = "OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN"
+            parts.append(f"{t}s{k} AS (SELECT g, i, n, coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {t}{k})")
+            parts.append(f"{t}{k + 1} AS (SELECT g, CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE max(h) END AS h, i // 8 AS i, (max(n) + 7) // 8 AS n FROM {t}{k} GROUP BY g, i // 8)")
+
+    tree("a", deep)
+    parts.append(f"b0 AS (SELECT '' AS g, g AS lang, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM a{deep})")
+    tree("b", high)
+    parts.append(f"f0 AS (SELECT a0.doc_id, a0.leaf, a0.g, a0.i, b0.i AS j, b0.h AS subroot, b{high}.h AS root, a0.found AS x, '' AS p FROM a0 JOIN b0 ON a0.g = b0.lang CROSS JOIN b{high})")
+    at = 0
+    for t, key, levels, group in (("a", "i", deep, "f.g = s.g"), ("b", "j", high, "s.g = ''")):
+        for k in range(levels):
+            parts.append(f"f{at + 1} AS (SELECT f.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.l || f.x || s.r) ELSE f.x END AS x, f.p || s.l || s.r AS p) FROM f{at} f JOIN {t}s{k} s ON {group} AND f.{key} // {8 ** k} = s.i)")
+            at += 1
+    return "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, leaf, subroot, root, sha256(p) AS proof_sha256, x AS folded_root, x = root AS verified FROM f{at}"
+
+
+ORACLES["op11_merkle"] = _merkle_sql()
