@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from weirflow.llm import chat, decontaminate, language, lm, merkle, packing, quality_rules, repair, secrets, simhash, warc
+from weirflow.llm import chat, collocations, decontaminate, language, lm, merkle, packing, quality_rules, repair, secrets, simhash, warc
 from weirflow.llm.common import remainder
 from weirflow.session import cut_lineage, fresh_path
 
@@ -182,3 +182,27 @@ def _merkle_sql(deep: int = 8, high: int = 4) -> str:
 
 
 ORACLES["op11_merkle"] = _merkle_sql()
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{CAPITALS}', '{SMALL}') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i : i + m - 1])) AS words FROM w CROSS JOIN (VALUES (1), (2), (3), (4)) s(m)),
+f AS (SELECT lang, words, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE len(words) = 1 GROUP BY lang),
+c AS (SELECT lang, words, f AS a FROM f WHERE len(words) > 1 AND f >= 30),
+k AS (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM c),
+cut AS (SELECT k.lang, k.words, k.a, k.k, h.f AS l, t.f AS r, CAST(CAST(2000000 AS HUGEINT) * k.a // (h.f + t.f) AS BIGINT) AS score
+        FROM k JOIN f h ON h.lang = k.lang AND h.words = k.words[1 : k.k] JOIN f t ON t.lang = k.lang AND t.words = k.words[k.k + 1 :]),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inside AS (SELECT lang, words[i : i + j - 1] AS words, max(a) AS most FROM c CROSS JOIN (VALUES (1), (2), (3)) x(i) CROSS JOIN (VALUES (2), (3)) y(j)
+           WHERE j < len(c.words) AND i + j - 1 <= len(c.words) GROUP BY ALL),
+free AS (SELECT low.lang, array_to_string(low.words, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN inside USING (lang, words) WHERE most IS NULL OR 100 * most < 80 * a)
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM free JOIN n USING (lang)) WHERE rank <= 2000
+"""
