@@ -5,11 +5,11 @@ strings (lead columns w1, w2, ...). Only these windows are counted. Spark's ROLL
 ever shorter prefixes, which gives the count of every phrase of any length, of every word, and of all words of a
 language in one aggregation; prefixes that end in padding are the shorter phrase over again and fall away.
 
-Words are so diverse that most windows occur once. Before counting, a window is padded from the first pair of
-neighbours on that cannot be part of a candidate: pairs are counted in ``2 ** BUCKET_BITS`` buckets by hash, and a pair
-whose whole bucket stays below ``least`` does so itself. Padding there changes no count of ``least`` or more, since every
-pair inside such a phrase is as frequent as the phrase. The table of buckets is the only thing broadcast, a bit for each,
-at any size of the corpus; the larger the corpus the less it spares, with the same results.
+Words are so diverse that most windows occur once. Before counting, a window is padded from the first word on that
+cannot be part of a candidate there: pairs, then triples of pairs that are left, are counted in ``2 ** BUCKET_BITS``
+buckets by hash, and if a whole bucket stays below ``least``, so does all it holds. Padding there changes no count of
+``least`` or more, since every pair and triple inside such a phrase is as frequent as the phrase. A bit for each bucket
+is all that is broadcast, at any size of the corpus; the larger the corpus the less it spares, with the same results.
 
 Text is split into pieces and words, and equal windows of some megabytes of text are summed, in tasks over Arrow
 columns; windows from all tasks meet in one shuffle after Spark's own partial sums, so no frequent word or pair is ever
@@ -34,7 +34,9 @@ from weirflow.session import cut_lineage
 
 LONGEST = 4
 BUCKET_BITS = 27
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
+#: Buckets that a task holds before it hands out their sums.
+HELD = 4 << 20
 
 #: What a byte is: 0 of a word, 1 a blank, 2 the end of a piece.
 KIND = np.zeros(256, np.uint8)
@@ -66,8 +68,7 @@ class Tokens:
         self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         #: Place of the text that each word is in.
         self.text = np.searchsorted(ends[1:], first, "right")
-        breaks = np.cumsum(kind == 2)
-        here = breaks[first] if len(first) else first
+        here = np.searchsorted(np.flatnonzero(kind == 2), first)
         self.follows = np.zeros(len(first), bool)
         if len(first):
             self.follows[:-1] = (here[1:] == here[:-1]) & (self.text[1:] == self.text[:-1])
@@ -79,12 +80,34 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _pairs(t: Tokens, langs: np.ndarray) -> np.ndarray:
-    """Bucket of each word with the next one, whether or not that follows in its piece."""
-    word = np.fromiter((xxhash.xxh64_intdigest(w, 11) for w in strings(t.words)), np.uint64, len(t.words))[t.ids]
-    mixed = word * np.uint64(0x9E3779B97F4A7C15) + langs[t.text]
-    mixed[:-1] += _mix(word[1:])
-    return (_mix(mixed) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+class Runs:
+    """For each word of a block, into which bucket it falls with the words after it, and whether they may be a phrase."""
+
+    def __init__(self, t: Tokens, langs: np.ndarray) -> None:
+        self.word = np.fromiter((xxhash.xxh64_intdigest(w, 11) for w in strings(t.words)), np.uint64, len(t.words))[t.ids]
+        self.state = self.word * np.uint64(0x9E3779B97F4A7C15) + langs[t.text]
+        self.follows, self.size = t.follows, 1
+        #: Places whose ``size`` words are in one piece and may be frequent.
+        self.at = np.arange(len(t.ids), dtype=np.int32)
+        self.possible = np.ones(len(t.ids), bool)
+
+    def longer(self) -> np.ndarray:
+        """Go on to phrases of one word more: those whose two parts without their last and first word are possible; their buckets."""
+        last = self.at + self.size - 1
+        here = last < len(self.follows) - 1
+        self.at, last = self.at[here], last[here]
+        here = self.follows[last] & self.possible[self.at + 1]
+        self.at, last = self.at[here], last[here]
+        self.size += 1
+        self.state[self.at] = _mix(self.state[self.at]) + self.word[last + 1]
+        return (_mix(self.state[self.at]) >> np.uint64(64 - BUCKET_BITS)).astype(np.uint32)
+
+    def keep(self, bucket: np.ndarray, bits: np.ndarray) -> None:
+        """Leave only phrases whose bucket is frequent."""
+        good = (bits[bucket >> np.uint32(3)] >> (bucket & np.uint32(7)).astype(np.uint8) & 1).astype(bool)
+        self.at = self.at[good]
+        self.possible = np.zeros(len(self.follows), bool)
+        self.possible[self.at] = True
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -115,15 +138,33 @@ def _read(block: pa.Table) -> tuple[Tokens, pa.Array, np.ndarray, np.ndarray]:
     return Tokens(block.column("text").combine_chunks()), names, place, hashes[place]
 
 
-def frequent_buckets(rows: DataFrame, least: int) -> np.ndarray:
-    """A bit for each bucket of pairs: whether its pairs occur ``least`` times together."""
+def _sums(buckets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    ordered = np.sort(np.concatenate(buckets))
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    n = np.diff(np.append(first, len(ordered)))
+    for at in range(0, len(first), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(ordered[first[at : at + (1 << 16)]].astype(np.int32)), pa.array(n[at : at + (1 << 16)])], ["bucket", "n"])
+
+
+def frequent_buckets(rows: DataFrame, least: int, shorter: list[np.ndarray]) -> np.ndarray:
+    """A bit for each bucket of phrases one word longer than those of the last of ``shorter``: whether they occur ``least`` times together."""
+    held = rows.sparkSession.sparkContext.broadcast(shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = []
         for block in _blocks(batches):
             t, _, _, hashes = _read(block)
-            bucket, n = np.unique(_pairs(t, hashes)[t.follows], return_counts=True)
-            for at in range(0, len(bucket), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[at : at + (1 << 16)].astype(np.int32)), pa.array(n[at : at + (1 << 16)])], ["bucket", "n"])
+            if not len(t.ids):
+                continue
+            runs = Runs(t, hashes)
+            for bits in held.value:
+                runs.keep(runs.longer(), bits)
+            waiting.append(runs.longer())
+            if sum(map(len, waiting)) >= HELD:
+                yield from _sums(waiting)
+                waiting = []
+        if waiting:
+            yield from _sums(waiting)
 
     counts = rows.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     one = F.col("bucket") + 1  # the functions count from 1
@@ -135,41 +176,41 @@ def frequent_buckets(rows: DataFrame, least: int) -> np.ndarray:
     return bits
 
 
-def windows(rows: DataFrame, bits: np.ndarray) -> DataFrame:
+def windows(rows: DataFrame, shorter: list[np.ndarray]) -> DataFrame:
     """(lang, w1 ... w4, n): padded longest windows, summed within blocks of text."""
-    held = rows.sparkSession.sparkContext.broadcast(bits)
+    held = rows.sparkSession.sparkContext.broadcast(shorter)
     leads = [f"w{i + 1}" for i in range(LONGEST)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value
         for block in _blocks(batches):
             t, names, place, hashes = _read(block)
             if not len(t.ids):
                 continue
-            bucket = _pairs(t, hashes)
-            goes_on = t.follows & (table[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1).astype(bool)
-            del bucket
-            # Words count from 1; 0 is padding. Two keys hold language and w1, w2, then a code of these with w3, w4, and so on.
-            many = len(t.words) + 1
-            code, keys, on = place[t.text] * many + t.ids + 1, [], np.ones(len(t.ids), bool)
-            for lead in range(1, LONGEST):
-                on[len(on) - lead :] = False
-                on[: len(on) - lead] &= goes_on[lead - 1 : len(on) - 1]
-                nxt = np.zeros(len(t.ids), np.int64)
-                nxt[: len(on) - lead] = np.where(on[: len(on) - lead], t.ids[lead:] + 1, 0)
-                known, code = np.unique(code, return_inverse=True)
-                keys.append(known)
-                code = code * many + nxt
-            known, n = np.unique(code, return_counts=True)
-            columns = []
-            for key in reversed(keys):
-                columns.append(known % many)
-                known = key[known // many]
-            columns += [known % many, known // many]
-            columns.reverse()
+            # Words count from 1; 0 is padding.
+            many, runs = len(t.words) + 1, Runs(t, hashes)
+            columns = [place[t.text], t.ids + 1]
+            for size in range(2, LONGEST + 1):
+                bucket = runs.longer()
+                if size - 2 < len(held.value):
+                    runs.keep(bucket, held.value[size - 2])
+                lead = np.zeros(len(t.ids), np.int64)
+                lead[runs.at] = t.ids[runs.at + size - 1] + 1
+                columns.append(lead)
+            # Windows of one word are summed by their word, the others by sorting.
+            alone = columns[2] == 0
+            found, single = np.unique(columns[0][alone] * many + columns[1][alone], return_counts=True)
+            rows_ = [np.stack([found // many, found % many] + [np.zeros(len(found), np.int64)] * (LONGEST - 1))]
+            n = [single]
+            longer = np.stack([c[~alone] for c in columns])
+            if longer.shape[1]:
+                longer = longer[:, np.lexsort(longer[::-1])]
+                first = np.flatnonzero(np.concatenate(([True], (longer[:, 1:] != longer[:, :-1]).any(axis=0))))
+                rows_.append(longer[:, first])
+                n.append(np.diff(np.append(first, longer.shape[1])))
+            table, n = np.concatenate(rows_, axis=1), np.concatenate(n)
             padded = pa.concat_arrays([pa.array([""], pa.string()), t.words])
             for at in range(0, len(n), 1 << 16):
-                part = [names.take(pa.array(columns[0][at : at + (1 << 16)]))] + [padded.take(pa.array(c[at : at + (1 << 16)])) for c in columns[1:]]
+                part = [src.take(pa.array(c[at : at + (1 << 16)])) for src, c in zip([names] + [padded] * LONGEST, table)]
                 yield pa.RecordBatch.from_arrays([*part, pa.array(n[at : at + (1 << 16)].astype(np.int64))], ["lang", *leads, "n"])
 
     return rows.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in leads) + ", n long")
@@ -193,7 +234,10 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     Those inside a longer candidate of at least ``share`` per cent of their count are dropped.
     """
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
-    phrases, totals = phrase_counts(windows(rows, frequent_buckets(rows, least)), least)
+    shorter: list[np.ndarray] = []
+    for _ in range(2, LONGEST):
+        shorter.append(frequent_buckets(rows, least, shorter))
+    phrases, totals = phrase_counts(windows(rows, shorter), least)
     candidates = phrases.filter(F.size("words") > 1)
     # Each cut asks for two parts; parts of candidates are at least as frequent and therefore in the table.
     cuts = candidates.select("lang", "words", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k"))
