@@ -6,10 +6,11 @@ ever shorter prefixes, which gives the count of every phrase of any length, of e
 language in one aggregation; prefixes that end in padding are the shorter phrase over again and fall away.
 
 Words are so diverse that most windows occur once. Before counting, a window is padded from the first word on that
-cannot be part of a candidate there: pairs, then triples of pairs that are left, are counted in ``2 ** BUCKET_BITS``
-buckets by hash, and if a whole bucket stays below ``least``, so does all it holds. Padding there changes no count of
-``least`` or more, since every pair and triple inside such a phrase is as frequent as the phrase. A bit for each bucket
-is all that is broadcast, at any size of the corpus; the larger the corpus the less it spares, with the same results.
+cannot be part of a candidate there: words, pairs of words that are left, and triples of pairs that are left are counted
+by a hash of ``KEY_BITS``, and what shares a hash that stays below ``least`` does so itself. Padding there changes no
+count of ``least`` or more, since every word, pair and triple inside such a phrase is as frequent as the phrase. Windows
+that begin with such a word are all padding and count for the language alone. What is frequent is broadcast as a table of
+bits, 16 for each entry and ``2 ** TABLE_BITS`` at most; beyond that many entries it spares less, with the same results.
 
 Text is split into pieces and words, and equal windows of some megabytes of text are summed, in tasks over Arrow
 columns; windows from all tasks meet in one shuffle after Spark's own partial sums, so no frequent word or pair is ever
@@ -33,9 +34,9 @@ from weirflow.llm.common import strings
 from weirflow.session import cut_lineage
 
 LONGEST = 4
-BUCKET_BITS = 27
-BLOCK_BYTES = 8 << 20
-#: Buckets that a task holds before it hands out their sums.
+KEY_BITS, TABLE_BITS = 40, 28
+BLOCK_BYTES = 4 << 20
+#: Keys that a task holds before it hands out their sums.
 HELD = 4 << 20
 
 #: What a byte is: 0 of a word, 1 a blank, 2 the end of a piece.
@@ -65,7 +66,7 @@ class Tokens:
         flat = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data[word]))
         coded = flat.dictionary_encode()
         self.words = pa.array(coded.dictionary.cast(pa.string()))
-        self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
         #: Place of the text that each word is in.
         self.text = np.searchsorted(ends[1:], first, "right")
         here = np.searchsorted(np.flatnonzero(kind == 2), first)
@@ -81,30 +82,31 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Runs:
-    """For each word of a block, into which bucket it falls with the words after it, and whether they may be a phrase."""
+    """For each word of a block, a key of the phrase that begins there, one word longer each time, and whether it may be frequent."""
 
     def __init__(self, t: Tokens, langs: np.ndarray) -> None:
         self.word = np.fromiter((xxhash.xxh64_intdigest(w, 11) for w in strings(t.words)), np.uint64, len(t.words))[t.ids]
-        self.state = self.word * np.uint64(0x9E3779B97F4A7C15) + langs[t.text]
-        self.follows, self.size = t.follows, 1
+        self.state = langs[t.text]
+        self.follows, self.size = t.follows, 0
         #: Places whose ``size`` words are in one piece and may be frequent.
         self.at = np.arange(len(t.ids), dtype=np.int32)
         self.possible = np.ones(len(t.ids), bool)
 
     def longer(self) -> np.ndarray:
-        """Go on to phrases of one word more: those whose two parts without their last and first word are possible; their buckets."""
-        last = self.at + self.size - 1
-        here = last < len(self.follows) - 1
-        self.at, last = self.at[here], last[here]
-        here = self.follows[last] & self.possible[self.at + 1]
-        self.at, last = self.at[here], last[here]
+        """Go on to phrases of one word more, whose parts without the last and without the first word are possible; their keys."""
+        if self.size:
+            last = self.at + (self.size - 1)
+            here = self.follows[last]
+            here[here] = self.possible[self.at[here] + 1]
+            self.at = self.at[here]
+        self.state[self.at] = _mix(self.state[self.at] * np.uint64(0x9E3779B97F4A7C15) + self.word[self.at + self.size])
         self.size += 1
-        self.state[self.at] = _mix(self.state[self.at]) + self.word[last + 1]
-        return (_mix(self.state[self.at]) >> np.uint64(64 - BUCKET_BITS)).astype(np.uint32)
+        return (_mix(self.state[self.at]) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
-    def keep(self, bucket: np.ndarray, bits: np.ndarray) -> None:
-        """Leave only phrases whose bucket is frequent."""
-        good = (bits[bucket >> np.uint32(3)] >> (bucket & np.uint32(7)).astype(np.uint8) & 1).astype(bool)
+    def keep(self, key: np.ndarray, bits: np.ndarray) -> None:
+        """Leave only phrases whose bit is set."""
+        place = key >> KEY_BITS - (len(bits) * 8).bit_length() + 1
+        good = (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
         self.at = self.at[good]
         self.possible = np.zeros(len(self.follows), bool)
         self.possible[self.at] = True
@@ -138,24 +140,23 @@ def _read(block: pa.Table) -> tuple[Tokens, pa.Array, np.ndarray, np.ndarray]:
     return Tokens(block.column("text").combine_chunks()), names, place, hashes[place]
 
 
-def _sums(buckets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    ordered = np.sort(np.concatenate(buckets))
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+def _sums(keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    ordered = np.sort(np.concatenate(keys))
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])))
     n = np.diff(np.append(first, len(ordered)))
     for at in range(0, len(first), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(ordered[first[at : at + (1 << 16)]].astype(np.int32)), pa.array(n[at : at + (1 << 16)])], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(ordered[first[at : at + (1 << 16)]]), pa.array(n[at : at + (1 << 16)])], ["key", "n"])
 
 
-def frequent_buckets(rows: DataFrame, least: int, shorter: list[np.ndarray]) -> np.ndarray:
-    """A bit for each bucket of phrases one word longer than those of the last of ``shorter``: whether they occur ``least`` times together."""
-    held = rows.sparkSession.sparkContext.broadcast(shorter)
+def frequent(rows: DataFrame, least: int, shorter: list[np.ndarray]) -> np.ndarray:
+    """Bits by key of phrases one word longer than those of the last of ``shorter``: whether they may occur ``least`` times."""
+    spark = rows.sparkSession
+    held = spark.sparkContext.broadcast(shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = []
         for block in _blocks(batches):
             t, _, _, hashes = _read(block)
-            if not len(t.ids):
-                continue
             runs = Runs(t, hashes)
             for bits in held.value:
                 runs.keep(runs.longer(), bits)
@@ -166,14 +167,16 @@ def frequent_buckets(rows: DataFrame, least: int, shorter: list[np.ndarray]) ->
         if waiting:
             yield from _sums(waiting)
 
-    counts = rows.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    one = F.col("bucket") + 1  # the functions count from 1
-    maps = counts.groupBy(F.bitmap_bucket_number(one).alias("no")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(one)).alias("bits"))
-    bits = np.zeros(1 << BUCKET_BITS - 3, np.uint8)
-    found = maps.toArrow()  # at most one row for 32,768 buckets
+    counts = rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    often = cut_lineage(counts.filter(F.col("n") >= least).select("key"), "frequent")
+    bits = min(max((16 * often.count()).bit_length(), 18), TABLE_BITS)
+    one = F.shiftright("key", KEY_BITS - bits) + 1  # the functions count from 1
+    maps = often.groupBy(F.bitmap_bucket_number(one).alias("no")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(one)).alias("bits"))
+    table = np.zeros(1 << bits - 3, np.uint8)
+    found = maps.toArrow()  # at most one row for 32,768 bits
     for no, part in zip(found.column("no").to_pylist(), found.column("bits").to_pylist()):
-        bits[(no - 1) * len(part) : no * len(part)] = np.frombuffer(part, np.uint8)
-    return bits
+        table[(no - 1) * len(part) : no * len(part)] = np.frombuffer(part, np.uint8)
+    return table
 
 
 def windows(rows: DataFrame, shorter: list[np.ndarray]) -> DataFrame:
@@ -187,13 +190,12 @@ def windows(rows: DataFrame, shorter: list[np.ndarray]) -> DataFrame:
             if not len(t.ids):
                 continue
             # Words count from 1; 0 is padding.
-            many, runs = len(t.words) + 1, Runs(t, hashes)
-            columns = [place[t.text], t.ids + 1]
-            for size in range(2, LONGEST + 1):
-                bucket = runs.longer()
-                if size - 2 < len(held.value):
-                    runs.keep(bucket, held.value[size - 2])
-                lead = np.zeros(len(t.ids), np.int64)
+            many, runs, columns = len(t.words) + 1, Runs(t, hashes), [place[t.text]]
+            for size in range(1, LONGEST + 1):
+                key = runs.longer()
+                if size <= len(held.value):
+                    runs.keep(key, held.value[size - 1])
+                lead = np.zeros(len(t.ids), np.int32)
                 lead[runs.at] = t.ids[runs.at + size - 1] + 1
                 columns.append(lead)
             # Windows of one word are summed by their word, the others by sorting.
@@ -235,8 +237,8 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     """
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
     shorter: list[np.ndarray] = []
-    for _ in range(2, LONGEST):
-        shorter.append(frequent_buckets(rows, least, shorter))
+    for _ in range(1, LONGEST):
+        shorter.append(frequent(rows, least, shorter))
     phrases, totals = phrase_counts(windows(rows, shorter), least)
     candidates = phrases.filter(F.size("words") > 1)
     # Each cut asks for two parts; parts of candidates are at least as frequent and therefore in the table.
