@@ -13,8 +13,8 @@ that begin with such a word are all padding and count for the language alone. Wh
 bits, 16 for each entry and ``2 ** TABLE_BITS`` at most; beyond that many entries it spares less, with the same results.
 
 Text is split into pieces and words, and equal windows of some megabytes of text are summed, in tasks over Arrow
-columns; windows from all tasks meet in one shuffle after Spark's own partial sums, so no frequent word or pair is ever
-in one place. Candidates, parts and containing phrases are joins of tables of frequent phrases.
+columns; equal windows of all tasks meet in a shuffle after partial sums, their prefixes in a second one, so no frequent
+word or pair is ever in one place. Candidates, parts and containing phrases are joins of tables of frequent phrases.
 
 Null and empty texts have no words. A null language counts as ``und``. Repeated rows count each. Text without any
 separator is one long word. An empty table gives an empty result; other columns play no part.
@@ -221,7 +221,9 @@ def windows(rows: DataFrame, shorter: list[np.ndarray]) -> DataFrame:
 def phrase_counts(counted: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """((lang, words, f) of phrases of ``least`` or more, (lang, n) of all words), by ROLLUP over the lead columns."""
     leads = [f"w{i + 1}" for i in range(LONGEST)]
-    summed = counted.rollup("lang", *leads).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
+    # Equal windows meet first, so that each sends its prefixes on once and not once per task.
+    whole = counted.groupBy("lang", *leads).agg(F.sum("n").alias("n"))
+    summed = whole.rollup("lang", *leads).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # Bits of g are set for the columns summed over: 0 for whole windows, 2 ** LONGEST - 1 for a language.
     size = F.lit(LONGEST) - F.bit_count("g")
     kept = summed.filter((F.col("g") < (1 << LONGEST)) & ((size == 0) | ((F.col("f") >= least) & (F.element_at(F.array(*leads), F.greatest(size, F.lit(1))) != ""))))
