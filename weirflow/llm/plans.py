@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from weirflow.llm import chat, collocations, decontaminate, language, lm, merkle, packing, quality_rules, repair, secrets, simhash, warc
+from weirflow.llm import chat, collocations, decontaminate, language, lm, merkle, packing, quality_rules, repair, repeats, secrets, simhash, warc
 from weirflow.llm.common import remainder
 from weirflow.session import cut_lineage, fresh_path
 
@@ -206,3 +206,10 @@ inside AS (SELECT lang, words[i : i + j - 1] AS words, max(a) AS most FROM c CRO
 free AS (SELECT low.lang, array_to_string(low.words, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN inside USING (lang, words) WHERE most IS NULL OR 100 * most < 80 * a)
 SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM free JOIN n USING (lang)) WHERE rank <= 2000
 """
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, r: acc + r["end"] - r["start"])
+    return told.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

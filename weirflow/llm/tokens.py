@@ -107,13 +107,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about ``BLOCK_BYTES`` of text, one row at least."""
+def blocks(batches: Iterator[pa.RecordBatch], text: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes of text, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         upto = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         at = 0
         while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(upto, upto[at] + BLOCK_BYTES, "right")) - 1)
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + size, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
