@@ -7,8 +7,8 @@ with another suffix at an anchor. A suffix array holds one entry per head: the f
 the head, and how often it occurs; it is kept in sorted runs, in the order of entries.
 
 Documents come in batches. Each batch gets a suffix array of its own, which is merge-scanned against every level of the
-family for heads that are in both; then levels of equal size merge, so a level holds 1, 2, 4, ... batches and an entry is
-rewritten once per doubling. Heads that occur twice in a batch or in a batch and a level are the long matches to look at.
+family for heads that are in both; levels of equal size merge in the same scan, so a level holds 1, 2, 4, ... batches and
+an entry is rewritten once per doubling. Heads that occur twice in a batch or in a batch and a level are the long matches to look at.
 
 What they cover is then settled exactly, by strings that are counted over the whole corpus and never by pairs. If the
 first and the last window of an anchor occur elsewhere, so is all between covered. Heads with an anchor where this fails
@@ -187,16 +187,19 @@ class Family:
         self.matches: list[DataFrame] = []
 
     def add(self, array: DataFrame) -> None:
-        """Scan a batch's suffix array against every level, then merge levels of equal size."""
-        array = cut_lineage(array, "array")
+        """Merge a batch's suffix array with levels of its size, upwards, and scan it against the others; both find heads on two sides."""
+        array, size = cut_lineage(array, "array"), 1
         self.matches.append(array.filter("n > 1").select("key"))
-        for _, level in self.levels:
-            self.matches.append(cut_lineage(array.hint("merge").join(level.select("key"), "key").select("key"), "matches"))
-        size = 1
+        batch = array
         while self.levels and self.levels[-1][0] == size:
             _, level = self.levels.pop()
-            both = level.unionByName(array).groupBy("key").agg(F.sum("n").alias("n"))
-            array, size = cut_lineage(both.sortWithinPartitions("key"), "level"), 2 * size
+            sides = level.hint("merge").join(array.withColumnRenamed("n", "m"), "key", "full_outer")
+            both = F.col("n").isNotNull() & F.col("m").isNotNull()
+            merged = cut_lineage(sides.select("key", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"), both.alias("met")), "level")
+            self.matches.append(merged.filter("met").select("key"))
+            array, size = merged.select("key", "n"), 2 * size
+        for _, level in self.levels:
+            self.matches.append(cut_lineage(batch.hint("merge").join(level.select("key"), "key").select("key"), "matches"))
         self.levels.append((size, array))
 
     def repeated(self) -> DataFrame:
