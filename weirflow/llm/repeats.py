@@ -12,8 +12,9 @@ an entry is rewritten once per doubling. Heads that occur twice in a batch or in
 
 What they cover is then settled exactly, by strings that are counted over the whole corpus and never by pairs. If the
 first and the last window of an anchor occur elsewhere, so is all between covered. Heads with an anchor where this fails
-are looked at in full: their anchors' surroundings are taken once each, cut into cells of ``CELL`` windows, and where the
-bytes common to a cell recur, each of its windows is counted; windows that recur cover their bytes. The tables of bits
+are looked at in full: their anchors' surroundings are taken once each and cut into cells of ``CELL`` windows. Windows at the
+borders of cells are counted, then every window of the cells beyond the outermost that recur, where the bytes common to a
+cell recur at all; windows that recur cover their bytes. The tables of bits
 that tell tasks which heads and texts matter have 64 bits an entry and ``2 ** TABLE_BITS`` at most; beyond that more
 entries are read than needed, with the same results.
 
@@ -37,10 +38,10 @@ from weirflow.session import cut_lineage
 
 WINDOW, HEAD, CELL = 400, 200, 16
 BATCHES = 4
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 TABLE_BITS = 28
 #: Heads that a task holds before it hands out their counts.
-HELD = 4 << 20
+HELD = 1 << 20
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -51,7 +52,7 @@ _powers: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2 ** 64."""
     if not _powers or len(_powers[0]) < n:
-        size = 1 << max(12, (n - 1).bit_length())
+        size = n + n // 4 + BLOCK_BYTES
         _powers.clear()
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             table = np.full(size, base, np.uint64)
@@ -266,20 +267,25 @@ def surroundings(texts: DataFrame, chosen: DataFrame, window: int, head: int) ->
     return each.groupBy(*SAME).agg(F.min("around").alias("around")).join(chosen.select(*SAME, "n"), SAME)
 
 
-def _strings(around: DataFrame, schema: str, some: Callable[[dict], tuple[np.ndarray, np.ndarray, np.ndarray]], size: int) -> DataFrame:
-    """(id, key, n, o, print) for the strings of ``size`` bytes that ``some`` picks in each row of a batch: row, place in the block, offset."""
+STRINGS = "id long, key long, n long, o long, size long, print long"
+
+
+def _strings(around: DataFrame, picks: list[tuple[Callable[[dict, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]], int]]) -> DataFrame:
+    """(id, key, n, o, size, print) for the strings that each of ``picks`` chooses (row, place in the block, offset), of its size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 pieces = part.column("around").to_pylist()
                 prints = Fingerprints(np.frombuffer(b"".join(pieces), np.uint8))
-                row, first, o = some({c: part.column(c) for c in part.schema.names}, np.cumsum([0, *map(len, pieces)])[:-1])
-                own = {c: part.column(c).to_numpy(zero_copy_only=False)[row] for c in ("id", "key", "n")}
-                yield from _batches(own | {"o": o, "print": prints.at(first, size).view(np.int64)})
+                columns, start = {c: part.column(c) for c in part.schema.names}, np.cumsum([0, *map(len, pieces)])[:-1]
+                for pick, size in picks:
+                    row, first, o = pick(columns, start)
+                    own = {c: columns[c].to_numpy(zero_copy_only=False)[row] for c in ("id", "key", "n")}
+                    yield from _batches(own | {"o": o, "size": np.full(len(o), size), "print": prints.at(first, size).view(np.int64)})
 
-    return around.mapInArrow(run, schema)
+    return around.mapInArrow(run, STRINGS)
 
 
 def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -290,7 +296,11 @@ def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def covered(around: DataFrame, window: int) -> DataFrame:
-    """(SAME, least, most): of each kind of anchor the smallest and the largest distance from a recurring window's start to the head."""
+    """(SAME, least, most): of each kind of anchor the smallest and the largest distance from a recurring window's start to the head.
+
+    All windows between the two are covered by them. So of each kind the windows at the borders of its cells are counted
+    first, and within cells only those outside of the borders found, in cells whose common bytes recur.
+    """
     rows = cut_lineage(around.withColumn("id", F.xxhash64(*SAME)), "around")
     numbers = lambda columns, c: columns[c].to_numpy(zero_copy_only=False)
 
@@ -298,23 +308,37 @@ def covered(around: DataFrame, window: int) -> DataFrame:
         row, cell = _spread(numbers(columns, "after") // CELL, numbers(columns, "before") // CELL)
         return row, start[row] + numbers(columns, "before")[row] - cell * CELL, cell
 
-    def windows(columns: dict, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        listed = columns["cells"].combine_chunks() if isinstance(columns["cells"], pa.ChunkedArray) else columns["cells"]
-        row = np.repeat(np.arange(len(listed)), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
-        cell = listed.flatten().to_numpy(zero_copy_only=False)
+    def borders(columns: dict, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        after, before = numbers(columns, "after"), numbers(columns, "before")
+        row, cell = _spread(after // CELL, before // CELL + 1)
+        o = np.clip(cell * CELL, after[row], before[row])
+        new = np.concatenate(([True], (row[1:] != row[:-1]) | (o[1:] != o[:-1])))
+        row, o = row[new], o[new]
+        return row, start[row] + before[row] - o, o
+
+    def inside(columns: dict, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(columns["cells"])), pc.list_value_length(columns["cells"]).to_numpy(zero_copy_only=False))
+        cell = columns["cells"].flatten().to_numpy(zero_copy_only=False)
         before, after = numbers(columns, "before")[row], numbers(columns, "after")[row]
         each, o = _spread(np.maximum(cell * CELL, after), np.minimum(cell * CELL + CELL - 1, before))
         return row[each], start[row[each]] + before[each] - o, o
 
-    shape, string = "id long, key long, n long, o long, print long", ["key", "o", "print"]
+    string = ["key", "o", "size", "print"]
 
     def recurring(found: DataFrame) -> DataFrame:
-        often = found.groupBy(*string).agg(F.sum("n").alias("n")).filter("n > 1").select(*string)
-        return found.join(often, string)
-
-    parts = recurring(cut_lineage(_strings(rows, shape, cells, window - CELL + 1), "cells")).groupBy("id", "key").agg(F.collect_list("o").alias("cells"))
-    open_ = rows.select("id", "key", "n", "before", "after", "around").join(parts, ["id", "key"])
-    extents = recurring(cut_lineage(_strings(open_, shape, windows, window), "windows")).groupBy("id", "key").agg(F.min("o").alias("least"), F.max("o").alias("most"))
+        return found.join(found.groupBy(*string).agg(F.sum("n").alias("n")).filter("n > 1").select(*string), string)
+
+    common = window - CELL + 1
+    first = cut_lineage(recurring(cut_lineage(_strings(rows, [(cells, common), (borders, window)]), "cells")), "recurring")
+    known = first.filter(F.col("size") == window).groupBy("id", "key").agg(F.min("o").alias("least"), F.max("o").alias("most"))
+    parts = first.filter(F.col("size") == common)
+    below = (F.col("least") > F.col("after")) & (F.col("o") * CELL < F.col("least"))
+    above = (F.col("most") < F.col("before")) & (F.col("o") * CELL + CELL - 1 > F.col("most"))
+    asked = parts.join(known, ["id", "key"], "left").join(rows.select("id", "key", "before", "after"), ["id", "key"]).filter(F.col("least").isNull() | below | above).select(*string).distinct()
+    listed = parts.join(asked, string).groupBy("id", "key").agg(F.collect_list("o").alias("cells"))
+    open_ = rows.select("id", "key", "n", "before", "after", "around").join(listed, ["id", "key"])
+    more = recurring(cut_lineage(_strings(open_, [(inside, window)]), "windows")).groupBy("id", "key").agg(F.min("o").alias("least"), F.max("o").alias("most"))
+    extents = known.unionByName(more).groupBy("id", "key").agg(F.min("least").alias("least"), F.max("most").alias("most"))
     return rows.select("id", *SAME).join(extents, ["id", "key"]).select(*SAME, "least", "most")
 
 
@@ -354,7 +378,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", **options) -> DataFrame:
 
     @F.arrow_udf("struct<kept: binary, n_bytes: long, removed: array<struct<start: long, end: long>>>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
+        out, done = [], []
+        kind = pa.struct([("kept", pa.binary()), ("n_bytes", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
         for t, s in zip(texts, spans):
             data, runs, kept, at = t.as_buffer().to_pybytes() if t.is_valid else b"", [], [], 0
             for x in s.as_py() or []:
@@ -366,7 +391,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", **options) -> DataFrame:
                 kept.append(data[at : x["start"]])
                 at = x["end"]
             out.append({"kept": b"".join(kept) + data[at:], "n_bytes": len(data), "removed": runs})
-        return pa.array(out, pa.struct([("kept", pa.binary()), ("n_bytes", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]))
+            if len(out) == 1024:
+                done.append(pa.array(out, kind))
+                out = []
+        return pa.concat_arrays([*done, pa.array(out, kind)])
 
     result = taken[2] + "_cut"
     told = joined.withColumn(result, cut(F.col(f"`{text}`").cast("string"), F.col(taken[2])))
