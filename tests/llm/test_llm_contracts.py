@@ -433,3 +433,14 @@ def test_hash_of_shingles_is_the_one_of_spark(spark):
 
 def test_digest_of_no_span():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_lm_filter_scores_documents_it_has_not_seen(spark, documents):
+    rows = lm.split(documents)
+    trained = lm.train(rows)
+    assert trained.kept.count() > 1 and trained.kept.filter("octet_length(bits) = 0").count() == 0
+    want = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in lm.score(rows).collect())
+    have = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in trained.score(documents).collect())
+    assert have == want
+    few = trained.score(documents.filter("doc_id % 7 = 0")).collect()
+    assert few and all((False, r.doc_id, r.n_tokens, r.score) in want for r in few)

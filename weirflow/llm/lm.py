@@ -1,16 +1,16 @@
 """Language-model scores from a log-frequency Bloom filter, beside exact unigram scores.
 
 Documents are first cut into chunks of some megabytes: distinct words once, and every document as places in that
-list. Words of all chunks are summed by a shuffle, which gives each chunk the exact corpus count of its words
-back. The filter holds every word and every pair of neighbouring words of the training rows, however rare: a count
+list. The filter holds every word and every pair of neighbouring words of the training rows, however rare: a count
 goes in as its logarithm, an n-gram being entered once for each step up to it, so that asking step by step until one
 is missing reads the count back, never too low and seldom too high.
 
-The filter grows with the input, so it is split by hash range: every chunk sends its distinct n-grams, with how often
-it learns from each, to the part that owns their hash; a task sums them, builds that part with a fixed number of bits
-an entry, asks it, and sends one byte per n-gram back. There are as many parts as the measured tokens need for
-``PART_GRAMS`` n-grams each, so a part is bounded at any size of the corpus and nothing of them is broadcast or
-brought to the driver.
+The filter grows with the input, so it is split by hash range: every chunk sends its distinct words and pairs, packed
+into one row for each part, with how often it learns from each, to the part that owns their hash. A task sums them, builds
+that part with a fixed number of bits an entry, asks it, and sends one byte per n-gram and the exact count of every word
+back. There are as many parts as the measured tokens need for ``PART_GRAMS`` n-grams each, so a part is bounded at any
+size of the corpus and nothing of them is broadcast or brought to the driver. The parts are kept as rows, and score
+further documents by themselves (``Trained``).
 
 A text's tokens are its words and one end. Null and empty texts have the end alone. A null id counts as the empty
 text in the choice of training rows, so such rows are held out. Repeated rows count each. An empty table gives an
@@ -19,17 +19,17 @@ empty result; other columns play no part.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from weirflow.llm.common import remainder, strings
+from weirflow.llm.common import fresh, remainder, strings
 from weirflow.session import cut_lineage
 
 CHUNK_BYTES = 12 << 20
@@ -126,22 +126,6 @@ class _Chunk:
         return out
 
 
-def word_counts(cut: DataFrame) -> DataFrame:
-    """(chunk, place, c, owner): the corpus count of every word of every chunk. One chunk that learns from a word owns it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = _Chunk(row)
-                n = np.bincount(c.places[c.learned], minlength=len(c.words))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c.words), row["chunk"], np.int64)), pa.array(np.arange(len(c.words), dtype=np.int32)), pa.array(c.words, pa.binary()), pa.array(n.astype(np.int64))], ["chunk", "place", "word", "n"])
-
-    rows = cut.select("chunk", "held", "n_words", "words", "places").mapInArrow(run, "chunk long, place int, word binary, n long")
-    by = Window.partitionBy("word")
-    summed = rows.select("chunk", "place", F.sum("n").over(by).alias("c"), F.min(F.when(F.col("n") > 0, F.col("chunk"))).over(by).alias("first"))
-    return summed.select("chunk", "place", "c", F.coalesce(F.col("first") == F.col("chunk"), F.lit(False)).alias("owner"))
-
-
 # The filter
 
 
@@ -178,6 +162,13 @@ class Filter:
             for at in self._places(grams[steps >= step], step):
                 np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
 
+    @classmethod
+    def saved(cls, bits: bytes, most: int) -> Filter:
+        """The filter that was kept as ``bits`` with counts of up to ``most`` steps."""
+        out = cls.__new__(cls)
+        out.least, out.most, out.size, out.bits = 1, most, np.uint64(8 * len(bits)), np.frombuffer(bits, np.uint8)
+        return out
+
     def _places(self, grams: np.ndarray, step: int) -> Iterator[np.ndarray]:
         a = mix(grams + np.uint64(step * 0x2545F4914F6CDD1D & (1 << 64) - 1))
         b = mix(a) | np.uint64(1)
@@ -204,7 +195,7 @@ class Filter:
 
 # Its parts
 
-#: Low bits of a hash that name an n-gram within a part, and the bytes they take; the bits above choose the part.
+#: Low bits of a hash that name a pair within a part, and the bytes they take; the bits above choose the part. Words keep their whole hash.
 NAME_BITS, NAME_BYTES = 40, 5
 
 
@@ -212,11 +203,34 @@ NAME_BITS, NAME_BYTES = 40, 5
 BLOCK = 1 << 17
 
 
+class _Side:
+    """N-grams of a chunk by part of the filter: their order, and where each part begins in it."""
+
+    def __init__(self, hashes: np.ndarray, n: np.ndarray, parts: int) -> None:
+        part = ((hashes >> np.uint64(NAME_BITS)) * np.uint64(parts) >> np.uint64(64 - NAME_BITS)).astype(np.uint16 if parts <= 1 << 16 else np.int32)
+        # By part, then by count, so that counts are long runs when compressed; stable, so that every task finds the same order.
+        by = np.argsort(np.minimum(n, (1 << 16) - 1).astype(np.uint16), kind="stable").astype(np.int32)
+        self.order = by[np.argsort(part[by], kind="stable")]
+        self.upto = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
+
+    def cut(self, values: np.ndarray) -> list[bytes]:
+        """``values`` (one per n-gram) as bytes by part."""
+        values = values[self.order]
+        ends = self.upto.tolist()
+        return [values[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+    def back(self, parts: list[bytes], kind: str) -> np.ndarray:
+        """Values by n-gram out of the bytes of all parts, in order."""
+        out = np.zeros(len(self.order), kind)
+        out[self.order] = np.frombuffer(b"".join(parts), kind)
+        return out
+
+
 class _Grams:
     """The distinct words and pairs of a chunk: hashes, times learned from, and their order by part of the filter."""
 
     def __init__(self, c: _Chunk, parts: int) -> None:
-        word, self.many = hashes(c.words), max(1, len(c.words))
+        self.word, self.many = hashes(c.words), max(1, len(c.words))
         #: The words that have one before them.
         self.after = (np.flatnonzero(~c.starts[1:]) + 1).astype(np.int32 if len(c.places) < 1 << 31 else np.int64) if len(c.places) else np.zeros(0, np.int32)
         keys = self.keys(c, self.after)
@@ -226,19 +240,14 @@ class _Grams:
         first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), (keys[1:] ^ keys[:-1]) > 1)))
         self.kinds = keys[first] >> 1
         keys &= 1
-        n = np.add.reduceat(keys, first) if len(first) else first
+        self.n_pair = (np.add.reduceat(keys, first) if len(first) else first).astype("<u4")
         del keys, first
-        self.n = np.concatenate((np.bincount(c.places[c.learned], minlength=len(word)), n)).astype("<u4")
-        self.hash = np.concatenate((word, np.zeros(len(self.kinds), np.uint64)))
+        self.n_word = np.bincount(c.places[c.learned], minlength=len(self.word)).astype("<u4")
+        self.pair = np.zeros(len(self.kinds), np.uint64)
         for at in range(0, len(self.kinds), BLOCK):
             kinds = self.kinds[at : at + BLOCK]
-            self.hash[len(word) + at : len(word) + at + len(kinds)] = pair_hashes(word[kinds // self.many], word[kinds % self.many])
-        part = ((self.hash >> np.uint64(NAME_BITS)) * np.uint64(parts) >> np.uint64(64 - NAME_BITS)).astype(np.uint16 if parts <= 1 << 16 else np.int32)
-        # By part, then by count, so that counts are long runs when compressed; stable, so that every task finds the same order.
-        by = np.argsort(np.minimum(self.n, (1 << 16) - 1).astype(np.uint16), kind="stable").astype(np.int32)
-        self.order, sizes = by[np.argsort(part[by], kind="stable")], np.bincount(part)
-        self.parts = np.flatnonzero(sizes)
-        self.upto = [0, *np.cumsum(sizes[self.parts]).tolist()]
+            self.pair[at : at + len(kinds)] = pair_hashes(self.word[kinds // self.many], self.word[kinds % self.many])
+        self.words, self.pairs = _Side(self.word, self.n_word, parts), _Side(self.pair, self.n_pair, parts)
 
     def keys(self, c: _Chunk, after: np.ndarray) -> np.ndarray:
         out = c.places[after - 1].astype(np.int64)
@@ -247,35 +256,79 @@ class _Grams:
         return out
 
 
-def filter_steps(cut: DataFrame, parts: int) -> DataFrame:
-    """(chunk, part, steps): a byte for each n-gram of a chunk, as the part of the filter that owns it tells."""
+def _names(pairs: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(pairs.astype("<u8").view("u1").reshape(-1, 8)[:, :NAME_BYTES]).view(f"V{NAME_BYTES}").ravel()
+
+
+def _wide(sent: bytes) -> np.ndarray:
+    wide = np.zeros((len(sent) // NAME_BYTES, 8), "u1")
+    wide[:, :NAME_BYTES] = np.frombuffer(sent, "u1").reshape(-1, NAME_BYTES)
+    return wide.view("<u8").ravel()
+
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+LOW = np.uint64((1 << NAME_BITS) - 1)
+SENT = "chunk long, part int, words binary, pairs binary, n_words binary, n_pairs binary"
+TOLD = "chunk long, part int, counts binary, word_steps binary, pair_steps binary, n_known long, bits binary, most int"
+
+
+def send(cut: DataFrame, parts: int) -> DataFrame:
+    """One row for each chunk and part that owns some of its n-grams: hashes of words, names of pairs, and how often they are learned from."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 g, chunk = _Grams(_Chunk(batch.slice(at, 1).to_pylist()[0]), parts), batch.column("chunk")[at].as_py()
-                names = g.hash[g.order].astype("<u8").view("u1").reshape(-1, 8)[:, :NAME_BYTES]
-                n, cuts, own = g.n[g.order], list(zip(g.upto, g.upto[1:])), g.parts.astype(np.int32)
+                own = np.flatnonzero(np.diff(g.words.upto) + np.diff(g.pairs.upto))
+                columns = [g.words.cut(g.word.astype("<u8")), g.pairs.cut(_names(g.pair)), g.words.cut(g.n_word), g.pairs.cut(g.n_pair)]
                 del g
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(cuts), chunk, np.int64)), pa.array(own),
-                    pa.array([names[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([n[a:b].tobytes() for a, b in cuts], pa.binary()),
-                ], ["chunk", "part", "names", "n"])
-                del names, n
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), chunk, np.int64)), pa.array(own.astype(np.int32)), *(pa.array([c[i] for i in own], pa.binary()) for c in columns)], ["chunk", "part", "words", "pairs", "n_words", "n_pairs"])
+                del columns
                 pa.default_memory_pool().release_unused()
 
-    def ask(rows: pa.Table) -> pa.Table:
-        sent = rows.column("names").to_pylist()
-        wide = np.zeros((sum(map(len, sent)) // NAME_BYTES, 8), "u1")
-        wide[:, :NAME_BYTES] = np.frombuffer(b"".join(sent), "u1").reshape(-1, NAME_BYTES)
-        grams, where = np.unique(wide.view("<u8").ravel(), return_inverse=True)
-        n = np.bincount(where, np.frombuffer(b"".join(rows.column("n").to_pylist()), "<u4"), len(grams)).astype(np.int64)
-        steps = Filter(grams[n > 0], n[n > 0], 1).steps(grams).astype("u1")[where].tobytes()
-        upto = np.concatenate(([0], np.cumsum([len(x) // NAME_BYTES for x in sent]))).tolist()
-        return pa.table({"chunk": rows.column("chunk"), "part": rows.column("part"), "steps": pa.array([steps[a:b] for a, b in zip(upto, upto[1:])], pa.binary())})
+    return cut.select("chunk", "held", "n_words", "words", "places").mapInArrow(run, SENT)
+
 
-    rows = cut.select("chunk", "held", "n_words", "words", "places").mapInArrow(send, "chunk long, part int, names binary, n binary")
-    return rows.groupBy("part").applyInArrow(ask, "chunk long, part int, steps binary")
+def _cut_back(values: np.ndarray, sent: list[bytes], width: int) -> pa.Array:
+    upto = np.concatenate(([0], np.cumsum([len(x) // width for x in sent]))).tolist()
+    return pa.array([values[a:b].tobytes() for a, b in zip(upto, upto[1:])], pa.binary())
+
+
+def learn(sent: DataFrame) -> DataFrame:
+    """Each part of the filter as a row without chunk (bits, most), and what it tells each chunk: exact word counts, steps of words and pairs."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        words, pairs = rows.column("words").to_pylist(), rows.column("pairs").to_pylist()
+        total = lambda column, where, many: np.bincount(where, np.frombuffer(b"".join(rows.column(column).to_pylist()), "<u4"), many).astype("<u8")
+        word, of_word = np.unique(np.frombuffer(b"".join(words), "<u8"), return_inverse=True)
+        pair, of_pair = np.unique(_wide(b"".join(pairs)), return_inverse=True)
+        c_word, c_pair = total("n_words", of_word, len(word)), total("n_pairs", of_pair, len(pair))
+        grams, c = np.concatenate((word & LOW, pair)), np.concatenate((c_word, c_pair)).astype(np.int64)
+        kept = Filter(grams[c > 0], c[c > 0], 1)
+        steps = kept.steps(grams).astype("u1")
+        none = lambda kind: pa.nulls(len(words), kind)
+        told_ = pa.table({
+            "chunk": rows.column("chunk"), "part": rows.column("part"), "counts": _cut_back(c_word[of_word], words, 8), "word_steps": _cut_back(steps[: len(word)][of_word], words, 8),
+            "pair_steps": _cut_back(steps[len(word) :][of_pair], pairs, NAME_BYTES), "n_known": none(pa.int64()), "bits": none(pa.binary()), "most": none(pa.int32()),
+        })
+        part = pa.table({"chunk": pa.nulls(1, pa.int64()), "part": rows.column("part").slice(0, 1), "counts": pa.nulls(1, pa.binary()), "word_steps": pa.nulls(1, pa.binary()), "pair_steps": pa.nulls(1, pa.binary()), "n_known": [int((c_word > 0).sum())], "bits": pa.array([kept.bits.tobytes()], pa.binary()), "most": pa.array([kept.most], pa.int32())})
+        return pa.concat_tables([told_.combine_chunks(), part])
+
+    return sent.groupBy("part").applyInArrow(run, TOLD)
+
+
+def ask(sent: DataFrame, kept: DataFrame) -> DataFrame:
+    """What the parts in ``kept`` (part, bits, most) tell chunks that they were not built from."""
+
+    def run(rows: pa.Table, parts: pa.Table) -> pa.Table:
+        words, pairs = rows.column("words").to_pylist(), rows.column("pairs").to_pylist()
+        held = Filter.saved(parts.column("bits")[0].as_py(), parts.column("most")[0].as_py()) if parts.num_rows else Filter(np.zeros(0, np.uint64), np.zeros(0, np.int64), 1)
+        steps = lambda grams: held.steps(grams).astype("u1")
+        return pa.table({
+            "chunk": rows.column("chunk"), "part": rows.column("part"), "word_steps": _cut_back(steps(np.frombuffer(b"".join(words), "<u8") & LOW), words, 8),
+            "pair_steps": _cut_back(steps(_wide(b"".join(pairs))), pairs, NAME_BYTES),
+        })
+
+    return sent.groupBy("part").cogroup(kept.select("part", "bits", "most").groupBy("part")).applyInArrow(run, "chunk long, part int, word_steps binary, pair_steps binary")
 
 
 class Model:
@@ -287,12 +340,11 @@ class Model:
     def single(self, count: np.ndarray) -> np.ndarray:
         return (count + 0.1) / (self.n + 0.1 * (self.v + 1))
 
-    def score(self, c: _Chunk, steps: bytes) -> np.ndarray:
-        """log10 probability of each document: every word after the one before it, and the end; ``steps`` are those of the chunk's n-grams by part."""
-        g = _Grams(c, self.parts)
-        count = np.zeros(len(g.hash))
-        count[g.order] = told(np.arange(256))[np.frombuffer(steps, "u1")]
-        word, pair = count[: len(c.words)], count[len(c.words) :]
+    def score(self, c: _Chunk, g: _Grams, told_: pa.Table) -> np.ndarray:
+        """log10 probability of each document: every word after the one before it, and the end; ``told_`` are the steps of the chunk's n-grams, ordered by part."""
+        counts = told(np.arange(256))
+        word = counts[g.words.back(told_.column("word_steps").to_pylist(), "u1")]
+        pair = counts[g.pairs.back(told_.column("pair_steps").to_pylist(), "u1")]
         p = self.single(word)[c.places]
         for at in range(0, len(g.after), BLOCK):
             after = g.after[at : at + BLOCK]
@@ -306,47 +358,67 @@ class Model:
 # Scores
 
 
-def _drop_shuffles(df: DataFrame) -> None:
-    """Let Spark remove the shuffle files of plans that are no longer in use, which it does once the driver collects them."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+@dataclass
+class Trained:
+    """A model with its filter: rows (part, n_known, bits, most) in the shared folder."""
+
+    model: Model
+    kept: DataFrame
+
+    def score(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+        """id, n_tokens and score of documents that need not have been seen."""
+        kind, model = docs.schema[doc_id].dataType.simpleString(), self.model
+        unseen = fresh(docs, "held")[0]
+        cut = cut_lineage(chunks(docs.withColumn(unseen, F.lit(True)), doc_id, text, unseen), "chunks")
+
+        def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
+            c = _Chunk(chunk.to_pylist()[0])
+            score = model.score(c, _Grams(c, model.parts), known.sort_by("part"))
+            return pa.table({"id": chunk.column("doc_ids").combine_chunks()[0].values, "n_tokens": c.n_words + 1, "score": score})
+
+        told_ = ask(send(cut, model.parts), self.kept)
+        found = cut.groupBy("chunk").cogroup(told_.groupBy("chunk")).applyInArrow(run, f"id {kind}, n_tokens long, score double")
+        return found.withColumnRenamed("id", doc_id)
+
+
+def _train(cut: DataFrame) -> tuple[Trained, DataFrame]:
+    """The model of chunks, and what its filter tells each of them."""
+    sums = cut.agg(F.coalesce(F.sum("n_train"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_train_docs"), F.lit(0)).alias("d"), F.coalesce(F.sum(F.octet_length("places")), F.lit(0)).alias("b")).first()
+    # A token is four bytes of places, and one word and one pair at most.
+    parts = max(LEAST_PARTS, sums["b"] // 4 * 2 // PART_GRAMS)
+    told_ = cut_lineage(learn(send(cut, parts)), "filter")
+    kept = told_.filter("chunk IS NULL").select("part", "n_known", "bits", "most")
+    v = (kept.agg(F.sum("n_known")).first()[0] or 0) + (sums["d"] > 0)
+    return Trained(Model(sums["n"], v, sums["d"], parts), kept), told_.filter("chunk IS NOT NULL").select("chunk", "part", "counts", "word_steps", "pair_steps")
+
+
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out") -> Trained:
+    """The model of all rows of ``docs`` that are not held out."""
+    return _train(cut_lineage(chunks(docs, doc_id, text, held_out), "chunks"))[0]
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out") -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score per row of ``docs``; rows held out are not learned from."""
     kind = docs.schema[doc_id].dataType.simpleString()
     cut = cut_lineage(chunks(docs, doc_id, text, held_out), "chunks")
-    sums = cut.agg(F.coalesce(F.sum("n_train"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_train_docs"), F.lit(0)).alias("d"), F.coalesce(F.sum(F.octet_length("places")), F.lit(0)).alias("b")).first()
-    n, n_docs = sums["n"], sums["d"]
-    counts = cut_lineage(word_counts(cut), "counts")
-    _drop_shuffles(cut)
-    v = counts.filter("owner").count() + (n_docs > 0)
-    # A token is four bytes of places, and one word and one pair at most.
-    model = Model(n, v, n_docs, max(LEAST_PARTS, sums["b"] // 4 * 2 // PART_GRAMS))
-    none = lambda kind: F.lit(None).cast(kind)
-    asked = cut_lineage(filter_steps(cut, model.parts), "steps")
-    _drop_shuffles(cut)
-    asked = asked.select("chunk", none("int").alias("place"), none("long").alias("c"), "part", "steps")
-    told_ = counts.select("chunk", "place", "c", none("int").alias("part"), none("binary").alias("steps")).unionByName(asked)
+    trained, told_ = _train(cut)
+    model = trained.model
 
     def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        out, of = [], known.filter(pc.is_valid(known.column("part"))).sort_by("part")
-        steps, known = b"".join(of.column("steps").to_pylist()), known.filter(pc.is_valid(known.column("place")))
-        for row in chunk.to_pylist():
-            c = _Chunk(row)
-            score = model.score(c, steps)
-            corpus = np.zeros(len(c.words), np.int64)
-            corpus[known.column("place").to_numpy()] = known.column("c").to_numpy()
-            scale = model.n + 0.1 * (model.v + 1)
-            base = c.sums(np.log10((corpus + 0.1) / scale)[c.places]) + np.log10((model.n_docs + 0.1) / scale)
-            seen = c.sums((corpus > 0).astype(np.int64)[c.places]) + (model.n_docs > 0)
-            out.append(pa.table({"id": chunk.column("doc_ids").combine_chunks()[len(out)].values, "held_out": c.held, "n_tokens": c.n_words + 1, "n_known": seen.astype(np.int64), "base_score": base, "score": score}))
+        c, known = _Chunk(chunk.to_pylist()[0]), known.sort_by("part")
+        g = _Grams(c, model.parts)
+        corpus = g.words.back(known.column("counts").to_pylist(), "<u8")
+        scale = model.n + 0.1 * (model.v + 1)
+        base = c.sums(np.log10((corpus + 0.1) / scale)[c.places]) + np.log10((model.n_docs + 0.1) / scale)
+        seen = c.sums((corpus > 0).astype(np.int64)[c.places]) + (model.n_docs > 0)
+        out = pa.table({"id": chunk.column("doc_ids").combine_chunks()[0].values, "held_out": c.held, "n_tokens": c.n_words + 1, "n_known": seen.astype(np.int64), "base_score": base, "score": model.score(c, g, known)})
+        del c, g, corpus
         pa.default_memory_pool().release_unused()
-        return pa.concat_tables(out)
+        return out
 
     shape = f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     found = cut.select("chunk", "doc_ids", "held", "n_words", "words", "places").groupBy("chunk").cogroup(told_.groupBy("chunk")).applyInArrow(run, shape)
-    return found.select(F.col("id").alias(doc_id), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    return found.select(F.col("id").alias(doc_id), "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def split(docs: DataFrame, doc_id: str = "doc_id", divisor: int = 10) -> DataFrame:

@@ -21,8 +21,9 @@ from weirflow.llm.common import strings
 #: Latin words and ASCII signs; the apostrophe is left out because some splits depend on it.
 PLAIN = re.compile("[!-&(-~À-ɏ]*")
 PIECES = re.compile("[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ɏ]+")
-WORDS_KEPT = 1 << 20
-BLOCK_BYTES = 8 << 20
+#: Words, and pieces of words, that a worker keeps from one block to the next; some 25 MB each.
+WORDS_KEPT = 1 << 17
+BLOCK_BYTES = 4 << 20
 
 
 def _byte_signs() -> dict[int, str]:
