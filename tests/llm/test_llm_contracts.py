@@ -444,3 +444,47 @@ def test_lm_filter_scores_documents_it_has_not_seen(spark, documents):
     assert have == want
     few = trained.score(documents.filter("doc_id % 7 = 0")).collect()
     assert few and all((False, r.doc_id, r.n_tokens, r.score) in want for r in few)
+
+
+def plain_overlap(doc, item, window=20, similarity=0.8):
+    """The most words of a window of the item that stand in place in the document, however it is laid."""
+    n, best = min(len(item), window), 0
+    for shift in range(-len(item) + 1, len(doc)):
+        equal = [0 <= shift + i < len(doc) and doc[shift + i] == w for i, w in enumerate(item)]
+        best = max([best, *(sum(equal[i : i + n]) for i in range(len(item) - n + 1))])
+    return best >= math.ceil(round(n * similarity, 9)) and best
+
+
+def test_decontamination_keeps_its_promise_at_every_length(spark):
+    import random
+
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(60)]
+    words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items, docs = {}, {}
+    for n in range(1, 31):
+        items[n] = [f"item{n}"] + words(n - 1)
+        for m in range(7):
+            changed = list(items[n])
+            for i in rng.sample(range(n), min(m, n)):
+                changed[i] = f"x{n}y{i}"
+            docs[n * 100 + m] = words(rng.randrange(30)) + changed + words(rng.randrange(30))
+    docs[1] = items[30][12:]  # the item begins before the text
+    docs[2] = items[7] * 300
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()] + [(None, " ".join(items[9])), (3, None), (4, "")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in decontaminate.contaminated(table, bench).collect()}
+    want = {(d, i): best for d, dw in docs.items() if d != 2 for i, iw in items.items() if (best := plain_overlap(dw, iw))}
+    want[None, 9] = 9
+    assert {k: v for k, v in got.items() if k[0] != 2} == want and got[2, 7] == 7
+    assert {r.doc_id for r in decontaminate.clean(table, bench).collect()} == {3, 4} | {d for d in docs if not any(k[0] == d for k in got)}
+
+
+@pytest.mark.parametrize("part", [16, 4096])
+def test_decontamination_of_a_repetitive_text(spark, monkeypatch, part):
+    monkeypatch.setattr(decontaminate, "PART_WORDS", part)
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    item = bench.orderBy("item_id").first()
+    docs = spark.createDataFrame([(1, f"{item.text} " * 400), (2, "a " * 5000), (3, item.text)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.similarity) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert {(1, item.item_id, 1.0), (3, item.item_id, 1.0)} <= got and not any(d == 2 for d, _, _ in got)

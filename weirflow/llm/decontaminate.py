@@ -1,27 +1,34 @@
 """Benchmark decontamination by spaced seeds, in DataFrame functions alone.
 
-Fixed masks are laid over every place of a text; a mask reads the words under its ones and ignores those under
-its zeros, so a hash of what it reads survives words replaced in between. Hashes of all documents are joined
-with those of the benchmark. Each hit lays the item along the document, and the hit is verified there: of some
-``window`` consecutive words of the item (all of it, if it is shorter) ``similarity`` must be equal in place.
-
-The benchmark is broadcast in blocks of at most ``BLOCK_SEEDS`` hashes, one pass over the documents for each.
-Words are runs of letters and digits in lower case. Items of fewer than ``LEAST_WORDS`` words are not searched
-for; those shorter than a mask are looked up whole. Null and empty texts match nothing. Repeated rows are one
-result. Rows with a null id are found like any other. Empty tables give an empty result or all documents; other
-columns play no part.
+A document overlaps an item if of some ``window`` consecutive words of the item (all of it, if it is shorter)
+``similarity`` are equal in place. Of n words that leaves room for m others. A mask of ones m + 1 places apart, n // (m + 1)
+of them, reads the words under its ones and ignores those between; laid over n words from each of their first m + 1
+places it reads all of them in m + 1 classes, of which m replaced words leave one untouched. So every overlap has a seed:
+a place where the hash of what the mask reads is the same in both. Items of fewer than five words are read whole.
+
+Hashes of all documents are joined with those of the benchmark, which is broadcast in blocks of at most ``BLOCK_SEEDS``
+hashes, one pass over the documents for each. A hit lays the item along the document; hits are made distinct, and the
+words of documents with hits, cut into parts of ``PART_WORDS`` and the length of an item, meet the hits of that part once.
+Documents without hits are left out before by a table of bits of their keys, ``2 ** KEY_BITS`` of them at most.
+
+Words are runs of letters and digits in lower case. Null and empty texts and items without words match nothing. Repeated
+rows are one result, however often an item stands in a text. Rows with a null id are found like any other. Empty tables
+give an empty result or all documents; other columns play no part.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.llm.common import fresh
 from weirflow.session import cut_lineage
 
-MASKS = ("11101011", "110110011", "1100101101")
-LEAST_WORDS = 5
+WINDOW, SIMILARITY = 20, 0.8
 BLOCK_SEEDS = 1_000_000
+PART_WORDS = 4096
+KEY_BITS = 26
 
 
 def terms(text: Column) -> Column:
@@ -29,50 +36,83 @@ def terms(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w))
 
 
-def seeds(rows: DataFrame, masks: list[str]) -> DataFrame:
-    """``rows`` (with array column ``w``) once per place and mask: columns of rows, ``at`` from 0, ``seed``."""
+def mask_for(words: int, similarity: float = SIMILARITY) -> str:
+    """The mask that finds ``words`` consecutive words of which ``similarity`` are equal."""
+    apart = words - ceil(round(words * similarity, 9)) + 1
+    return ("1" + "0" * (apart - 1)) * (words // apart - 1) + "1"
+
 
-    def read(mask: str) -> Column:
-        ones = [i for i, c in enumerate(mask) if c == "1"]
-        return F.when(F.col("at") + len(mask) <= F.size("w"), F.xxhash64(F.lit(mask), *[F.get("w", F.col("at") + i) for i in ones]))
+def seeds(w: Column, mask: str) -> Column:
+    """(at, seed) for every place of ``mask`` over the words."""
+    ones = [i for i, c in enumerate(mask) if c == "1"]
+    read = lambda at: F.struct(at.alias("at"), F.xxhash64(F.lit(mask), *[F.get(w, at + i) for i in ones]).alias("seed"))
+    none = F.expr("CAST(array() AS array<struct<at: int, seed: bigint>>)")
+    return F.when(F.size(w) >= len(mask), F.transform(F.sequence(F.lit(0), F.size(w) - len(mask)), read)).otherwise(none)
 
-    placed = rows.select("*", F.posexplode("w").alias("at", "_first"))
-    return placed.select(*rows.columns, "at", F.explode(F.array(*[read(m) for m in masks])).alias("seed")).filter("seed IS NOT NULL")
 
+def _with_hits(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (column key) that may have a row in ``hits``, found without moving any."""
+    entries = hits.select("key").distinct().count()
+    bits = min(max((64 * entries).bit_length(), 18), KEY_BITS)
+    place = F.xxhash64("key").bitwiseAND((1 << bits) - 1) + 1  # the functions count from 1
+    table = hits.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.expr("CAST(at div 8 + 1 AS int)"), F.lit(1))), 16, 10).cast("int")
+    # At most 2 ** (KEY_BITS - 15) rows of 4 KB.
+    joined = docs.withColumn("bucket", F.bitmap_bucket_number(place)).withColumn("at", at).join(F.broadcast(table), "bucket")
+    return joined.filter(F.getbit(byte, F.expr("CAST(at % 8 AS int)")) == 1).select(*docs.columns)
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, key: list[Column], item_id: str = "item_id", text: str = "text", window: int = 20, similarity: float = 0.8, masks: tuple[str, ...] = MASKS) -> DataFrame:
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, key: list[Column], item_id: str = "item_id", text: str = "text", window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
     """(key, item, matched, window, start) for each document and item that overlap: the best window, and where the item lies."""
-    longest = max(map(len, masks))
-    items = benchmark.select(F.col(f"`{item_id}`").alias("item"), terms(F.col(f"`{text}`")).alias("w")).filter(F.size("w") >= LEAST_WORDS).distinct()
+    items = benchmark.select(F.col(f"`{item_id}`").alias("item"), terms(F.col(f"`{text}`")).alias("w")).filter(F.size("w") > 0).distinct()
     items = cut_lineage(items.withColumn("no", F.xxhash64("item", "w")), "items")
-    short = [r.n for r in items.filter(F.size("w") < longest).select(F.size("w").alias("n")).distinct().collect()]
-    whole = [(m, F.lit(True)) for m in masks] + [("1" * n, F.size("w") == n) for n in sorted(short)]
-    # A contiguous mask reads items of its own length only; documents are read with every mask.
-    parts = [seeds(items.filter(use), [m]).select("no", F.col("at").alias("item_at"), "seed") for m, use in whole]
+    # One row per length up to the window, and the longest item.
+    sizes = items.groupBy(F.least(F.size("w"), F.lit(window)).alias("n")).agg(F.max(F.size("w")).alias("longest")).collect()
+    by_mask: dict[str, list[int]] = {}
+    for r in sizes:
+        by_mask.setdefault(mask_for(r["n"], similarity), []).append(r["n"])
+    none = "key struct<" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in docs.select(*key).schema.fields) + f">, item {items.schema['item'].dataType.simpleString()}, matched long, window long, start long"
+    if not by_mask:
+        return docs.sparkSession.createDataFrame([], none)
+    parts = [items.filter(F.least(F.size("w"), F.lit(window)).isin(of)).select("no", F.inline(seeds(F.col("w"), m))).select("no", F.col("at").alias("item_at"), "seed") for m, of in by_mask.items()]
     index = parts[0]
     for p in parts[1:]:
         index = index.unionByName(p)
     index = cut_lineage(index, "seeds")
     blocks = max(1, -(-index.count() // BLOCK_SEEDS))
     named = docs.select(F.struct(*key).alias("key"), terms(F.col(f"`{text}`")).alias("w"))
-    placed = seeds(named, [m for m, _ in whole])
+    placed = named.select("key", F.inline(F.flatten(F.array(*[seeds(F.col("w"), m) for m in by_mask]))))
 
-    lay = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
-    size = F.least(F.size("w") - lay[0], F.size("item_w") - lay[1])
-    equal = F.zip_with(F.slice("w", lay[0] + 1, size), F.slice("item_w", lay[1] + 1, size), lambda a, b: (a == b).cast("int"))
-    total = lambda xs: F.aggregate(xs, F.lit(0), lambda acc, x: acc + x)
-    found = None
+    laid = None
     for b in range(blocks):
         mine = lambda df: df if blocks == 1 else df.filter(F.pmod("no", F.lit(blocks)) == b)  # noqa: B023, E731
-        hits = placed.join(F.broadcast(mine(index)), "seed").join(F.broadcast(mine(items).withColumnRenamed("w", "item_w")), "no")
-        laid = hits.select("key", "item", "w", "item_w", (F.col("at") - F.col("item_at")).alias("shift")).select("key", "item", "shift", equal.alias("equal"), F.least(F.size("item_w"), F.lit(window)).alias("window"))
-        near = laid.filter(total(F.col("equal")) >= F.ceil(F.col("window") * similarity))
-        best = F.array_max(F.transform(F.sequence(F.lit(0), F.greatest(F.size("equal") - F.col("window"), F.lit(0))), lambda i: total(F.slice("equal", i + 1, F.col("window")))))
-        one = near.groupBy("key", "item", "shift").agg(F.first("equal").alias("equal"), F.first("window").alias("window"))
-        good = one.select("key", "item", "shift", best.alias("matched"), "window").filter(F.col("matched") >= F.col("window") * similarity)
-        found = good if found is None else found.unionByName(good)
+        hits = cut_lineage(placed.join(F.broadcast(mine(index)), "seed").select("key", "no", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
+        told = hits.join(F.broadcast(mine(items).withColumnRenamed("w", "item_w")), "no").select("key", "item", "item_w", "shift")
+        laid = told if laid is None else laid.unionByName(told)
+    longest = max(r["longest"] for r in sizes)
+    part = F.floor(F.col("shift") / PART_WORDS).cast("int")
+    grouped = laid.groupBy("key", part.alias("part")).agg(F.collect_list(F.struct("item", "item_w", "shift")).alias("laid"))
+    from_ = lambda p: F.greatest(p * PART_WORDS, F.lit(0))
+    cut = lambda p: F.struct(p.alias("part"), F.slice("w", from_(p) + 1, F.greatest(p * PART_WORDS + PART_WORDS + longest - from_(p), F.lit(0))).alias("words"))
+    pieces = _with_hits(named, laid).select("key", F.inline(F.transform(F.sequence(F.floor(F.lit(-longest / PART_WORDS)).cast("int"), F.expr(f"CAST(size(w) div {PART_WORDS} AS int)")), cut)))
+
+    total = lambda xs: F.aggregate(xs, F.lit(0), lambda acc, x: acc + x)
+
+    def judged(h: Column) -> Column:
+        at, item_at = F.greatest(h["shift"], F.lit(0)) - from_(F.col("part")), F.greatest(-h["shift"], F.lit(0))
+        size = F.least(F.size("words") - at, F.size(h["item_w"]) - item_at)
+        equal = F.zip_with(F.slice("words", at + 1, size), F.slice(h["item_w"], item_at + 1, size), lambda a, b: (a == b).cast("int"))
+        return F.struct(h["item"].alias("item"), h["shift"].alias("shift"), equal.alias("equal"), F.least(F.size(h["item_w"]), F.lit(window)).alias("window"))
+
+    need = lambda h: F.ceil(F.round(h["window"] * F.lit(similarity), 9))
+    starts = lambda h: F.sequence(F.lit(0), F.greatest(F.size(h["equal"]) - h["window"], F.lit(0)))
+    best = lambda h: F.array_max(F.transform(starts(h), lambda i: total(F.slice(h["equal"], i + 1, h["window"]))))
+    near = F.filter(F.transform("laid", judged), lambda h: total(h["equal"]) >= need(h))
+    counted = F.transform(near, lambda h: F.struct(h["item"].alias("item"), h["shift"].alias("shift"), best(h).alias("matched"), h["window"].alias("window"), need(h).alias("need")))
+    good = pieces.join(grouped, ["key", "part"]).select("key", F.inline(counted)).filter(F.col("matched") >= F.col("need"))
     chosen = F.max(F.struct((F.col("matched") / F.col("window")).alias("share"), "matched", "window", "shift")).alias("m")
-    return found.groupBy("key", "item").agg(chosen).select("key", "item", F.col("m.matched").cast("long").alias("matched"), F.col("m.window").cast("long").alias("window"), F.col("m.shift").cast("long").alias("start"))
+    return good.groupBy("key", "item").agg(chosen).select("key", "item", F.col("m.matched").cast("long").alias("matched"), F.col("m.window").cast("long").alias("window"), F.col("m.shift").cast("long").alias("start"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", **options) -> DataFrame:
