@@ -17,7 +17,7 @@ def spark():
 
 @pytest.fixture
 def small_chunks(spark):
-    """Cut key lines after a few rows, so small data takes the way of large data."""
-    spark.conf.set("spark.weirflow.rowsPerChunk", "40")
+    """Many chunks, so small data takes the way of large data."""
+    spark.conf.set("spark.weirflow.chunks", "23")
     yield
-    spark.conf.unset("spark.weirflow.rowsPerChunk")
+    spark.conf.unset("spark.weirflow.chunks")

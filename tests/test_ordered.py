@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weirflow.operators.ordered import CHUNK, split_points, with_chunk, with_fill, with_neighbour, with_position, with_running
+from weirflow.operators.ordered import CHUNK, lay_out, with_fill, with_neighbour, with_position, with_running
 
 
 def rows(n=600, seed=3):
@@ -30,10 +30,9 @@ def df(spark):
 
 
 def test_chunks_bound_a_hot_key(df, small_chunks):
-    cuts = split_points(df, ["t", "i"])
-    assert len(cuts) > 5
-    biggest = with_chunk(df, ["t", "i"], cuts).groupBy("k", CHUNK).count().agg(F.max("count")).head()[0]
-    assert biggest < 100
+    sizes = lay_out(df, ["k"], ["t", "i"]).groupBy("k", CHUNK).count().collect()
+    assert max(r["count"] for r in sizes) < 100
+    assert sum(r["k"] == "hot" for r in sizes) > 5
 
 
 @pytest.mark.parametrize("ahead", [True, False])
@@ -74,9 +73,8 @@ def test_equal_heads_are_split(spark, small_chunks):
     data = [("k", 7, f"the-same-long-prefix-{i:05d}") for i in range(400)]
     df = spark.createDataFrame(data, "k string, t int, name string")
     for order in (["name"], ["t", "name"]):
-        cuts = split_points(df, order)
-        assert len(cuts) > 5
-        assert with_chunk(df, order, cuts).groupBy(CHUNK).count().agg(F.max("count")).head()[0] < 120
+        sizes = [r["count"] for r in lay_out(df, ["k"], order).groupBy(CHUNK).count().collect()]
+        assert len(sizes) > 5 and max(sizes) < 120
         assert [r["p"] for r in with_position(df, ["k"], order, "p").orderBy("name").collect()] == list(range(1, 401))
 
 
@@ -95,3 +93,15 @@ def test_order_by_text_and_time(spark, small_chunks):
     stamps = df.select("k", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.pmod(F.xxhash64("t"), F.lit(5000)).cast("int"))).alias("ts"), "t")
     placed = with_position(stamps, ["k"], ["ts", "t"], "p").orderBy("ts", "t").collect()
     assert [r["p"] for r in placed] == list(range(1, 301))
+
+
+def test_steps_over_one_layout(spark, df, small_chunks):
+    """Rows filtered away between steps may empty whole chunks, also those in the middle of a key."""
+    laid = lay_out(df, ["k"], ["t", "i"])
+    some = with_neighbour(laid.filter("t < 20 OR t > 180"), ["k"], ["t", "i"], {"w": F.col("i")})
+    got = {r["i"]: (r["w"], r["s"]) for r in with_running(some, ["k"], ["t", "i"], {"s": F.lit(1)}).collect()}
+    want = {}
+    for line in lines([r for r in rows() if r[1] < 20 or r[1] > 180]).values():
+        for n, (a, b) in enumerate(zip(line, [*line[1:], None]), 1):
+            want[a[2]] = (b and b[2], n)
+    assert got == want

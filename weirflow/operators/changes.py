@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weirflow.operators.keys import join_on
-from weirflow.operators.ordered import split_points, with_neighbour
+from weirflow.operators.ordered import CHUNK, lay_out, with_neighbour
 
 START, END, DELETED, REPEAT = "__START_AT", "__END_AT", "_deleted", "_repeat"
 
@@ -60,21 +60,21 @@ def _tagged_changes(changes: DataFrame, deletes: DataFrame | None) -> DataFrame:
     return rows if deletes is None else rows.unionByName(_tagged(deletes, True), allowMissingColumns=True)
 
 
-def _versions(changes: DataFrame, keys: Sequence[str], seq: str, cuts: list) -> DataFrame:
+def _versions(changes: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """All change rows with ``__START_AT``, ``__END_AT`` and two marks: a delete, and a repeat of the
     version before it. Marked rows are no versions, but a late change may need them."""
     body = [c for c in changes.columns if c not in (*keys, seq, DELETED)]
     rank = F.struct(F.col(DELETED), F.xxhash64(*body).alias("h"))
     one = changes.groupBy(*keys, seq).agg(F.max_by(F.struct(*body, DELETED), rank).alias("_b"))
-    one = one.select(*keys, seq, "_b.*")
+    one = lay_out(one.select(*keys, seq, "_b.*"), keys, [seq])
     marked = with_neighbour(one, keys, [seq], {
         "_prev": F.struct(F.col(DELETED).alias("d"), F.when(~F.col(DELETED), F.struct(*body)).alias("b")),
-    }, ahead=False, cuts=cuts)
+    }, ahead=False)
     same = F.col("_prev").isNotNull() & (F.col("_prev.d") == F.col(DELETED)) & (
         F.col(DELETED) | F.col("_prev.b").eqNullSafe(F.struct(*body))
     )
-    marked = marked.select(*keys, seq, *body, DELETED, same.alias(REPEAT))
-    closed = with_neighbour(marked.filter(~F.col(REPEAT)), keys, [seq], {END: F.col(seq)}, ahead=True, cuts=cuts)
+    marked = marked.select(*keys, seq, *body, DELETED, same.alias(REPEAT), CHUNK)
+    closed = with_neighbour(marked.filter(~F.col(REPEAT)), keys, [seq], {END: F.col(seq)}, ahead=True)
     repeats = marked.filter(REPEAT).withColumn(END, F.lit(None).cast(marked.schema[seq].dataType))
     rows = closed.unionByName(repeats)
     return rows.select(*keys, *body, F.col(seq).alias(START), END, DELETED, REPEAT)
@@ -82,8 +82,7 @@ def _versions(changes: DataFrame, keys: Sequence[str], seq: str, cuts: list) ->
 
 def scd2_state(changes: DataFrame, keys: Sequence[str], seq: str, deletes: DataFrame | None = None) -> DataFrame:
     """History as kept on disk: versions, and marked deletes and repeats."""
-    rows = _tagged_changes(changes, deletes)
-    return _versions(rows, keys, seq, split_points(rows, [seq]))
+    return _versions(_tagged_changes(changes, deletes), keys, seq)
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], seq: str, deletes: DataFrame | None = None) -> DataFrame:
@@ -102,8 +101,7 @@ def scd2_apply(
     touched = rows.select(*keys).distinct()
     old = join_on(state, touched, keys, "left_semi").drop(END, REPEAT).withColumnRenamed(START, seq)
     both = rows.unionByName(old, allowMissingColumns=True)
-    # The changes tell where the cuts lie; the join above is not run for them.
-    rebuilt = _versions(both, keys, seq, split_points(rows, [seq]))
+    rebuilt = _versions(both, keys, seq)
     return join_on(state, touched, keys, "left_anti").unionByName(rebuilt.select(*state.columns))
 
 

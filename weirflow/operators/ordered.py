@@ -1,154 +1,103 @@
-"""Order-dependent steps that stay balanced when one key holds a large part of the rows.
-
-A window partitioned by key alone puts a hot key, or a table without key, into one task. Here the rows
-of every key are cut into chunks along the whole order tuple; a first step works inside (key, chunk), a
-second one works on one summary row per (key, chunk) and carries values over the chunk borders. The cuts
-are global quantiles, as many as the rows need, so a (key, chunk) group holds at most about ``rows /
-chunks`` rows and a key has at most one summary row per chunk. Only rows equal in every order column stay
-together. Callers that take several such steps over one order look the cuts up once and pass them on.
+"""Order-dependent steps as a prefix scan that stays balanced when one key holds a large part of the rows.
+
+A window partitioned by key alone puts a hot key, or a table without key, into one task. Here one range
+shuffle deals the rows out by key and order, and the task a row lands in is its chunk: a hot key fills
+several chunks, small keys share one, and only rows equal in every key and order column stay together.
+The rows are written to the shared folder with their chunk, so that every step over the same order reads
+them from there and finds the same chunks again. A step works inside (chunk, key); what goes over a border
+between chunks concerns the last key of a chunk alone, so one summary row per chunk is scanned and joined
+back. Nothing of this reaches the driver, and no summary grows with the number of keys.
+
+There are ``spark.weirflow.chunks`` chunks, or as many as the session has shuffle partitions (which
+adaptive execution lowers for little data). Callers that take several steps over one order lay the rows
+out once with :func:`lay_out`; steps keep its ``_chunk`` column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
+from weirflow.session import cut_lineage
+
 CHUNK = "_chunk"
-ROWS_PER_CHUNK = 2_000_000
-SAMPLES_PER_CHUNK = 100
-
-
-def split_points(df: DataFrame, order: Sequence[str]) -> list[tuple]:
-    """Ascending cuts, tuples of ``order``: one chunk for every ``spark.weirflow.rowsPerChunk`` rows (2 million unless
-    set), and two for every task slot at least.
-
-    A sample fixed by row hash is dealt over as many range partitions as there are to be chunks; their smallest
-    tuples are the cuts, so nothing but the cuts reaches the driver.
-    """
-    spark = df.sparkSession
-    limit = int(spark.conf.get("spark.weirflow.rowsPerChunk", str(ROWS_PER_CHUNK)))
-    n = df.count()
-    wanted = max(2 * spark.sparkContext.defaultParallelism, -(-n // limit))
-    rows = df.select(*order).filter(F.pmod(F.xxhash64(*order), F.lit(max(1, n // (wanted * SAMPLES_PER_CHUNK)))) == 0)
-    dealt = rows.repartitionByRange(wanted, *order).select(F.spark_partition_id().alias("p"), F.struct(*order).alias("t"))
-    least = dealt.groupBy("p").agg(F.min("t").alias("t")).select(*[_shown(f, F.col("t")[f.name]) for f in rows.schema.fields], "t").orderBy("t")
-    return [tuple(r)[:-1] for r in least.collect()][1:]
-
-
-def _shown(field: T.StructField, col: Column) -> Column:
-    """Times and decimals travel as text, which keeps them exact whatever the time zone of the driver."""
-    plain = isinstance(field.dataType, (T.IntegralType, T.FloatType, T.DoubleType, T.StringType, T.BooleanType, T.BinaryType))
-    return (col if plain else col.cast("string")).alias(field.name)
-
-
-def with_chunk(df: DataFrame, order: Sequence[str], cuts: list[tuple]) -> DataFrame:
-    """Add ``_chunk``: the number of cuts at or below the row, found by bisection (null sorts first)."""
-    if not cuts:
-        return df.withColumn(CHUNK, F.lit(0))
-    kinds = [df.schema[c].dataType for c in order]
-    lists = [F.array(*[F.lit(v).cast(k) for v in column]) for column, k in zip(zip(*cuts), kinds)]
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-
-    def beyond(at: Column) -> Column:
-        return F.struct(*[F.get(x, at).alias(c) for x, c in zip(lists, order)]) <= F.col("_place")
-
-    found = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when((at + step <= len(cuts)) & beyond(at + step - 1), at + step).otherwise(at))
-    return df.withColumn("_place", F.struct(*order)).withColumn(CHUNK, found).drop("_place")
-
-
-def _join_back(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the one summary row of each (key, chunk); null keys match null keys."""
-    right = edges.select(
-        *[F.col(k).alias(f"_e_{i}") for i, k in enumerate(keys)],
-        F.col(CHUNK).alias("_e_chunk"),
-        *[c for c in edges.columns if c not in keys and c != CHUNK],
-    )
-    cond = F.col(CHUNK) == F.col("_e_chunk")
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_e_{i}"))
-    return rows.join(right, cond, "left").drop("_e_chunk", *[f"_e_{i}" for i in range(len(keys))])
-
-
-def with_neighbour(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, Column],
-    ahead: bool = True,
-    cuts: list | None = None,
-) -> DataFrame:
+
+
+def lay_out(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_chunk``: chunk after chunk holds ascending (keys, order), nulls first."""
+    wanted = df.sparkSession.conf.get("spark.weirflow.chunks", None)
+    dealt = df.repartitionByRange(int(wanted), *keys, *order) if wanted else df.repartitionByRange(*keys, *order)
+    return cut_lineage(dealt.withColumn(CHUNK, F.spark_partition_id()), "line")
+
+
+def _laid(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return df if CHUNK in df.columns else lay_out(df, keys, order)
+
+
+def _key(keys: Sequence[str]) -> Column:
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+
+
+def _carried(edges: DataFrame, ahead: bool) -> DataFrame:
+    """(chunk, key, value) at the border of each chunk, moved on to the next chunk (``ahead``: the one before)."""
+    side = W.orderBy(F.col(CHUNK).desc() if ahead else F.col(CHUNK).asc())
+    return edges.select(CHUNK, F.lag(F.struct("_edge_key", "_edge")).over(side).alias("_carry"))
+
+
+def _of_carry(keys: Sequence[str], name: str) -> Column:
+    """A value carried into the chunk, where it belongs to the row's key."""
+    return F.when(F.col("_carry._edge_key").eqNullSafe(_key(keys)), F.col("_carry._edge")[name])
+
+
+def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], ahead: bool = True) -> DataFrame:
     """Add each of ``values`` taken from the next (or previous) row of the same key."""
-    cuts = split_points(df, order) if cuts is None else cuts
-    packed = df.withColumn("_pack", F.struct(*[v.alias(n) for n, v in values.items()]))
+    rows = _laid(df, keys, order).withColumn("_pack", F.struct(*[v.alias(n) for n, v in values.items()]))
     pick, step = (F.min_by, F.lead) if ahead else (F.max_by, F.lag)
-    rows = with_chunk(packed, order, cuts)
-    place = F.struct(*order)
-    edges = rows.groupBy(*keys, CHUNK).agg(pick("_pack", place).alias("_edge"))
-    edges = edges.select(*keys, CHUNK, step("_edge").over(W.partitionBy(*keys).orderBy(CHUNK)).alias("_carry"))
-    near = rows.withColumn("_near", step("_pack").over(W.partitionBy(*keys, CHUNK).orderBy(*order)))
-    joined = _join_back(near, edges, keys)
-    best = F.coalesce(F.col("_near"), F.col("_carry"))
-    return joined.select(*df.columns, *[best[n].alias(n) for n in values])
-
-
-def with_fill(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, Column],
-    ahead: bool = False,
-    cuts: list | None = None,
-) -> DataFrame:
+    edge = pick(F.struct(_key(keys).alias("k"), F.col("_pack").alias("v")), F.struct(_key(keys).alias("k"), *order))
+    edges = rows.groupBy(CHUNK).agg(edge.alias("_e")).select(CHUNK, F.col("_e.k").alias("_edge_key"), F.col("_e.v").alias("_edge"))
+    near = rows.withColumn("_near", step("_pack").over(W.partitionBy(CHUNK, *keys).orderBy(*order)))
+    joined = near.join(_carried(edges, ahead), CHUNK, "left")
+    best = lambda n: F.when(F.col("_near").isNotNull(), F.col("_near")[n]).otherwise(_of_carry(keys, n))
+    return joined.select(*_kept(df, rows), *[best(n).alias(n) for n in values])
+
+
+def with_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], ahead: bool = False) -> DataFrame:
     """Add each value as last seen non-null at or before the row (``ahead``: first at or after it)."""
-    cuts = split_points(df, order) if cuts is None else cuts
+    rows = _laid(df, keys, order).select("*", *[v.alias(f"_v_{n}") for n, v in values.items()])
     # Looking ahead is looking back over the reversed order: a frame that grows, not one that shrinks.
     line = [F.col(c).desc() if ahead else F.col(c).asc() for c in order]
-
-    def last(value: Column | str, groups: Sequence[str]) -> Column:
-        return F.last(value, ignorenulls=True).over(
-            W.partitionBy(*groups).orderBy(*line).rowsBetween(W.unboundedPreceding, 0)
-        )
-
-    rows = with_chunk(df.select("*", *[v.alias(f"_v_{n}") for n, v in values.items()]), order, cuts)
-    place = F.struct(*order)
-    pick = F.min_by if ahead else F.max_by
-    edges = rows.groupBy(*keys, CHUNK).agg(
-        *[pick(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(f"_b_{n}") for n in values]
-    )
-    chunk = F.col(CHUNK).desc() if ahead else F.col(CHUNK).asc()
-    side = W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
-    edges = edges.select(*keys, CHUNK, *[F.last(f"_b_{n}", ignorenulls=True).over(side).alias(f"_c_{n}") for n in values])
-    near = rows.select("*", *[last(f"_v_{n}", [*keys, CHUNK]).alias(f"_n_{n}") for n in values])
-    joined = _join_back(near, edges, keys)
-    return joined.select(*df.columns, *[F.coalesce(f"_n_{n}", f"_c_{n}").alias(n) for n in values])
-
-
-def with_running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    sums: dict[str, Column],
-    cuts: list | None = None,
-) -> DataFrame:
+    inside = W.partitionBy(CHUNK, *keys).orderBy(*line).rowsBetween(W.unboundedPreceding, 0)
+    pick, place = F.min_by if ahead else F.max_by, F.struct(_key(keys).alias("k"), *order)
+    last = lambda n: pick(F.struct(_key(keys).alias("k"), F.col(f"_v_{n}").alias("v")), F.when(F.col(f"_v_{n}").isNotNull(), place))
+    found = rows.groupBy(CHUNK).agg(pick(_key(keys), place).alias("_edge_key"), *[last(n).alias(n) for n in values])
+    # The chunk's last value counts if it is one of the chunk's last key; a key that fills whole chunks hands on what it had before.
+    along = W.partitionBy("_edge_key").orderBy(F.col(CHUNK).desc() if ahead else F.col(CHUNK).asc()).rowsBetween(W.unboundedPreceding, 0)
+    held = [F.last(F.when(F.col(n)["k"].eqNullSafe(F.col("_edge_key")), F.col(n)["v"]), ignorenulls=True).over(along).alias(n) for n in values]
+    edges = found.select(CHUNK, "_edge_key", F.struct(*held).alias("_edge"))
+    near = rows.select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(inside).alias(f"_n_{n}") for n in values])
+    joined = near.join(_carried(edges, ahead), CHUNK, "left")
+    return joined.select(*_kept(df, rows), *[F.coalesce(F.col(f"_n_{n}"), _of_carry(keys, n)).alias(n) for n in values])
+
+
+def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
     """Add running sums per key up to and including the row."""
-    cuts = split_points(df, order) if cuts is None else cuts
-    zero = F.lit(0)
-    rows = with_chunk(df.select("*", *[v.alias(f"_v_{n}") for n, v in sums.items()]), order, cuts)
-    edges = rows.groupBy(*keys, CHUNK).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
-    side = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    edges = edges.select(*keys, CHUNK, *[F.sum(f"_t_{n}").over(side).alias(f"_c_{n}") for n in sums])
-    inner = W.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    near = rows.select("*", *[F.sum(f"_v_{n}").over(inner).alias(f"_n_{n}") for n in sums])
-    joined = _join_back(near, edges, keys)
-    return joined.select(
-        *df.columns, *[(F.coalesce(f"_n_{n}", zero) + F.coalesce(f"_c_{n}", zero)).alias(n) for n in sums]
-    )
-
-
-def with_position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", cuts: list | None = None
-) -> DataFrame:
+    rows = _laid(df, keys, order).select("*", *[v.alias(f"_v_{n}") for n, v in sums.items()])
+    inside = W.partitionBy(CHUNK, *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    near = rows.select("*", *[F.coalesce(F.sum(f"_v_{n}").over(inside), F.lit(0)).alias(f"_n_{n}") for n in sums])
+    ends = F.max_by(F.struct(_key(keys).alias("k"), *[F.col(f"_n_{n}").alias(n) for n in sums]), F.struct(_key(keys).alias("k"), *order))
+    found = near.groupBy(CHUNK).agg(ends.alias("_e")).select(CHUNK, F.col("_e.k").alias("_edge_key"), *[F.col("_e")[n].alias(n) for n in sums])
+    along = W.partitionBy("_edge_key").orderBy(CHUNK).rowsBetween(W.unboundedPreceding, 0)
+    edges = found.select(CHUNK, "_edge_key", F.struct(*[F.sum(n).over(along).alias(n) for n in sums]).alias("_edge"))
+    joined = near.join(_carried(edges, False), CHUNK, "left")
+    return joined.select(*_kept(df, rows), *[(F.col(f"_n_{n}") + F.coalesce(_of_carry(keys, n), F.lit(0))).alias(n) for n in sums])
+
+
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
     """Add the 1-based place of each row within its key; ``order`` must be total."""
-    return with_running(df, keys, order, {name: F.lit(1)}, cuts)
+    return with_running(df, keys, order, {name: F.lit(1)})
+
+
+def _kept(df: DataFrame, rows: DataFrame) -> list[Column]:
+    return [rows[c] for c in df.columns]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.functions.scalars import as_bool, try_float
 from weirflow.operators.keys import each_between
-from weirflow.operators.ordered import split_points, with_fill, with_neighbour
+from weirflow.operators.ordered import lay_out, with_fill, with_neighbour
 from weirflow.sources.incremental import bound, text_of
 
 # Summary names.
@@ -64,11 +64,11 @@ def ts_interpolate(df: DataFrame, tag: str, ts: str, value: str, start: Any, end
     grid = blocks.select("tag", F.explode(F.sequence(F.col("_b") * per, F.least((F.col("_b") + 1) * per, F.lit(points)) - 1)).alias("_n"))
     grid = grid.select("tag", (F.col("_n").cast("bigint") * size + low).alias("t"))
     line = data.withColumn("_grid", F.lit(False)).unionByName(grid.withColumn("_grid", F.lit(True)), allowMissingColumns=True)
-    cuts = split_points(line, ["t", "_grid"])
+    line = lay_out(line, ["tag"], ["t", "_grid"])
     sample = F.when(~F.col("_grid"), F.struct("t", "v"))
-    line = with_fill(line, ["tag"], ["t", "_grid"], {"_before": sample}, cuts=cuts)
+    line = with_fill(line, ["tag"], ["t", "_grid"], {"_before": sample})
     # A sample on the grid point itself sorts before it going forward; going back it is the one before.
-    line = with_fill(line, ["tag"], ["t", "_grid"], {"_after": sample}, ahead=True, cuts=cuts)
+    line = with_fill(line, ["tag"], ["t", "_grid"], {"_after": sample}, ahead=True)
     a, b, t = F.col("_before"), F.col("_after"), F.col("t")
     on_point = a["t"] == t
     linear = a["v"] + (b["v"] - a["v"]) * (t - a["t"]) / (b["t"] - a["t"])
