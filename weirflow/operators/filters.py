@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.contracts import SpecError
 from weirflow.functions.scalars import shape_of
+from weirflow.operators.selection import key_literal, nth_key
 
 # The comparison names.
 OPERATORS = ("eq", "ne", "gt", "gte", "lt", "lte", "in")
@@ -126,10 +127,17 @@ def batch_order(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def slice_page(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
-    """A page of a total order; a negative offset counts as 0, a limit below 1 gives no rows."""
-    if limit <= 0:
+    """A page of a total order; a negative offset counts as 0, a limit below 1 gives no rows.
+
+    The keys at both ends are selected first, so no task sorts what comes before the page; rows equal in
+    every order column stay together.
+    """
+    first = nth_key(df, order, max(offset, 0) + 1) if limit > 0 else None
+    if first is None:
         return df.limit(0)
-    return df.orderBy(*order).offset(max(offset, 0)).limit(limit)
+    last, place = nth_key(df, order, max(offset, 0) + limit), F.struct(*order)
+    rows = df.filter(place >= key_literal(df, order, first))
+    return (rows if last is None else rows.filter(place <= key_literal(df, order, last))).orderBy(*order)
 
 
 def preview(df: DataFrame, limit: int, needed: dict[str, str] | None = None, given: dict[str, str] | None = None) -> DataFrame:

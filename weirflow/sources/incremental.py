@@ -18,6 +18,7 @@ from weirflow.functions.scalars import normalize_iso
 from weirflow.operators.changes import one_per_key
 from weirflow.operators.keys import join_on
 from weirflow.operators.ordered import with_running
+from weirflow.operators.selection import key_literal, nth_key
 
 Offset = dict[str, str]
 
@@ -101,7 +102,8 @@ def admit_batch(df: DataFrame, cursor: str, max_records: int, since: Any = None)
     """
     col = F.col(cursor)
     rows = cursor_scan(df, cursor, since).filter(col.isNotNull())
-    cut = _head(rows.select(cursor).orderBy(col).limit(max_records), _largest(cursor).alias("c"))["c"]
+    key = nth_key(rows, [cursor], max_records)
+    cut = key[0] if key else _head(rows, _largest(cursor).alias("c"))["c"]
     if cut is None:
         return rows.limit(0), {} if since is None else {"cursor": text_of(since)}
     return rows.filter(col <= bound(df, cursor, cut)), {"cursor": cut}
@@ -139,7 +141,11 @@ def keyset_scan(
             rows = rows.filter(place > low)
     batch = rows.select(cursor, tiebreak, place.alias("_key"))
     if max_records is not None:
-        batch = batch.orderBy("_key", t).limit(max_records)
+        parts = ["_key.moment", "_key.text"] if isinstance(batch.schema["_key"].dataType, T.StructType) else ["_key"]
+        keyed = batch.select("*", *[F.col(p).alias(f"_k{i}") for i, p in enumerate(parts)])
+        order = [*[f"_k{i}" for i in range(len(parts))], tiebreak]
+        key = nth_key(keyed, order, max_records)
+        batch = keyed.filter(F.struct(*order) <= key_literal(keyed, order, key)) if key else keyed
     last = F.max_by(F.struct(c.cast("string").alias("c"), t.cast("string").alias("t")), F.struct(F.col("_key"), t)).alias("last")
     seen = _head(batch, last, F.count_if(t.isNull()).alias("bad"), F.count(F.lit(1)).alias("n"))
     if seen["bad"]:
@@ -195,10 +201,9 @@ def window_scan(
         high = min(high, _moment(cap))
     rows = _slice(df, cursor, low, high, with_low)
     if max_records is not None:
-        head = rows.select(cursor).orderBy(cursor).limit(max_records)
-        cut = _head(head, _largest(cursor).alias("c"), F.count(F.lit(1)).alias("n"))
-        if cut["n"] >= max_records and _moment(cut["c"]) < high:
-            return rows.filter(F.col(cursor) <= bound(df, cursor, cut["c"])), {"cursor": cut["c"]}
+        key = nth_key(rows, [cursor], max_records)
+        if key and _moment(key[0]) < high:
+            return rows.filter(F.col(cursor) <= bound(df, cursor, key[0])), {"cursor": key[0]}
     return rows, {"cursor": text_of(high)}
 
 
@@ -392,22 +397,20 @@ def two_part_offset(
 def limit_plus_one(
     df: DataFrame, cursor: str, tiebreak: str, n: int, since: Any = None, cap: Any = None
 ) -> tuple[DataFrame, Offset, bool]:
-    """The first ``n`` rows by ``(cursor, tiebreak)``; one row more is looked at to see truncation.
+    """The first ``n`` rows by ``(cursor, tiebreak)``; whether there are more decides on truncation.
 
     Only a batch that was not cut may move the offset to ``cap``; an empty first run moves there too.
     """
     rows = cursor_scan(df, cursor, since).filter(F.col(cursor).isNotNull())
     c, t = F.col(cursor), F.col(tiebreak)
-    ahead = rows.select(cursor, tiebreak).orderBy(c, t)
-    seen = _head(ahead.limit(n + 1), F.count(F.lit(1)).alias("n"), _largest(cursor).alias("last"))
+    seen = _head(rows, F.count(F.lit(1)).alias("n"), _largest(cursor).alias("last"))
     if not seen["n"]:
         end = text_of(since) if since is not None else text_of(cap)
         return rows.limit(0), {"cursor": end} if end else {}, False
     if seen["n"] > n:
-        place = F.struct(c.cast("string").alias("c"), t.cast("string").alias("t"))
-        nth = _head(ahead.limit(n), F.max_by(place, F.struct(c, t)).alias("p"))["p"]
-        top, tie = bound(df, cursor, nth["c"]), bound(df, tiebreak, nth["t"])
-        return rows.filter((c < top) | ((c == top) & (t <= tie))), {"cursor": nth["c"]}, True
+        at, tie = nth_key(rows, [cursor, tiebreak], n)
+        top, tie = bound(df, cursor, at), bound(df, tiebreak, tie)
+        return rows.filter((c < top) | ((c == top) & (t <= tie))), {"cursor": at}, True
     last = seen["last"]
     if cap is not None and _moment(last) > _moment(cap):
         last = text_of(_moment(cap))
