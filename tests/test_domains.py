@@ -94,3 +94,45 @@ def test_trees(spark):
     assert {(r["id"], r["depth"], r["path"]) for r in tree_walk(df, "id", "up").collect()} == {("a", 0, "a"), ("b", 1, "a/b"), ("c", 2, "a/b/c")}
     nested = spark.createDataFrame([('{"id":"x","children":[{"id":"y"},{"children":[{"id":"z"}]}]}',)], "j string").select(F.try_parse_json("j").alias("n"))
     assert {(r["element"], r["parent"], r["depth"]) for r in nested_tree(spark, nested, "n").collect()} == {("x", "", 0), ("y", "x", 1)}
+
+
+def test_tree_of_5000_levels_in_few_rounds(spark, monkeypatch):
+    from weirflow.operators import explode
+
+    rounds, cut = [], explode.cut_lineage
+    monkeypatch.setattr(explode, "cut_lineage", lambda df, stem: (rounds.append(stem), cut(df, stem))[1])
+    chain = [(i, None if i == 0 else i - 1) for i in range(5000)]
+    # Two rows point at each other, one hangs below them, one below nothing, one is its own parent.
+    lost = [(9001, 9002), (9002, 9001), (9003, 9002), (9004, 9999), (9005, 9005), (None, 3)]
+    got = {r["id"]: (r["depth"], len(r["path"].split("/"))) for r in tree_walk(spark.createDataFrame(chain + lost, "id long, up long"), "id", "up").collect()}
+    assert got == {i: (i, i + 1) for i in range(5000)} and len(rounds) < 20
+
+
+def test_overlap_pairs_by_hierarchy(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    from weirflow.operators.joins import _nodes, overlap_pairs
+
+    rng = random.Random(2)
+    at = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
+    some = lambda n, long: [(i, a, a + rng.choice([0, 1, 5, 200, long])) for i in range(n) for a in [rng.randrange(8000)]]
+    frames, spans = some(120, 9000), some(80, 700)
+    open_ = [(i, a, None if i % 9 == 0 else b) for i, a, b in frames] + [(500, -50, None), (501, 5, 4)]
+    f = spark.createDataFrame([(i, at(a), None if b is None else at(b)) for i, a, b in open_], "f int, s timestamp_ntz, e timestamp_ntz")
+    g = spark.createDataFrame([(i, at(a), at(b)) for i, a, b in spans], "g int, a timestamp_ntz, b timestamp_ntz")
+    got = sorted((r["f"], r["g"]) for r in overlap_pairs(f, g, ("s", "e"), ("a", "b"), 3600).select("f", "g").collect())
+    assert got == sorted((i, j) for i, a, b in open_ for j, c, d in spans if a <= d and (b is None or (b >= c and b >= a)))
+    year = spark.range(1).select(_nodes(F.lit(3), F.lit(8763), 14).alias("n")).first()["n"]
+    assert len(year) < 28
+    assert sorted(k for x in year for k in range(x["node"] << x["level"], (x["node"] + 1) << x["level"])) == list(range(3, 8764))
+    assert overlap_pairs(f, g.limit(0), ("s", "e"), ("a", "b"), 3600).count() == 0
+
+
+def test_field_paths_of_any_depth(spark):
+    from weirflow.operators.quality import field_paths
+
+    deep = '{"a":' * 300 + "1" + "}" * 300
+    rows = ['{"x":{"y":[{"z":1},[{"lost":1}],{"w":null}]},"x y":2}', "[{\"top\":{}}]", "no json", None, "7", '{"n":NaN}', deep]
+    got = {r["path"] for r in field_paths(spark.createDataFrame([(r,) for r in rows], "j string"), "j").collect()}
+    assert got == {"x", "x.y", "x.y.z", "x.y.w", "x y", "top"} | {".".join("a" * d) for d in range(1, 301)}

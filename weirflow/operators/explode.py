@@ -62,26 +62,32 @@ def map_rows(df: DataFrame, col: str, key: str = "name", value: str = "value", s
 
 
 def tree_walk(df: DataFrame, key: str, parent: str) -> DataFrame:
-    """Rows of a parent-pointer tree with ``depth`` and ``path``, from the roots (no parent) down.
+    """Rows of a parent-pointer tree with ``depth`` and ``path`` from the root (no parent) down.
 
-    A row without key is skipped and its subtree with it. One join per level; each level is written
-    to the shared folder, so a lost executor costs one level and the plan does not grow.
+    Pointer doubling: every row knows an ancestor and the path below it, and takes over its ancestor's own
+    ancestor and path, so a round reaches twice as far and a chain of n rows takes log2(n) rounds. Each
+    round is written to the shared folder. A row without key is skipped and its subtree with it, and so are
+    rows that lead to no root: below a missing parent, or in or below a cycle.
     """
     rows = df.filter(F.col(key).isNotNull())
     root = F.coalesce(F.col(parent).cast("string"), F.lit("")) == ""
-    level = rows.filter(root).withColumn("depth", F.lit(0)).withColumn("path", F.col(key).cast("string"))
-    rest = rows.filter(~root)
-    out = None
-    for depth in count():
-        level = cut_lineage(level, "level")
-        if level.limit(1).count() == 0:
-            break
-        out = level if out is None else out.unionByName(level)
-        up = level.select(F.col(key).alias("_up"), F.col("path").alias("_path"))
-        level = rest.join(up, F.col(parent) == F.col("_up")).withColumn("depth", F.lit(depth + 1)).withColumn(
-            "path", F.concat_ws("/", F.col("_path"), F.col(key).cast("string"))
-        ).drop("_up", "_path")
-    return level if out is None else out
+    start = rows.withColumns({"depth": F.when(root, 0).otherwise(1), "path": F.col(key).cast("string"), "_far": F.when(~root, F.col(parent))})
+    open_ = start.filter(F.col("_far").isNotNull())
+    done = [start.filter(F.col("_far").isNull())]
+    while True:
+        reached = done[0]
+        for part in done[1:]:
+            reached = reached.unionByName(part)
+        up = reached.unionByName(open_).select(F.col(key).alias("_key"), F.col("depth").alias("_depth"), F.col("path").alias("_path"), F.col("_far").alias("_next"))
+        moved = open_.join(up, F.col("_far") == F.col("_key")).withColumns({
+            "depth": F.col("depth") + F.col("_depth"), "path": F.concat_ws("/", "_path", "path"), "_far": F.col("_next"),
+        })
+        state = cut_lineage(moved.drop("_key", "_depth", "_path", "_next"), "walk")
+        done.append(state.filter(F.col("_far").isNull()))
+        # Depths have no gaps: a round that brings no row to its root leaves none that could get there.
+        if done[-1].isEmpty():
+            return reached.drop("_far")
+        open_ = state.filter(F.col("_far").isNotNull())
 
 
 def nested_tree(spark, df: DataFrame, col: str, key: str = "id", children: str = "children") -> DataFrame:

@@ -74,29 +74,57 @@ def overlapping(frames: DataFrame, start: str, end: str, low, high) -> DataFrame
     return frames.filter((a <= bound(frames, start, high)) & (b.isNull() | (b >= bound(frames, end, low))))
 
 
+def _nodes(first: Column, last: Column, levels: int) -> Column:
+    """The fewest nodes (level, number) of a binary hierarchy over slots that cover ``first`` to ``last``: two a level at most.
+
+    At a level the nodes wholly inside reach from ``a`` to ``b``; an odd ``a`` and an even ``b`` are no halves of a
+    node inside on the level above.
+    """
+    found = []
+    for n in range(levels + 1):
+        width = 1 << n
+        a, b = F.floor((first + (width - 1)) / width), F.floor((last + 1) / width) - 1
+        node = lambda k: F.struct(F.lit(n).alias("level"), k.cast("long").alias("node"))  # noqa: B023, E731
+        found += [F.when((a <= b) & (a % 2 == 1), node(a)), F.when((a <= b) & (b % 2 == 0), node(b))]
+    return F.array_compact(F.array(*found))
+
+
+def _ancestors(slot: Column, levels: int) -> Column:
+    return F.array(*[F.struct(F.lit(n).alias("level"), F.floor(slot / (1 << n)).cast("long").alias("node")) for n in range(levels + 1)])
+
+
 def overlap_pairs(
     frames: DataFrame, spans: DataFrame, frame: tuple[str, str], span: tuple[str, str], bucket_seconds: int,
 ) -> DataFrame:
     """Every frame with every span it overlaps; a frame without end is still going on.
 
-    Both sides are laid on time buckets and joined by bucket. A pair that shares several buckets is
-    taken only in the first one they share, so nothing has to be made distinct. The join has no order to keep, so
-    adaptive execution splits a bucket in which very many frames or spans lie.
+    Two intervals overlap if one begins inside the other. Time slots form a binary hierarchy: an interval lies on the
+    fewest nodes that cover its slots, some two a level, and a beginning on the nodes above its slot, so a frame of a
+    year takes tens of rows and not one per slot. A beginning meets an interval on one node only, and what begins first
+    is told apart, so nothing has to be made distinct. The joins have no order to keep, so adaptive execution splits a
+    node on which very many frames or spans lie.
     """
     size = bucket_seconds * 1_000_000
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    slot = lambda m: F.floor(m / F.lit(size))
-    # The spans' outer bounds keep frames without end from being laid on buckets no span reaches.
+    # The spans' outer bounds keep frames without end from being laid on nodes no span reaches.
     edge = spans.agg(F.min(micros(span[0])).alias("lo"), F.max(micros(span[1])).alias("hi")).head()
+    if edge["lo"] is None or edge["hi"] is None:
+        return frames.limit(0).join(spans.limit(0), F.lit(True)).select(*frames.columns, *spans.columns)
     low, high = F.lit(edge["lo"]).cast("bigint"), F.lit(edge["hi"]).cast("bigint")
+    levels = max(0, (edge["hi"] - edge["lo"]) // size).bit_length()
+    slot = lambda m: F.floor((m - low) / F.lit(size))
     left = frames.withColumns({
         "_fa": F.greatest(micros(frame[0]), low), "_fb": F.least(F.coalesce(micros(frame[1]), high), high),
     }).filter(F.col("_fa") <= F.col("_fb"))
-    left = each_between(left.withColumn("_f1", slot(F.col("_fa"))), F.col("_f1"), slot(F.col("_fb")), "_slot")
-    right = spans.withColumns({"_sa": micros(span[0]), "_sb": micros(span[1])}).withColumn("_s1", slot(F.col("_sa")))
-    right = each_between(right, F.col("_s1"), slot(F.col("_sb")), "_slot")
-    same = (F.col("_fa") <= F.col("_sb")) & (F.col("_fb") >= F.col("_sa")) & (F.col("_slot") == F.greatest("_f1", "_s1"))
-    return left.join(right, "_slot").filter(same).select(*frames.columns, *spans.columns)
+    right = spans.withColumns({"_sa": micros(span[0]), "_sb": micros(span[1])}).filter(F.col("_sa") <= F.col("_sb"))
+    on = lambda df, nodes: df.select("*", F.inline(nodes))
+    kept = [*frames.columns, *spans.columns]
+    inside = on(left, _nodes(slot(F.col("_fa")), slot(F.col("_fb")), levels)).join(on(right, _ancestors(slot(F.col("_sa")), levels)), ["level", "node"])
+    inside = inside.filter((F.col("_fa") <= F.col("_sa")) & (F.col("_sa") <= F.col("_fb"))).select(*kept)
+    around = on(left, _ancestors(slot(F.col("_fa")), levels)).join(on(right, _nodes(slot(F.col("_sa")), slot(F.col("_sb")), levels)), ["level", "node"])
+    around = around.filter((F.col("_sa") < F.col("_fa")) & (F.col("_fa") <= F.col("_sb"))).select(*kept)
+    return inside.unionByName(around)
+
 
 
 def primary_or_referenced(frames: DataFrame, links: DataFrame, key: str, primary: str, element: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.operators.filters import field_diff
 from weirflow.operators.keys import join_on
-from weirflow.session import cut_lineage
 from weirflow.sources.incremental import bound
 
 
@@ -83,40 +84,48 @@ def _schema_paths(kind: T.DataType, prefix: str = "") -> tuple[set[str], set[str
     return paths, open_ends
 
 
-def _entries(value: Column) -> Column:
-    """Fields of an object; of a list the fields of its objects."""
-    fields = lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
-    items = F.try_variant_get(value, "$", "array<variant>")
-    return F.coalesce(fields(value), F.flatten(F.array_compact(F.transform(items, fields))))
+#: Paths a task holds before it hands them on.
+PATHS_HELD = 100_000
 
 
-#: Levels of a record that one pass opens; deeper ones are taken up by the next pass.
-LEVELS = 8
+def _paths_of(text: str, found: set[str]) -> None:
+    """Add the field paths of one record; a record that is no JSON has none."""
+    def refused(name: str):
+        raise ValueError(name)
+
+    try:
+        waiting = [("", json.loads(text, parse_constant=refused))]
+    except (ValueError, RecursionError):
+        return
+    while waiting:
+        prefix, value = waiting.pop()
+        for item in value if isinstance(value, list) else [value]:
+            if isinstance(item, dict):
+                for name, inner in item.items():
+                    path = f"{prefix}.{name}" if prefix else name
+                    found.add(path)
+                    if isinstance(inner, (dict, list)):
+                        waiting.append((path, inner))
 
 
 def field_paths(df: DataFrame, col: str) -> DataFrame:
-    """Distinct field paths of JSON records, lists counted as their elements, down to the last level there is.
+    """Distinct field paths of JSON records at any depth, lists counted as the objects in them.
 
-    A record is opened some levels at a time inside its row. What lies below them is written to the shared folder
-    and opened in turn until nothing is left; path names are made distinct on the map side first.
+    One pass: a task merges the shapes of its records into one set of paths, and the sets meet in one aggregation.
     """
-    below = lambda path, v: F.transform(_entries(v), lambda e: F.struct(
-        F.when(path == "", e["key"]).otherwise(F.concat_ws(".", path, e["key"])).alias("path"), e["value"].alias("v")
-    ))
-    rows, out = df.select(F.lit("").alias("path"), F.try_parse_json(F.col(col)).alias("v")), None
-    while True:
-        rows = rows.select(below(F.col("path"), F.col("v")).alias("_l1"))
-        for i in range(1, LEVELS):
-            rows = rows.withColumn(f"_l{i + 1}", F.flatten(F.array_compact(F.transform(f"_l{i}", lambda e: below(e["path"], e["v"])))))
-        paths = F.array_distinct(F.flatten(F.array_compact(F.array(*[F.transform(f"_l{i}", lambda e: e["path"]) for i in range(1, LEVELS + 1)]))))
-        rest = F.filter(f"_l{LEVELS}", lambda e: F.size(_entries(e["v"])) > 0)
-        opened = cut_lineage(rows.select(paths.alias("paths"), rest.alias("rest")), "fields")
-        found = opened.select(F.explode("paths").alias("path")).distinct()
-        out = found if out is None else out.unionByName(found)
-        deep = opened.filter(F.size("rest") > 0)
-        if deep.isEmpty():
-            return out.distinct()
-        rows = deep.select(F.explode("rest").alias("e")).select("e.path", "e.v")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[str] = set()
+        told = lambda: pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["path"])
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text is not None:
+                    _paths_of(text, found)
+            if len(found) > PATHS_HELD:
+                yield told()
+                found.clear()
+        yield told()
+
+    return df.select(F.col(col).cast("string")).mapInArrow(run, "path string").distinct()
 
 
 def uncovered_fields(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
