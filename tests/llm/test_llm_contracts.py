@@ -488,3 +488,33 @@ def test_decontamination_of_a_repetitive_text(spark, monkeypatch, part):
     docs = spark.createDataFrame([(1, f"{item.text} " * 400), (2, "a " * 5000), (3, item.text)], "doc_id long, text string")
     got = {(r.doc_id, r.item_id, r.similarity) for r in decontaminate.contaminated(docs, bench).collect()}
     assert {(1, item.item_id, 1.0), (3, item.item_id, 1.0)} <= got and not any(d == 2 for d, _, _ in got)
+
+
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(8)
+    text = rng.integers(3, 5000, 3000)
+    for ids in (np.concatenate([text] * 30 + [rng.integers(3, 5000, 20_000)]), np.full(5000, 9), np.tile([4, 4, 5], 900), np.arange(7), np.zeros(0, np.int64), (rng.zipf(1.3, 30_000) % 60_000)):
+        for rules_a_round in (3, 1 << 14):
+            rules, sizes, seq = repair.compress(ids, 60_000, most=rules_a_round)
+            assert (repair.expand(seq, rules, 60_000) == ids).all() and len(rules) == len(sizes)
+            _, n = np.unique(seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:], return_counts=True)
+            assert not (n >= 8).any()
+            for k in rng.integers(0, max(1, len(rules)), 5)[: len(rules)]:
+                assert len(repair.expand(np.array([60_000 + k]), rules, 60_000)) == sizes[k]
+
+
+def test_token_files_of_many_shards(spark, documents, ids, tmp_path, monkeypatch):
+    """Documents longer than a shard go on in the next ones; single documents are fetched without the others."""
+    monkeypatch.setattr(repair, "SHARD_IDS", 500)
+    path = str(tmp_path / "ids")
+    repair.write(documents.repartition(3), path, TOKENIZER)
+    files = spark.read.parquet(path)
+    assert files.count() > 20 and files.filter(F.exists("docs", lambda d: d["pieces"] > 2)).count() > 2
+    got = sorted(repair.read(spark, path).collect(), key=lambda r: r.start)
+    assert Counter((r.id, zlib.crc32(r.ids)) for r in got) == Counter((d, crc(i)) for d, i in ids)
+    at = 0
+    for r in got:
+        assert r.start == at and r.n_tokens * 4 == len(r.ids)
+        at += r.n_tokens
+    some = [9005, 9008, 3]
+    assert sorted((r.id, r.start, bytes(r.ids)) for r in repair.fetch(spark, path, some).collect()) == sorted((r.id, r.start, bytes(r.ids)) for r in got if r.id in some)

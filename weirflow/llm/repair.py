@@ -6,8 +6,8 @@ symbols; symbols from ``base`` on are nonterminals), the length each rule expand
 and a directory of documents. The lengths allow decoding any range of ids without the rest. A file is Parquet
 with one row per shard; all integers in its binary columns are little-endian.
 
-Each round counts all neighbouring pairs by sorting and gives the most frequent ones a nonterminal each, until
-no pair is frequent enough or ``rounds`` is reached; where pairs overlap the left one goes first.
+Each round counts all neighbouring pairs by sorting and gives the most frequent ones a nonterminal each; where pairs
+overlap the left one goes first. Rounds go on until no pair occurs ``LEAST`` times in the shard.
 
 Null and empty texts are one end id. Rows with a null id come first; ties go by text. Repeated rows are stored
 each. An empty table gives files without shards; other columns play no part.
@@ -15,28 +15,42 @@ each. An empty table gives files without shards; other columns play no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weirflow.llm.tokens import blocks, encoder
 
 SHARD_IDS = 2 << 20
-TABLE_BITS = 16
+#: A pair that occurs so often gets a rule; so many rules a round at most, found through a table of so many places.
+LEAST, RULES_A_ROUND, TABLE_BITS = 8, 1 << 14, 18
+#: As many rules are found by bisection, so that none has to wait.
+FEW = 256
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = 4, least: int = 8, most: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules as pairs, lengths they expand to, sequence) of ``ids``, all below ``base``."""
-    seq, rules, sizes = ids.astype(np.uint32), [], [np.ones(0, np.uint32)]
+def _pairs(seq: np.ndarray, known: int) -> np.ndarray:
+    """Each symbol with the next one as one number."""
+    if known <= 1 << 16:
+        return seq[:-1] << np.uint32(16) | seq[1:]
+    return seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+
+
+def _apart(hit: np.ndarray) -> np.ndarray:
+    """Of places that follow one another every second one, the left one first, so that no two pairs share a symbol."""
+    run = np.concatenate((np.ones(min(1, len(hit)), bool), np.diff(hit) != 1))
+    at = np.arange(len(hit))
+    return hit[(at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0]
+
+
+def compress(ids: np.ndarray, base: int, least: int = LEAST, most: int = RULES_A_ROUND) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rules as pairs, lengths they expand to, sequence) of ``ids``, all below ``base``: no pair is left ``least`` times."""
+    seq, rules, sizes = ids.astype(np.uint32), np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
     known = base
-    length = lambda s: np.where(s < base, np.uint32(1), np.concatenate(sizes)[np.maximum(s.astype(np.int64) - base, 0)] if known > base else np.uint32(1))
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        pairs = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:] if known > 1 << 16 else seq[:-1] << np.uint32(16) | seq[1:]
+    while len(seq) > 1:
+        pairs = _pairs(seq, known)
         ordered = np.sort(pairs)
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(starts, len(ordered)))
@@ -45,27 +59,37 @@ def compress(ids: np.ndarray, base: int, rounds: int = 4, least: int = 8, most:
             break
         best = often[np.argsort(-counts[often], kind="stable")][:most]
         keys = ordered[starts[best]]
-        # A pair finds its rule in a table by hash; of pairs that meet there the most frequent stays, others wait.
-        slot = lambda x: (x * x.dtype.type(0x9E3779B1) >> x.dtype.type(7)) & x.dtype.type((1 << TABLE_BITS) - 1)
-        places, first = np.unique(slot(keys), return_index=True)
-        keys = keys[np.sort(first)]
-        held, rule = np.zeros(1 << TABLE_BITS, keys.dtype), np.full(1 << TABLE_BITS, -1, np.int64)
-        held[slot(keys)], rule[slot(keys)] = keys, known + np.arange(len(keys))
-        at = slot(pairs)
-        hit = np.flatnonzero((held[at] == pairs) & (rule[at] >= 0))
-        run = np.concatenate(([True], np.diff(hit) != 1))
-        hit = hit[(np.arange(len(hit)) - np.maximum.accumulate(np.where(run, np.arange(len(hit)), 0))) % 2 == 0]
-        new = rule[at[hit]]
-        half = np.uint64(32) if keys.dtype == np.uint64 else np.uint32(16)
-        two = np.stack([keys >> half, keys & keys.dtype.type((1 << int(half)) - 1)], axis=1).astype(np.uint32)
-        fresh = (length(two[:, 0]) + length(two[:, 1])).astype(np.uint32)
-        rules.append(two)
-        sizes.append(fresh)
-        seq[hit] = new
+        if len(keys) <= FEW:
+            keys = np.sort(keys)
+            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+            rule, held = np.arange(len(keys), dtype=np.int32), keys
+        else:
+            # A pair finds its rule in a table by hash; of pairs that meet there the most frequent stays, the others' round comes.
+            kind = keys.dtype.type
+            slot = lambda x: (x * kind(0x9E3779B1) >> kind(7)) & kind((1 << TABLE_BITS) - 1)  # noqa: B023, E731
+            _, first = np.unique(slot(keys), return_index=True)
+            keys = keys[np.sort(first)]
+            held, rule = np.zeros(1 << TABLE_BITS, keys.dtype), np.full(1 << TABLE_BITS, -1, np.int32)
+            held[slot(keys)], rule[slot(keys)] = keys, np.arange(len(keys))
+            at = slot(pairs)
+        hit = _apart(np.flatnonzero((held[at] == pairs) & (rule[at] >= 0)))
+        found = rule[at[hit]]
+        uses = np.bincount(found, minlength=len(keys))
+        if uses.max() > 1:  # pairs that neighbours left a single place wait as well
+            hit, found = hit[uses[found] > 1], found[uses[found] > 1]
+        else:
+            hit = _apart(np.flatnonzero(pairs == keys[0]))
+            found = np.zeros(len(hit), np.int64)
+        used, found = np.unique(found, return_inverse=True)
+        two = np.stack([seq[hit], seq[hit + 1]], axis=1)[np.unique(found, return_index=True)[1]]
+        every = np.concatenate((np.ones(1, np.uint32), sizes))  # 0 stands for an id
+        length = lambda x: every[np.maximum(x.astype(np.int64) - base + 1, 0)]  # noqa: B023, E731
+        rules, sizes = np.concatenate((rules, two)), np.concatenate((sizes, length(two[:, 0]) + length(two[:, 1])))
+        seq[hit] = known + found
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
-        seq, known = seq[keep], known + len(keys)
-    return np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), np.concatenate(sizes), seq
+        seq, known = seq[keep], known + len(used)
+    return rules, sizes, seq
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
@@ -82,21 +106,25 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return out
 
 
+def ends_of(sequence: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
+    """Ids up to and with each symbol of a sequence."""
+    every = np.concatenate((np.ones(1, np.int64), sizes))  # 0 stands for an id
+    return np.cumsum(every[np.maximum(sequence.astype(np.int64) - base + 1, 0)])
+
+
 def extract(shard: dict, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a shard; only the symbols that cover them are expanded."""
-    seq, rules, sizes, base = shard["sequence"], shard["rules"], shard["sizes"], shard["base"]
-    each = np.where(seq < base, 1, sizes[np.maximum(seq.astype(np.int64) - base, 0)] if len(sizes) else 1)
-    ends = np.cumsum(each)
+    ends = shard["ends"] if "ends" in shard else ends_of(shard["sequence"], shard["sizes"], shard["base"])
     a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
     skip = start - (ends[a - 1] if a else 0)
-    return expand(seq[a:b], rules, base)[skip : skip + stop - start]
+    return expand(shard["sequence"][a:b], shard["rules"], shard["base"])[skip : skip + stop - start]
 
 
 def unpack(row: dict) -> dict:
-    """A row of the file with its binary columns as arrays."""
+    """A row of the file with its binary columns as arrays, and where each symbol ends."""
     kind = np.dtype(f"<u{row['width']}")
-    rules = np.frombuffer(row["rules"], kind).reshape(-1, 2)
-    return {**row, "rules": rules, "sizes": np.frombuffer(row["sizes"], "<u4"), "sequence": np.frombuffer(row["sequence"], kind)}
+    rules, sizes, seq = np.frombuffer(row["rules"], kind).reshape(-1, 2), np.frombuffer(row["sizes"], "<u4"), np.frombuffer(row["sequence"], kind)
+    return {**row, "rules": rules, "sizes": sizes, "sequence": seq, "ends": ends_of(seq, sizes, row["base"])}
 
 
 FIELDS = "part long, shard long, base long, width long, skipped long, n_ids long, rules binary, sizes binary, sequence binary, docs array<struct<id: {0}, doc_no: long, piece: long, pieces: long, first: long, n: long>>"
@@ -139,13 +167,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
     rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, FIELDS.format(kind)).write.parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(id, start, n_tokens, ids) per document in the files: start counts the ids of all documents before it."""
-    files = spark.read.parquet(path)
+def _pieces(files: DataFrame, every: bool, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(part, id, doc_no, piece, pieces, first, n, ids) of documents in ``files``: all of a shard by expanding it, or the ``wanted`` ones by random access."""
     kind = files.schema["docs"].dataType.elementType["id"].dataType.simpleString()
-    # One row per writing task, so the window and the broadcast are bounded by the number of tasks.
-    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,18 +177,44 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             schema = pa.schema([("part", pa.int64()), ("id", kinds.field("id").type)] + [(c, pa.int64()) for c in ("doc_no", "piece", "pieces", "first", "n")] + [("ids", pa.binary())])
             for i in range(batch.num_rows):
                 row = unpack(batch.slice(i, 1).to_pylist()[0])
-                ids = expand(row["sequence"], row["rules"], row["base"]).astype("<u4")
-                found = [{"part": row["part"], **d, "first": row["skipped"] + d["first"], "ids": ids[d["first"] : d["first"] + d["n"]].tobytes()} for d in row["docs"]]
-                for at in range(0, len(found), 1024):
-                    yield pa.RecordBatch.from_pylist(found[at : at + 1024], schema=schema)
+                whole = expand(row["sequence"], row["rules"], row["base"]) if every else None
+                for at in range(0, len(row["docs"]), 1024):
+                    found = []
+                    for d in row["docs"][at : at + 1024]:
+                        ids = whole[d["first"] : d["first"] + d["n"]] if every else extract(row, d["first"], d["first"] + d["n"])
+                        found.append({"part": row["part"], **d, "first": row["skipped"] + d["first"], "ids": ids.astype("<u4").tobytes()})
+                    yield pa.RecordBatch.from_pylist(found, schema=schema)
 
-    out = f"part long, id {kind}, doc_no long, piece long, pieces long, first long, n long, ids binary"
+    listed = files if every else files.withColumn("docs", F.filter("docs", wanted)).filter(F.size("docs") > 0)
+    return listed.mapInArrow(run, f"part long, id {kind}, doc_no long, piece long, pieces long, first long, n long, ids binary")
 
-    def placed(some: DataFrame) -> DataFrame:
-        return some.mapInArrow(run, out).join(F.broadcast(before), "part").select("part", "doc_no", "id", "piece", "pieces", (F.col("before") + F.col("first")).alias("start"), F.col("n").alias("n_tokens"), "ids")
 
-    single = placed(files).filter("pieces = 1").select("id", "start", "n_tokens", "ids")
+def _joined(files: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(id, start, n_tokens, ids) of documents from their pieces."""
+    # One row per writing task, so the window and the broadcast are bounded by the number of tasks.
+    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    return pieces.join(F.broadcast(before), "part").select("part", "doc_no", "id", "piece", "pieces", (F.col("before") + F.col("first")).alias("start"), F.col("n").alias("n_tokens"), "ids")
+
+
+def _whole(placed: DataFrame) -> DataFrame:
+    """Documents cut over several shards, in one piece."""
     ordered = F.array_sort(F.collect_list(F.struct("piece", "ids")))
-    cut = placed(files.filter(F.exists("docs", lambda d: d["pieces"] > 1))).filter("pieces > 1")
-    long = cut.groupBy("part", "doc_no").agg(F.first("id").alias("id"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), ordered.alias("p"))
-    return single.unionByName(long.select("id", "start", "n_tokens", F.aggregate("p", F.lit(b""), lambda acc, p: F.concat(acc, p["ids"])).alias("ids")))
+    long = placed.groupBy("part", "doc_no").agg(F.first("id").alias("id"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), ordered.alias("p"))
+    return long.select("id", "start", "n_tokens", F.aggregate("p", F.lit(b""), lambda acc, p: F.concat(acc, p["ids"])).alias("ids"))
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """(id, start, n_tokens, ids) per document in the files: start counts the ids of all documents before it.
+
+    Shards are expanded once; of documents that go on in a further shard the pieces are fetched by random access.
+    """
+    files = spark.read.parquet(path)
+    single = _joined(files, _pieces(files, True)).filter("pieces = 1").select("id", "start", "n_tokens", "ids")
+    return single.unionByName(_whole(_joined(files, _pieces(files, False, lambda d: d["pieces"] > 1))))
+
+
+def fetch(spark: SparkSession, path: str, ids: list) -> DataFrame:
+    """As :func:`read` for the documents of some ids: only the symbols that cover them are expanded."""
+    files = spark.read.parquet(path)
+    return _whole(_joined(files, _pieces(files, False, lambda d: d["id"].isin(ids))))
