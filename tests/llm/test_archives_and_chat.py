@@ -97,3 +97,30 @@ def test_chat_round_trip(spark):
     for conv, turns in by.items():
         assert [t for _, t in sorted(examples[conv])] == [t for _, r, t in turns if r == "assistant"]
     assert chat.format_conversations(rows.limit(0)).count() == 0
+
+
+def test_references_name_a_record(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(5)
+    warc.write_archive(pages, str(tmp_path / "a"), segment_bytes=500)
+    found = warc.read_records(spark, str(tmp_path / "a"))
+    rows = found.select("kind", "name", "page", "refers", "digest").collect()
+    names = {r.name: r for r in rows}
+    assert len(names) == len(rows)
+    again = [r for r in rows if r.kind == "revisit"]
+    assert again and all(names[r.refers].kind == "response" and names[r.refers].digest == r.digest for r in again)
+
+
+def test_a_long_conversation_costs_what_its_text_costs(spark):
+    import time
+
+    took = {}
+    for turns in (2000, 20_000):
+        rows = spark.range(turns).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.repeat(F.lit("some <words> "), 8).alias("text"))
+        written = chat.format_conversations(rows).cache()
+        written.count()
+        chat.expand(written, prompts=False).agg(F.sum(F.length("reply"))).first()
+        start = time.time()
+        sums = chat.expand(written, prompts=False).agg(F.count(F.lit(1)), F.sum(F.length(chat.unescape(F.col("reply")))), F.max("prompt_chars")).first()
+        took[turns] = time.time() - start
+        assert sums[0] == turns // 2 and sums[1] == 104 * turns // 2
+    assert took[20_000] < 5

@@ -518,3 +518,26 @@ def test_token_files_of_many_shards(spark, documents, ids, tmp_path, monkeypatch
         at += r.n_tokens
     some = [9005, 9008, 3]
     assert sorted((r.id, r.start, bytes(r.ids)) for r in repair.fetch(spark, path, some).collect()) == sorted((r.id, r.start, bytes(r.ids)) for r in got if r.id in some)
+
+
+def test_secrets_in_encrypted_pem_and_long_runs():
+    import base64
+    import os
+    import time
+
+    lines = base64.encodebytes(os.urandom(64)).decode()
+    old = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{lines}-----END RSA PRIVATE KEY-----"
+    assert [s[:3] for s in secrets.find(f"x {old} y") if s[0] == "pem_key"] == [("pem_key", 2, 2 + len(old))]
+    one = old.replace("\n", "\\n")
+    assert [s[0] for s in secrets.find(one)] == ["pem_key"] and secrets.redact(f"x {old} y") == "x [REDACTED] y"
+    for bad in (old.replace("4,ENCRYPTED", "4,CLEAR"), old.replace("0A" * 16, "0A"), old.replace(lines, lines[4:]), old.replace("DEK-Info", "Comment")):
+        assert not [s for s in secrets.find(bad) if s[0] == "pem_key"]
+    took = {}
+    for n in (1 << 20, 1 << 22):
+        run = base64.b64encode(np.random.default_rng(1).integers(0, 256, n * 3 // 4, np.uint8).tobytes()).decode()
+        start = time.process_time()
+        secrets.find(run)
+        secrets.find("MII" * (n // 3))
+        secrets.find("b3BlbnNzaC1rZXktdjEA" * (n // 20))
+        took[n] = time.process_time() - start
+    assert took[1 << 22] < 12 * took[1 << 20] + 1 and took[1 << 22] < 20

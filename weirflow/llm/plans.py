@@ -39,7 +39,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archive(pages, path)
     back = warc.read_pages(spark, path, payload=False)
     kind = pages.schema["page_id"].dataType
-    return back.select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+    return back.select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"), "intact")
 
 
 ORACLES["op4_warc"] = """
@@ -47,7 +47,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      l AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS least FROM p)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
        CASE WHEN strlen(html) >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN strlen(html) >= 100 AND page_id <> least THEN least END AS refers_to
+       CASE WHEN strlen(html) >= 100 AND page_id <> least THEN least END AS refers_to, true AS intact
 FROM l
 """
 
@@ -94,7 +94,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
     )
     replies = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("example", "reply"))), lambda e: e["reply"]), "")
-    told = chat.expand(parsed).select("conv_id", "n_turns", "turns_sha256", "formatted_chars", "example", chat.unescape(F.col("reply")).alias("reply"))
+    told = chat.expand(parsed, prompts=False).select("conv_id", "n_turns", "turns_sha256", "formatted_chars", "example", chat.unescape(F.col("reply")).alias("reply"))
     loss = told.groupBy("conv_id").agg(*[F.first(c).alias(c) for c in ("n_turns", "turns_sha256", "formatted_chars")], replies.alias("loss"))
     return loss.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 

@@ -31,8 +31,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 TOKEN = re.compile(r"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]++|\\++[nrt/])++)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?:\s|\\+[nr])*+[A-Za-z]+(?:-[A-Za-z]+)*+:[^\n\r\\]*+)*+)((?:[A-Za-z0-9+/=\s]++|\\++[nrt/])++)-----END \1-----")
 PEM_GAP = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")
+PEM_BREAK = re.compile(r"\\+[nr]")
+PEM_HEADER = re.compile(r"([A-Za-z-]+):\x20*([^\n\r\\]*)")
+#: Of an encrypted key in the older form: the cipher and its first block, in hex.
+DEK = re.compile(r"[A-Z0-9]+(?:-[A-Z0-9]+)+,((?:[0-9A-Fa-f]{16}){1,2})\s*")
 #: How a key in DER (a sequence with a definite length) or of OpenSSH begins, and the digits that may follow.
 BASE64_START, BASE64_RUN = re.compile(r"(?:M[A-I]|b3BlbnNzaC1rZXktdjE)[A-Za-z0-9+/_-]{30}"), re.compile(r"[A-Za-z0-9+/_-]*")
 HEX_START, HEX_RUN = re.compile(r"(?:30(?:8[1-4]|[0-7][0-9A-Fa-f])|6[Ff]70656[Ee]7373682[Dd]6[Bb]65792[Dd]763100)[0-9A-Fa-f]{50}"), re.compile(r"[0-9A-Fa-f]*")
@@ -97,19 +101,20 @@ def is_der_key(data: bytes) -> bool:
     return tags == [SEQUENCE, OCTETS] and named(parts[0])
 
 
-def openssh_size(data: bytes) -> int | None:
-    """Bytes of an OpenSSH key at the start: cipher, key derivation, its options, a count, and as many public keys before one private part, all by length."""
-    if not data.startswith(OPENSSH):
+def openssh_size(read: Callable[[int, int], bytes]) -> int | None:
+    """Bytes of an OpenSSH key: cipher, key derivation, its options, a count, and as many public keys before one private part, all by length.
+
+    ``read`` gives the bytes between two places, so that only the lengths are decoded.
+    """
+    if read(0, len(OPENSSH)) != OPENSSH:
         return None
     at, fields, count = len(OPENSSH), 0, None
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at : at + 4], "big")
+    while len(head := read(at, at + 4)) == 4:
+        size = int.from_bytes(head, "big")
         at += 4
         if fields == 3 and count is None:
             count = size
             continue
-        if at + size > len(data):
-            return None
         at, fields = at + size, fields + 1
         if count is not None and fields == 3 + count + 1:
             return at
@@ -118,8 +123,8 @@ def openssh_size(data: bytes) -> int | None:
 
 def is_openssh_key(data: bytes) -> bool:
     """An OpenSSH key and nothing but zeros behind it."""
-    size = openssh_size(data)
-    return size is not None and not any(data[size:])
+    size = openssh_size(lambda a, b: data[a:b])
+    return size is not None and size <= len(data) and not any(data[size:])
 
 
 def der_size(head: bytes | None) -> int | None:
@@ -132,6 +137,12 @@ def der_size(head: bytes | None) -> int | None:
     return 2 + n + int.from_bytes(head[2 : 2 + n], "big") if 1 <= n <= 4 and len(head) >= 2 + n else None
 
 
+def may_hold_key(head: bytes) -> bool:
+    """Whether the sequence that begins so has a number or a sequence as its first element, as every key has."""
+    at = 2 + (head[1] & 0x7F if head[1] & 0x80 else 0)
+    return len(head) > at and head[at] in (INTEGER, SEQUENCE)
+
+
 def is_key(data: bytes | None) -> bool:
     return data is not None and (is_der_key(data) or is_openssh_key(data))
 
@@ -148,10 +159,20 @@ def keys(text: str, start: re.Pattern, run: re.Pattern, bits: int, decode: Calla
         if first >= end:
             end = run.match(text, first).end()
         digits = lambda size: -(-size * 8 // bits)
-        size = der_size(decode(text[first : first + digits(6)]))
-        if size is None:
-            data = decode(text[first:end]) or decode(text[first : end - 1])
-            size = len(data) if data and is_openssh_key(data) else openssh_size(data or b"")
+        head = decode(text[first : first + digits(9)]) or b""
+        size = der_size(head)
+        if size is None and head.startswith(OPENSSH[: len(head)]):
+
+            def read(a: int, b: int) -> bytes:  # three bytes are four digits of 6 bits and six of 4
+                unit = 24 // bits
+                part = text[first + a // 3 * unit : min(first + -(-b // 3) * unit, end)]  # noqa: B023
+                while part and (data := decode(part)) is None:
+                    part = part[:-1]
+                return (data if part else b"")[a % 3 : a % 3 + b - a]
+
+            size = openssh_size(read)
+        elif size is not None and not may_hold_key(head):
+            continue
         if size is None or first + digits(size) > end:
             continue
         to = first + digits(size)
@@ -160,6 +181,15 @@ def keys(text: str, start: re.Pattern, run: re.Pattern, bits: int, decode: Calla
             at = to
 
 
+def is_pem_key(headers: str, body: str) -> bool:
+    """A key in PEM; one encrypted in the older form is told by its cipher and whole blocks, as its inside cannot be parsed."""
+    data, told = decode64(PEM_GAP.sub("", body)), dict(PEM_HEADER.findall(PEM_BREAK.sub("\n", headers)))
+    if "DEK-Info" in told:
+        first = DEK.fullmatch(told["DEK-Info"])
+        return bool(data and first and told.get("Proc-Type", "").strip() == "4,ENCRYPTED" and len(data) % 8 == 0)
+    return is_key(data)
+
+
 def is_signed_token(head: str, body: str, mark: str) -> bool:
     first, second, sign = decode64(head), decode64(body), decode64(mark)
     if first is None or second is None or sign is None:
@@ -184,7 +214,7 @@ def find(text: str) -> list[tuple[str, int, int, int]]:
     if "eyJ" in text:
         out += [("signed_token", *m.span(), m.start()) for m in TOKEN.finditer(text) if is_signed_token(*m.groups())]
     if "-----BEGIN" in text:
-        out += [("pem_key", *m.span(), m.start()) for m in PEM.finditer(text) if is_key(decode64(PEM_GAP.sub("", m[2])))]
+        out += [("pem_key", *m.span(), m.start()) for m in PEM.finditer(text) if is_pem_key(m[2], m[3])]
     for first, end in keys(text, BASE64_START, BASE64_RUN, 6, decode64):
         most = end + -(end - first) % 4
         while end < most and text[end : end + 1] == "=":

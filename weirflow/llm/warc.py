@@ -93,20 +93,27 @@ def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: st
     rows = pages.select(
         F.col(f"`{page_id}`").alias("page"), F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
-    copies = rows.filter(F.octet_length("payload") >= DEDUP_BYTES).groupBy("digest").agg(F.min("page").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "least")
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    same = numbered.filter(F.octet_length("payload") >= DEDUP_BYTES).groupBy("digest", "page").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
+    first = F.min_by(F.struct("page", "n", "row"), F.when(F.col("page").isNotNull(), F.col("page"))).alias("first")
+    copies = same.groupBy("digest").agg(first, F.sum("n").alias("all")).filter("all > 1 AND first.page IS NOT NULL").select("digest", "first")
     # Written first, so that the join below knows its size and shuffles the pages only if copies are many.
     copies = cut_lineage(copies, "copies")
-    told = rows.join(copies, "digest", "left").select(
-        F.monotonically_increasing_id().alias("row"), F.col("page").cast("string").alias("page"), "url", "payload", "digest",
-        F.when(~F.col("page").eqNullSafe(F.col("least")), F.col("least").cast("string")).alias("refers"),
+    joined, least = numbered.join(copies, "digest", "left"), F.col("first.page")
+    # The response that others refer to is named by what they know of it: its page and digest. Of repeated rows one has that name.
+    name = lambda page, last: F.concat_ws(":", page.cast("string"), last)
+    chosen = F.col("page").eqNullSafe(least) & ((F.col("first.n") == 1) | (F.col("row") == F.col("first.row")))
+    told = joined.select(
+        F.when(least.isNotNull() & chosen, name(least, F.col("digest"))).otherwise(name(F.coalesce(F.col("page").cast("string"), F.lit("-")), F.col("row").cast("string"))).alias("name"),
+        F.col("page").cast("string").alias("page"), "url", "payload", "digest",
+        F.when(least.isNotNull() & ~F.col("page").eqNullSafe(least), name(least, F.col("digest"))).alias("refers"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, size = [], 0
             for x in zip(*(c.to_pylist() for c in batch.columns)):
-                row, page, *rest = x
-                for r in records(f"{'-' if page is None else page}:{row}", page, *rest, segment_bytes):
+                for r in records(*x, segment_bytes):
                     out.append(r)
                     size += len(r)
                 if size > 8 << 20:
@@ -129,10 +136,9 @@ def parse_record(raw: bytes) -> dict | None:
     field = {k.lower().decode(): v.decode() for k, v in HEAD.findall(head + b"\r\n")}
     size = int(field["content-length"]) if field.get("content-length", "").isdigit() else -1
     number = lambda k: int(field[k]) if field.get(k, "").isdigit() else None
-    referred = field.get("warc-refers-to")
     return {
         "kind": field.get("warc-type"), "name": field.get("warc-record-id"), "page": field.get("warc-page-id"),
-        "refers": referred.removeprefix("<urn:page:").removesuffix(">") if referred else None,
+        "refers": field.get("warc-refers-to"),
         "digest": field.get("warc-payload-digest", "").removeprefix("sha256:"), "origin": field.get("warc-segment-origin-id") or field.get("warc-record-id"),
         "segment": number("warc-segment-number"), "total": number("warc-segment-total-length"),
         "block": rest[:size] if size >= 0 else b"", "ok": 0 <= size <= len(rest) and not rest[size:].strip(b"\r\n"),
@@ -153,20 +159,20 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def reassemble(found: DataFrame) -> DataFrame:
-    """(kind, page, refers, digest, block, whole): one row per response or revisit, the blocks of segments joined in order.
+    """(kind, name, page, refers, digest, block, whole): one row per response or revisit, the blocks of segments joined in order.
 
     Only records with a segment number are shuffled, by the id of the record they began with.
     """
-    single = found.filter("segment IS NULL AND kind <> 'continuation'").select("kind", "page", "refers", "digest", "block", F.col("ok").alias("whole"))
+    single = found.filter("segment IS NULL AND kind <> 'continuation'").select("kind", "name", "page", "refers", "digest", "block", F.col("ok").alias("whole"))
     parts = F.array_sort(F.collect_list(F.struct("segment", "block")))
     joined = found.filter("segment IS NOT NULL").groupBy("origin").agg(
-        *[F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in ("kind", "page", "refers", "digest")],
+        *[F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in ("kind", "name", "page", "refers", "digest")],
         parts.alias("parts"), F.max("total").alias("total"), F.bool_and("ok").alias("ok"),
     )
     numbers = F.transform("parts", lambda p: p["segment"]) == F.sequence(F.lit(1).cast("long"), F.size("parts").cast("long"))
     block = F.aggregate("parts", F.lit(b""), lambda acc, p: F.concat(acc, p["block"]))
-    whole = joined.select("kind", "page", "refers", "digest", block.alias("block"), (F.col("ok") & numbers).alias("numbered"), "total")
-    return single.unionByName(whole.select("kind", "page", "refers", "digest", "block", (F.col("numbered") & (F.octet_length("block") == F.col("total"))).alias("whole")).filter("kind IS NOT NULL"))
+    whole = joined.select("kind", "name", "page", "refers", "digest", block.alias("block"), (F.col("ok") & numbers).alias("numbered"), "total")
+    return single.unionByName(whole.select("kind", "name", "page", "refers", "digest", "block", (F.col("numbered") & (F.octet_length("block") == F.col("total"))).alias("whole")).filter("kind IS NOT NULL"))
 
 
 def read_pages(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
@@ -185,10 +191,12 @@ def read_pages(spark: SparkSession, path: str, payload: bool = True) -> DataFram
         return pa.array([hashlib.sha256(x.as_py()).hexdigest() if x.is_valid else None for x in payloads], pa.string())
 
     pages = reassemble(read_records(spark, path))
-    own = pages.filter("kind = 'response'").select("page", "digest", "whole", decode("block").alias("payload"))
+    own = pages.filter("kind = 'response'").select("name", "page", "digest", "whole", decode("block").alias("payload"))
     content = ["payload"] if payload else []
-    own = cut_lineage(own.select("page", *content, F.octet_length("payload").cast("long").alias("payload_bytes"), sha256("payload").alias("payload_digest"), "digest", "whole"), "payloads")
+    own = cut_lineage(own.select("name", "page", *content, F.octet_length("payload").cast("long").alias("payload_bytes"), sha256("payload").alias("payload_digest"), "digest", "whole"), "payloads")
     told = own.select("page", F.lit("response").alias("record_type"), F.lit(None).cast("string").alias("refers_to"), *content, "payload_bytes", "payload_digest", (F.col("whole") & (F.col("digest") == F.col("payload_digest"))).alias("intact"))
-    known = own.filter("page IS NOT NULL").groupBy(F.col("page").alias("refers"), F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("payload_bytes"))
-    again = pages.filter("kind = 'revisit'").select("page", "refers", "digest", "whole").join(known, ["refers", "digest"], "left")
-    return told.unionByName(again.select("page", F.lit("revisit").alias("record_type"), F.col("refers").alias("refers_to"), *[F.lit(None).cast("binary").alias(c) for c in content], "payload_bytes", F.col("digest").alias("payload_digest"), (F.col("whole") & F.col("payload_bytes").isNotNull()).alias("intact")))
+    # A revisit leads to the record its reference names; it is intact if that is there and has the payload it claims.
+    known = own.select(F.col("name").alias("refers"), F.col("page").alias("refers_to"), "payload_bytes", F.col("payload_digest").alias("found"))
+    again = pages.filter("kind = 'revisit'").select("page", "refers", "digest", "whole").join(known, "refers", "left")
+    good = F.col("whole") & F.coalesce(F.col("found") == F.col("digest"), F.lit(False))
+    return told.unionByName(again.select("page", F.lit("revisit").alias("record_type"), "refers_to", *[F.lit(None).cast("binary").alias(c) for c in content], "payload_bytes", F.col("digest").alias("payload_digest"), good.alias("intact")))
