@@ -178,12 +178,12 @@ def _pieces(files: DataFrame, every: bool, wanted: Callable[[Column], Column] |
             for i in range(batch.num_rows):
                 row = unpack(batch.slice(i, 1).to_pylist()[0])
                 whole = expand(row["sequence"], row["rules"], row["base"]) if every else None
-                for at in range(0, len(row["docs"]), 1024):
-                    found = []
-                    for d in row["docs"][at : at + 1024]:
-                        ids = whole[d["first"] : d["first"] + d["n"]] if every else extract(row, d["first"], d["first"] + d["n"])
-                        found.append({"part": row["part"], **d, "first": row["skipped"] + d["first"], "ids": ids.astype("<u4").tobytes()})
-                    yield pa.RecordBatch.from_pylist(found, schema=schema)
+                docs = row["docs"]
+                for at in range(0, len(docs), 1024):
+                    some = docs[at : at + 1024]
+                    cut = [whole[d["first"] : d["first"] + d["n"]] if every else extract(row, d["first"], d["first"] + d["n"]) for d in some]
+                    columns = [[row["part"]] * len(some), *([d[c] for d in some] for c in ("id", "doc_no", "piece", "pieces")), [row["skipped"] + d["first"] for d in some], [d["n"] for d in some], [x.astype("<u4").tobytes() for x in cut]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     listed = files if every else files.withColumn("docs", F.filter("docs", wanted)).filter(F.size("docs") > 0)
     return listed.mapInArrow(run, f"part long, id {kind}, doc_no long, piece long, pieces long, first long, n long, ids binary")

@@ -21,8 +21,8 @@ from weirflow.llm.common import strings
 #: Latin words and ASCII signs; the apostrophe is left out because some splits depend on it.
 PLAIN = re.compile("[!-&(-~À-ɏ]*")
 PIECES = re.compile("[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ɏ]+")
-#: Words, and pieces of words, that a worker keeps from one block to the next; some 25 MB each.
-WORDS_KEPT = 1 << 17
+#: Words, and pieces of words, in a generation of what a worker keeps; two generations of both are some 150 MB.
+WORDS_KEPT = 1 << 18
 BLOCK_BYTES = 4 << 20
 
 
@@ -41,8 +41,8 @@ class Encoder:
         self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.signs = _byte_signs()
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.older_words = {}, {}
+        self.pieces, self.older_pieces = {}, {}
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -56,22 +56,26 @@ class Encoder:
         low = text.lower()
         if not (PLAIN.fullmatch(text) and PLAIN.fullmatch(low)):
             return self.direct(text)
-        known, out = self.pieces, []
+        known, older, out = self.pieces, self.older_pieces, []
         for s in PIECES.findall(low):
             if (ids := known.get(s)) is None:
-                ids = known[s] = self.piece(s)
+                ids = older.get(s)
+                ids = known[s] = self.piece(s) if ids is None else ids
             out.append(ids)
         return b"".join(out)
 
     def table(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all words in a row, first place and number of ids of each word."""
-        for cache in (self.words, self.pieces):
-            if len(cache) > WORDS_KEPT:
-                cache.clear()
-        known, found = self.words, []
+        # A full generation becomes the older one, from which words in use move on to the next.
+        if len(self.words) > WORDS_KEPT:
+            self.words, self.older_words = {}, self.words
+        if len(self.pieces) > WORDS_KEPT:
+            self.pieces, self.older_pieces = {}, self.pieces
+        known, older, found = self.words, self.older_words, []
         for w in strings(distinct):
             if (ids := known.get(w)) is None:
-                ids = known[w] = self.word(w)
+                ids = older.get(w)
+                ids = known[w] = self.word(w) if ids is None else ids
             found.append(ids)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
         return np.frombuffer(b"".join(found), self.kind), np.cumsum(sizes) - sizes, sizes
