@@ -497,6 +497,7 @@ def test_repair_leaves_no_frequent_pair():
         for rules_a_round in (3, 1 << 14):
             rules, sizes, seq = repair.compress(ids, 60_000, most=rules_a_round)
             assert (repair.expand(seq, rules, 60_000) == ids).all() and len(rules) == len(sizes)
+            assert (repair.expand(seq, rules, 60_000, sizes) == ids).all()
             _, n = np.unique(seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:], return_counts=True)
             assert not (n >= 8).any()
             for k in rng.integers(0, max(1, len(rules)), 5)[: len(rules)]:

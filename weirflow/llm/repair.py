@@ -80,8 +80,11 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST, most: int = RULES_A
         else:
             hit = _apart(np.flatnonzero(pairs == keys[0]))
             found = np.zeros(len(hit), np.int64)
-        used, found = np.unique(found, return_inverse=True)
-        two = np.stack([seq[hit], seq[hit + 1]], axis=1)[np.unique(found, return_index=True)[1]]
+        place = np.full(len(keys), -1, np.int64)  # of one occurrence of each pair that is used
+        place[found] = hit
+        used = np.flatnonzero(place >= 0)
+        number = np.cumsum(place >= 0) - 1
+        two, found = np.stack([seq[place[used]], seq[place[used] + 1]], axis=1), number[found]
         every = np.concatenate((np.ones(1, np.uint32), sizes))  # 0 stands for an id
         length = lambda x: every[np.maximum(x.astype(np.int64) - base + 1, 0)]  # noqa: B023, E731
         rules, sizes = np.concatenate((rules, two)), np.concatenate((sizes, length(two[:, 0]) + length(two[:, 1])))
@@ -92,8 +95,8 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST, most: int = RULES_A
     return rules, sizes, seq
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for."""
+def _grown(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """The ids that symbols stand for, replaced level by level."""
     out = symbols.astype(np.uint32)
     while len(out) and (high := out >= base).any():
         to = np.where(high, 2, 1)
@@ -106,6 +109,21 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return out
 
 
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int, sizes: np.ndarray | None = None) -> np.ndarray:
+    """The ids that symbols stand for; with the ``sizes`` of all rules each rule is expanded once and copied."""
+    if sizes is None or len(symbols) < len(rules):
+        return _grown(symbols, rules, base)
+    pool, first = _grown(np.arange(base, base + len(rules)), rules, base), np.cumsum(sizes, dtype=np.int64) - sizes
+    ends, high = ends_of(symbols, sizes, base), symbols >= base
+    out = np.empty(ends[-1] if len(ends) else 0, np.uint32)
+    out[ends[~high] - 1] = symbols[~high]
+    rule = symbols[high].astype(np.int64) - base
+    each, upto = sizes[rule].astype(np.int64), ends[high]
+    step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    out[np.repeat(upto - each, each) + step] = pool[np.repeat(first[rule], each) + step]
+    return out
+
+
 def ends_of(sequence: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
     """Ids up to and with each symbol of a sequence."""
     every = np.concatenate((np.ones(1, np.int64), sizes))  # 0 stands for an id
@@ -177,7 +195,7 @@ def _pieces(files: DataFrame, every: bool, wanted: Callable[[Column], Column] |
             schema = pa.schema([("part", pa.int64()), ("id", kinds.field("id").type)] + [(c, pa.int64()) for c in ("doc_no", "piece", "pieces", "first", "n")] + [("ids", pa.binary())])
             for i in range(batch.num_rows):
                 row = unpack(batch.slice(i, 1).to_pylist()[0])
-                whole = expand(row["sequence"], row["rules"], row["base"]) if every else None
+                whole = expand(row["sequence"], row["rules"], row["base"], row["sizes"]) if every else None
                 docs = row["docs"]
                 for at in range(0, len(docs), 1024):
                     some = docs[at : at + 1024]

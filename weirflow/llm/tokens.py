@@ -21,8 +21,8 @@ from weirflow.llm.common import strings
 #: Latin words and ASCII signs; the apostrophe is left out because some splits depend on it.
 PLAIN = re.compile("[!-&(-~À-ɏ]*")
 PIECES = re.compile("[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ɏ]+")
-#: Words, and pieces of words, in a generation of what a worker keeps; two generations of both are some 150 MB.
-WORDS_KEPT = 1 << 18
+#: Words, and pieces of words, in a generation of what a worker keeps; two generations of both are some 100 MB.
+WORDS_KEPT = 3 << 16
 BLOCK_BYTES = 4 << 20
 
 
