@@ -8,6 +8,7 @@ Texts that may hold a special token's string go to the tokenizer whole.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ PLAIN = re.compile("[!-&(-~À-ɏ]*")
 PIECES = re.compile("[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ɏ]+")
 #: Words, and pieces of words, in a generation of what a worker keeps; two generations of both are some 100 MB.
 WORDS_KEPT = 3 << 16
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def _byte_signs() -> dict[int, str]:
@@ -40,6 +41,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == array("H").itemsize else "I"
         self.signs = _byte_signs()
         self.words, self.older_words = {}, {}
         self.pieces, self.older_pieces = {}, {}
@@ -49,12 +51,12 @@ class Encoder:
 
     def piece(self, s: str) -> bytes:
         shown = s if s.isascii() else s.encode().decode("latin-1").translate(self.signs)
-        return np.array([t.id for t in self.model.tokenize(shown)], self.kind).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def word(self, raw: bytes) -> bytes:
         text = raw.decode()
         low = text.lower()
-        if not (PLAIN.fullmatch(text) and PLAIN.fullmatch(low)):
+        if not (PLAIN.fullmatch(text) and (low == text or PLAIN.fullmatch(low))):
             return self.direct(text)
         known, older, out = self.pieces, self.older_pieces, []
         for s in PIECES.findall(low):
