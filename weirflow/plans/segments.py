@@ -1,4 +1,9 @@
-"""A query per HL7 segment type: every field is written, and all typed columns are held against their text in SQL."""
+"""A query per HL7 segment type over messages whose structure differs by row, held against their text in SQL.
+
+Each field is written full, empty, sparse (components, repetitions or sub-components missing) or as separators alone;
+which of these is decided per row and field by the columns of an order, and the texts are its columns. Some messages
+hold the segment twice, some not at all.
+"""
 
 from __future__ import annotations
 
@@ -9,75 +14,114 @@ from pyspark.sql import functions as F, types as T
 from weirflow.operators import hl7
 from weirflow.plans.registry import query, table
 
-#: Stands for the last digit of the order key in every value.
-KEY = "@K"
-DAY, SHOWN = "20240102", "2024-01-02T00:00:00"
+#: Marks in the texts, and the column of an order that stands in their place.
+MARKS = {
+    "@K": "CAST(o_orderkey % 10 AS VARCHAR)", "@P": "o_orderpriority", "@T": "CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)",
+    "@D": "strftime(o_orderdate, '%Y%m%d')", "@W": "strftime(o_orderdate, '%Y-%m-%d')",
+}
+DAY, SHOWN, LATER, SHOWN_LATER = "@D", "@WT00:00:00", "@D101500", "@WT10:15:00"
+FULL, SPARSE = "full", "sparse"
 
 
-def _subs(stem: str, names: list[str]) -> tuple[str, dict[str, str]]:
-    """Sub-components of a component, and the named ones among them."""
-    parts = [f"{stem}s{k}{KEY}" for k in range(1, len(names) + 1)]
+def _subs(stem: str, names: list[str], mode: str) -> tuple[str, dict[str, str]]:
+    """Sub-components of a component (the first alone if sparse), and the named ones among them."""
+    parts = [f"{stem}s{k}@P" for k in range(1, len(names) + 1)][: 1 if mode == SPARSE else None]
     return "&".join(parts), {n: p for n, p in zip(names, parts) if n}
 
 
-def _composite(stem: str, kind: str) -> tuple[str, dict]:
-    """Text of a composite with all its components, and what each named part of it holds."""
+def _composite(stem: str, kind: str, mode: str = FULL) -> tuple[str, dict]:
+    """Text of a composite with all its components, every second one if sparse, and what each named part of it holds."""
     texts, out = [], {}
     for i, token in enumerate(hl7.COMPOSITES[kind].split(), 1):
         own = f"{stem}c{i}"
-        if token.endswith("@"):
+        if mode == SPARSE and i % 2 == 0:
+            texts.append("")
+        elif token.endswith("@"):
             texts.append(DAY)
             out[token[:-1]] = SHOWN
         elif "=" in token:
             name, inner = token.split("=")
-            text, values = _subs(own, hl7.COMPOSITES[inner].split())
+            text, values = _subs(own, hl7.COMPOSITES[inner].split(), mode)
             texts.append(text)
             out[name] = values
         elif "&" in token:
-            text, values = _subs(own, token.lstrip("+").split("&"))
+            text, values = _subs(own, token.lstrip("+").split("&"), mode)
             texts.append(text)
             out |= values
         else:
-            texts.append(own + KEY)
+            texts.append(own + "@T")
             if token != "-":
-                out[token] = own + KEY
+                out[token] = own + "@T"
     return "^".join(texts), out
 
 
-def _field(n: int, token: str) -> tuple[str, list]:
-    """Text of a field, and the values of the columns it gives."""
-    kind = token.split(":")[1]
-    stem = f"f{n}"
-    base, many = kind.rstrip("*~"), kind.endswith("*")
+def _field(n: int, token: str) -> list[tuple[str, list]]:
+    """The ways a field is written: its text, and the values of the columns it gives."""
+    kind, stem = token.split(":")[1], f"f{n}"
+    base, many, none = kind.rstrip("*~"), kind.endswith("*"), [None] * len(hl7.column_names(token))
     if base in hl7.COMPOSITES:
-        (one, first), (two, second) = _composite(stem, base), _composite(f"{stem}r", base)
-        return (f"{one}~{two}", [[first, second]]) if many else (f"{one}~{two}" if kind.endswith("~") else one, [first])
-    if base in ("SI", "NO"):
-        return f"{n}{KEY}", [f"{n}{KEY}"]
+        (one, first), (two, second), (thin, sparse) = _composite(stem, base), _composite(f"{stem}r", base), _composite(f"{stem}t", base, SPARSE)
+        if many:
+            return [(f"{one}~{two}", [[first, second]]), ("", none), (f"{thin}~~{two}~{thin}", [[sparse, second, sparse]]), ("~", none)]
+        return [(f"{one}~{two}" if kind.endswith("~") else one, [first]), ("", none), (thin, [sparse]), ("^^", none)]
+    if base == "SI":
+        return [(f"{n}@K", [f"{n}@K"]), ("", none), ("n/a", none), ("@T", ["@T"])]
+    if base == "NO":
+        return [(f"{n}@K", [f"{n}@K"]), ("", ["1"]), ("n/a", ["1"]), ("@T", ["@T"])]
+    if base == "TS" and many:
+        return [(f"{DAY}~{LATER}", [[SHOWN, SHOWN_LATER]]), ("", none), (f"{LATER}~~", [[SHOWN_LATER]]), ("~", none)]
     if base == "TS":
-        return (f"{DAY}~{DAY}", [[SHOWN, SHOWN]]) if many else (DAY, [SHOWN])
+        return [(DAY, [SHOWN]), ("", none), (LATER, [SHOWN_LATER]), (DAY, [SHOWN])]
     if base == "DR":
-        return f"{DAY}^{DAY}", [SHOWN, SHOWN]
+        return [(f"{DAY}^{LATER}", [SHOWN, SHOWN_LATER]), ("", none), (f"{LATER}^", [SHOWN_LATER, None]), (f"^{DAY}", [None, SHOWN])]
     if base in ("HDF", "MSG"):
-        return "^".join(f"{stem}c{i}{KEY}" for i in (1, 2, 3)), [f"{stem}c{i}{KEY}" for i in (1, 2, 3)]
+        a, b, c = (f"{stem}c{i}@P" for i in (1, 2, 3))
+        return [(f"{a}^{b}^{c}", [a, b, c]), ("", none), (f"{a}^^{c}", [a, None, c]), ("^^", none)]
+    a, b, c = (f"{stem}{x}@P" for x in "abc")
+    if base == "ID":
+        return [(f"{a}^x~{b}^x", [[a, b]]), ("", none), (f"{a}^x~^x~{c}", [[a, c]]), ("~", none)]
     if many:
-        tail = "^x" if base == "ID" else ""
-        return f"{stem}a{KEY}{tail}~{stem}b{KEY}{tail}", [[f"{stem}a{KEY}", f"{stem}b{KEY}"]]
-    return f"{stem}a{KEY}" + (f"~{stem}b" if kind.endswith("~") else ""), [f"{stem}a{KEY}"]
+        return [(f"{a}~{b}", [[a, b]]), ("", none), (f"{a}~~{b}~{c}", [[a, b, c]]), ("~", none)]
+    if kind.endswith("~"):
+        return [(f"{a}~{b}", [a]), ("", none), (f"~{b}", none), (c, [c])]
+    return [(a, [a]), ("", none), (b, [b]), (c, [c])]
+
+
+def _shown(names: list[str], values: list) -> str | None:
+    """The columns that hold something as text."""
+    parts = [f"{c}=" + (v if isinstance(v, str) else json.dumps(v, separators=(",", ":"))) for c, v in zip(names, values) if v is not None]
+    return ";".join(parts) or None
+
+
+def _way(n: int) -> str:
+    """Which way field ``n`` of a row is written, from 1."""
+    return f"(o_custkey + {n} * (o_orderkey % 7) + {n // 4} * (CAST(floor(o_totalprice) AS BIGINT) % 11) + 3 * line) % 4 + 1"
 
 
 def _register(kind: str) -> None:
     tokens = hl7.SEGMENTS[kind].split()
-    made = [_field(n, t) for n, t in enumerate(tokens, 1)]
+    ways = [_field(n, t) for n, t in enumerate(tokens, 1)]
     names = [c for t in tokens for c in hl7.column_names(t)]
-    values = [v for _, vs in made for v in vs]
-    shown = ";".join(f"{c}=" + (v if isinstance(v, str) else json.dumps(v, separators=(",", ":"))) for c, v in zip(names, values))
-    line = "|".join([kind.upper(), *(text for text, _ in made)])
-
-    @query(f"hl7_4_segment_{kind}", f"SELECT CAST(o_orderkey AS VARCHAR) AS message_id, {len(names)} AS columns, md5(replace('{shown}', '{KEY}', CAST(o_orderkey % 10 AS VARCHAR))) AS content FROM orders")
+    quoted = lambda x: "NULL" if x is None else f"'{x}'"
+    parts = ", ".join(f"([{', '.join(quoted(_shown(hl7.column_names(t), v)) for _, v in w)}])[{_way(n)}]" for n, (t, w) in enumerate(zip(tokens, ways), 1))
+    content = f"concat_ws(';', {parts})"
+    for mark, value in MARKS.items():
+        content = f"replace({content}, '{mark}', {value})"
+    lines = "o_orderkey % 5 <> 0 AND (line = 0 OR o_orderkey % 3 = 0)"
+
+    @query(f"hl7_4_segment_{kind}", f"SELECT CAST(o_orderkey AS VARCHAR) AS message_id, {len(names)} AS columns, md5({content}) AS content FROM orders, (VALUES (0), (1)) AS l(line) WHERE {lines}")
     def _(spark, sf):
-        head = F.concat(F.lit("MSH|^~\\&|A|B|C|D|20240101||ADT^A01|"), F.col("o_orderkey").cast("string"), F.lit("|P|2.5\r"))
-        body = F.replace(F.lit(line), F.lit(KEY), (F.col("o_orderkey") % 10).cast("string"))
+        def line(number: int):
+            texts = [F.element_at(F.array(*[F.lit(t) for t, _ in w]), F.expr(_way(n).replace("line", str(number))).cast("int")) for n, w in enumerate(ways, 1)]
+            return F.concat(F.lit(kind.upper() + "|"), F.concat_ws("|", *texts), F.lit("\r"))
+
+        key, empty = F.col("o_orderkey"), F.lit("")
+        body = F.concat(F.when(key % 5 != 0, line(0)).otherwise(empty), F.when((key % 5 != 0) & (key % 3 == 0), line(1)).otherwise(empty))
+        for mark, value in {
+            "@K": (key % 10).cast("string"), "@P": F.col("o_orderpriority"), "@T": F.floor("o_totalprice").cast("string"), "@D": F.date_format("o_orderdate", "yyyyMMdd"),
+        }.items():
+            body = F.replace(body, F.lit(mark), value)
+        head = F.concat(F.lit("MSH|^~\\&|A|B|C|D|20240101||ADT^A01|"), key.cast("string"), F.lit("|P|2.5\r"))
         messages = hl7.parse_messages(table(spark, sf, "orders").select(F.concat(head, body).alias("message")))
         got = hl7.segment_table(messages, kind)
         nested = lambda c: isinstance(got.schema[c].dataType, (T.StructType, T.ArrayType))
