@@ -1,4 +1,8 @@
-"""A query per FHIR resource: every listed element is written, and all typed columns are held against their text in SQL."""
+"""A query per FHIR resource over records whose structure differs by row, held against their text in SQL.
+
+Each element is written full, left out, sparse (every second part of a nested element, lists with nulls) or as JSON null;
+which of these is decided per row and element by the columns of a customer, and the texts are its columns.
+"""
 
 from __future__ import annotations
 
@@ -10,12 +14,13 @@ from weirflow.functions.scalars import snake_name
 from weirflow.operators import fhir
 from weirflow.plans.registry import query, table
 
-#: Stands for the last digit of the key in every text.
-KEY = "@K"
+#: Marks in the texts, and the column of a customer that stands in their place; ``"@N"`` is a number.
+MARKS = {"@K": "c_mktsegment", "@C": "c_name", "@D": "lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0')", "@N": "CAST(c_nationkey AS VARCHAR)"}
+FULL, SPARSE = "full", "sparse"
 #: Per primitive what a record holds, what JSON shows of it, and what a column of its own shows.
 PLAIN = {
-    "double": (1.5, 1.5, "1.5"), "long": (7, 7, "7"), "boolean": (True, True, "true"),
-    "time": ("2024-01-02T05:04:05+02:00", "2024-01-02T03:04:05.000", "2024-01-02 03:04:05"),
+    "double": ("@N.5", "@N.5", "@N.5"), "long": ("@N", "@N", "@N"), "boolean": (True, True, "true"),
+    "time": ("2024-01-@DT05:04:05+02:00", "2024-01-@DT03:04:05.000", "2024-01-@D 03:04:05"),
 }
 
 
@@ -29,19 +34,27 @@ def _put(record: dict, path: str, value) -> None:
     record[last] = value
 
 
-def _made(kind: str, stem: str) -> tuple:
+def _made(kind: str, stem: str, mode: str = FULL) -> tuple:
     """(what the record holds, what JSON shows, what a column shows)."""
     name, many = kind.rstrip("*"), kind.endswith("*")
     if many:
-        pair = [_made(name, stem + x) for x in "ab"]
-        return [p[0] for p in pair], [p[1] for p in pair], None
+        pair = [_made(name, stem + x, m) for x, m in (("a", mode), ("b", FULL))]
+        held = [p[0] for p in pair]
+        if mode == SPARSE and name not in ("string", *PLAIN):
+            held.insert(1, None)
+        return held, [p[1] for p in pair], None
     if name == "string":
-        return stem + KEY, stem + KEY, stem + KEY
+        text = stem + ("@K" if mode == FULL else "@C")
+        return text, text, text
     if name in PLAIN:
         return PLAIN[name]
     record, shown = {}, {}
     for i, (path, column, inner) in enumerate(_elements(fhir.TYPES[name])):
-        held, seen, _ = _made(inner, f"{stem}{i}")
+        if mode == SPARSE and i % 2:
+            if inner.endswith("*"):
+                shown[column] = []
+            continue
+        held, seen, _ = _made(inner, f"{stem}{i}", mode)
         _put(record, path, held)
         shown[column] = seen
     return record, shown, None
@@ -56,19 +69,51 @@ def _elements(spec: str) -> list[tuple[str, str, str]]:
     return out
 
 
+def _ways(top: str, elements: list[tuple[int, str, str, str]]) -> list[tuple[str | None, str | None]]:
+    """The ways an element and what lies below it is written: JSON text, and the columns that hold something."""
+    out = []
+    compact = lambda x: json.dumps(x, separators=(",", ":"))
+    empty = ";".join(f"{column}=[]" for _, _, column, kind in elements if kind.endswith("*")) or None
+    for mode in (FULL, None, SPARSE, "null"):
+        if mode is None or mode == "null":
+            out.append((f'"{top}":null' if mode else None, empty))
+            continue
+        record, parts = {}, []
+        for i, path, column, kind in elements:
+            held, seen, plain = _made(kind, f"e{i}", mode)
+            _put(record, path, held)
+            parts.append(f"{column}=" + (plain if plain is not None else compact(seen)))
+        out.append((compact(record)[1:-1], ";".join(parts)))
+    return out
+
+
+def _way(n: int) -> str:
+    """Which way element ``n`` of a row is written, from 1."""
+    return f"(c_custkey + {n} * (c_custkey % 7) + {n // 4} * (c_nationkey % 5)) % 4 + 1"
+
+
 def _register(resource: str) -> None:
-    record, parts, names = {"resourceType": resource, "id": "@I"}, [], []
+    groups: dict[str, list] = {}
     for i, (path, column, kind) in enumerate(_elements(fhir.RESOURCES[resource])):
-        held, seen, plain = _made(kind, f"e{i}")
-        _put(record, path, held)
-        names.append(column)
-        parts.append(f"{column}=" + (plain if plain is not None else json.dumps(seen, separators=(",", ":"))))
-    shown, body = ";".join(parts), json.dumps(record)
-
-    @query(f"fhir_1_{snake_name(resource)}", f"SELECT 'p' || c_custkey AS id, {len(names)} AS columns, md5(replace('{shown}', '{KEY}', CAST(c_custkey % 10 AS VARCHAR))) AS content FROM customer")
+        groups.setdefault(path.split(".")[0].removesuffix("[0]"), []).append((i, path, column, kind))
+    ways = [_ways(top, elements) for top, elements in groups.items()]
+    names = [column for elements in groups.values() for _, _, column, _ in elements]
+    quoted = lambda x: "NULL" if x is None else f"'{x}'"
+    content = "concat_ws(';', " + ", ".join(f"([{', '.join(quoted(shown) for _, shown in w)}])[{_way(n)}]" for n, w in enumerate(ways)) + ")"
+    for mark, value in {'"@N"': MARKS["@N"], '"@N.5"': MARKS["@N"] + " || '.5'", **MARKS}.items():
+        content = f"replace({content}, '{mark}', {value})"
+
+    @query(f"fhir_1_{snake_name(resource)}", f"SELECT 'p' || c_custkey AS id, {len(names)} AS columns, md5({content}) AS content FROM customer")
     def _(spark, sf):
-        key = F.col("c_custkey")
-        text = F.replace(F.replace(F.lit(body), F.lit("@I"), F.concat(F.lit("p"), key.cast("string"))), F.lit(KEY), (key % 10).cast("string"))
+        number = F.col("c_nationkey").cast("string")
+        texts = [F.element_at(F.array(*[F.lit(text) for text, _ in w]), F.expr(_way(n)).cast("int")) for n, w in enumerate(ways)]
+        head = F.concat(F.lit(f'"resourceType":"{resource}","id":"p'), F.col("c_custkey").cast("string"), F.lit('"'))
+        text = F.concat(F.lit("{"), F.concat_ws(",", head, *texts), F.lit("}"))
+        for mark, value in {
+            '"@N"': number, '"@N.5"': F.concat(number, F.lit(".5")), "@K": F.col("c_mktsegment"), "@C": F.col("c_name"),
+            "@D": F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"), "@N": number,
+        }.items():
+            text = F.replace(text, F.lit(mark), value)
         got = fhir.extract_resources(table(spark, sf, "customer").select(text.alias("raw_json")), resource, profile="base_r4")
         nested = lambda c: isinstance(got.schema[c].dataType, (T.StructType, T.ArrayType))
         cols = [F.concat(F.lit(f"{c}="), F.to_json(c) if nested(c) else F.col(c).cast("string")) for c in names]
