@@ -1,6 +1,7 @@
 """Change application: order, ties, deletes, late rows, repeats; written tables and streams."""
 
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from weirflow.operators import changes as ch
@@ -116,3 +117,20 @@ def test_blobs(spark, tmp_path):
     df = spark.createDataFrame([("a/b/1", b"x"), ("a/2", b""), ("../no", b"y"), ("a/3", None)], "p string, d binary")
     got = {r["p"]: r["written_path"] for r in ch.write_blobs(df, str(tmp_path), "p", "d").collect()}
     assert got["../no"] is None and got["a/3"] is None and open(got["a/b/1"], "rb").read() == b"x"
+
+
+def test_blobs_keep_the_scheme(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a/1", b"x" * 3), (2, "/b", b"\xff\x00"), (3, None, b"z"), (4, "", b"z"), (5, "a/1", b"xxx")], "n int, p string, d binary")
+    for _ in range(2):  # a repeated run leaves the same files
+        got = {r["n"]: r["written_path"] for r in ch.write_blobs(df, f"file://{tmp_path}/out/", "p", "d").collect()}
+        assert got == {1: f"file://{tmp_path}/out/a/1", 2: f"file://{tmp_path}/out/b", 3: None, 4: None, 5: f"file://{tmp_path}/out/a/1"}
+        stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"file://{tmp_path}/out")
+        assert sorted(bytes(r["content"]) for r in stored.collect()) == [b"xxx", b"\xff\x00"]
+    assert ch.write_blobs(df.limit(0), str(tmp_path), "p", "d").columns == ["n", "p", "written_path"]
+
+
+def test_blobs_that_cannot_be_written_fail(spark, tmp_path):
+    (tmp_path / "taken").write_bytes(b"a file where a folder is wanted")
+    df = spark.createDataFrame([("taken/1", b"x")], "p string, d binary")
+    with pytest.raises(PythonException):
+        ch.write_blobs(df, str(tmp_path), "p", "d").collect()

@@ -6,10 +6,12 @@ does not bring it back. :func:`visible` hides marked rows.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.operators.keys import join_on
 from weirflow.operators.ordered import CHUNK, lay_out, with_neighbour
@@ -161,11 +163,16 @@ def write_clustered(df: DataFrame, path: str, cols: Sequence[str], files: int |
 
 
 def write_blobs(df: DataFrame, root: str, path_col: str, bin_col: str) -> DataFrame:
-    """One file per row at ``root/path_col``. A row that cannot be written gets a null path.
+    """One file per row at ``root/path_col``; ``written_path`` is its full name, with the scheme that ``root`` has.
 
-    ``root`` is a folder every executor has mounted. Files are written under a temporary name and
-    renamed, so a repeated task leaves the same result.
+    Files go through the file system that the scheme of ``root`` names (a plain path: a folder every executor has
+    mounted). Where that can rename, a file is written under another name first; a store of objects shows a file only
+    when it is whole. So a repeated task leaves the same result. A row without data or name, or whose name leads out of
+    ``root``, gets a null path; a write that fails fails its task.
     """
+    import pyarrow as pa
+
+    base = root.rstrip("/")
     rest = [c for c in df.columns if c != bin_col]
     schema = df.select(*rest, F.lit(None).cast("string").alias("written_path")).schema
 
@@ -173,56 +180,93 @@ def write_blobs(df: DataFrame, root: str, path_col: str, bin_col: str) -> DataFr
         import os
         import uuid
 
-        for pdf in batches:
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", re.sub("^file:/*", "file:///", base)))
+        renames, made = store.type_name in ("local", "hdfs"), set()
+        for batch in batches:
             paths = []
-            for name, data in zip(pdf[path_col], pdf[bin_col]):
-                try:
-                    if data is None or name is None or ".." in name.split("/"):
-                        raise ValueError("nothing to write")
-                    full = os.path.join(root, name)
-                    os.makedirs(os.path.dirname(full), exist_ok=True)
-                    part = f"{full}.{uuid.uuid4().hex}.part"
-                    with open(part, "wb") as out:
-                        out.write(data)
-                    os.replace(part, full)
-                    paths.append(full)
-                except (OSError, ValueError, TypeError):
+            for name, data in zip(batch.column(path_col).to_pylist(), batch.column(bin_col)):
+                if name is None or not data.is_valid or not name.strip("/") or ".." in name.split("/"):
                     paths.append(None)
-            yield pdf[rest].assign(written_path=paths)
-
-    return df.mapInPandas(write, schema)
+                    continue
+                full = f"{folder}/{name.lstrip('/')}"
+                if renames and (parent := os.path.dirname(full)) not in made:
+                    store.create_dir(parent, recursive=True)
+                    made.add(parent)
+                place = f"{full}.{uuid.uuid4().hex}.part" if renames else full
+                with store.open_output_stream(place) as out:
+                    out.write(data.as_buffer())
+                if renames:
+                    store.move(place, full)
+                paths.append(f"{base}/{name.lstrip('/')}")
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + [pa.array(paths, pa.string())], [*rest, "written_path"])
+
+    return df.mapInArrow(write, schema)
 
 
 class VersionedTable:
-    """A Parquet table replaced whole per version: a folder per version and a log of finished ones.
+    """A Parquet table in buckets of keys: a folder per version and bucket, and a log of finished ones.
 
-    Readers see the newest version in the log, so a half-written one is never read; applying the
-    same version twice changes nothing.
+    A version writes the buckets it is given, of a table without ``keys`` the only one; the newest version of each
+    bucket is what is read, so the files of other buckets stay untouched. A half-written version is never read, and
+    applying the same version twice changes nothing. The number of buckets is that of the first version. It bounds what
+    the driver holds: one row of the log and one path a bucket.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keep_schema: str | None = None):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), keep_schema
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), buckets: int = 256):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+        self.buckets = buckets if keys else 1
 
-    def version(self) -> int | None:
+    def _log(self) -> list:
+        """Per bucket its newest version, and how many rows and which columns that has."""
         try:
-            return self.spark.read.schema("version bigint").parquet(f"{self.path}/log").agg(F.max("version").alias("v")).head()["v"]
+            log = self.spark.read.schema("version bigint, bucket int, n bigint, columns string, buckets int").parquet(f"{self.path}/log")
+            return log.groupBy("bucket").agg(F.max_by(F.struct("version", "n", "columns", "buckets"), "version").alias("b")).select("bucket", "b.*").collect()
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
+            return []
 
-    def read(self) -> DataFrame | None:
-        now = self.version()
-        return None if now is None else self.spark.read.parquet(f"{self.path}/data/v={now}")
+    def version(self) -> int | None:
+        return max((r["version"] for r in self._log()), default=None)
 
-    def replace(self, df: DataFrame, version: int, cluster_by: Sequence[str] = ()) -> bool:
-        now = self.version()
-        if now is not None and now >= version:
+    def read(self, only: Sequence[int] | None = None) -> DataFrame | None:
+        """The newest rows of all buckets, or of ``only`` some."""
+        log = self._log()
+        if not log:
+            return None
+        schema = T.StructType.fromJson(json.loads(max(log, key=lambda r: r["version"])["columns"]))
+        paths = [f"{self.path}/data/v={r['version']}/_bucket={r['bucket']}" for r in log if r["n"] and (only is None or r["bucket"] in only)]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _bucket(self, log: list) -> Column:
+        of = log[0]["buckets"] if log else self.buckets
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(of)).cast("int") if self.keys else F.lit(0)
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """The buckets that the keys of ``rows`` lie in."""
+        return sorted(r["b"] for r in rows.select(self._bucket(self._log()).alias("b")).distinct().collect())
+
+    def within(self, rows: DataFrame, only: Sequence[int]) -> DataFrame:
+        """The ``rows`` whose keys lie in ``only`` some buckets."""
+        return rows.filter(self._bucket(self._log()).isin(list(only)))
+
+    def replace(self, df: DataFrame, version: int, cluster_by: Sequence[str] = (), only: Sequence[int] | None = None) -> bool:
+        """Put ``df`` in the place of the whole table, or of ``only`` the buckets that all its rows lie in."""
+        log = self._log()
+        if log and max(r["version"] for r in log) >= version:
             return False
-        target = f"{self.path}/data/v={version}"
-        if cluster_by:
-            write_clustered(df, target, cluster_by)
-        else:
-            df.write.mode("overwrite").parquet(target)
-        self.spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        of, target = log[0]["buckets"] if log else self.buckets, f"{self.path}/data/v={version}"
+        rows = df.withColumn("_bucket", self._bucket(log))
+        if self.keys or cluster_by:  # a large bucket is spread over tasks by range
+            order = ["_bucket", *(cluster_by or self.keys)]
+            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.write.mode("overwrite").partitionBy("_bucket").parquet(target)
+        kept = T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])
+        counts = self.spark.read.schema(kept).parquet(target).groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+        written = {r["_bucket"]: r["n"] for r in counts.collect()}
+        shape = df.schema.json()
+        entries = [(version, b, written.get(b, 0), shape, of) for b in (range(of) if only is None else only)]
+        self.spark.createDataFrame(entries, "version bigint, bucket int, n bigint, columns string, buckets int").coalesce(1).write.mode("append").parquet(f"{self.path}/log")
         return True

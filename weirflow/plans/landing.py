@@ -184,14 +184,15 @@ def _(spark, sf):
 @query("snk_12_binary_files", "SELECT page_id, octet_length(encode(html)) AS size FROM pages")
 def _(spark, sf):
     pages = table(spark, sf, "pages")
-    root = "/" + fresh_path(spark, "blobs").removeprefix("file:").lstrip("/")
+    root = fresh_path(spark, "blobs")
     rows = pages.select("page_id", F.concat_ws("/", F.lit("pages"), F.parse_url("url", F.lit("HOST")), F.concat("page_id", F.lit(".html"))).alias("path"), F.encode("html", "UTF-8").alias("body"))
     written = ch.write_blobs(rows, root, "path", "body").select("page_id", "written_path")
     paths = fresh_path(spark, "blob-paths")
     written.write.parquet(paths)
     stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/pages")
-    stored = stored.select(F.regexp_replace("path", "^file:/*", "/").alias("written_path"), F.col("length").alias("size"))
-    return spark.read.parquet(paths).join(stored, "written_path").select("page_id", "size")
+    name = lambda c: F.regexp_extract(c, "/(blobs-[0-9a-f]+/pages/.*)$", 1).alias("name")
+    stored = stored.select(name("path"), F.col("length").alias("size"))
+    return spark.read.parquet(paths).select("page_id", name("written_path")).join(stored, "name").select("page_id", "size")
 
 
 # --- streaming -----------------------------------------------------------------------------
@@ -264,19 +265,34 @@ def _(spark, sf):
     return spark.read.parquet(out).select("event_id", "user_id")
 
 
-@query("str_7_per_key_watermark_state", "SELECT event_id, event_type FROM events")
-def _(spark, sf):
+def _twice_read(spark, sf, token=None):
+    """Events landed by watermarks of their type from files that come a second time; the landed rows and the marks."""
     path, _ = _event_files(spark, sf)
     again, out, cp = fresh_path(spark, "again"), fresh_path(spark, "landed"), fresh_path(spark, "cp")
     rows = spark.read.parquet(path)
-    marks = ch.VersionedTable(spark, fresh_path(spark, "marks"))
+    marks = st.UpsertTable(spark, fresh_path(spark, "marks"), ["event_type"], ["watermark"] + (["token"] if token else []), compact_every=2)
     for part, when in (("a", "ts <= timestamp_ntz'2024-01-16'"), ("b", "true")):
         rows.filter(when).write.parquet(f"{again}/{part}")
         st.watermark_stream(
             st.stream_files(spark, f"{again}/*", rows.schema), ["event_type"], "ts", marks,
-            lambda fresh, number: fresh.write.mode("overwrite").parquet(f"{out}/b={number}"), cp,
+            lambda fresh, number: fresh.write.mode("overwrite").parquet(f"{out}/b={number}"), cp, token,
         )
-    return spark.read.parquet(out).select("event_id", "event_type")
+    return spark.read.parquet(out), marks
+
+
+@query("str_7_per_key_watermark_state", "SELECT event_id, event_type FROM events")
+def _(spark, sf):
+    return _twice_read(spark, sf)[0].select("event_id", "event_type")
+
+
+@query("str_7_resume_tokens", """
+    SELECT event_type, CAST(max(ts) AS VARCHAR) AS watermark, max(event_id) FILTER (ts = last) AS token, count(*) AS landed
+    FROM (SELECT *, max(ts) OVER (PARTITION BY event_type) AS last FROM events) GROUP BY event_type
+""")
+def _(spark, sf):
+    rows, marks = _twice_read(spark, sf, "event_id")
+    landed = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("landed"))
+    return marks.read().join(landed, "event_type").select("event_type", F.col("watermark").cast("string").alias("watermark"), "token", "landed")
 
 
 @query("str_8_round_trip_check", "SELECT 0 AS only_batch, 0 AS only_stream")

@@ -298,6 +298,23 @@ def keyed_watermarks(
     return rows, both.groupBy(*keys).agg(F.max("watermark").alias("watermark"))
 
 
+def _moment_of(cursor: str, token: str | None) -> Column:
+    return F.struct(F.col(cursor).alias("c"), *([F.col(token).alias("t")] if token else []))
+
+
+def past_marks(df: DataFrame, keys: Sequence[str], cursor: str, marks: DataFrame, token: str | None = None) -> DataFrame:
+    """Rows past the mark of their key, and all rows of a key without one; see :func:`newest_marks`."""
+    mark = F.struct(F.col("watermark").alias("c"), *([F.col("token").alias("t")] if token else []))
+    rows = join_on(df, marks.select(*keys, mark.alias("_mark")), keys, "left")
+    return rows.filter(F.col("_mark").isNull() | (_moment_of(cursor, token) > F.col("_mark"))).select(*df.columns)
+
+
+def newest_marks(df: DataFrame, keys: Sequence[str], cursor: str, token: str | None = None) -> DataFrame:
+    """Per key ``watermark``, its largest cursor, and with a ``token`` column the largest ``token`` at that cursor."""
+    best = df.filter(F.col(cursor).isNotNull()).groupBy(*keys).agg(F.max(_moment_of(cursor, token)).alias("_best"))
+    return best.select(*keys, F.col("_best.c").alias("watermark"), *([F.col("_best.t").alias("token")] if token else []))
+
+
 def changed_parents(
     parents: DataFrame, children: DataFrame, key: str | Sequence[str], parent_cursor: str, child_cursor: str,
     since: Any, cap: Any = None,

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.contracts import SpecError, TableContract, TablePlan, resolve, validate_spec
 from weirflow.operators.changes import (
-    DELETED, VersionedTable, one_per_key, scd1, scd2_apply, scd2_state, snapshot_scd1, snapshot_scd2, visible,
+    DELETED, END, START, VersionedTable, one_per_key, scd1, scd2_apply, scd2_state, snapshot_diff, snapshot_scd1, snapshot_scd2, visible,
 )
-from weirflow.sources.incremental import keyed_watermarks
+from weirflow.sources.incremental import newest_marks, past_marks
 
 
 def stream_files(
@@ -46,7 +46,7 @@ class UpsertTable:
         self.keys, self.seq, self.compact_every = list(keys), list(seq), compact_every
         self.base = VersionedTable(spark, f"{self.path}/base")
 
-    def _deltas(self, after: int | None) -> DataFrame | None:
+    def _deltas(self, after: int | None, before: int | None = None) -> DataFrame | None:
         try:
             df = self.spark.read.option("basePath", f"{self.path}/delta").parquet(f"{self.path}/delta")
         except AnalysisException as err:
@@ -55,11 +55,13 @@ class UpsertTable:
             return None
         if after is not None:
             df = df.filter(F.col("_batch") > after)
+        if before is not None:
+            df = df.filter(F.col("_batch") < before)
         return df.drop("_batch")
 
-    def state(self) -> DataFrame | None:
-        """One row per key, removed keys marked in ``_deleted``."""
-        base, rest = self.base.read(), self._deltas(self.base.version())
+    def state(self, before: int | None = None) -> DataFrame | None:
+        """One row per key, removed keys marked in ``_deleted``; as it was ``before`` a batch that is not compacted yet."""
+        base, rest = self.base.read(), self._deltas(self.base.version(), before)
         if base is None and rest is None:
             return None
         return scd1(base, rest, self.keys, self.seq)
@@ -101,23 +103,25 @@ def drop_late_duplicates(stream: DataFrame, keys: Sequence[str], ts: str, delay:
 
 
 def watermark_stream(
-    stream: DataFrame, keys: Sequence[str], cursor: str, marks: VersionedTable,
-    land: Callable[[DataFrame, int], None], checkpoint: str,
+    stream: DataFrame, keys: Sequence[str], cursor: str, marks: UpsertTable,
+    land: Callable[[DataFrame, int], None], checkpoint: str, token: str | None = None,
 ) -> None:
-    """Per batch only rows above the key's own watermark land, then the watermarks move on.
+    """Per batch only rows past the key's own watermark land, then the watermarks of their keys move on.
 
-    The watermarks are a small versioned table joined to the batch, so a key with very many rows
-    is spread over tasks like any other.
+    ``marks`` keeps per key ``watermark`` and, where a ``token`` column orders rows of equal cursor, the ``token`` of its
+    newest row, from which a source can be resumed; rows are then compared by both. A batch writes the marks of its own
+    keys only. They are joined to the batch, so a key with very many rows is spread over tasks like any other. A batch
+    that runs again reads the marks as they were before it and lands the same rows.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        now = marks.version()
-        if now is not None and now >= number:
+        held = marks.base.version()
+        if held is not None and held >= number:
             return
-        before = marks.read()
-        fresh, after = keyed_watermarks(batch, keys, cursor, before)
+        before = marks.state(before=number)
+        fresh = batch if before is None else past_marks(batch, keys, cursor, visible(before), token)
         land(fresh, number)
-        marks.replace(after, number)
+        marks.apply(newest_marks(fresh, keys, cursor, token), number)
 
     drain(stream, step, checkpoint)
 
@@ -137,7 +141,8 @@ def land_table(spark: SparkSession, plan: TablePlan, read: Reader, root: str, ve
     """One table of a run: pick the way to land it by its ingestion and history type, and write it.
 
     An append adds a folder of new files, a keyed table one frame of its changes; neither rewrites what earlier
-    runs wrote, and a run that is repeated writes its own folder again. Snapshots and histories are written anew.
+    runs wrote, and a run that is repeated writes its own folder again. Snapshots and histories lie in buckets of keys, and
+    a run writes only those buckets anew that hold a key it changes.
     """
     path = f"{root}/{plan.destination}"
     rows, deletes = read()
@@ -150,17 +155,27 @@ def land_table(spark: SparkSession, plan: TablePlan, read: Reader, root: str, ve
         target = UpsertTable(spark, path, keys, [seq])
         target.apply(rows.withColumn(DELETED, F.lit(False)) if deletes is None else with_deletes(rows, deletes), version)
         return target.read()
-    store = VersionedTable(spark, path)
-    now = store.read()
+    store = VersionedTable(spark, path, keys)
+    first, touched = store.version() is None, None
     if kind == "snapshot":
-        if history:
-            first = one_per_key(rows, keys).select("*", F.lit(version).cast("bigint").alias("__START_AT"), F.lit(None).cast("bigint").alias("__END_AT"))
-            out = first if now is None else snapshot_scd2(now, rows, keys, F.lit(version))
+        if first:
+            out = one_per_key(rows, keys)
+            if history:
+                out = out.select("*", F.lit(version).cast("bigint").alias(START), F.lit(None).cast("bigint").alias(END))
         else:
-            out = one_per_key(rows, keys) if now is None else snapshot_scd1(now, rows, keys)[0]
+            now = store.read()
+            live = now.filter(F.col(END).isNull()).drop(START, END) if history else now
+            touched = store.touched(snapshot_diff(live, rows.select(*live.columns), keys).filter("_change <> 'same'"))
+            now, part = store.read(touched), store.within(rows, touched)
+            out = snapshot_scd2(now, part, keys, F.lit(version)) if history else snapshot_scd1(now, part, keys)[0]
+    elif first:
+        out = scd2_state(rows, keys, seq, deletes)
     else:
-        out = scd2_state(rows, keys, seq, deletes) if now is None else scd2_apply(now, rows, keys, seq, deletes)
-    store.replace(out, version, plan.cluster_by)
+        changed = rows.select(*keys) if deletes is None else rows.select(*keys).unionByName(deletes.select(*keys))
+        touched = store.touched(changed)
+        out = scd2_apply(store.read(touched), rows, keys, seq, deletes)
+    if touched is None or touched:
+        store.replace(out, version, plan.cluster_by, touched)
     landed = store.read()
     return visible(landed) if DELETED in landed.columns else landed
 
