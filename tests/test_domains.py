@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weirflow.operators import dicom, fhir, hl7, quality as dq
 from weirflow.operators.explode import nested_tree, tree_walk
+from weirflow.operators.shaping import strip_meta
 
 ADT = "\r".join([
     "MSH|^~\\&|HIS|GENERAL|LAB|LAB|20240115120000||ADT^A01^ADT_A01|M1|P|2.5.1",
@@ -136,3 +137,26 @@ def test_field_paths_of_any_depth(spark):
     rows = ['{"x":{"y":[{"z":1},[{"lost":1}],{"w":null}]},"x y":2}', "[{\"top\":{}}]", "no json", None, "7", '{"n":NaN}', deep]
     got = {r["path"] for r in field_paths(spark.createDataFrame([(r,) for r in rows], "j string"), "j").collect()}
     assert got == {"x", "x.y", "x.y.z", "x.y.w", "x y", "top"} | {".".join("a" * d) for d in range(1, 301)}
+
+
+def test_marked_objects_to_any_depth(spark):
+    deep, want = '{"n":1.50}', '{"n":1.50}'
+    for level in range(300):
+        deep = '{"__metadata":{"uri":"u"},"__x":1,"gone":{"__deferred":{}},"in":' + deep + "}"
+        want = '{"in":' + want + "}"
+    wide = '{"a":[{"__metadata":1,"b":12345678901234567890}],"t":"say \\"__x\\" \u00e9","\\u005f_y":1,"z":null,"f":1e3,"plain":{"__n":1}}'
+    texts = [deep, wide, '{"a":1}', '{"__a":1}', "{}", "[1]", "no", '{"__a":1,"__a":2}', '{"a":NaN,"__b":1}', "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, r string").coalesce(1)
+    kept = spark.createDataFrame([(want,)], "r string").select(F.try_parse_json("r").cast("string").alias("r")).first()["r"]
+    got = {x["i"]: x["r"] for x in strip_meta(rows, "r").collect()}
+    assert got[0] == {"in": kept[len('{"in":') : -1]}
+    assert got[1] == {
+        "a": '[{"__metadata":1,"b":12345678901234567890}]', "t": 'say "__x" \u00e9', "z": None, "f": got[1]["f"], "plain": '{"__n":1}',
+    } and float(got[1]["f"]) == 1000
+    assert [got[i] for i in range(2, 11)] == [{"a": "1"}, {}, {}, None, None, None, None, None, None]
+
+
+def test_cleaning_metadata_runs_no_job_before_the_query(spark):
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    strip_meta(spark.createDataFrame([('{"__a":1}',)], "r string"), "r")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import sys
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.functions.scalars import as_string_list, coerce_int, coerce_str, snake_name, try_float
@@ -110,33 +113,64 @@ def serialize_complex(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     return df.withColumns({c: F.to_json(c) for c in (cols or nested)})
 
 
+class _Number(str):
+    """A number as the text has it."""
+
+
+def _distinct(pairs: list[tuple]) -> dict:
+    out = dict(pairs)
+    if len(out) < len(pairs):
+        raise ValueError("a key stands twice")
+    return out
+
+
+def _shown(value) -> str:
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{_shown(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_shown, value)) + "]"
+    return value if isinstance(value, _Number) else json.dumps(value)
+
+
+def _without_meta(value: dict) -> dict:
+    out = {}
+    for key, x in value.items():
+        inner = isinstance(x, dict)
+        if key.startswith("__") or inner and "__deferred" in x:
+            continue
+        out[key] = _without_meta(x) if inner and "__metadata" in x else x
+    return out
+
+
+#: Levels that JSON readers of Spark follow; deeper text is no JSON there.
+JSON_LEVELS = 1000
+
+
 def strip_meta(df: DataFrame, col: str) -> DataFrame:
-    """A JSON object as a map without ``__`` keys and without deferred links.
+    """A JSON object as a map without ``__`` keys and without deferred links; null for other text.
 
-    Objects that carry ``__metadata`` themselves are cleaned alike, to any depth; other objects stay as they are.
-    Each round cleans the innermost ones left, and rounds go on until a record holds none.
+    Objects that carry ``__metadata`` themselves are cleaned alike, to any depth; other objects and lists stay as they
+    are. One pass: texts without ``"__`` are left to the JSON reader, the others are cleaned in Arrow batches, since
+    an expression cannot follow levels whose number differs by row.
     """
-    has = lambda v, key: F.try_variant_get(v, f"$['{key}']", "variant").isNotNull()
-    fields = lambda v: F.try_variant_get(v, "$", "map<string,variant>")
-
-    def depth() -> int:
-        """How many levels of marked objects lie in each other: one small aggregate per level there is."""
-        level, found = F.array(F.try_parse_json(F.col(col))), 0
-        while True:
-            inner = F.transform(level, lambda v: F.filter(F.map_values(fields(v)), lambda x: has(x, "__metadata")))
-            level = F.flatten(F.array_compact(inner))
-            if not df.agg(F.bool_or(F.size(level) > 0).alias("any")).first()["any"]:
-                return found
-            found += 1
-
-    def cleaned(v: Column, levels: int) -> Column:
-        kept = F.map_filter(fields(v), lambda k, x: ~k.startswith("__") & ~has(x, "__deferred"))
-        if not levels:
-            return kept
-        return F.transform_values(kept, lambda _, x: F.when(has(x, "__metadata"), F.try_parse_json(F.to_json(cleaned(x, levels - 1)))).otherwise(x))
-
-    text = F.transform_values(cleaned(F.try_parse_json(F.col(col)), depth()), lambda _, x: F.try_variant_get(x, "$", "string"))
-    return df.withColumn(col, text)
+
+    @F.arrow_udf(T.StringType())
+    def cleaned(texts: pa.Array) -> pa.Array:
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * JSON_LEVELS))
+        out = []
+        for text in texts.to_pylist():
+            try:
+                value = json.loads(text, parse_int=_Number, parse_float=_Number, object_pairs_hook=_distinct)
+                out.append(_shown(_without_meta(value)) if isinstance(value, dict) else None)
+            except (ValueError, RecursionError):
+                out.append(None)
+        return pa.array(out, pa.string())
+
+    marked = F.when(F.contains(F.col(col), F.lit('"__')) | F.contains(F.col(col), F.lit("\\u")), F.col(col))
+    plain = F.when(marked.isNull(), F.col(col))
+    text = F.coalesce(plain, cleaned(F.coalesce(marked, F.lit(""))))
+    fields = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    return df.withColumn(col, F.transform_values(fields, lambda _, x: F.try_variant_get(x, "$", "string")))
 
 
 def inject_keys(df: DataFrame, **values) -> DataFrame:

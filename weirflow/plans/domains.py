@@ -350,16 +350,24 @@ def _(spark, sf):
     return got.select("s_suppkey", F.col("balance").cast("double").cast("string").alias("balance"), F.col("place.latitude").cast("int").alias("latitude"), F.col("tags")[0].alias("first_tag"))
 
 
+#: Properties that stand for an order priority in the metadata of a customer.
+PROPERTY_OF = {"1-URGENT": "lastModifiedOn", "2-HIGH": "lastModifiedDateTime", "3-MEDIUM": "lastModifiedDate"}
+
+
 @query("sch_4_infer_contract", """
-    SELECT entity, key, cursor_field, ingestion_type, n FROM (VALUES ('orders', 'o_orderkey', 'lastModifiedDate', 'cdc'), ('customer', 'c_custkey', NULL, 'snapshot')) t(entity, key, cursor_field, ingestion_type)
-    JOIN (SELECT 'orders' AS e, count(*) AS n FROM orders UNION ALL SELECT 'customer', count(*) FROM customer) ON e = entity
+    WITH e AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n, bool_or(o_orderpriority = '1-URGENT') AS u, bool_or(o_orderpriority = '2-HIGH') AS h,
+               bool_or(o_orderpriority = '3-MEDIUM') AS m FROM orders GROUP BY o_custkey)
+    SELECT 'c' || o_custkey AS entity, 'k' || o_custkey AS key, CASE WHEN h THEN 'lastModifiedDateTime' WHEN m THEN 'lastModifiedDate' WHEN u THEN 'lastModifiedOn' END AS cursor_field,
+           CASE WHEN h OR m OR u THEN 'cdc' ELSE 'snapshot' END AS ingestion_type, n FROM e
 """)
 def _(spark, sf):
-    from weirflow.operators.aggregates import table_counts
-
-    got = sm.infer_contracts(_edm(spark, sf, ["orders", "customer"]))
-    counts = table_counts({t: table(spark, sf, t) for t in ("orders", "customer")}).select(F.col("table_name").alias("entity"), F.col("row_count").alias("n"))
-    return got.join(counts, "entity").select("entity", F.col("primary_keys")[0].alias("key"), "cursor_field", "ingestion_type", "n")
+    """Each customer is an entity type, with a property for every priority its orders have."""
+    kinds = table(spark, sf, "orders").select("o_custkey", "o_orderpriority").distinct()
+    name = F.coalesce(*[F.when(F.col("o_orderpriority") == p, F.lit(n)) for p, n in PROPERTY_OF.items()], F.col("o_orderpriority"))
+    key = F.col("o_custkey").cast("string")
+    found = kinds.select(F.concat(F.lit("c"), key).alias("entity"), F.array(F.concat(F.lit("k"), key)).alias("keys"), name.alias("name"))
+    counts = found.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
+    return sm.infer_contracts(found).join(counts, "entity").select("entity", F.col("primary_keys")[0].alias("key"), "cursor_field", "ingestion_type", "n")
 
 
 @query("sch_5_schema_from_properties", "SELECT CAST(c_custkey AS VARCHAR) AS id, false AS archived, CAST(c_nationkey AS VARCHAR) AS company, c_name AS name, c_custkey AS size FROM customer")

@@ -388,10 +388,10 @@ def _(spark, sf):
     return inc.keep_undated(ev, "seen", "2024-01-20").select("event_id")
 
 
-@query("src_29_list_files", "SELECT DISTINCT lang AS name, 'txt' AS type FROM documents")
+@query("src_29_list_files", "SELECT lang AS name, 'txt' AS type, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents GROUP BY lang")
 def _(spark, sf):
     got = files.list_files(spark, _as_files(spark, sf, "listing"), "*.txt")
-    return got.select(F.regexp_extract("id", "lang=([^/]+)/", 1).alias("name"), "type")
+    return got.groupBy(F.regexp_extract("id", "lang=([^/]+)/", 1).alias("name"), "type").agg(F.sum("length").alias("bytes"))
 
 
 @query("src_30_two_part_offset", """

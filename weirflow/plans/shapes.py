@@ -303,10 +303,14 @@ def _(spark, sf):
     return fl.slice_page(table(spark, sf, "orders"), ["o_totalprice", "o_orderkey"], 200, 50).select("o_orderkey")
 
 
-@query("lim_4_preview", "SELECT 5 AS n, 4 AS columns FROM (SELECT 1)")
-def _(spark, sf):
-    got = fl.preview(table(spark, sf, "supplier"), 5, {"region": "text"}, {"region": "EU"})
-    return got.agg(F.count(F.lit(1)).alias("n")).withColumn("columns", F.lit(len(got.columns)))
+@query("lim_4_preview", "SELECT least(5, count(*)) AS n, least(5, count(s_name)) AS found, 4 AS columns FROM supplier")
+def _(spark, sf):
+    """Which rows a preview shows is open; all of them must be rows of the table."""
+    suppliers = table(spark, sf, "supplier")
+    got = fl.preview(suppliers, 5, {"region": "text"}, {"region": "EU"})
+    held = suppliers.select(F.xxhash64(*suppliers.columns).alias("row"), F.lit(True).alias("held"))
+    rows = got.select(F.xxhash64(*suppliers.columns).alias("row")).join(held, "row", "left")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.count("held").alias("found")).withColumn("columns", F.lit(len(got.columns)))
 
 
 @query("set_1_union_all", """
