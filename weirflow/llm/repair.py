@@ -6,8 +6,10 @@ symbols; symbols from ``base`` on are nonterminals), the length each rule expand
 and a directory of documents. The lengths allow decoding any range of ids without the rest. A file is Parquet
 with one row per shard; all integers in its binary columns are little-endian.
 
-Each round counts all neighbouring pairs by sorting and gives the most frequent ones a nonterminal each; where pairs
-overlap the left one goes first. Rounds go on until no pair occurs ``LEAST`` times in the shard.
+Each round counts neighbouring pairs by sorting and gives the most frequent ones a nonterminal each; where pairs
+overlap the left one goes first. After a round in which no frequent pair had to wait only pairs with one of its new
+symbols can have become frequent, so only these are counted; the last round counts all again. Rounds go on until no
+pair occurs ``LEAST`` times in the shard.
 
 Null and empty texts are one end id. Rows with a null id come first; ties go by text. Repeated rows are stored
 each. An empty table gives files without shards; other columns play no part.
@@ -31,32 +33,42 @@ LEAST, RULES_A_ROUND, TABLE_BITS = 8, 1 << 14, 18
 FEW = 256
 
 
-def _pairs(seq: np.ndarray, known: int) -> np.ndarray:
-    """Each symbol with the next one as one number."""
+def _pairs(left: np.ndarray, right: np.ndarray, known: int) -> np.ndarray:
+    """Two neighbouring symbols as one number."""
     if known <= 1 << 16:
-        return seq[:-1] << np.uint32(16) | seq[1:]
-    return seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        return left << np.uint32(16) | right
+    return left.astype(np.uint64) << np.uint64(32) | right
 
 
-def _apart(hit: np.ndarray) -> np.ndarray:
-    """Of places that follow one another every second one, the left one first, so that no two pairs share a symbol."""
+def _apart(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of places that follow one another every second one, the left one first, so that no two pairs share a symbol; also their index."""
     run = np.concatenate((np.ones(min(1, len(hit)), bool), np.diff(hit) != 1))
     at = np.arange(len(hit))
-    return hit[(at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0]
+    kept = np.flatnonzero((at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0)
+    return hit[kept], kept
 
 
 def compress(ids: np.ndarray, base: int, least: int = LEAST, most: int = RULES_A_ROUND) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, lengths they expand to, sequence) of ``ids``, all below ``base``: no pair is left ``least`` times."""
     seq, rules, sizes = ids.astype(np.uint32), np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    known = base
+    known, newest = base, None
     while len(seq) > 1:
-        pairs = _pairs(seq, known)
+        if newest is None:
+            where, pairs = None, _pairs(seq[:-1], seq[1:], known)
+        else:
+            new = seq >= newest
+            where = np.flatnonzero(new[:-1] | new[1:])
+            pairs = _pairs(seq[where], seq[where + 1], known)
         ordered = np.sort(pairs)
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(starts, len(ordered)))
         often = np.flatnonzero(counts >= least)
         if not len(often):
-            break
+            if newest is None:
+                break
+            newest = None
+            continue
+        placed = lambda x: x if where is None else where[x]  # noqa: B023, E731
         best = often[np.argsort(-counts[often], kind="stable")][:most]
         keys = ordered[starts[best]]
         if len(keys) <= FEW:
@@ -72,13 +84,15 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST, most: int = RULES_A
             held, rule = np.zeros(1 << TABLE_BITS, keys.dtype), np.full(1 << TABLE_BITS, -1, np.int32)
             held[slot(keys)], rule[slot(keys)] = keys, np.arange(len(keys))
             at = slot(pairs)
-        hit = _apart(np.flatnonzero((held[at] == pairs) & (rule[at] >= 0)))
-        found = rule[at[hit]]
+        on = np.flatnonzero(held[at] == pairs)
+        on = on[rule[at[on]] >= 0]
+        hit, kept = _apart(placed(on))
+        found = rule[at[on[kept]]]
         uses = np.bincount(found, minlength=len(keys))
         if uses.max() > 1:  # pairs that neighbours left a single place wait as well
             hit, found = hit[uses[found] > 1], found[uses[found] > 1]
         else:
-            hit = _apart(np.flatnonzero(pairs == keys[0]))
+            hit, _ = _apart(placed(np.flatnonzero(pairs == keys[0])))
             found = np.zeros(len(hit), np.int64)
         place = np.full(len(keys), -1, np.int64)  # of one occurrence of each pair that is used
         place[found] = hit
@@ -91,6 +105,7 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST, most: int = RULES_A
         seq[hit] = known + found
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
+        newest = known if len(keys) == len(often) else None  # pairs that wait hold older symbols
         seq, known = seq[keep], known + len(used)
     return rules, sizes, seq
 
