@@ -317,6 +317,60 @@ def test_language_model_is_a_distribution(documents):
         assert (by[d].lang_pred, by[d].score) == ("und", 0.0)
 
 
+def _byte_classes(text):
+    out = []
+    for b in text.lower().encode():
+        c = b - 96 if 97 <= b <= 122 else b - 101 if b >= 128 else 0
+        if c or not out or out[-1]:
+            out.append(c)
+    return out
+
+
+@pytest.mark.parametrize("share, context", [(2e-6, 1e-5), (0.01, 0.02)])
+def test_language_code_lengths(spark, monkeypatch, share, context):
+    """Code lengths by counting in plain Python; rare letters stay in the short contexts whatever is left out of the long ones."""
+    monkeypatch.setattr(language, "LEAST_SHARE", share)
+    monkeypatch.setattr(language, "LEAST_CONTEXT", context)
+    learned = {"x": ["the cat sat on the mat", "the \u0119 cat; the hat", "", "a"], "y": ["der hund und der mund", "\u00fcber \u00f1u den rest"]}
+    rows = [(name, t) for name, texts in learned.items() for t in texts] + [("y", None), (None, "zzz")]
+    model = language.fit(spark.createDataFrame(rows, "lang string, text string"))
+    count = {name: Counter() for name in learned}  # by context, shortest first, then byte
+    for name, texts in learned.items():
+        for t in texts:
+            line = [0, 0, 0, *_byte_classes(t)]
+            for i in range(3, len(line)):
+                count[name].update((tuple(line[i - k : i]), line[i]) for k in range(4))
+    total = {name: sum(n for (c, _), n in c4.items() if not c) for name, c4 in count.items()}
+    assert model.languages == sorted(learned)
+    seen = {0, *(c for one in count.values() for _, c in one)}
+    kinds = sorted(seen) + [-1]
+    listed = {name: {(c, b): n for (c, b), n in one.items() if len(c) < 3 or n >= share * total[name]} for name, one in count.items()}
+    weight = {name: Counter() for name in learned}
+    for name, one in listed.items():
+        for (c, _), n in one.items():
+            weight[name][c] += n
+    long = {c for name in learned for c, n in weight[name].items() if len(c) == 3 and n >= context * total[name]}
+
+    def chances(name, c):
+        if len(c) == 3 and c not in long:
+            return chances(name, c[1:])
+        lower = chances(name, c[1:]) if c else dict.fromkeys(kinds, 1 / len(kinds))
+        own = {b: listed[name][c, b] for b in kinds if (c, b) in listed[name]}
+        if not own:
+            return lower
+        rest = sum(p for b, p in lower.items() if b not in own)
+        full = sum(own.values()) + (len(own) if rest > 0 else 0)
+        return {b: own[b] / full if b in own else len(own) / full * p / rest for b, p in lower.items()}
+
+    tests = ["the hund \u0119", "\u00fcber the mat", "qq \u4e2d", "", "cat"]
+    got = model.lengths(tests)
+    for i, t in enumerate(tests):
+        line = [0, 0, 0, *[b if b in seen else -1 for b in _byte_classes(t)]]
+        for j, name in enumerate(model.languages):
+            want = -sum(math.log(chances(name, tuple(line[k - 3 : k]))[line[k]]) for k in range(3, len(line)))
+            assert math.isclose(got[i, j], want, rel_tol=1e-4, abs_tol=1e-4), (t, name)
+
+
 def test_lm_base_scores_and_counts(documents, rows):
     got = lm.score(lm.split(documents)).collect()
     tokens = lambda t: WORD.findall(lower(t or ""))

@@ -7,8 +7,11 @@ context all bytes are alike. These statistics are frozen into one table of code
 costs the sum over its bytes; the language with the shortest code wins, ties going to the first by name.
 
 Letters are compared in lower case; runs of ASCII other than letters count as one separator. Counts are merged
-per task before they are shuffled. Only byte quadruples that make up ``LEAST_SHARE`` of a language's bytes or more
-reach the driver, so at most 1 / ``LEAST_SHARE`` per language, whatever the corpus holds.
+per task before they are shuffled. Contexts of up to two bytes hold the counts of all bytes, summed before anything is
+left out; of these triples there are at most ``KINDS`` ** 3. After contexts of three bytes only those bytes are listed
+that make up ``LEAST_SHARE`` of a language's bytes, in contexts that make up ``LEAST_CONTEXT``; others are reached by the
+escape. So at most 1 / ``LEAST_SHARE`` quadruples per language reach the driver, whatever the corpus holds, and a model
+has the same depth at every size.
 
 Null text and text without a letter is ``und`` with score 0, and so is everything if nothing could be learned. Rows
 without a language are not learned from. Repeated rows count each. An empty table gives an empty result; other
@@ -27,8 +30,8 @@ from weirflow.session import cut_lineage
 
 ORDER = 3
 LEAST_SHARE = 2e-6
-#: Contexts of full length with fewer bytes than this in every language use the next shorter one.
-LEAST_BYTES = 32
+#: Contexts of full length that are a smaller share of every language use the next shorter one.
+LEAST_CONTEXT = 1e-5
 KINDS = 155
 BLOCK = 4 << 20
 
@@ -118,33 +121,38 @@ def _row(count: np.ndarray, lower: np.ndarray) -> np.ndarray:
 class Model:
     """Frozen code lengths: ``state`` of a context (three classes), ``cost[state, class, language]`` in nats."""
 
-    def __init__(self, lang: list[str], code: np.ndarray, n: np.ndarray) -> None:
-        self.languages = sorted(set(lang))
-        digits = np.stack([code // KINDS**k % KINDS for k in range(ORDER + 1)], axis=1)
-        used = np.unique(np.append(digits.ravel(), 0))
+    def __init__(self, pruned: pa.Table, triples: pa.Table) -> None:
+        """Out of (lang, code, n): the quadruples that are listed, and all triples."""
+        self.languages = sorted(set(triples.column("lang").to_pylist()))
+        classes_of = lambda code, size: np.stack([code // KINDS**k % KINDS for k in range(size)], axis=1)
+        parts = [(np.searchsorted(self.languages, t.column("lang").to_pylist()), classes_of(t.column("code").to_numpy(), size), t.column("n").to_numpy()) for t, size in ((pruned, ORDER + 1), (triples, ORDER))]
+        (which, digits, n), (which3, digits3, n3) = parts
+        used = np.unique(np.append(digits3.ravel(), 0))
         #: Classes never seen share the last place.
         self.kinds = len(used) + 1
         self.place = np.full(256, len(used), np.uint8)
         self.place[used] = np.arange(len(used))
-        digits = self.place[digits].astype(np.int64)
-        which = np.searchsorted(self.languages, lang)
+        digits, digits3 = self.place[digits].astype(np.int64), self.place[digits3].astype(np.int64)
         a = self.kinds
-        short, full = digits[:, 1] + a * digits[:, 2], digits[:, 1] + a * digits[:, 2] + a * a * digits[:, 3]
+        full = digits[:, 1] + a * digits[:, 2] + a * a * digits[:, 3]
         bytes_in = np.zeros((len(self.languages), a**3), np.int64)
         np.add.at(bytes_in, (which, full), n)
-        long = np.flatnonzero(bytes_in.max(0) >= LEAST_BYTES)
+        totals = np.bincount(which3, n3, len(self.languages))
+        long = np.flatnonzero((bytes_in >= LEAST_CONTEXT * totals[:, None]).any(0))
         self.state = (np.arange(a**3) % (a * a)).astype(np.int32)
         self.state[long] = a * a + np.arange(len(long))
         self.cost = np.empty((a * a + len(long), a, len(self.languages)), np.float32)
         at = np.full(a**3, -1)
         at[long] = np.arange(len(long))
         for i in range(len(self.languages)):
-            mine = which == i
-            table = lambda rows, size: np.bincount((rows * a + digits[:, 0])[mine & (rows >= 0)], n[mine & (rows >= 0)], size * a).reshape(size, a)  # noqa: B023, E731
-            zero = _row(table(np.zeros(len(n), np.int64), 1), np.full((1, a), 1 / a))
-            one = _row(table(digits[:, 1], a), np.repeat(zero, a, 0))
-            two = _row(table(short, a * a), one[np.arange(a * a) % a])
-            three = _row(table(at[full], len(long)), two[long % (a * a)])
+            table = lambda rows, byte, weight, size: np.bincount(rows * a + byte, weight, size * a).reshape(size, a)  # noqa: B023, E731
+            mine = which3 == i
+            byte, before, weight = digits3[mine, 0], digits3[mine, 1:], n3[mine]
+            zero = _row(table(np.zeros(len(byte), np.int64), byte, weight, 1), np.full((1, a), 1 / a))
+            one = _row(table(before[:, 0], byte, weight, a), np.repeat(zero, a, 0))
+            two = _row(table(before[:, 0] + a * before[:, 1], byte, weight, a * a), one[np.arange(a * a) % a])
+            listed = (which == i) & (at[full] >= 0)
+            three = _row(table(at[full[listed]], digits[listed, 0], n[listed], len(long)), two[long % (a * a)])
             self.cost[:, :, i] = -np.log(np.concatenate((two, three)))
 
     def lengths(self, texts: list[str]) -> np.ndarray:
@@ -166,8 +174,8 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model | None
     counts = cut_lineage(quadruples(docs, lang, text), "quadruples")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     kept = counts.join(totals, "lang").filter(F.col("n") >= F.col("total") * LEAST_SHARE).select("lang", "code", "n")
-    found = kept.toArrow()
-    return Model(found.column("lang").to_pylist(), found.column("code").to_numpy(), found.column("n").to_numpy()) if found.num_rows else None
+    triples = counts.groupBy("lang", (F.col("code") % KINDS**ORDER).alias("code")).agg(F.sum("n").alias("n")).toArrow()
+    return Model(kept.toArrow(), triples) if triples.num_rows else None
 
 
 def identify(docs: DataFrame, model: Model | None, text: Column) -> Column:
