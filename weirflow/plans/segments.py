@@ -13,6 +13,7 @@ from pyspark.sql import functions as F, types as T
 
 from weirflow.operators import hl7
 from weirflow.plans.registry import query, table
+from weirflow.session import cut_lineage
 
 #: Marks in the texts, and the column of an order that stands in their place.
 MARKS = {
@@ -122,7 +123,8 @@ def _register(kind: str) -> None:
         }.items():
             body = F.replace(body, F.lit(mark), value)
         head = F.concat(F.lit("MSH|^~\\&|A|B|C|D|20240101||ADT^A01|"), key.cast("string"), F.lit("|P|2.5\r"))
-        messages = hl7.parse_messages(table(spark, sf, "orders").select(F.concat(head, body).alias("message")))
+        # The messages are a table of their own, so that building them does not share generated code with reading them.
+        messages = hl7.parse_messages(cut_lineage(table(spark, sf, "orders").select(F.concat(head, body).alias("message")), "messages"))
         got = hl7.segment_table(messages, kind)
         nested = lambda c: isinstance(got.schema[c].dataType, (T.StructType, T.ArrayType))
         parts = [F.concat(F.lit(f"{c}="), F.to_json(c) if nested(c) else F.col(c).cast("string")) for c in names]
