@@ -124,3 +124,27 @@ def test_a_long_conversation_costs_what_its_text_costs(spark):
         took[turns] = time.time() - start
         assert sums[0] == turns // 2 and sums[1] == 104 * turns // 2
     assert took[20_000] < 5
+
+
+def test_the_query_writes_every_context(spark, tmp_path, monkeypatch):
+    from weirflow.llm import plans
+
+    spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    cut, kept = plans.cut_lineage, {}
+    monkeypatch.setattr(plans, "cut_lineage", lambda df, stem, **how: kept.setdefault(stem, cut(df, stem, **how)))
+    got = {r.conv_id: r for r in plans.QUERIES["op6_chat"](spark, str(tmp_path)).collect()}
+    whole = {r.conv_id: r.formatted for r in kept["chat"].collect()}
+    seen = defaultdict(list)
+    for r in kept["examples"].collect():
+        if r.example is not None:
+            assert whole[r.conv_id].startswith(r.text + "</turn>\n") and r.text.count("</turn>\n") == r.example - 1
+            assert r.text[: r.loss_start - 1].endswith("<turn:assistant>\n") and len(r.text) == r.loss_start - 1 + r.loss_chars
+            seen[r.conv_id].append(r.example)
+    turns = defaultdict(list)
+    for conv, turn, role, text in [*TURNS, (-7, 0, "user", HARD), (-7, 1, "assistant", HARD)]:
+        turns[conv].append((-1 if turn is None else turn, role or "", text or ""))
+    for conv, rows in turns.items():
+        rows.sort()
+        assert sorted(seen[conv]) == [n for n, (_, role, _) in enumerate(rows, 1) if role == "assistant"]
+        loss = "".join(text for _, role, text in rows if role == "assistant")
+        assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
