@@ -140,6 +140,23 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _tokens(spec: str) -> list[tuple[str, str, str]]:
+    """(path, column, kind) of every entry of a list."""
+    out = []
+    for token in spec.split():
+        head, kind = token.rsplit(":", 1)
+        path, _, name = head.partition(">")
+        out.append((path, name or "_".join(snake_name(p) for p in path.split(".")), kind))
+    return out
+
+
+def _ddl(kind: str) -> str:
+    """The type of a column of a kind."""
+    name = kind.rstrip("*")
+    own = (PRIMITIVES | {"time": "timestamp_ntz"}).get(name) or f"struct<{', '.join(f'`{n}`: {_ddl(k)}' for _, n, k in _tokens(TYPES[name]))}>"
+    return f"array<{own}>" if kind.endswith("*") else own
+
+
 def _value(value: Column, path: str, kind: str) -> Column:
     """One element of a variant as a named type."""
     many, name = kind.endswith("*"), kind.rstrip("*")
@@ -147,8 +164,7 @@ def _value(value: Column, path: str, kind: str) -> Column:
         return F.coalesce(_get(value, path, f"array<{PRIMITIVES[name]}>"), F.array().cast(f"array<{PRIMITIVES[name]}>"))
     if many:
         items = F.filter(_get(value, path, "array<variant>"), lambda x: ~F.is_variant_null(x))
-        none = F.slice(F.array(F.struct(*_elements(value, TYPES[name]))), 1, 0)
-        return F.coalesce(F.transform(items, lambda x: F.struct(*_elements(x, TYPES[name]))), none)
+        return F.coalesce(F.transform(items, lambda x: F.struct(*_elements(x, TYPES[name]))), F.array().cast(_ddl(kind)))
     if name == "time":
         return _bind(_get(value, path, "string"), normalize_iso)
     if name in PRIMITIVES:
@@ -166,14 +182,7 @@ def _filled(value: Column, spec: str) -> Column:
 
 
 def _elements(value: Column, spec: str, wanted: Sequence[str] | None = None) -> list[Column]:
-    out = []
-    for token in spec.split():
-        head, kind = token.rsplit(":", 1)
-        path, _, name = head.partition(">")
-        name = name or "_".join(snake_name(p) for p in path.split("."))
-        if wanted is None or name in wanted:
-            out.append(_value(value, path, kind).alias(name))
-    return out
+    return [_value(value, path, kind).alias(name) for path, name, kind in _tokens(spec) if wanted is None or name in wanted]
 
 
 def bundle_entries(df: DataFrame, col: str) -> DataFrame:

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from weirflow.functions.scalars import snake_name
 from weirflow.operators import fhir
 from weirflow.plans.registry import query, table
+from weirflow.plans.texts import chosen, made, replaced
+from weirflow.session import spread
 
 #: Marks in the texts, and the column of a customer that stands in their place; ``"@N"`` is a number.
 MARKS = {"@K": "c_mktsegment", "@C": "c_name", "@D": "lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0')", "@N": "CAST(c_nationkey AS VARCHAR)"}
@@ -92,6 +94,30 @@ def _way(n: int) -> str:
     return f"(c_custkey + {n} * (c_custkey % 7) + {n // 4} * (c_nationkey % 5)) % 4 + 1"
 
 
+def _records(customers: DataFrame, resource: str, ways: list[list[str | None]]) -> DataFrame:
+    """The record of every customer; null where a column that a mark stands for is null, empty without a key.
+
+    Texts are put together in Arrow batches, outside the generated code that reads them.
+    """
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    rows = spread(customers.select(
+        key.alias("key"), (key % 7).alias("by_key"), (nation % 5).alias("by_nation"), nation.cast("string").alias("@N"),
+        F.col("c_mktsegment").alias("@K"), F.col("c_name").alias("@C"), F.lpad((nation + 1).cast("string"), 2, "0").alias("@D"),
+    ))
+
+    def record(row: dict) -> str | None:
+        if None in (row["@N"], row["@K"], row["@C"]):
+            return None
+        if row["key"] is None:
+            return "{}"
+        parts = [f'"resourceType":"{resource}","id":"p{row["key"]}"']
+        parts += [chosen(w, row["key"] + n * row["by_key"] + n // 4 * row["by_nation"]) for n, w in enumerate(ways)]
+        number = {'"@N"': row["@N"], '"@N.5"': row["@N"] + ".5"}
+        return replaced("{" + ",".join(p for p in parts if p is not None) + "}", number | {mark: row[mark] for mark in ("@K", "@C", "@D", "@N")})
+
+    return made(rows, record, "raw_json")
+
+
 def _register(resource: str) -> None:
     groups: dict[str, list] = {}
     for i, (path, column, kind) in enumerate(_elements(fhir.RESOURCES[resource])):
@@ -105,16 +131,8 @@ def _register(resource: str) -> None:
 
     @query(f"fhir_1_{snake_name(resource)}", f"SELECT 'p' || c_custkey AS id, {len(names)} AS columns, md5({content}) AS content FROM customer")
     def _(spark, sf):
-        number = F.col("c_nationkey").cast("string")
-        texts = [F.element_at(F.array(*[F.lit(text) for text, _ in w]), F.expr(_way(n)).cast("int")) for n, w in enumerate(ways)]
-        head = F.concat(F.lit(f'"resourceType":"{resource}","id":"p'), F.col("c_custkey").cast("string"), F.lit('"'))
-        text = F.concat(F.lit("{"), F.concat_ws(",", head, *texts), F.lit("}"))
-        for mark, value in {
-            '"@N"': number, '"@N.5"': F.concat(number, F.lit(".5")), "@K": F.col("c_mktsegment"), "@C": F.col("c_name"),
-            "@D": F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"), "@N": number,
-        }.items():
-            text = F.replace(text, F.lit(mark), value)
-        got = fhir.extract_resources(table(spark, sf, "customer").select(text.alias("raw_json")), resource, profile="base_r4")
+        records = _records(table(spark, sf, "customer"), resource, [[text for text, _ in w] for w in ways])
+        got = fhir.extract_resources(records, resource, profile="base_r4")
         nested = lambda c: isinstance(got.schema[c].dataType, (T.StructType, T.ArrayType))
         cols = [F.concat(F.lit(f"{c}="), F.to_json(c) if nested(c) else F.col(c).cast("string")) for c in names]
         return got.select("id", F.lit(len(names)).alias("columns"), F.md5(F.concat_ws(";", *cols)).alias("content"))
