@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from weirflow.operators import hl7
 from weirflow.plans.registry import query, table
-from weirflow.session import cut_lineage
+from weirflow.plans.texts import chosen, made, replaced
+from weirflow.session import spread
 
 #: Marks in the texts, and the column of an order that stands in their place.
 MARKS = {
@@ -99,6 +100,36 @@ def _way(n: int) -> str:
     return f"(o_custkey + {n} * (o_orderkey % 7) + {n // 4} * (CAST(floor(o_totalprice) AS BIGINT) % 11) + 3 * line) % 4 + 1"
 
 
+def _messages(orders: DataFrame, kind: str, ways: list[list[str]]) -> DataFrame:
+    """The message of every order; null where a column that a mark stands for is null, lines are empty without a customer.
+
+    Texts are put together in Arrow batches, outside the generated code that reads them.
+    """
+    key, price = F.col("o_orderkey"), F.floor("o_totalprice")
+    rows = spread(orders.select(
+        key.alias("key"), F.col("o_custkey").alias("customer"), (key % 5 != 0).alias("once"), (key % 3 == 0).alias("again"), (key % 7).alias("by_key"),
+        (price % 11).alias("by_price"), (key % 10).cast("string").alias("@K"), F.col("o_orderpriority").alias("@P"), price.cast("string").alias("@T"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("@D"),
+    ))
+
+    def line(customer: int | None, by_key: int, by_price: int) -> str:
+        shown = [] if customer is None else [chosen(w, customer + n * by_key + n // 4 * by_price) for n, w in enumerate(ways, 1)]
+        return f"{kind.upper()}|{'|'.join(shown)}\r"
+
+    def message(row: dict) -> str | None:
+        if None in (row["key"], row["@P"], row["@T"], row["@D"]):
+            return None
+        lines = [line(c, row["by_key"], row["by_price"]) for c in lines_of(row)]
+        head = f"MSH|^~\\&|A|B|C|D|20240101||ADT^A01|{row['key']}|P|2.5\r"
+        return head + replaced("".join(lines), {mark: row[mark] for mark in MARKS if mark in row})
+
+    def lines_of(row: dict) -> list[int | None]:
+        c = row["customer"]
+        return [] if not row["once"] else [c, None if c is None else c + 3] if row["again"] else [c]
+
+    return made(rows, message, "message")
+
+
 def _register(kind: str) -> None:
     tokens = hl7.SEGMENTS[kind].split()
     ways = [_field(n, t) for n, t in enumerate(tokens, 1)]
@@ -112,19 +143,7 @@ def _register(kind: str) -> None:
 
     @query(f"hl7_4_segment_{kind}", f"SELECT CAST(o_orderkey AS VARCHAR) AS message_id, {len(names)} AS columns, md5({content}) AS content FROM orders, (VALUES (0), (1)) AS l(line) WHERE {lines}")
     def _(spark, sf):
-        def line(number: int):
-            texts = [F.element_at(F.array(*[F.lit(t) for t, _ in w]), F.expr(_way(n).replace("line", str(number))).cast("int")) for n, w in enumerate(ways, 1)]
-            return F.concat(F.lit(kind.upper() + "|"), F.concat_ws("|", *texts), F.lit("\r"))
-
-        key, empty = F.col("o_orderkey"), F.lit("")
-        body = F.concat(F.when(key % 5 != 0, line(0)).otherwise(empty), F.when((key % 5 != 0) & (key % 3 == 0), line(1)).otherwise(empty))
-        for mark, value in {
-            "@K": (key % 10).cast("string"), "@P": F.col("o_orderpriority"), "@T": F.floor("o_totalprice").cast("string"), "@D": F.date_format("o_orderdate", "yyyyMMdd"),
-        }.items():
-            body = F.replace(body, F.lit(mark), value)
-        head = F.concat(F.lit("MSH|^~\\&|A|B|C|D|20240101||ADT^A01|"), key.cast("string"), F.lit("|P|2.5\r"))
-        # The messages are a table of their own, so that building them does not share generated code with reading them.
-        messages = hl7.parse_messages(cut_lineage(table(spark, sf, "orders").select(F.concat(head, body).alias("message")), "messages"))
+        messages = hl7.parse_messages(_messages(table(spark, sf, "orders"), kind, [[t for t, _ in w] for w in ways]))
         got = hl7.segment_table(messages, kind)
         nested = lambda c: isinstance(got.schema[c].dataType, (T.StructType, T.ArrayType))
         parts = [F.concat(F.lit(f"{c}="), F.to_json(c) if nested(c) else F.col(c).cast("string")) for c in names]
