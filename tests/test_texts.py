@@ -52,6 +52,7 @@ def test_texts_of_rows_with_nulls(spark, tmp_path):
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string, d string").withColumn("o_orderdate", F.to_timestamp("d")).drop("d").write.parquet(f"{tmp_path}/orders.parquet")
     found = QUERIES["hl7_4_segment_txa"](spark, str(tmp_path)).collect()
     assert sorted(r["message_id"] for r in found) == ["1", "6", "6"]
+    assert chosen(["a", "b"], None) == "b"
 
 
 def test_absent_lists_are_constants(spark):

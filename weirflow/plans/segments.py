@@ -101,7 +101,7 @@ def _way(n: int) -> str:
 
 
 def _messages(orders: DataFrame, kind: str, ways: list[list[str]]) -> DataFrame:
-    """The message of every order; null where a column that a mark stands for is null, lines are empty without a customer.
+    """The message of every order; null where a column that a mark stands for is null, all fields the last way without a customer.
 
     Texts are put together in Arrow batches, outside the generated code that reads them.
     """
@@ -113,7 +113,7 @@ def _messages(orders: DataFrame, kind: str, ways: list[list[str]]) -> DataFrame:
     ))
 
     def line(customer: int | None, by_key: int, by_price: int) -> str:
-        shown = [] if customer is None else [chosen(w, customer + n * by_key + n // 4 * by_price) for n, w in enumerate(ways, 1)]
+        shown = [chosen(w, None if customer is None else customer + n * by_key + n // 4 * by_price) for n, w in enumerate(ways, 1)]
         return f"{kind.upper()}|{'|'.join(shown)}\r"
 
     def message(row: dict) -> str | None:

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame
 BATCH = 1000
 
 
-def chosen(ways: list, number: int):
-    """The way of a field at ``number % 4 + 1``, as ``element_at`` and the remainder of SQL count."""
+def chosen(ways: list, number: int | None):
+    """The way of a field at ``number % 4 + 1``, as ``element_at`` and the remainder of SQL count; the last one for null."""
+    if number is None:
+        return ways[-1]
     at = (number % 4 if number >= 0 else -(-number % 4)) + 1
     return ways[at - 1] if at > 0 else ways[at]
 
