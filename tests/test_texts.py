@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirflow.operators import fhir, hl7
+from weirflow.plans import segments
 from weirflow.plans.catalogue import QUERIES
 from weirflow.plans.texts import chosen
 from weirflow.session import spread
@@ -67,3 +68,34 @@ def test_parts_of_a_text(spark):
     rows = spark.createDataFrame([("a&b&",), ("",), ("&x",), (None,), ("abc",)], "t string")
     got = rows.select(*[hl7._part(F.col("t"), "&", k) for k in (1, 2, 3, 4)]).collect()
     assert [tuple(r) for r in got] == [("a", "b", None, None), (None,) * 4, (None, "x", None, None), (None,) * 4, ("abc", None, None, None)]
+
+
+def test_composites_are_cut_in_batches(spark, narrow):
+    # Repetitions used to be read by higher-order functions, which Spark does not compile: 0.3 to 1.1 ms of CPU a message.
+    plan = QUERIES["hl7_4_segment_nk1"](spark, narrow)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_separators_of_each_message_in_a_batch(spark):
+    one = "MSH|^~\\&|A|B|C|D|20240101||ADT|1|P|2.5\rTXA|7||a^b&c|20240102|d1^F&G~~d2^H\\T\\I|||20240103~x~20240104||||e\\S\\1^n||f1^n~f2"
+    two = one.replace("|", "#").replace("^", "$").replace("~", "%").replace("&", "*").replace("\\", "?").replace("ADT#1", "ADT#2")
+    rows = spark.createDataFrame([(one,), (two,), (None,)], "message string").coalesce(1)
+    got = {r["message_id"]: r for r in hl7.segment_table(hl7.parse_messages(rows), "txa").collect()}
+    assert sorted(got) == ["1", "2"]
+    for r in got.values():
+        assert [(x["id"], x["given_name"]) for x in r["primary_activity_provider"]] == [("d1", None), ("d2", None)]
+        assert (r["set_id"], r["activity_datetime"], r["edit_datetime"]) == (7, "2024-01-02T00:00:00", ["2024-01-03T00:00:00", "2024-01-04T00:00:00"])
+        assert [x["entity_identifier"] for x in r["placer_order_number"]] == ["f1", "f2"]
+        assert r["originator"] is None and r["document_type"] is None
+    shown = {k: (r["document_content_presentation"], r["primary_activity_provider"][1]["family_name"], r["unique_document_number"]["entity_identifier"]) for k, r in got.items()}
+    assert shown == {"1": ("a^b&c", "H\\T\\I", "e^1"), "2": ("a$b*c", "H?T?I", "e$1")}
+
+
+def test_ways_shared_by_rows(spark):
+    rows = [(k, c, p, "1-URGENT", "2024-01-02") for k in (1, 3, 7, 16, -4) for c in (None, -3, 0, 2, 5) for p in (-7.0, 0.0, 9.5, 123.0)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string, d string").withColumn("o_orderdate", F.to_timestamp("d"))
+    ways = [[f"{n}{w}" for w in "abcd"] for n in range(1, 10)]
+    found = sorted(r["message"].split("\r")[1] for r in segments._messages(orders, "evn", ways).collect())
+    away = lambda k, m: abs(k) % m * (1 if k >= 0 else -1)
+    line = lambda k, c, p: "EVN|" + "|".join(chosen(w, None if c is None else c + n * away(k, 7) + n // 4 * away(int(p // 1), 11)) for n, w in enumerate(ways, 1))
+    assert found == sorted(line(k, c, p) for k, c, p, *_ in rows)

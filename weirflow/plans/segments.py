@@ -116,16 +116,24 @@ def _messages(orders: DataFrame, kind: str, ways: list[list[str]]) -> DataFrame:
         shown = [chosen(w, None if customer is None else customer + n * by_key + n // 4 * by_price) for n, w in enumerate(ways, 1)]
         return f"{kind.upper()}|{'|'.join(shown)}\r"
 
+    known: dict[tuple, str] = {}
+
+    def line_of(customer: int | None, by_key: int, by_price: int) -> str:
+        """The ways go by remainders of four, so all rows share 64 lines and that without a customer; negative ones go their own way."""
+        if min(customer or 0, by_key, by_price) < 0:
+            return line(customer, by_key, by_price)
+        at = (customer if customer is None else customer % 4, by_key % 4, by_price % 4)
+        if at not in known:
+            known[at] = line(*at)
+        return known[at]
+
     def message(row: dict) -> str | None:
         if None in (row["key"], row["@P"], row["@T"], row["@D"]):
             return None
-        lines = [line(c, row["by_key"], row["by_price"]) for c in lines_of(row)]
+        c, again = row["customer"], row["again"]
+        lines = [] if not row["once"] else [c, None if c is None else c + 3] if again else [c]
         head = f"MSH|^~\\&|A|B|C|D|20240101||ADT^A01|{row['key']}|P|2.5\r"
-        return head + replaced("".join(lines), {mark: row[mark] for mark in MARKS if mark in row})
-
-    def lines_of(row: dict) -> list[int | None]:
-        c = row["customer"]
-        return [] if not row["once"] else [c, None if c is None else c + 3] if row["again"] else [c]
+        return head + replaced("".join(line_of(x, row["by_key"], row["by_price"]) for x in lines), {mark: row[mark] for mark in MARKS if mark in row})
 
     return made(rows, message, "message")
 
