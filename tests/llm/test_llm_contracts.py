@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -558,6 +559,46 @@ def test_repair_leaves_no_frequent_pair():
                 assert len(repair.expand(np.array([60_000 + k]), rules, 60_000)) == sizes[k]
 
 
+def test_frequent_pairs_find_their_rules_in_one_round(monkeypatch):
+    """Pairs that share a place of the table do not wait for a further round, which would count all pairs again."""
+    rng = np.random.default_rng(4)
+    for kind, high in ((np.uint32, 1 << 32), (np.uint64, 1 << 49)):
+        pairs = rng.integers(0, high, 4000, kind)
+        keys = np.unique(rng.choice(pairs, 900, replace=False))
+        rng.shuffle(keys)
+        pairs = np.concatenate((rng.choice(pairs, 20_000), np.zeros(9, kind)))
+        place = {k: i for i, k in enumerate(keys.tolist())}
+        for bits in (18, 6):
+            monkeypatch.setattr(repair, "TABLE_BITS", bits)
+            on, found = repair._looked_up(pairs, keys)
+            assert list(zip(on.tolist(), found.tolist())) == [(i, place[p]) for i, p in enumerate(pairs.tolist()) if p in place]
+    monkeypatch.undo()
+    left, right = (rng.integers(0, 60_000, 6000) for _ in range(2))
+    ids = np.tile(np.stack([left, right], axis=1).ravel(), 8)
+    waited, sort = [], np.sort
+    monkeypatch.setattr(np, "sort", lambda x, *a, **b: waited.append(len(x)) or sort(x, *a, **b))
+    rules, sizes, seq = repair.compress(ids, 60_000)
+    assert (repair.expand(seq, rules, 60_000, sizes) == ids).all()
+    assert sum(n > len(ids) / 3 for n in waited) <= 2
+
+
+def test_words_are_encoded_by_their_pieces(monkeypatch):
+    """Ids are those of the tokenizer; words of known pieces in a new order cost it nothing."""
+    from weirflow.llm.tokens import Encoder
+
+    coder, asked = Encoder(TOKENIZER), []
+    want = lambda t: [*coder.tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+    odd = [None, "", " ", "a", " a\x0b\x1cb\x7f", "T\u0308 t\u0308 x\u0308'S", "DON'T don't 'RE''ll", "É×é÷9Ⱥɏɐ İıſ", "中文a1 x,я Жы", "10 2.5,A-b", "<|endoftext|> A", "a\u0085b\u00a0c", "ﬁ ½ ² Ω ΑΣ \U0001f600x"]
+    odd += [f"{a}{chr(c)}{b}" for c in range(0x20, 0x300) for a, b in (("", ""), ("Q", "7"), (". ", "'s"))]
+    for texts in (pa.array(["é'", *odd, "x"], pa.string()).slice(1, len(odd)), pa.array(odd[::-1], pa.string())):
+        assert [x.tolist() for x in coder.encode(texts, 2)] == [want(t) for t in texts.to_pylist()]
+    word = Encoder.word
+    monkeypatch.setattr(Encoder, "word", lambda self, raw: asked.append(raw) or word(self, raw))
+    new = [f"({a}{i}{b}{j}{c}" for a in ("Qed", "rué", "zyx") for b in (",", "--") for c in ("Qed", "rué", "zyx") for i in range(5) for j in range(5)]
+    assert [x.tolist() for x in coder.encode(pa.array(new))] == [want(t)[:-1] for t in new]
+    assert len(asked) <= 16
+
+
 def test_token_files_of_many_shards(spark, documents, ids, tmp_path, monkeypatch):
     """Documents longer than a shard go on in the next ones; single documents are fetched without the others."""
     monkeypatch.setattr(repair, "SHARD_IDS", 500)

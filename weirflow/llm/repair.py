@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from weirflow.llm.tokens import blocks, encoder
 
 SHARD_IDS = 2 << 20
-#: A pair that occurs so often gets a rule; so many rules a round at most, found through a table of so many places.
+#: A pair that occurs so often gets a rule; so many rules a round at most, found through a table of 2 ** so many places.
 LEAST, RULES_A_ROUND, TABLE_BITS = 8, 1 << 14, 18
 #: As many rules are found by bisection, so that none has to wait.
 FEW = 256
@@ -48,17 +48,41 @@ def _apart(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hit[kept], kept
 
 
+def _looked_up(pairs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``pairs`` are among ``keys``, and the index there: by a table of hashes, where keys meet in a place by bisection of all but the first."""
+    bits, odd = 8 * keys.itemsize, {4: 0x9E3779B1, 8: 0x9E3779B97F4A7C15}[keys.itemsize]
+    slot = lambda x: (x * keys.dtype.type(odd) >> keys.dtype.type(bits - TABLE_BITS)).astype(np.intp)
+    places, at = slot(keys), slot(pairs)
+    _, first = np.unique(places, return_index=True)
+    late = np.setdiff1d(np.arange(len(keys)), first)
+    late = late[np.argsort(keys[late])]
+    held, rule, crowded = np.zeros(1 << TABLE_BITS, keys.dtype), np.full(1 << TABLE_BITS, -1, np.int32), np.zeros(1 << TABLE_BITS, bool)
+    held[places[first]], rule[places[first]], crowded[places[late]] = keys[first], first, True
+    is_key = held.take(at) == pairs
+    some = np.flatnonzero(crowded.take(at) & ~is_key)
+    near = late[np.minimum(np.searchsorted(keys[late], pairs[some]), len(late) - 1)] if len(late) else some
+    some, near = (x[keys[near] == pairs[some]] for x in (some, near))
+    is_key[some] = True
+    on = np.flatnonzero(is_key)
+    found = rule.take(at.take(on))
+    is_key[:] = False
+    is_key[some] = True
+    found[is_key.take(on)] = near
+    return on[found >= 0], found[found >= 0]
+
+
 def compress(ids: np.ndarray, base: int, least: int = LEAST, most: int = RULES_A_ROUND) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, lengths they expand to, sequence) of ``ids``, all below ``base``: no pair is left ``least`` times."""
     seq, rules, sizes = ids.astype(np.uint32), np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
     known, newest = base, None
     while len(seq) > 1:
-        if newest is None:
-            where, pairs = None, _pairs(seq[:-1], seq[1:], known)
-        else:
+        where = None
+        if newest is not None:
             new = seq >= newest
-            where = np.flatnonzero(new[:-1] | new[1:])
-            pairs = _pairs(seq[where], seq[where + 1], known)
+            new = new[:-1] | new[1:]
+            if 2 * np.count_nonzero(new) < len(new):  # where most are new, counting all is cheaper
+                where = np.flatnonzero(new)
+        pairs = _pairs(seq[:-1], seq[1:], known) if where is None else _pairs(seq[where], seq[where + 1], known)
         ordered = np.sort(pairs)
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(starts, len(ordered)))
@@ -74,20 +98,12 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST, most: int = RULES_A
         if len(keys) <= FEW:
             keys = np.sort(keys)
             at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-            rule, held = np.arange(len(keys), dtype=np.int32), keys
+            on = np.flatnonzero(keys[at] == pairs)
+            found = at[on]
         else:
-            # A pair finds its rule in a table by hash; of pairs that meet there the most frequent stays, the others' round comes.
-            kind = keys.dtype.type
-            slot = lambda x: (x * kind(0x9E3779B1) >> kind(7)) & kind((1 << TABLE_BITS) - 1)  # noqa: B023, E731
-            _, first = np.unique(slot(keys), return_index=True)
-            keys = keys[np.sort(first)]
-            held, rule = np.zeros(1 << TABLE_BITS, keys.dtype), np.full(1 << TABLE_BITS, -1, np.int32)
-            held[slot(keys)], rule[slot(keys)] = keys, np.arange(len(keys))
-            at = slot(pairs)
-        on = np.flatnonzero(held[at] == pairs)
-        on = on[rule[at[on]] >= 0]
+            on, found = _looked_up(pairs, keys)
         hit, kept = _apart(placed(on))
-        found = rule[at[on[kept]]]
+        found = found[kept]
         uses = np.bincount(found, minlength=len(keys))
         if uses.max() > 1:  # pairs that neighbours left a single place wait as well
             hit, found = hit[uses[found] > 1], found[uses[found] > 1]
