@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,19 @@ def test_repeats_at_every_edge(spark, batches):
     assert told(got) == plain_repeats(texts, 40)
 
 
+def test_planted_passages_are_told_by_n_removed(spark, tmp_path):
+    """Passages are caught from 400 bytes on, whatever their number of words; n_bytes is the length of the input."""
+    rng = np.random.default_rng(6)
+    prose = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(n))
+    short, long = prose(60), prose(80)  # 359 and 479 bytes, both of over 50 words
+    texts = [f"{prose(30)} {p} {prose(90)}" if p else prose(170) for p in [short, long, None] * 8]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(plans.op12_suffix_dedup(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+    assert [r.n_bytes for r in got] == [len(t) for t in texts]
+    assert [(r.n_removed >= 479, r.n_spans) for r in got if r.doc_id % 3 == 1] == [(True, 1)] * 8
+    assert all(r.n_removed == 0 for r in got if r.doc_id % 3 != 1)
+
+
 def test_family_merges_geometrically(spark):
     family = repeats.Family()
     sizes = []
