@@ -99,3 +99,16 @@ def test_ways_shared_by_rows(spark):
     away = lambda k, m: abs(k) % m * (1 if k >= 0 else -1)
     line = lambda k, c, p: "EVN|" + "|".join(chosen(w, None if c is None else c + n * away(k, 7) + n // 4 * away(int(p // 1), 11)) for n, w in enumerate(ways, 1))
     assert found == sorted(line(k, c, p) for k, c, p, *_ in rows)
+
+
+def test_repetitions_join_without_broadcast(spark, tmp_path):
+    # What Arrow batches give counts as next to nothing to Spark, so millions of reactions were broadcast; and AL1 was read twice.
+    orders = [(k, 1, s, 1.5, "1-URGENT") for k, s in ((1, "P"), (2, "O"), (2, "P"), (3, "F"), (None, "P"))]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").withColumn(
+        "o_orderdate", F.lit("2024-01-02").cast("timestamp")).write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["hl7_7_rep_queries"](spark, str(tmp_path))
+    plan = got._jdf.queryExecution()
+    assert "Broadcast" not in plan.executedPlan().toString() and plan.optimizedPlan().toString().count("ArrowEvalPython") == 2
+    ids = [r["message_id"] for r in got.collect()]
+    assert [ids.count(x) for x in "123"] == [2, 8, 2] and len(ids) == 12
+    assert {(r["code"], r["text"], r["citizenships"], r["has_race"]) for r in got.collect()} == {("HIV", "Hives", 2, True), ("RSH", "Rash", 2, True)}

@@ -585,7 +585,8 @@ def segment_table(messages: DataFrame, kind: str, columns: Sequence[str] | None
 
     rows = _lines(messages, kind)
     if tokens:
-        rows = rows.withColumn("_read", read("raw_segment", "_seps", "_esc"))
+        # Not deterministic to Catalyst, or it would read the lines once more for a filter on what was read.
+        rows = rows.withColumn("_read", read.asNondeterministic()("raw_segment", "_seps", "_esc"))
     cols = [_typed(k, F.col("_read")[c]).alias(c) for c, k in given]
     if kind not in SINGLE_SEGMENTS and "set_id:" not in SEGMENTS[kind]:
         cols.append((F.col("_no") + 1).cast("bigint").alias("set_id"))
