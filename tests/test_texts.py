@@ -1,12 +1,13 @@
 """Messages and records put together in tasks: spread over them, null rules, and templates as SQL chooses them."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from weirflow.functions.scalars import hl7_dtm_text, parse_hl7_dtm
 from weirflow.operators import fhir, hl7
 from weirflow.plans import segments
 from weirflow.plans.catalogue import QUERIES
-from weirflow.plans.texts import chosen
+from weirflow.plans.texts import chosen, filler, replaced
 from weirflow.session import spread
 
 
@@ -112,3 +113,46 @@ def test_repetitions_join_without_broadcast(spark, tmp_path):
     ids = [r["message_id"] for r in got.collect()]
     assert [ids.count(x) for x in "123"] == [2, 8, 2] and len(ids) == 12
     assert {(r["code"], r["text"], r["citizenships"], r["has_race"]) for r in got.collect()} == {("HIV", "Hives", 2, True), ("RSH", "Rash", 2, True)}
+
+
+@pytest.mark.parametrize("kind", ["obr", "in1", "pv1", "orc", "nk1", "sch", "gt1"])
+def test_nested_columns_are_written_in_batches(spark, narrow, kind):
+    # Hundreds of nested values a line used to become rows of Spark, to be written as JSON one by one.
+    plan = QUERIES[f"hl7_4_segment_{kind}"](spark, narrow)._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan and "regexp_extract(pythonUDF" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("kind", ["obr", "in1", "pv1", "orc", "spm", "ft1", "msh", "rxa"])
+def test_json_is_that_of_to_json(spark, kind):
+    fields = [
+        "", "7", "n/a", "a^b&c^^20240102", "^^", "~", "&", "^&x^&", "a&b&c&d&e&f&g&h&i&20240103^20240102", "x^y~~&z^~^^", "a\\T\\b^\\S\\&\\R\\c~\\F\\",
+        '"q"^\x07\x02é\t\x1f😀~\\', "20240102101500+0130^2024^20241301~20240230", "^".join(f"c{i}" for i in range(30)), "&".join(f"s{i}" for i in range(30)),
+        "~".join("^".join(f"2024010{i % 9 + 1}&{i}" for i in range(n)) for n in (1, 25, 3)),
+    ]
+    messages = []
+    for n in range(len(fields)):
+        lines = "|".join(fields[(i * 7 + n + i // 5) % len(fields)] for i in range(60))
+        one = f"MSH|^~\\&|{lines if kind == 'msh' else 'A'}|B\r{kind.upper()}|{lines}"
+        messages += [(one,), (one.translate(str.maketrans("|^~\\&", "#$%?*")),)]
+    rows = hl7.parse_messages(spark.createDataFrame(messages, "message string").coalesce(1))
+    plain, json = hl7.segment_table(rows, kind), hl7.segment_table(rows, kind, json=True)
+    nested = lambda c: isinstance(plain.schema[c].dataType, (T.StructType, T.ArrayType))
+    want = plain.select(*[F.to_json(c).alias(c) if nested(c) else c for c in plain.columns]).collect()
+    got = json.collect()
+    assert json.columns == plain.columns and len(got) == len(want) >= len(messages)
+    for c in plain.columns:
+        assert [r[c] for r in got] == [r[c] for r in want], c
+
+
+def test_times_in_batches(spark):
+    digits = ["2024", "202402", "20240229", "20230229", "2024013", "2024010124", "202401012359", "20240101235959", "20240101235960", "0000", "00010101", "99991231235959", ""]
+    texts = [f"{a}{d}{f}{z}{b}" for d in digits for f in ("", ".5", ".") for z in ("", "+0000", "-0500", "+2359", "-2399", "+2400", "+050") for a, b in (("", ""), (" (", ") "), ("", "\u2028"), ("x", ""))]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_hl7_dtm(F.col("t")).alias("time")).collect()
+    assert [(r["t"], r["time"]) for r in got if r["time"] != hl7_dtm_text(r["t"])] == [] and len({r["time"] for r in got}) > 25
+
+
+def test_templates_filled(spark):
+    marks = ["@K", "@P"]
+    for text in ("", "@K", "a@K@Pb@K", "@P@@Kx", "no mark"):
+        for values in ({"@K": "1", "@P": "x y"}, {"@K": "@P", "@P": "@K"}, {"@K": "", "@P": "@"}):
+            assert filler(text, marks)(values) == replaced(text, values)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import datetime, timedelta
+from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
@@ -119,6 +121,33 @@ def parse_hl7_dtm(col: Column) -> Column:
     return F.when(text.rlike(DTM), F.replace(utc.cast("string"), F.lit(" "), F.lit("T")))
 
 
+# The same for Python: the digits, and the zone.
+DTM_PARTS = re.compile(r"(?!0000)(\d{4}(?:\d{2}){0,5})(?:\.\d+)?([+-](?:[01]\d|2[0-3])\d{2})?", re.ASCII)
+
+
+
+@lru_cache(1 << 16)
+def hl7_dtm_text(text: str) -> str | None:
+    """:func:`parse_hl7_dtm` for a text of one line in an Arrow batch."""
+    text = text.strip(" ()")
+    line = text[:-1] if text.endswith(("\x85", "\u2028", "\u2029")) else text  # ``$`` of Java stands before them too
+    found = DTM_PARTS.fullmatch(line)
+    if found is None or found[2] and line is not text:
+        return None
+    full = found[1] + "00000101000000"[len(found[1]) :]
+    year, rest = int(full[:4]), [int(full[i : i + 2]) for i in range(4, 14, 2)]
+    try:
+        moved = datetime(year, *rest)
+        if found[2]:
+            turn = 400 if year < 5000 else -400  # days go by the same rule, and no time leaves the years Python knows
+            zone = timedelta(hours=int(found[2][1:3]), minutes=int(found[2][3:]))
+            moved = moved.replace(year + turn) + (zone if found[2][0] == "-" else -zone)
+            year = moved.year - turn
+    except ValueError:
+        return None
+    return f"{'+' if year > 9999 else ''}{year:04d}{moved:-%m-%dT%H:%M:%S}"
+
+
 def yyyymmdd_to_iso(col: Column) -> Column:
     """``20240131`` as ``2024-01-31``; text that is not a date of eight digits stays as it is."""
     day = F.concat_ws("-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2))

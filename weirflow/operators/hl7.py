@@ -9,13 +9,15 @@ cut in Arrow batches, a component of all rows at a time.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
+from typing import Iterator, Tuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weirflow.functions.scalars import coerce_int, parse_hl7_dtm
+from weirflow.functions.scalars import coerce_int, hl7_dtm_text, parse_hl7_dtm
 
 # Batch envelope segments, and segments that occur once per message.
 ENVELOPE = ("FHS", "BHS", "BTS", "FTS")
@@ -366,15 +368,36 @@ def _cut(texts: pa.Array, mark: str) -> Callable[[int], pa.Array]:
     """The texts cut at a mark; a call gives the i-th part of each, null where it is absent or empty."""
     parts = pc.split_pattern(texts, mark)
     values, ends = parts.values, parts.offsets.to_numpy()
-    filled = pc.if_else(pc.equal(values, ""), pa.scalar(None, pa.string()), values)
+    empty = np.append(_lengths(values) == 0, True)
 
     def part(i: int) -> pa.Array:
-        at = ends[:-1] + i - 1
-        return filled.take(pa.array(at, mask=at >= ends[1:]))
+        at = np.minimum(ends[:-1] + (i - 1), ends[1:])
+        return values.take(pa.array(at, mask=empty[at] | (at == ends[1:])))
 
     return part
 
 
+def _ends(texts: pa.Array) -> np.ndarray:
+    return np.frombuffer(texts.buffers()[1], "int32", len(texts) + 1, texts.offset * 4) if len(texts) else np.zeros(1, "int32")
+
+
+def _lengths(texts: pa.Array) -> np.ndarray:
+    """Bytes of each text."""
+    return np.diff(_ends(texts))
+
+
+def _bytes(texts: pa.Array) -> np.ndarray:
+    """The bytes of all texts, one after the other."""
+    ends, data = _ends(texts), texts.buffers()[2]
+    return np.empty(0, "uint8") if data is None else np.frombuffer(data, "uint8")[ends[0] : ends[-1]]
+
+
+def _holds(texts: pa.Array, chars: str) -> bool:
+    """Whether any of the characters is, or may be, in any text."""
+    found = _bytes(texts)
+    return any((found == char.encode()[0]).any() for char in chars)
+
+
 def _by_message(texts: pa.Array, own: pa.Array, change: Callable[[pa.Array, str], pa.Array]) -> pa.Array:
     """``change`` of all texts whose messages have the same separators at a time."""
     codes = own.dictionary_encode()
@@ -389,9 +412,9 @@ def _by_message(texts: pa.Array, own: pa.Array, change: Callable[[pa.Array, str]
 
 def _restored(texts: pa.Array, marks: str, seps: pa.Array) -> pa.Array:
     """Marks back to the characters of each text's message, as ``_original`` does it for columns."""
-    marked = pc.fill_null(pc.match_substring_regex(texts, f"[{marks}]"), False) if marks else pa.nulls(0, pa.bool_())
-    if not pc.any(marked).as_py():
+    if not _holds(texts, marks):
         return texts
+    marked = pc.fill_null(pc.match_substring_regex(texts, f"[{marks}]"), False)
 
     def back(some: pa.Array, own: str) -> pa.Array:
         for mark in marks:
@@ -402,10 +425,9 @@ def _restored(texts: pa.Array, marks: str, seps: pa.Array) -> pa.Array:
 
 
 def _with_marks(lines: pa.Array, own: str) -> pa.Array:
-    null, ends, data = lines.buffers()
-    if data is not None and own.isascii() and len(set(own + MARKS)) == 8:  # one pass over the bytes
-        marked = data.to_pybytes().translate(bytes.maketrans(own.encode(), MARKS.encode()))
-        return pa.StringArray.from_buffers(len(lines), ends, pa.py_buffer(marked), null, lines.null_count, lines.offset)
+    if not lines.null_count and own.isascii() and len(set(own + MARKS)) == 8:  # one pass over the bytes
+        ends, marked = _ends(lines), _bytes(lines).tobytes().translate(bytes.maketrans(own.encode(), MARKS.encode()))
+        return pa.StringArray.from_buffers(len(lines), pa.py_buffer(ends - ends[0]), pa.py_buffer(marked))
     for char, mark in zip(own, MARKS):
         lines = pc.replace_substring(lines, char, mark)
     return lines
@@ -457,6 +479,106 @@ def _struct_array(kind: str, texts: pa.Array, absent: pa.Array | None = None) ->
     return pa.StructArray.from_arrays([*leaves.values()], [*leaves], mask=absent)
 
 
+#: Characters that JSON writes otherwise, as ``to_json`` has them.
+JSON_ESCAPES = {chr(i): f"\\u{i:04X}" for i in range(32)} | {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r", '"': '\\"'}
+
+
+def _escaped(texts: pa.Array) -> pa.Array:
+    """Texts as they stand between the quotes of JSON."""
+    found = _bytes(texts)
+    if not ((found < 32) | (found == 34) | (found == 92)).any():
+        return texts
+    odd = pc.fill_null(pc.match_substring_regex(texts, '[\\x00-\\x1f"\\\\]'), False)
+    some = pc.replace_substring(texts.filter(odd), "\\", "\\\\")
+    for char, written in JSON_ESCAPES.items():
+        some = pc.replace_substring(some, char, written)
+    return pc.replace_with_mask(texts, odd, some)
+
+
+def _places(ends: np.ndarray) -> np.ndarray:
+    """The place of each part in its text, from 0."""
+    return np.arange(ends[-1], dtype="int32") - np.repeat(ends[:-1], np.diff(ends))
+
+
+def _json_parts(kind: str) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a composite: the name at each component and sub-component or -1, the names, and which components are cut, stand for an empty first part, and are times.
+
+    One component and sub-component more stand for all further ones.
+    """
+    tokens = COMPOSITES[kind].split()
+    names = [t.lstrip("+").rstrip("@").split("&") for t in tokens]
+    at, all_names = np.full((len(tokens) + 1, max(map(len, names)) + 1), -1, "int16"), []
+    for i, some in enumerate(names):
+        for k, name in enumerate(some):
+            if name not in ("", "-"):
+                at[i, k] = len(all_names)
+                all_names.append(name)
+    return at, all_names, *(np.array([*map(test, [*tokens, "-"])]) for test in (lambda t: "&" in t, lambda t: t[0] == "+", lambda t: t[-1] == "@"))
+
+
+def _quoted(texts: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise('"', _escaped(texts), '"', "")
+
+
+def _times(texts: pa.Array) -> pa.Array:
+    """Message times of any precision as ``parse_hl7_dtm`` reads them."""
+    codes = texts.dictionary_encode()
+    return pa.array([hl7_dtm_text(t) for t in codes.dictionary.to_pylist()], pa.string()).take(codes.indices)
+
+
+def _json_object(parts: dict[str, pa.Array]) -> pa.Array:
+    """Objects of JSON texts by name; a null is left out."""
+    # An empty text before them, as Arrow drops rows where all that it joins is null.
+    pieces = [pc.binary_join_element_wise(f',"{name}":', value, "") for name, value in parts.items()]
+    none = pa.array(np.full(len(pieces[0]), ""), pa.string())
+    return pc.binary_join_element_wise("{", pc.utf8_ltrim(pc.binary_join_element_wise(none, *pieces, "", null_handling="skip"), ","), "}", "")
+
+
+def _json_by_leaf(kind: str, texts: pa.Array) -> pa.Array:
+    """``_json`` out of ``_leaves``, for texts with separators where the composite has none."""
+    times = [t[:-1] for t in COMPOSITES[kind].split() if t.endswith("@")]
+    return _json_object({name: _quoted(_times(leaf) if name in times else leaf) for name, leaf in _leaves(kind, texts).items()})
+
+
+def _json(kind: str, texts: pa.Array) -> pa.Array:
+    """Composites as JSON, as ``to_json`` writes the structs of ``_struct_array`` with their times read; an absent text is ``{}``."""
+    if "=" in COMPOSITES[kind]:
+        comp, parts = _cut(texts, COMP), {}
+        for i, token in enumerate(COMPOSITES[kind].split(), start=1):
+            name, inner = token.split("=")
+            whole = comp(i)
+            parts[name] = pc.if_else(pc.is_valid(whole), _json(inner, pc.replace_substring(whole, SUB, COMP)), pa.scalar(None, pa.string()))
+        return _json_object(parts)
+    names, all_names, cut, whole_too, time = _json_parts(kind)
+    last, most = names.shape[0] - 1, names.shape[1] - 1
+    parts = pc.split_pattern(texts, COMP)
+    values, ends = parts.values, parts.offsets.to_numpy()
+    place = np.minimum(_places(ends), last)
+    column = names[place, 0]
+    if cut.any() and _holds(values, SUB):
+        parts = pc.split_pattern(values, SUB)
+        inner, starts = parts.values, parts.offsets.to_numpy()
+        counts = np.diff(starts)
+        first = _lengths(inner)[starts[:-1]] == 0
+        if ((counts > 1) & (~cut[place] & (column >= 0) | whole_too[place] & first)).any():
+            return _json_by_leaf(kind, texts)
+        values, ends, place = inner, starts[ends], np.repeat(place, counts)
+        column = names[place, np.minimum(_places(starts), most)]
+    if time.any():
+        at = pa.array(time[place])
+        values = pc.replace_with_mask(values, at, pc.fill_null(_times(values.filter(at)), ""))
+    kept = (_lengths(values) > 0) & (column >= 0)
+    heads = pa.array([f'"{name}":"' for name in all_names]).take(pa.array(column[kept]))
+    pieces = pc.binary_join_element_wise(heads, _escaped(values.filter(pa.array(kept))), '"', "")
+    objects = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(kept))[ends].astype("int32")), pieces)
+    return pc.binary_join_element_wise("{", pc.binary_join(objects, ","), "}", "")
+
+
+def _json_list(values: pa.ListArray) -> pa.Array:
+    """Lists of JSON texts as JSON."""
+    return pc.binary_join_element_wise("[", pc.binary_join(values, ","), "]", "")
+
+
 def _with_times(kind: str, item: Column) -> Column:
     """A composite with its times read."""
     for token in COMPOSITES[kind].split():
@@ -470,10 +592,11 @@ def _loose(kind: str) -> str:
     return REP if any(c in COMPOSITES[kind] for c in "&=") else REP + SUB
 
 
-def _composite(kind: str, texts: pa.Array, seps: pa.Array, first: bool) -> pa.Array:
+def _composite(kind: str, texts: pa.Array, seps: pa.Array, first: bool, json: bool) -> pa.Array:
     """A field as a struct, of its first repetition alone if ``first``; one of nothing but separators is null."""
     filled = pc.fill_null(pc.not_equal(pc.utf8_trim(texts, COMP + REP + SUB), ""), False)
-    return _struct_array(kind, _restored(_cut(texts, REP)(1) if first else texts, _loose(kind), seps), pc.invert(filled))
+    one = _restored(_cut(texts, REP)(1) if first else texts, _loose(kind), seps)
+    return pc.if_else(filled, _json(kind, one), pa.scalar(None, pa.string())) if json else _struct_array(kind, one, pc.invert(filled))
 
 
 def _repeated(texts: pa.Array, seps: pa.Array, item: Callable[[pa.Array, pa.Array], pa.Array]) -> pa.Array:
@@ -494,6 +617,9 @@ def _drop_nulls(items: Column) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
+#: Lines read at a time; each may take tens of thousands of bytes with all it gives.
+BATCH = 2000
+
 HDF_TAILS = ("", "_universal_id", "_universal_id_type")
 MESSAGE_PARTS = ("message_code", "trigger_event", "message_structure")
 
@@ -508,8 +634,20 @@ def column_names(token: str) -> list[str]:
     return [f"{name}_start", f"{name}_end"] if kind == "DR" else [name]
 
 
-def _read(tokens: list[tuple[int, str]], header: bool, lines: pa.Array, seps: pa.Array, esc: pa.Array) -> pa.Array:
-    """The columns of lines of one type as they are written: texts, structs and lists; numbers and times stay texts."""
+def _repetition(kind: str, json: bool, texts: pa.Array, seps: pa.Array) -> pa.Array:
+    """The repetitions of a field that is no composite."""
+    if kind in ("ID", "ST"):
+        texts = _restored(_cut(texts, COMP)(1) if kind == "ID" else texts, MARKS, seps)
+    if not json:
+        return texts
+    return _quoted(_times(texts) if kind == "TS" else texts)
+
+
+def _read(tokens: list[tuple[int, str]], header: bool, json: bool, lines: pa.Array, seps: pa.Array, esc: pa.Array) -> pa.Array:
+    """The columns of lines of one type as they are written: texts, structs and lists; numbers and times stay texts.
+
+    With ``json`` structs and lists are JSON, and times are read.
+    """
     own = pc.binary_join_element_wise(seps, esc, "")
     marked = _by_message(lines, own, lambda some, o: _with_marks(some, o[:4]))
     plain = clear = _cut(marked, FIELD)
@@ -518,8 +656,8 @@ def _read(tokens: list[tuple[int, str]], header: bool, lines: pa.Array, seps: pa
         whole = plain
         plain = clear = lambda i: pc.utf8_slice_codeunits(seps, 0, 1) if i == 2 else whole(i - 1)
     else:
-        escaped = _by_message(marked, own, lambda some, o: pc.match_substring(some, o[4]))
-        if pc.any(escaped).as_py():
+        if any(_holds(marked, o[4:]) for o in pc.unique(own).to_pylist()):
+            escaped = _by_message(marked, own, lambda some, o: pc.match_substring(some, o[4]))
             clear = _cut(pc.replace_with_mask(marked, escaped, _by_message(marked.filter(escaped), own.filter(escaped), _decoded)), FIELD)
     out: list[pa.Array] = []
     for n, token in tokens:
@@ -527,32 +665,38 @@ def _read(tokens: list[tuple[int, str]], header: bool, lines: pa.Array, seps: pa
         base = kind.rstrip("*~")
         if kind in ("HDF", "MSG", "DR"):
             part = _cut(_restored(clear(n + 1), REP + SUB, seps), COMP)
-            out += [part(i) for i in range(1, len(column_names(token)) + 1)]
+            parts = [part(i) for i in range(1, len(column_names(token)) + 1)]
+            out += [*map(_times, parts)] if json and kind == "DR" else parts
         elif base in COMPOSITES and not kind.endswith("*"):
-            out.append(_composite(base, clear(n + 1), seps, kind.endswith("~")))
-        elif base in COMPOSITES:
-            # A composite without sub-components keeps their separator as text.
-            loose = _loose(base).replace(REP, "")
-            out.append(_repeated(plain(n + 1), seps, lambda x, s: _struct_array(base, _restored(x, loose, s))))
-        elif kind == "ID*":
-            out.append(_repeated(plain(n + 1), seps, lambda x, s: _restored(_cut(x, COMP)(1), MARKS, s)))
+            out.append(_composite(base, clear(n + 1), seps, kind.endswith("~"), json))
         elif kind.endswith("*"):
-            out.append(_repeated(plain(n + 1), seps, lambda x, s: _restored(x, MARKS, s) if base == "ST" else x))
+            if base in COMPOSITES:
+                # A composite without sub-components keeps their separator as text.
+                loose, one = _loose(base).replace(REP, ""), _json if json else _struct_array
+                item = lambda x, s: one(base, _restored(x, loose, s))
+            else:
+                item = partial(_repetition, base, json)
+            items = _repeated(plain(n + 1), seps, item)
+            out.append(_json_list(items) if json else items)
         else:
-            text = _cut(plain(n + 1), REP)(1) if kind.endswith("~") else plain(n + 1)
-            out.append(_restored(text, MARKS, seps) if base == "ST" else text)
+            field = _cut(plain(n + 1), REP)(1) if kind.endswith("~") else plain(n + 1)
+            out.append(_restored(field, MARKS, seps) if base == "ST" else _times(field) if json and base == "TS" else field)
     return pa.StructArray.from_arrays(out, [c for _, t in tokens for c in column_names(t)])
 
 
-def _type(kind: str) -> T.DataType:
+def _type(kind: str, json: bool) -> T.DataType:
     """What ``_read`` gives for a field."""
+    if json:
+        return T.StringType()
     one = _struct_type(kind.rstrip("*~")) if kind.rstrip("*~") in COMPOSITES else T.StringType()
     return T.ArrayType(one) if kind.endswith("*") else one
 
 
-def _typed(kind: str, value: Column) -> Column:
+def _typed(kind: str, value: Column, json: bool = False) -> Column:
     """A column of ``_read`` with its numbers and times read."""
     base = kind.rstrip("*~")
+    if json and kind not in ("SI", "NO"):
+        return value
     if base in COMPOSITES:
         if "@" not in COMPOSITES[base]:
             return value
@@ -566,10 +710,12 @@ def _typed(kind: str, value: Column) -> Column:
     return parse_hl7_dtm(value) if base in ("TS", "DR") else value
 
 
-def segment_table(messages: DataFrame, kind: str, columns: Sequence[str] | None = None) -> DataFrame:
+def segment_table(messages: DataFrame, kind: str, columns: Sequence[str] | None = None, json: bool = False) -> DataFrame:
     """One typed row per segment of a kind; unknown kinds give ``field_1`` to ``field_25`` as text.
 
-    ``columns`` names the typed columns wanted, which keeps the plan of a wide segment small.
+    ``columns`` names the typed columns wanted, which keeps the plan of a wide segment small. With ``json`` structs and
+    lists are given as their ``to_json`` text, which is written in the Arrow batches that read them: hundreds of nested
+    values a line need not become rows of Spark first.
     """
     kind = kind.lower()
     others = [c for c in messages.columns if not c.startswith("_") and c != "message"]
@@ -579,15 +725,17 @@ def segment_table(messages: DataFrame, kind: str, columns: Sequence[str] | None
     tokens = [(n, t) for n, t in enumerate(SEGMENTS[kind].split(), 1) if columns is None or set(columns) & set(column_names(t))]
     given = [(c, t.split(":")[1]) for _, t in tokens for c in column_names(t)]
 
-    @F.arrow_udf(T.StructType([T.StructField(c, _type(k)) for c, k in given]))
-    def read(lines: pa.Array, seps: pa.Array, esc: pa.Array) -> pa.Array:
-        return _read(tokens, kind == "msh", lines, seps, esc)
+    @F.arrow_udf(T.StructType([T.StructField(c, _type(k, json)) for c, k in given]))
+    def read(batches: Iterator[Tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for lines, *own in batches:
+            for at in range(0, len(lines), BATCH):
+                yield _read(tokens, kind == "msh", json, *(x.slice(at, BATCH) for x in (lines, *own)))
 
     rows = _lines(messages, kind)
     if tokens:
         # Not deterministic to Catalyst, or it would read the lines once more for a filter on what was read.
         rows = rows.withColumn("_read", read.asNondeterministic()("raw_segment", "_seps", "_esc"))
-    cols = [_typed(k, F.col("_read")[c]).alias(c) for c, k in given]
+    cols = [_typed(k, F.col("_read")[c], json).alias(c) for c, k in given]
     if kind not in SINGLE_SEGMENTS and "set_id:" not in SEGMENTS[kind]:
         cols.append((F.col("_no") + 1).cast("bigint").alias("set_id"))
     return rows.select(*others, *cols, "raw_segment")

@@ -8,12 +8,13 @@ hold the segment twice, some not at all.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from weirflow.operators import hl7
 from weirflow.plans.registry import query, table
-from weirflow.plans.texts import chosen, made, replaced
+from weirflow.plans.texts import chosen, filler, made, replaced
 from weirflow.session import spread
 
 #: Marks in the texts, and the column of an order that stands in their place.
@@ -116,16 +117,17 @@ def _messages(orders: DataFrame, kind: str, ways: list[list[str]]) -> DataFrame:
         shown = [chosen(w, None if customer is None else customer + n * by_key + n // 4 * by_price) for n, w in enumerate(ways, 1)]
         return f"{kind.upper()}|{'|'.join(shown)}\r"
 
-    known: dict[tuple, str] = {}
+    marks = [mark for mark in MARKS if mark in rows.columns]
+    known: dict[tuple, Callable[[dict[str, str]], str]] = {}
 
-    def line_of(customer: int | None, by_key: int, by_price: int) -> str:
+    def line_of(customer: int | None, by_key: int, by_price: int, values: dict[str, str]) -> str:
         """The ways go by remainders of four, so all rows share 64 lines and that without a customer; negative ones go their own way."""
         if min(customer or 0, by_key, by_price) < 0:
-            return line(customer, by_key, by_price)
+            return replaced(line(customer, by_key, by_price), values)
         at = (customer if customer is None else customer % 4, by_key % 4, by_price % 4)
         if at not in known:
-            known[at] = line(*at)
-        return known[at]
+            known[at] = filler(line(*at), marks)
+        return known[at](values)
 
     def message(row: dict) -> str | None:
         if None in (row["key"], row["@P"], row["@T"], row["@D"]):
@@ -133,7 +135,7 @@ def _messages(orders: DataFrame, kind: str, ways: list[list[str]]) -> DataFrame:
         c, again = row["customer"], row["again"]
         lines = [] if not row["once"] else [c, None if c is None else c + 3] if again else [c]
         head = f"MSH|^~\\&|A|B|C|D|20240101||ADT^A01|{row['key']}|P|2.5\r"
-        return head + replaced("".join(line_of(x, row["by_key"], row["by_price"]) for x in lines), {mark: row[mark] for mark in MARKS if mark in row})
+        return head + "".join(line_of(x, row["by_key"], row["by_price"], {mark: row[mark] for mark in marks}) for x in lines)
 
     return made(rows, message, "message")
 
@@ -152,9 +154,8 @@ def _register(kind: str) -> None:
     @query(f"hl7_4_segment_{kind}", f"SELECT CAST(o_orderkey AS VARCHAR) AS message_id, {len(names)} AS columns, md5({content}) AS content FROM orders, (VALUES (0), (1)) AS l(line) WHERE {lines}")
     def _(spark, sf):
         messages = hl7.parse_messages(_messages(table(spark, sf, "orders"), kind, [[t for t, _ in w] for w in ways]))
-        got = hl7.segment_table(messages, kind)
-        nested = lambda c: isinstance(got.schema[c].dataType, (T.StructType, T.ArrayType))
-        parts = [F.concat(F.lit(f"{c}="), F.to_json(c) if nested(c) else F.col(c).cast("string")) for c in names]
+        got = hl7.segment_table(messages, kind, json=True)
+        parts = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in names]
         return got.select("message_id", F.lit(len(names)).alias("columns"), F.md5(F.concat_ws(";", *parts)).alias("content"))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +28,26 @@ def replaced(text: str, marks: dict[str, str]) -> str:
     return text
 
 
+def filler(text: str, marks: list[str]) -> Callable[[dict[str, str]], str]:
+    """``replaced`` for a text used by many rows: it is cut at the marks once, and each row picks its pieces.
+
+    A value that could make up a new mark is put in by ``replaced`` itself.
+    """
+    pieces = re.split(f"({'|'.join(map(re.escape, marks))})", text)
+    own = [*dict.fromkeys(pieces[::2])]
+    at = {piece: i for i, piece in enumerate(own, len(marks))}
+    picked = itemgetter(*(marks.index(x) if i % 2 else at[x] for i, x in enumerate(pieces)), 0)  # two at least give a tuple
+    starts = {mark[0] for mark in marks}
+
+    def filled(values: dict[str, str]) -> str:
+        row = [values[mark] for mark in marks]
+        if any(start in value for start in starts for value in row):
+            return replaced(text, values)
+        return "".join(picked(row + own)[:-1])
+
+    return filled
+
+
 def made(rows: DataFrame, text: Callable[[dict], str | None], name: str) -> DataFrame:
     """One row per row with the text made of it."""
 
